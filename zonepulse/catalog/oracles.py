@@ -1,5 +1,13 @@
 """Plain SQL that states what each catalogued query must return."""
 
+def _filled(columns: str, direction: str, partition: str = "") -> str:
+    """Whole-frame fill, stated as one window over all cells in (zone, hour) order."""
+    sort = "zone_id, hour_bucket" if direction == "forward" else "zone_id DESC, hour_bucket DESC"
+    return ", ".join(
+        f"round(coalesce(last_value({c} IGNORE NULLS) OVER ({partition} ORDER BY {sort} "
+        f"ROWS UNBOUNDED PRECEDING), 0), 6) {c}" for c in columns.split())
+
+
 # Named steps, each building on earlier ones; ``_sql`` prepends the chain a query needs.
 STEPS = {
     "e": """SELECT event_id, ts, user_id, event_type, value,
@@ -50,6 +58,23 @@ FROM (SELECT *, lag(avg_speed) OVER w prev_hour_speed, lag(trip_count) OVER w pr
        trip_count / 60.0 trips_per_minute, trip_count / (avg_speed + 1e-6) congestion_ratio,
        greatest(0.0, avg_duration - avg_distance / 30.0 * 60) delay_minutes
 FROM grid WINDOW w AS (PARTITION BY zone_id ORDER BY hour_bucket)""",
+    "filled": f"""SELECT * EXCLUDE (speed_stddev, speed_delta, lag1_speed, lag2_speed, lag1_trips),
+       {_filled("speed_stddev speed_delta lag1_speed lag2_speed lag1_trips", "back")} FROM features""",
+    "placed": """SELECT zone_id, hour_bucket, congestion_level, delay_minutes,
+       row_number() OVER (ORDER BY digest) pos, count(*) OVER () n,
+       row_number() OVER (PARTITION BY congestion_level ORDER BY digest) class_pos,
+       count(*) OVER (PARTITION BY congestion_level) class_n
+FROM (SELECT *, md5(zone_id || '|' || strftime(hour_bucket, '%Y-%m-%d %H:%M:%S') || '|42') digest FROM features)""",
+    "mean_split": """SELECT delay_minutes y, pos > (n * 20 + 99) // 100 is_train,
+       avg(delay_minutes) FILTER (pos > (n * 20 + 99) // 100) OVER () p FROM placed""",
+    "trend": """SELECT congestion_level lab, CASE WHEN rolling_avg_speed_3h >= 25 THEN 0
+       WHEN rolling_avg_speed_3h >= 15 THEN 1 WHEN rolling_avg_speed_3h >= 8 THEN 2 ELSE 3 END pred
+FROM features""",
+    "per_class": """SELECT c AS class, count(*) FILTER (lab = c AND pred = c) hit,
+       count(*) FILTER (lab = c) support, count(*) FILTER (pred = c) predicted,
+       coalesce(hit / nullif(predicted, 0), 0) AS precision, coalesce(hit / nullif(support, 0), 0) recall,
+       coalesce(2 * hit / nullif(support + predicted, 0), 0) f1
+FROM trend, (SELECT unnest(range(4)) c) GROUP BY c HAVING support + predicted > 0""",
     "spikes": """SELECT zone_id, quantile_disc(trip_count, 0.95) spike_trips FROM grid GROUP BY 1""",
     "flagged": """SELECT f.*, s.spike_trips,
        trip_count >= spike_trips AND coalesce(speed_delta < 0, false) is_hotspot
@@ -76,7 +101,8 @@ FROM waves GROUP BY wave""",
 CHAINS = {
     "e": [], "trips": ["e"], "timed": ["trips"], "speedy": ["timed"], "valid": ["speedy"],
     "clean": ["valid"], "cells": ["clean"], "labelled": ["cells"], "grid": ["labelled"],
-    "features": ["grid"], "spikes": ["grid"], "flagged": ["features", "spikes"],
+    "features": ["grid"], "filled": ["features"], "placed": ["features"],
+    "mean_split": ["placed"], "trend": ["features"], "per_class": ["trend"], "spikes": ["grid"], "flagged": ["features", "spikes"],
     "metrics": ["flagged"], "recent": ["metrics"], "messages": ["e"], "panes": ["e"],
     "waves": ["panes"], "wave_ends": ["waves"],
 }
@@ -114,14 +140,6 @@ RECENT = ('zone_id, "timestamp", ' + _rounded("avg_speed") + f", trip_count, {LE
           + _rounded("predicted_delay_minutes") + f", is_hotspot, {CLOCK}")
 
 
-def _filled(columns: str, direction: str, partition: str = "") -> str:
-    """Whole-frame fill, stated as one window over all cells in (zone, hour) order."""
-    sort = "zone_id, hour_bucket" if direction == "forward" else "zone_id DESC, hour_bucket DESC"
-    return ", ".join(
-        f"round(coalesce(last_value({c} IGNORE NULLS) OVER ({partition} ORDER BY {sort} "
-        f"ROWS UNBOUNDED PRECEDING), 0), 6) {c}" for c in columns.split())
-
-
 ORACLES = {
     "clean_nulls": _sql(f"""SELECT {RAW} FROM trips WHERE tpep_pickup_datetime IS NOT NULL
 AND tpep_dropoff_datetime IS NOT NULL AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL
@@ -257,4 +275,22 @@ FROM (SELECT count(*) FILTER (is_hotspot AND truth) tp, count(*) FILTER (is_hots
         count(*) FILTER (NOT is_hotspot AND truth) fn
       FROM (SELECT is_hotspot, congestion_level = 3 AND coalesce(trip_count > prev_hour_trips, false) truth
             FROM flagged))""", "flagged"),
+    "class_weights": _sql(f"""SELECT {LEVEL}, count(*) class_rows,
+round((SELECT count(*) FROM grid) * 1.0 / ((SELECT count(DISTINCT congestion_level) FROM grid) * count(*)), 6) weight
+FROM grid GROUP BY congestion_level""", "grid"),
+    "stratified_split": _sql(f"""SELECT zone_id, hour_bucket, {LEVEL},
+class_pos > (class_n * 20 + 99) // 100 is_train FROM placed""", "placed"),
+    "plain_split": _sql("""SELECT zone_id, hour_bucket, pos > (n * 20 + 99) // 100 is_train
+FROM placed""", "placed"),
+    "stratified_folds": _sql(f"""SELECT zone_id, hour_bucket, {LEVEL}, class_pos % 5 fold
+FROM placed""", "placed"),
+    "classification_report": _sql("""SELECT class,
+['Free Flow', 'Moderate', 'Heavy', 'Gridlock'][class + 1] class_name, round(precision, 6) AS precision,
+round(recall, 6) recall, round(f1, 6) f1, support FROM per_class""", "per_class"),
+    "classification_scores": _sql("""SELECT round(sum(hit) / sum(support), 6) accuracy,
+round(sum(f1 * support) / sum(support), 6) weighted_f1, round(avg(f1), 6) macro_f1 FROM per_class""",
+                                  "per_class"),
+    "regression_metrics": _sql("""SELECT round(sqrt(avg((y - p) ** 2)), 6) rmse,
+round(avg(abs(y - p)), 6) mae, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(y)), 6) r2
+FROM mean_split WHERE NOT is_train""", "mean_split"),
 }

@@ -4,9 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from zonepulse import rules
-from zonepulse.functions import demand_factor
-from zonepulse.operators import cleaning, features, fill, grid, hotspots, joins, reports
+from zonepulse.functions import congestion_level, demand_factor
+from zonepulse.models import estimators, metrics
+from zonepulse.models.forest import fit_hotspot_forest
+from zonepulse.models.scoring import Models
+from zonepulse.operators import cleaning, features, fill, grid, hotspots, joins, reports, split
+from zonepulse.plans import scoring, training
 from zonepulse.session import scratch_dir
 from zonepulse.sources import broker, event_trips, lake, serving
 from zonepulse.streaming import sinks, windows
@@ -53,12 +56,37 @@ def zone_grid(spark, sf_dir):
     return grid.zone_hour_grid(cleaning.clean_trips(trips(spark, sf_dir)))
 
 
-def zone_metrics(spark, sf_dir):
+STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(name, write):
+    """A lake table: written on first use in this application, then read back."""
+    def read(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir, name)
+        if key not in STORED:
+            path = scratch_dir(spark, name)
+            write(spark, sf_dir, path)
+            STORED[key] = path
+        return spark.read.parquet(STORED[key])
+
+    return read
+
+
+def _write_metrics(spark, sf_dir, path):
     """Serving table: grid, delay target as predicted delay, rule hotspots."""
-    cells = features.add_delay_target(zone_grid(spark, sf_dir))
+    cells = features.add_delay_target(grid_lake(spark, sf_dir))
     flagged = hotspots.rule_hotspots(cells)
-    return serving.with_serving_defaults(
-        flagged.withColumnRenamed("delay_minutes", "predicted_delay_minutes"))
+    serving.write_zone_metrics(
+        flagged.withColumnRenamed("delay_minutes", "predicted_delay_minutes"), path)
+
+
+# What reads its input more than once starts from the lake, like the plans do: the chain from
+# raw trips then runs once.
+grid_lake = stored("grid-lake", lambda spark, sf_dir, path:
+                   lake.write_grid(zone_grid(spark, sf_dir), path))
+feature_lake = stored("feature-lake", lambda spark, sf_dir, path:
+                      features.feature_matrix(grid_lake(spark, sf_dir)).write.parquet(path))
+zone_metrics = stored("serving", _write_metrics)
 
 
 def zones(spark, sf_dir):
@@ -155,9 +183,7 @@ def pruned_month(spark, sf_dir):
 
 @query
 def pruned_hour(spark, sf_dir):
-    path = scratch_dir(spark, "grid-lake")
-    lake.write_grid(zone_grid(spark, sf_dir), path)
-    return (lake.read_grid(spark, path).filter("hour_of_day between 7 and 9")
+    return (grid_lake(spark, sf_dir).filter("hour_of_day between 7 and 9")
             .groupBy("zone_id", "hour_of_day")
             .agg(F.avg("avg_speed").alias("avg_speed"), F.sum("trip_count").alias("trips")))
 
@@ -177,7 +203,7 @@ def weather_asof(spark, sf_dir):
 # --- features ---------------------------------------------------------------------------
 
 def _cells(spark, sf_dir, *columns):
-    return zone_grid(spark, sf_dir).select("zone_id", "hour_bucket", *columns)
+    return grid_lake(spark, sf_dir).select("zone_id", "hour_bucket", *columns)
 
 
 @query
@@ -239,12 +265,12 @@ def backfill_in_zone(spark, sf_dir):
 
 @query
 def feature_matrix(spark, sf_dir):
-    return features.feature_matrix(zone_grid(spark, sf_dir))
+    return features.feature_matrix(grid_lake(spark, sf_dir))
 
 
 @query
 def forecast_matrix(spark, sf_dir):
-    matrix = features.feature_matrix(zone_grid(spark, sf_dir), fill="forward", horizon=1)
+    matrix = features.feature_matrix(grid_lake(spark, sf_dir), fill="forward", horizon=1)
     return matrix.select("zone_id", "hour_bucket", "avg_speed", "lag2_speed",
                          "congestion_level", "delay_minutes")
 
@@ -257,7 +283,7 @@ def demand_band(spark, sf_dir):
 
 @query
 def dataset_summary(spark, sf_dir):
-    return reports.dataset_summary(zone_grid(spark, sf_dir))
+    return reports.dataset_summary(grid_lake(spark, sf_dir))
 
 
 # --- streams ----------------------------------------------------------------------------
@@ -367,19 +393,186 @@ def zone_hourly(spark, sf_dir):
 
 @query
 def rule_hotspots(spark, sf_dir):
-    return hotspots.rule_hotspots(zone_grid(spark, sf_dir)).select(
+    return hotspots.rule_hotspots(grid_lake(spark, sf_dir)).select(
         "zone_id", "hour_bucket", "trip_count", "spike_trips", "is_hotspot")
 
 
 @query
 def hotspot_rate(spark, sf_dir):
-    return hotspots.detection_rate(hotspots.rule_hotspots(zone_grid(spark, sf_dir)))
+    return hotspots.detection_rate(hotspots.rule_hotspots(grid_lake(spark, sf_dir)))
 
 
 @query
 def hotspot_eval(spark, sf_dir):
     """Rule hotspots scored against cells that are gridlocked and busier than the hour before."""
-    flagged = hotspots.rule_hotspots(zone_grid(spark, sf_dir)).withColumn(
+    flagged = hotspots.rule_hotspots(grid_lake(spark, sf_dir)).withColumn(
         "truth", (F.col("congestion_level") == 3)
         & F.coalesce(F.col("trip_count") > F.col("prev_hour_trips"), F.lit(False)))
     return hotspots.detection_scores(flagged, "truth")
+
+
+# --- models -----------------------------------------------------------------------------
+# Small ensembles keep the catalog quick; the estimators' defaults are the full sizes.
+
+TREES = 5
+CV_TREES = 2
+
+
+def _train_test(spark, sf_dir, stratify=None):
+    return training.split(feature_lake(spark, sf_dir), stratify)
+
+
+def _classified(spark, sf_dir, pipeline, weighted=False):
+    train, test = _train_test(spark, sf_dir, "congestion_level")
+    if weighted:
+        train = metrics.with_class_weights(train)
+    return estimators.fit(pipeline, train).transform(test)
+
+
+def _regressed(spark, sf_dir, pipeline):
+    train, test = _train_test(spark, sf_dir)
+    return estimators.fit(pipeline, train).transform(test)
+
+
+def _by_speed_trend(spark, sf_dir):
+    """A fixed stand-in classifier: the level of the last three hours' mean speed."""
+    speed = F.col("rolling_avg_speed_3h")
+    return feature_lake(spark, sf_dir).withColumn("prediction", congestion_level(speed))
+
+
+@query
+def class_weights(spark, sf_dir):
+    return metrics.class_weights(feature_lake(spark, sf_dir))
+
+
+@query
+def stratified_split(spark, sf_dir):
+    return split.train_test(feature_lake(spark, sf_dir), stratify="congestion_level").select(
+        "zone_id", "hour_bucket", "congestion_level", "is_train")
+
+
+@query
+def plain_split(spark, sf_dir):
+    return split.train_test(feature_lake(spark, sf_dir)).select(
+        "zone_id", "hour_bucket", "is_train")
+
+
+@query
+def stratified_folds(spark, sf_dir):
+    return split.stratified_folds(feature_lake(spark, sf_dir), "congestion_level").select(
+        "zone_id", "hour_bucket", "congestion_level", "fold")
+
+
+@query
+def classification_report(spark, sf_dir):
+    return metrics.classification_report(_by_speed_trend(spark, sf_dir))
+
+
+@query
+def classification_scores(spark, sf_dir):
+    return metrics.classification_scores(_by_speed_trend(spark, sf_dir))
+
+
+@query
+def regression_metrics(spark, sf_dir):
+    """Mean baseline on the plain split."""
+    train, test = _train_test(spark, sf_dir)
+    return metrics.regression_scores(estimators.delay_mean(train, test))
+
+
+@query
+def congestion_gbt(spark, sf_dir):
+    return metrics.classification_scores(
+        _classified(spark, sf_dir, estimators.congestion_gbt(TREES, depth=4)))
+
+
+@query
+def rf_baseline(spark, sf_dir):
+    return metrics.classification_report(
+        _classified(spark, sf_dir, estimators.congestion_forest(TREES, depth=6), weighted=True))
+
+
+@query
+def logreg_baseline(spark, sf_dir):
+    return metrics.classification_scores(
+        _classified(spark, sf_dir, estimators.congestion_logistic(20)))
+
+
+@query
+def delay_gbt(spark, sf_dir):
+    return metrics.regression_scores(
+        _regressed(spark, sf_dir, estimators.delay_gbt(TREES, depth=4)))
+
+
+@query
+def rf_regressor(spark, sf_dir):
+    return metrics.regression_scores(
+        _regressed(spark, sf_dir, estimators.delay_forest(TREES, depth=6)))
+
+
+@query
+def ridge_baseline(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    model = estimators.fit(estimators.delay_ridge(train.count()), train)
+    return metrics.regression_scores(model.transform(test))
+
+
+@query
+def cross_validation(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir, "congestion_level")
+    mean, std = estimators.cross_validate(
+        estimators.congestion_forest(CV_TREES, depth=4, weight_col=None), train.drop("is_train"))
+    return spark.createDataFrame([(mean, std)], "f1_mean double, f1_std double")
+
+
+@query
+def feature_importance(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir, "congestion_level")
+    model = estimators.fit(estimators.congestion_gbt(CV_TREES, depth=3), train)
+    return estimators.feature_importance(spark, model)
+
+
+@query
+def isolation_forest(spark, sf_dir):
+    cells = feature_lake(spark, sf_dir)
+    forest = fit_hotspot_forest(cells)
+    return forest.transform(cells).select("zone_id", "hour_bucket", "anomaly_score", "is_hotspot")
+
+
+def _small_models(spark, sf_dir):
+    """Trained, saved and loaded again."""
+    folder = scratch_dir(spark, "models")
+    result = training.train(grid_lake(spark, sf_dir), folder, classifier_trees=CV_TREES,
+                            regressor_trees=CV_TREES)
+    return result, folder
+
+
+@query
+def model_performance(spark, sf_dir):
+    result, _ = _small_models(spark, sf_dir)
+    path = scratch_dir(spark, "performance")
+    serving.append_model_performance(result.performance, path)
+    return spark.read.parquet(path).drop("training_date")
+
+
+@query
+def batch_scoring(spark, sf_dir):
+    """Train, save, load, score the grid and rewrite the serving table."""
+    _, folder = _small_models(spark, sf_dir)
+    path = scratch_dir(spark, "scored-serving")
+    cells = grid_lake(spark, sf_dir)
+    serving.write_zone_metrics(serving.batch_projection(cells), path)
+    scoring.score_serving(spark, cells, folder, path)
+    return serving.read_zone_metrics(spark, path).drop("created_at", "metric_date")
+
+
+@query
+def stream_scoring(spark, sf_dir):
+    """Score a stream of feature rows micro-batch by micro-batch."""
+    _, folder = _small_models(spark, sf_dir)
+    source = feature_lake(spark, sf_dir)
+    models = Models.load(spark, folder)
+    stream = broker.file_stream(spark, source.inputFiles()[0].rsplit("/", 1)[0], source.schema)
+    out, checkpoint = scratch_dir(spark, "scored"), scratch_dir(spark, "scored-checkpoint")
+    scoring.score_stream(stream, models, out, checkpoint, once=True).awaitTermination()
+    return sinks.read_batches(spark, out, models.predict(source).schema).drop("batch_id")
