@@ -58,8 +58,6 @@ FROM (SELECT *, lag(avg_speed) OVER w prev_hour_speed, lag(trip_count) OVER w pr
        trip_count / 60.0 trips_per_minute, trip_count / (avg_speed + 1e-6) congestion_ratio,
        greatest(0.0, avg_duration - avg_distance / 30.0 * 60) delay_minutes
 FROM grid WINDOW w AS (PARTITION BY zone_id ORDER BY hour_bucket)""",
-    "filled": f"""SELECT * EXCLUDE (speed_stddev, speed_delta, lag1_speed, lag2_speed, lag1_trips),
-       {_filled("speed_stddev speed_delta lag1_speed lag2_speed lag1_trips", "back")} FROM features""",
     "placed": """SELECT zone_id, hour_bucket, congestion_level, delay_minutes,
        row_number() OVER (ORDER BY digest) pos, count(*) OVER () n,
        row_number() OVER (PARTITION BY congestion_level ORDER BY digest) class_pos,
@@ -101,7 +99,7 @@ FROM waves GROUP BY wave""",
 CHAINS = {
     "e": [], "trips": ["e"], "timed": ["trips"], "speedy": ["timed"], "valid": ["speedy"],
     "clean": ["valid"], "cells": ["clean"], "labelled": ["cells"], "grid": ["labelled"],
-    "features": ["grid"], "filled": ["features"], "placed": ["features"],
+    "features": ["grid"], "placed": ["features"],
     "mean_split": ["placed"], "trend": ["features"], "per_class": ["trend"], "spikes": ["grid"], "flagged": ["features", "spikes"],
     "metrics": ["flagged"], "recent": ["metrics"], "messages": ["e"], "panes": ["e"],
     "waves": ["panes"], "wave_ends": ["waves"],

@@ -59,17 +59,18 @@ def zone_grid(spark, sf_dir):
 STORED: dict[tuple[str, str, str], str] = {}
 
 
-def stored(name, write):
-    """A lake table: written on first use in this application, then read back."""
-    def read(spark, sf_dir):
-        key = (spark.sparkContext.applicationId, sf_dir, name)
-        if key not in STORED:
-            path = scratch_dir(spark, name)
-            write(spark, sf_dir, path)
-            STORED[key] = path
-        return spark.read.parquet(STORED[key])
+def stored_path(spark, sf_dir, name, write):
+    """Folder of a lake table or model, written on first use in this application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in STORED:
+        path = scratch_dir(spark, name)
+        write(spark, sf_dir, path)
+        STORED[key] = path
+    return STORED[key]
+
 
-    return read
+def stored(name, write):
+    return lambda spark, sf_dir: spark.read.parquet(stored_path(spark, sf_dir, name, write))
 
 
 def _write_metrics(spark, sf_dir, path):
@@ -539,26 +540,26 @@ def isolation_forest(spark, sf_dir):
     return forest.transform(cells).select("zone_id", "hour_bucket", "anomaly_score", "is_hotspot")
 
 
-def _small_models(spark, sf_dir):
-    """Trained, saved and loaded again."""
-    folder = scratch_dir(spark, "models")
-    result = training.train(grid_lake(spark, sf_dir), folder, classifier_trees=CV_TREES,
-                            regressor_trees=CV_TREES)
-    return result, folder
+def _train(spark, sf_dir, path):
+    result = training.train(grid_lake(spark, sf_dir), f"{path}/models",
+                            classifier_trees=CV_TREES, regressor_trees=CV_TREES)
+    serving.append_model_performance(result.performance, f"{path}/performance")
+
+
+def _trained(spark, sf_dir):
+    """Folder with small models, trained and saved once, and their metric rows."""
+    return stored_path(spark, sf_dir, "training", _train)
 
 
 @query
 def model_performance(spark, sf_dir):
-    result, _ = _small_models(spark, sf_dir)
-    path = scratch_dir(spark, "performance")
-    serving.append_model_performance(result.performance, path)
-    return spark.read.parquet(path).drop("training_date")
+    return spark.read.parquet(f"{_trained(spark, sf_dir)}/performance").drop("training_date")
 
 
 @query
 def batch_scoring(spark, sf_dir):
-    """Train, save, load, score the grid and rewrite the serving table."""
-    _, folder = _small_models(spark, sf_dir)
+    """Load the saved models, score the grid and rewrite the serving table."""
+    folder = f"{_trained(spark, sf_dir)}/models"
     path = scratch_dir(spark, "scored-serving")
     cells = grid_lake(spark, sf_dir)
     serving.write_zone_metrics(serving.batch_projection(cells), path)
@@ -569,9 +570,8 @@ def batch_scoring(spark, sf_dir):
 @query
 def stream_scoring(spark, sf_dir):
     """Score a stream of feature rows micro-batch by micro-batch."""
-    _, folder = _small_models(spark, sf_dir)
     source = feature_lake(spark, sf_dir)
-    models = Models.load(spark, folder)
+    models = Models.load(spark, f"{_trained(spark, sf_dir)}/models")
     stream = broker.file_stream(spark, source.inputFiles()[0].rsplit("/", 1)[0], source.schema)
     out, checkpoint = scratch_dir(spark, "scored"), scratch_dir(spark, "scored-checkpoint")
     scoring.score_stream(stream, models, out, checkpoint, once=True).awaitTermination()

@@ -99,7 +99,7 @@ def cross_validate(pipeline: Pipeline, train: DataFrame, folds: int = 5,
         evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="f1"),
         foldCol="fold")
     model = validator.fit(folded)
-    return model.avgMetrics[0], model.stdMetrics[0]
+    return float(model.avgMetrics[0]), float(model.stdMetrics[0])
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, top: int = 10,
