@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
+        "spark.sql.maxMetadataStringLength": "10000",
+        "spark.sql.debug.maxToStringFields": "1000",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     })
     session.sparkContext.setLogLevel("ERROR")

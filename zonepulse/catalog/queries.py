@@ -514,7 +514,7 @@ def rf_regressor(spark, sf_dir):
 @query
 def ridge_baseline(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    model = estimators.fit(estimators.delay_ridge(train.count()), train)
+    model = estimators.fit(estimators.delay_ridge(train), train)
     return metrics.regression_scores(model.transform(test))
 
 

@@ -61,12 +61,13 @@ def delay_forest(trees: int = 100, depth: int = 15, seed: int = rules.SEED) -> P
         labelCol=DELAY, numTrees=trees, maxDepth=depth, seed=seed))
 
 
-def delay_ridge(rows: int, alpha: float = 10.0) -> Pipeline:
-    """L2-penalised least squares. ``alpha`` weighs the penalty against the *sum* of squared
-    errors; MLlib weighs it against the mean, hence the division by ``rows``."""
+def delay_ridge(train: DataFrame, alpha: float = 10.0) -> Pipeline:
+    """L2-penalised least squares, ``alpha`` weighing the penalty against the *sum* of squared
+    errors. MLlib weighs it against the mean and scales it by the label's deviation."""
+    rows, deviation = train.agg(F.count(DELAY), F.stddev_pop(DELAY)).first()
     return _pipeline(LinearRegression(
-        labelCol=DELAY, regParam=alpha / rows, elasticNetParam=0.0, standardization=False,
-        solver="normal"))
+        labelCol=DELAY, regParam=alpha * (deviation or 0.0) / max(rows, 1), elasticNetParam=0.0,
+        standardization=False, solver="normal"))
 
 
 def delay_mean(train: DataFrame, test: DataFrame) -> DataFrame:
