@@ -145,4 +145,29 @@ def test_recent_query_prunes_serving_folders(spark, sf_dir):
     text = plan_after_run(QUERIES["recent_metrics"](spark, sf_dir))
     assert "TakeOrderedAndProject" in text
     filters = [part.split(", PushedFilters")[0] for part in text.split("PartitionFilters: ")[1:]]
-    assert any("metric_date" in f and "ubquery" in f for f in filters), filters
+    assert any("metric_period" in f and "ubquery" in f for f in filters), filters
+
+
+def test_sizes_grow_with_the_input_and_are_bounded():
+    mb, tb = 1024 ** 2, 1024 ** 4
+    assert session.sizes_for(10 * mb) == (1, 128 * mb)
+    assert session.sizes_for(tb) == (4096, 128 * mb)
+    assert session.sizes_for(100 * tb) == (20000, 1024 * mb)
+
+
+def test_sizes_are_raised_for_the_block_only(spark, raw_path):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(k) for k in keys]
+    with session.sized_for(spark, 2 * 1024 ** 4):
+        assert spark.conf.get(keys[0]) == "8192"
+    with session.sized_for(spark, 100 * 1024 ** 4):
+        assert spark.conf.get(keys[1]) == str(1024 ** 3)
+    with session.sized_for(spark, 1):
+        assert [spark.conf.get(k) for k in keys] == before
+    assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_stored_bytes(spark, raw_path):
+    import pathlib
+    files = [p for p in pathlib.Path(raw_path).iterdir() if not p.name.startswith((".", "_"))]
+    assert lake.stored_bytes(spark, raw_path) == sum(p.stat().st_size for p in files)

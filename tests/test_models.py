@@ -242,6 +242,22 @@ def test_tree_size_is_bounded(spark):
     assert len(per_tree) == 10 and max(per_tree) <= 2 * 128 - 1
 
 
+def test_each_tree_draws_evenly(spark):
+    """Rows per tree and trees per row match independent draws (binomial, five deviations)."""
+    n, trees, sample = 20000, 100, 256
+    df = spark.range(n).select("id", F.rand(1).alias("a"))
+    drawn = forest._sampled(df, ["a"], ("id",), n, trees, sample, 42)
+    expected = forest.OVERSAMPLE * sample
+    per_tree = [r["count"] for r in drawn.groupBy("tree_id").count().collect()]
+    assert len(per_tree) == trees
+    assert all(abs(c - expected) < 5 * expected ** 0.5 for c in per_tree)
+    assert abs(sum(per_tree) - trees * expected) < 5 * (trees * expected) ** 0.5
+    rows = drawn.select("a").distinct().count()
+    none = n * (1 - expected / n) ** trees
+    assert abs(n - rows - none) < 5 * none ** 0.5
+    assert abs(drawn.agg(F.avg("a")).first()[0] - 0.5) < 0.01
+
+
 def test_path_lengths():
     assert [forest.average_path(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert forest.average_path(256) == pytest.approx(10.2448, abs=1e-3)

@@ -47,8 +47,8 @@ FROM clean GROUP BY 1, 2""",
 FROM (SELECT *, lag(avg_speed) OVER w prev_hour_speed, lag(trip_count) OVER w prev_hour_trips
       FROM labelled WINDOW w AS (PARTITION BY zone_id ORDER BY hour_bucket))""",
     "features": """SELECT *,
-       CASE WHEN hour_of_day BETWEEN 7 AND 9 OR hour_of_day BETWEEN 17 AND 19 THEN 1 ELSE 0 END is_rush_hour,
-       CASE WHEN hour_of_day < 6 OR hour_of_day >= 22 THEN 1 ELSE 0 END is_overnight,
+       CASE WHEN hour_of_day BETWEEN 7 AND 9 OR hour_of_day BETWEEN 17 AND 19 THEN 1::BIGINT ELSE 0 END is_rush_hour,
+       CASE WHEN hour_of_day < 6 OR hour_of_day >= 22 THEN 1::BIGINT ELSE 0 END is_overnight,
        sin(2 * pi() * hour_of_day / 24) hour_sin, cos(2 * pi() * hour_of_day / 24) hour_cos,
        sin(2 * pi() * day_of_week / 7) dow_sin, cos(2 * pi() * day_of_week / 7) dow_cos,
        avg_speed / (avg(avg_speed) OVER (PARTITION BY zone_id) + 1e-6) speed_to_zone_avg,
@@ -154,7 +154,7 @@ WHERE avg_speed_mph < 80""", "speedy"),
     "time_features": _sql(f"""SELECT {RAW}, hour(tpep_pickup_datetime) hour_of_day,
 dayofweek(tpep_pickup_datetime) + 1 day_of_week, month(tpep_pickup_datetime) AS month,
 dayofweek(tpep_pickup_datetime) IN (0, 6) is_weekend FROM trips""", "trips"),
-    "trip_dedup": _sql(f"""SELECT {RAW} FROM trips QUALIFY row_number() OVER (
+    "trip_dedup": _sql(f"""SELECT {RAW} FROM trips WHERE tpep_pickup_datetime IS NOT NULL QUALIFY row_number() OVER (
 PARTITION BY tpep_pickup_datetime, PULocationID, trip_distance
 ORDER BY tpep_dropoff_datetime, DOLocationID, fare_amount, passenger_count) = 1""", "trips"),
     "clean_trips": _sql(f"""SELECT {RAW}, {_rounded("trip_duration_min avg_speed_mph")}, {CLOCK},

@@ -135,7 +135,8 @@ def time_features(spark, sf_dir):
 
 @query
 def trip_dedup(spark, sf_dir):
-    return trips(spark, sf_dir).transform(cleaning.deduplicate)
+    return (trips(spark, sf_dir).transform(cleaning.drop_incomplete)
+                                .transform(cleaning.deduplicate))
 
 
 @query
@@ -564,7 +565,7 @@ def batch_scoring(spark, sf_dir):
     cells = grid_lake(spark, sf_dir)
     serving.write_zone_metrics(serving.batch_projection(cells), path)
     scoring.score_serving(spark, cells, folder, path)
-    return serving.read_zone_metrics(spark, path).drop("created_at", "metric_date")
+    return serving.read_zone_metrics(spark, path).drop("created_at", "metric_period")
 
 
 @query

@@ -60,18 +60,29 @@ def _sampled(df: DataFrame, columns: list[str], key: tuple[str, ...], rows: int,
              sample: int, seed: int) -> DataFrame:
     """About ``OVERSAMPLE * sample`` rows per tree with their draw; all rows if there are few.
 
-    A row's draws depend on its key only. Trees are filtered before the explode, so about
-    1.5 · trees · ψ rows are shuffled whatever the input size.
+    Each row joins each tree with the same probability, by draws that depend on its key only.
+    The number of trees before a row's first one is geometric, so one draw settles that most
+    rows join none; only the others draw for each later tree. About 1.5 · trees · ψ rows are
+    shuffled whatever the input size.
     """
     share = min(1.0, OVERSAMPLE * sample / rows)
-    scale = 2 ** 32
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(t.alias("tree_id"),
-                           F.xxhash64(*(F.col(k) for k in key), t, F.lit(seed)).alias("draw")))
-    chosen = F.filter(draws, lambda d: F.pmod(d["draw"], F.lit(scale)) < int(share * scale))
+    scale = 2 ** 53
+    keys = [F.col(k) for k in key]
+    uniform = (F.pmod(F.xxhash64(*keys, F.lit(f"first {seed}")), F.lit(scale)) + 1) / F.lit(float(scale))
+    first = F.floor(F.ln(uniform) / F.lit(math.log1p(-share))) if share < 1 else F.lit(0)
+
+    def draw(tree: Column) -> Column:
+        return F.xxhash64(*keys, tree, F.lit(seed))
+
+    joined = F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                 lambda t: (t == F.col("_first"))
+                 | ((t > F.col("_first")) & (F.pmod(draw(t), F.lit(scale)) < int(share * scale)))),
+        lambda t: F.struct(t.alias("tree_id"), draw(t).alias("draw")))
     values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]
-    return (df.select(F.explode(chosen).alias("d"), *values)
+    return (df.withColumn("_first", first)
+              .filter(F.col("_first") < trees)
+              .select(F.explode(joined).alias("d"), *values)
               .select("d.tree_id", "d.draw", *columns))
 
 

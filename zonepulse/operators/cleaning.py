@@ -90,7 +90,8 @@ def deduplicate(trips: DataFrame, key: tuple[str, ...] = DEDUP_KEY) -> DataFrame
 
     Written as an aggregate so that copies collapse before the shuffle, however many
     rows share a key, and so that a recomputed task picks the same survivor. ``min_by``
-    over a bigint keeps fixed-width columns on hash aggregation.
+    over a bigint keeps fixed-width columns on hash aggregation; with a string column among
+    them Spark sorts instead.
     """
     rest = [c for c in trips.columns if c not in key]
     if not rest:

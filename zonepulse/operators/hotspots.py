@@ -10,7 +10,7 @@ def rule_hotspots(grid: DataFrame, quantile: float = 0.95) -> DataFrame:
     holds one counter per distinct trip count of a zone, at most one per hour.
     """
     spike = F.expr(f"percentile_disc({quantile}) WITHIN GROUP (ORDER BY trip_count)")
-    per_zone = grid.groupBy("zone_id").agg(spike.alias("spike_trips"))
+    per_zone = grid.groupBy("zone_id").agg(spike.cast("long").alias("spike_trips"))
     falling = F.coalesce(F.col("speed_delta") < 0, F.lit(False))
     return (grid.join(per_zone, "zone_id")
                 .withColumn("is_hotspot", (F.col("trip_count") >= F.col("spike_trips")) & falling))

@@ -17,7 +17,8 @@ def recent_metrics(metrics: DataFrame, as_of: datetime | None = None,
     """Rows of the last ``hours`` before ``as_of`` (default: the newest row), newest first.
 
     The limit is the query's own; ties at the cut resolve by zone. On the serving table's
-    layout the bound on ``metric_date`` prunes folders.
+    layout a bound on ``metric_period`` prunes folders: a period that contains the start begins
+    at most 31 days before it.
     """
     if as_of is None:
         end = metrics.agg(F.max("timestamp")).scalar()
@@ -25,8 +26,8 @@ def recent_metrics(metrics: DataFrame, as_of: datetime | None = None,
         end = F.lit(as_of)
     start = end - F.make_dt_interval(hours=F.lit(hours))
     recent = metrics.filter(F.col("timestamp") >= start)
-    if "metric_date" in metrics.columns:
-        recent = recent.filter(F.col("metric_date") >= F.to_date(start))
+    if "metric_period" in metrics.columns:
+        recent = recent.filter(F.col("metric_period") >= F.date_sub(F.to_date(start), 31))
     return (recent.select(*RECENT_COLUMNS)
                   .orderBy(F.desc("timestamp"), "zone_id")
                   .limit(limit))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zonepulse.operators.cleaning import clean_trips
 from zonepulse.operators.grid import zone_hour_grid
+from zonepulse.session import sized_for
 from zonepulse.sources import lake, serving
 
 log = logging.getLogger(__name__)
@@ -35,9 +36,11 @@ def run_batch(spark: SparkSession, raw_paths: list[str], clean_path: str, grid_p
     tasks were retried.
     """
     raw = lake.read_trips(spark, *raw_paths)
-    lake.write_clean_trips(clean_trips(raw, keep), clean_path)
+    with sized_for(spark, lake.stored_bytes(spark, *raw_paths)):
+        lake.write_clean_trips(clean_trips(raw, keep), clean_path)
     clean = lake.read_clean_trips(spark, clean_path)
 
+    # Partial aggregates leave little to shuffle, so the session's own sizes do.
     lake.write_grid(zone_hour_grid(clean), grid_path)
     grid = lake.read_grid(spark, grid_path)
 

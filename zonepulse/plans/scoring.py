@@ -18,10 +18,10 @@ def score_metrics(metrics: DataFrame, features: DataFrame, models: Models) -> Da
 
 def score_serving(spark: SparkSession, grid: DataFrame, model_folder: str,
                   serving_path: str) -> None:
-    """Load the models, score the grid and rewrite the affected dates of the serving table."""
+    """Load the models, score the grid and rewrite the affected periods of the serving table."""
     models = Models.load(spark, model_folder)
-    current = serving.read_zone_metrics(spark, serving_path).drop("metric_date")
-    # Stored first: the dates being overwritten are also being read.
+    current = serving.read_zone_metrics(spark, serving_path).drop("metric_period")
+    # Stored first: the periods being overwritten are also being read.
     scored = materialize(score_metrics(current, feature_matrix(grid), models), "scored")
     serving.write_zone_metrics(scored, serving_path)
 

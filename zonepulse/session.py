@@ -1,7 +1,10 @@
 """Session settings and the shared scratch folder."""
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,11 +16,6 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.mergeSchema": "false",
     "spark.sql.parquet.compression.codec": "snappy",
-    # Sliding windows keep five copies of each (zone, minute) in state; RocksDB keeps that
-    # off the executor heap and uploads only changes.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -55,3 +53,38 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+MB = 1024 ** 2
+TASK_BYTES = 256 * MB           # wanted per reduce task; AQE merges what turns out smaller
+MAX_REDUCERS = 20_000
+MAX_MAPPERS = 100_000           # above it, scan tasks get larger splits
+SPLIT_BYTES = (128 * MB, 1024 * MB)
+
+
+def sizes_for(input_bytes: int) -> tuple[int, int]:
+    """(shuffle partitions, scan split bytes) that suit an input.
+
+    Reduce tasks stay near ``TASK_BYTES`` until their number is capped, and mappers times
+    reducers, which a shuffle's bookkeeping grows with, stays bounded.
+    """
+    reducers = min(math.ceil(input_bytes / TASK_BYTES), MAX_REDUCERS)
+    small, large = SPLIT_BYTES
+    return reducers, min(max(small, math.ceil(input_bytes / MAX_MAPPERS)), large)
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Run actions with sizes for a large input; a setting is only ever raised, then restored."""
+    shuffle, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before = {key: spark.conf.get(key) for key in (shuffle, split)}
+    reducers, split_bytes = sizes_for(input_bytes)
+    if reducers > int(before[shuffle]):
+        spark.conf.set(shuffle, str(reducers))
+    if split_bytes > SPLIT_BYTES[0]:
+        spark.conf.set(split, str(split_bytes))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -22,13 +22,21 @@ def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files below the paths, from the file listing; nothing is opened."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(list(paths)).select("length"))
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "overwrite",
-                      replace: str = "all", rebalance: bool = False) -> None:
+                      replace: str = "all", rebalance: bool = True) -> None:
     """Snappy Parquet partitioned by ``by``.
 
-    ``replace="touched"`` overwrites only the partitions present in ``df``.
-    ``rebalance`` adds a shuffle that packs each partition into files of the advisory
-    size, splitting large ones; worth it for small frames such as the grid.
+    ``replace="touched"`` overwrites only the partitions present in ``df``. ``rebalance``
+    packs each partition into files of AQE's advisory size, splitting large ones. Without
+    it every task writes a file per partition value it holds, a dozen small files each for
+    months; the price is one more shuffle of what is written.
     """
     if rebalance:
         df = df.hint("rebalance", F.col(by))
@@ -49,7 +57,7 @@ def read_clean_trips(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_grid(grid: DataFrame, path: str, **options) -> None:
-    write_partitioned(grid, path, "hour_of_day", **({"rebalance": True} | options))
+    write_partitioned(grid, path, "hour_of_day", **options)
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:

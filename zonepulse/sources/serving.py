@@ -29,19 +29,26 @@ def with_serving_defaults(metrics: DataFrame) -> DataFrame:
     return metrics.select(*(value(f) for f in schemas.ZONE_METRICS))
 
 
-def write_zone_metrics(metrics: DataFrame, path: str) -> None:
-    """Write by metric date and replace the dates present, so a rerun leaves no duplicates."""
-    dated = with_serving_defaults(metrics).withColumn("metric_date", F.to_date("timestamp"))
-    (dated.hint("rebalance", F.col("metric_date"))
+def write_zone_metrics(metrics: DataFrame, path: str, period: str = "month") -> None:
+    """Write by time period and replace the periods present, so a rerun leaves no duplicates.
+
+    The unit of replacement must be what a run covers completely: "month" for monthly trip
+    files, "day" for a daily feed; one table keeps one period. Files are sorted by time, so
+    a read of the last hours skips row groups too.
+    """
+    dated = with_serving_defaults(metrics).withColumn(
+        "metric_period", F.date_trunc(period, "timestamp").cast("date"))
+    (dated.hint("rebalance", F.col("metric_period"))
+          .sortWithinPartitions("metric_period", "timestamp", "zone_id")
           .write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic")
           .option("compression", "snappy")
-          .partitionBy("metric_date")
+          .partitionBy("metric_period")
           .parquet(path))
 
 
 def read_zone_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """``metric_date`` stays available: filters on it prune folders."""
+    """``metric_period`` (first day of the period) stays available: filters on it prune folders."""
     return spark.read.parquet(path)
 
 
