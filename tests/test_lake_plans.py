@@ -118,6 +118,13 @@ def test_batch_run_twice_gives_the_same_tables(spark, raw_path, tmp_path):
     assert sorted(p.name for p in (tmp_path / "grid").glob("hour*"))[:2] == ["hour_of_day=0", "hour_of_day=1"]
 
 
+def test_command_line_batch(spark, raw_path, tmp_path):
+    from zonepulse.__main__ import main
+    main(["batch", "--raw", raw_path, "--clean", str(tmp_path / "c"), "--grid", str(tmp_path / "g"),
+          "--serving", str(tmp_path / "s")])
+    assert serving.read_zone_metrics(spark, str(tmp_path / "s")).count() == 596
+
+
 def test_jdbc_options_come_from_the_environment(monkeypatch):
     with pytest.raises(KeyError):
         serving.jdbc_options("zone_metrics")

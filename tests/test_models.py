@@ -79,6 +79,21 @@ def test_one_dominant_class_is_split_over_slices(spark):
     assert {tuple(r) for r in stats} == {(0, 1, 100, 100), (1, 1, 19900, 19900)}
 
 
+def test_null_class_is_a_class_of_its_own(spark):
+    df = spark.createDataFrame([(i, 0, None if i % 2 else 1) for i in range(50)],
+                               "zone_id int, hour_bucket int, label int")
+    out = split.train_test(df, stratify="label")
+    assert {tuple(r) for r in out.groupBy("label").agg(
+        F.count("*"), F.count_if("is_train")).collect()} == {(None, 25, 20), (1, 25, 20)}
+
+
+def test_training_without_a_feature_and_with_balanced_classes(spark, sf_dir):
+    grid = grid_lake(spark, sf_dir).drop("total_passengers")
+    result = training.train(grid, classifier_trees=1, regressor_trees=1, forest_trees=5, balanced=True)
+    assert "total_passengers" not in result.features.columns
+    assert result.models.predict(result.features).count() == 596
+
+
 def test_folds_are_balanced(cells):
     out = split.stratified_folds(cells, "congestion_level", 5)
     sizes = out.groupBy("congestion_level").pivot("fold", list(range(5))).count().collect()

@@ -30,12 +30,12 @@ def _weight(weight_col: str | None) -> dict:
 
 def congestion_gbt(trees: int = 100, depth: int = 6, step: float = 0.05, subsample: float = 0.8,
                    weight_col: str | None = None, parallelism: int = 4,
-                   seed: int = rules.SEED) -> Pipeline:
+                   seed: int = rules.SEED, columns=rules.FEATURES) -> Pipeline:
     """Boosted trees per class, one against the rest (MLlib boosts two classes only)."""
     trees_ = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=step,
                            subsamplingRate=subsample, seed=seed)
     return _pipeline(OneVsRest(classifier=trees_, labelCol=LEVEL, parallelism=parallelism,
-                               **_weight(weight_col)))
+                               **_weight(weight_col)), columns)
 
 
 def congestion_forest(trees: int = 300, depth: int = 15, weight_col: str | None = "weight",
@@ -50,10 +50,10 @@ def congestion_logistic(iterations: int = 100) -> Pipeline:
 
 
 def delay_gbt(trees: int = 100, depth: int = 5, step: float = 0.05, subsample: float = 0.85,
-              leaf_rows: int = 10, seed: int = rules.SEED) -> Pipeline:
+              leaf_rows: int = 10, seed: int = rules.SEED, columns=rules.FEATURES) -> Pipeline:
     return _pipeline(GBTRegressor(
         labelCol=DELAY, maxIter=trees, maxDepth=depth, stepSize=step,
-        subsamplingRate=subsample, minInstancesPerNode=leaf_rows, seed=seed))
+        subsamplingRate=subsample, minInstancesPerNode=leaf_rows, seed=seed), columns)
 
 
 def delay_forest(trees: int = 100, depth: int = 15, seed: int = rules.SEED) -> Pipeline:

@@ -11,9 +11,9 @@ def rule_hotspots(grid: DataFrame, quantile: float = 0.95) -> DataFrame:
     """
     spike = F.expr(f"percentile_disc({quantile}) WITHIN GROUP (ORDER BY trip_count)")
     per_zone = grid.groupBy("zone_id").agg(spike.cast("long").alias("spike_trips"))
-    falling = F.coalesce(F.col("speed_delta") < 0, F.lit(False))
-    return (grid.join(per_zone, "zone_id")
-                .withColumn("is_hotspot", (F.col("trip_count") >= F.col("spike_trips")) & falling))
+    spiking = (F.col("trip_count") >= F.col("spike_trips")) & (F.col("speed_delta") < 0)
+    return (grid.join(per_zone, "zone_id", "left")
+                .withColumn("is_hotspot", F.coalesce(spiking, F.lit(False))))
 
 
 def detection_scores(flagged: DataFrame, truth: str, flag: str = "is_hotspot") -> DataFrame:

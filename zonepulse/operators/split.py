@@ -28,13 +28,16 @@ def hash_positions(df: DataFrame, key: tuple[str, ...] = KEY, seed: int = rules.
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # At most 4,096 rows per group.
     offsets = sizes.select(
-        *group, "_slice",
+        *(F.col(g).alias("_group") for g in group), F.col("_slice").alias("_of"),
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_rows").over(whole).alias("group_rows"))
 
     in_slice = Window.partitionBy(*group, "_slice").orderBy("_hash")
+    same = F.col("_slice") == F.col("_of")
+    for g in group:
+        same &= F.col(g).eqNullSafe(F.col("_group"))
     return (hashed.withColumn("_position", F.row_number().over(in_slice))
-                  .join(offsets, [*group, "_slice"])
+                  .join(offsets, same)
                   .withColumn("position", F.col("_position") + F.col("_offset"))
                   .select(*df.columns, "position", "group_rows"))
 

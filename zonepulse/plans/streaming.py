@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from zonepulse.sources import broker
+from zonepulse.sources import broker, serving
 from zonepulse.streaming import sinks, windows
 
 
@@ -11,7 +11,7 @@ def stream_trip_windows(rows: DataFrame, path: str, checkpoint: str, once: bool
                         state_partitions: int | None = None) -> StreamingQuery:
     """Windows over the trip topic of a broker stream (see ``broker.kafka_stream``)."""
     counted = windows.trip_windows(broker.decode_trips(rows))
-    return sinks.start(counted, sinks.batch_folder_sink(path), checkpoint, once,
+    return sinks.start(counted, sinks.batch_folder_sink(path, serving.with_created_at), checkpoint, once,
                        state_partitions=state_partitions)
 
 
@@ -19,5 +19,5 @@ def stream_sensor_windows(rows: DataFrame, path: str, checkpoint: str, once: boo
                           state_partitions: int | None = None) -> StreamingQuery:
     """The same for the sensor topic."""
     counted = windows.sensor_windows(broker.decode_sensors(rows))
-    return sinks.start(counted, sinks.batch_folder_sink(path), checkpoint, once,
+    return sinks.start(counted, sinks.batch_folder_sink(path, serving.with_created_at), checkpoint, once,
                        state_partitions=state_partitions)

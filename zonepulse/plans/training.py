@@ -43,6 +43,7 @@ def train(grid: DataFrame, model_folder: str | None = None, classifier_trees: in
     """
     spark = grid.sparkSession
     features = materialize(feature_matrix(grid, horizon=horizon), "features")
+    inputs = [c for c in rules.FEATURES if c in features.columns]
     rows = features.count()
     when = datetime.now(timezone.utc)
     seconds: dict[str, float] = {}
@@ -59,12 +60,12 @@ def train(grid: DataFrame, model_folder: str | None = None, classifier_trees: in
     if balanced:
         fitted = metrics.with_class_weights(fitted)
     congestion = estimators.fit(estimators.congestion_gbt(
-        classifier_trees, weight_col="weight" if balanced else None), fitted)
+        classifier_trees, weight_col="weight" if balanced else None, columns=inputs), fitted)
     record(NAMES[0], metrics.classification_scores(congestion.transform(held_out)), began)
 
     began = time.monotonic()
     fitted, held_out = split(features)
-    delay = estimators.fit(estimators.delay_gbt(regressor_trees), fitted)
+    delay = estimators.fit(estimators.delay_gbt(regressor_trees, columns=inputs), fitted)
     record(NAMES[1], metrics.regression_scores(delay.transform(held_out)), began)
 
     began = time.monotonic()

@@ -29,6 +29,10 @@ def with_serving_defaults(metrics: DataFrame) -> DataFrame:
     return metrics.select(*(value(f) for f in schemas.ZONE_METRICS))
 
 
+def with_created_at(df: DataFrame) -> DataFrame:
+    return df.withColumn("created_at", F.current_timestamp())
+
+
 def write_zone_metrics(metrics: DataFrame, path: str, period: str = "month") -> None:
     """Write by time period and replace the periods present, so a rerun leaves no duplicates.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from zonepulse import rules
+from zonepulse.sources import serving
 
 
 def batch_folder_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -24,6 +25,12 @@ def batch_folder_sink(path: str, transform: Callable[[DataFrame], DataFrame] | N
     return write
 
 
+def jdbc_sink(table: str, url: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that appends over JDBC. A replayed batch is appended again
+    unless the table's key, e.g. (zone_id, window_start), rejects it."""
+    return lambda batch, batch_id: serving.append_jdbc(batch, table, url)
+
+
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     """All batches written by :func:`batch_folder_sink`, with their ``batch_id``."""
     return spark.read.schema(schema).option("basePath", path).parquet(path)
