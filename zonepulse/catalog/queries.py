@@ -198,7 +198,7 @@ def zone_lookup(spark, sf_dir):
 
 @query
 def weather_asof(spark, sf_dir):
-    cells = zone_grid(spark, sf_dir).select("zone_id", "timestamp", "trip_count")
+    cells = grid_lake(spark, sf_dir).select("zone_id", "timestamp", "trip_count")
     return joins.attach_weather(cells, event_trips.weather(spark, sf_dir))
 
 

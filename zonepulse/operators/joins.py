@@ -20,7 +20,8 @@ def as_of(left: DataFrame, right: DataFrame, time: str, values: list[str],
     Rows are matched per (by, time bucket), so a hot key is spread over its buckets; a
     bucket's opening value comes from one summary row per earlier bucket. Left times are
     made distinct first, so the work depends on the number of different times. Of right
-    rows with equal time, the one with the greatest values wins.
+    rows with equal time, the one with the greatest values wins. Both inputs are read more
+    than once; pass stored frames.
     """
     slot = F.date_trunc(bucket, time).alias("_slot")
     row = F.struct(*values)

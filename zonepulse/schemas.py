@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Column names and types, in the order of the files, messages and tables.
 RAW_TRIP = T.StructType([
     T.StructField("tpep_pickup_datetime", T.TimestampType()),
     T.StructField("tpep_dropoff_datetime", T.TimestampType()),

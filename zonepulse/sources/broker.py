@@ -8,6 +8,7 @@ from zonepulse import rules, schemas
 def kafka_options(servers: str, topics: tuple[str, ...] = (rules.TRIP_TOPIC, rules.SENSOR_TOPIC),
                   max_offsets: int = rules.MAX_OFFSETS,
                   starting_offsets: str = "latest") -> dict[str, str]:
+    # A new query starts at the newest offsets and outlives expired ones.
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
