@@ -1,7 +1,7 @@
 """Headline timings: prints one JSON line.
 
 Reads ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``. Every entry
-is run twice and the faster run counts, so JIT and start-up are left out. Inputs that a real
+is run three times and the fastest run counts, so JIT and start-up are left out. Inputs that a real
 deployment has on disk (raw trips, the lake, the serving table) are written before timing.
 ``$BENCH_TIMES`` repeats the events that many times, 30 days apart, to see how work grows.
 """
@@ -27,7 +27,7 @@ from zonepulse.streaming import sinks, windows  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 TIMES = int(os.environ.get("BENCH_TIMES", "1"))
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def noop(df):
