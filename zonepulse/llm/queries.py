@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonepulse.llm import fingerprints, quality, sharding
+from zonepulse.llm import bpe, chat, fingerprints, jaccard_join, mixing, quality, sharding, tokens, toxicity
+from zonepulse.llm.text import words
+from zonepulse.session import materialize, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +21,77 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file; the folder is the installed package's."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_token_output(spark, sf_dir):
+    path = scratch_dir(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return tokens.with_crc32(tokens.read_tokens(spark, path, "doc_id", "n_tokens", "ids")).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+SOURCE_WEIGHTS = (5.0, 2.0, 1.0)
+
+
+def source_weights(names):
+    return [SOURCE_WEIGHTS[i % len(SOURCE_WEIGHTS)] for i in range(len(names))]
+
+
+@query
+def op4_source_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.size(words(F.col("text"))).cast("bigint").alias("size"))
+    sized = materialize(docs, "sizes")
+    mixed, targets, sizes = mixing.mix(sized, F.array("source"), "size", source_weights)
+    by_source = spark.createDataFrame([(s, int(n), float(targets[s])) for s, n in sizes.items()],
+                                      "_source string, source_size bigint, target double")
+    return mixed.join(F.broadcast(by_source), F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+@query
+def op5_byte_bpe(spark, sf_dir):
+    ranks = vocabulary(BPE_RANKS)
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
+    decoded = bpe.decode(coded, ranks).drop("offsets")
+    return bpe.ids_as_bytes(decoded.withColumn("n_tokens", F.size("ids").cast("bigint"))).select(
+        "doc_id", "n_tokens", F.sha2("id_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+PLANTED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op6_chat_format(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], given.schema)
+    written = materialize(chat.format_turns(given.unionByName(planted)), "chat")
+    return chat.digests(written, "conv_id", ("turn", "formatted"))
+
+
+@query
+def op7_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
