@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonepulse.llm import bpe, chat, fingerprints, jaccard_join, mixing, quality, sharding, tokens, toxicity
+from zonepulse.llm import bpe, chat, fingerprints, jaccard_join, licenses, mixing, quality, sharding, tokens, toxicity
 from zonepulse.llm.text import words
 from zonepulse.session import materialize, scratch_dir
 
@@ -27,6 +27,37 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _license_sql() -> str:
+    rows = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in licenses.TEMPLATES)
+    words = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-/:-@\[-`{-\x7F]+'), lambda x: x <> '')"
+    k, part, match = licenses.SHINGLE, licenses.PART, licenses.MATCH
+    shingles = f"unnest(range(len(w) - {k - 1})) AS pos"
+    shingle = " || ' ' || ".join(f"w[pos + {i + 1}]" for i in range(k))
+    return f"""
+WITH template(license, text) AS (VALUES {rows}),
+parts AS (SELECT DISTINCT license, pos // {part} AS part, {shingle} AS s FROM
+          (SELECT license, w, {shingles} FROM (SELECT license, {words} AS w FROM template))),
+sized AS (SELECT license, part, count(*) AS n, CAST(pow(2, ceil(log2(count(*)))) AS BIGINT) AS c FROM parts GROUP BY ALL),
+totals AS (SELECT license, sum(n) AS total FROM sized GROUP BY license),
+doc AS (SELECT doc_id, pos, {shingle} AS s FROM
+        (SELECT doc_id, w, {shingles} FROM (SELECT doc_id, {words} AS w FROM documents))),
+hit AS (SELECT doc_id, license, part, n, c, s, pos FROM doc JOIN parts USING (s) JOIN sized USING (license, part)),
+win AS (SELECT doc_id, license, part, n, greatest(pos // c - back, 0) * c AS start, count(DISTINCT s) AS found
+        FROM hit, (VALUES (0), (1)) AS b(back) GROUP BY ALL),
+best AS (SELECT doc_id, license, part, max(found) AS found, arg_min(start, (-found, start)) AS start
+         FROM win WHERE found >= {match} * n GROUP BY ALL)
+SELECT doc_id, license, CAST(sum(found) AS DOUBLE) / max(total) AS containment, arg_min(start, part) AS window_start
+FROM best JOIN totals USING (license) GROUP BY ALL HAVING sum(found) / max(total) >= {match}"""
+
+
+ORACLES["op1_license_scan"] = _license_sql()
+
+
 @query
 def op2_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
