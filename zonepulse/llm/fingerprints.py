@@ -77,7 +77,8 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     null = F.col(key).isNull().cast("bigint")
     docs = (df.withColumn(text, F.coalesce(text, F.lit("")))
             .withColumns({"_hash": F.xxhash64(text).bitwiseAND(-2) + null,
-                          "_key": F.coalesce(F.col(key).cast("bigint"), F.lit(0))}).drop(key))
+                          "_key": F.coalesce(F.col(key).cast("bigint"), F.lit(0))})
+            .select("_key", "_hash", text, *(c for c in df.columns if c not in (key, text))))
     light = docs.select("_key", "_hash", F.length(text).alias("_length")).distinct()
     numbered, total = number_rows(light.withColumn("_real", F.col("_hash").bitwiseAND(1) == 0),
                                   "_real", "_key", "_hash", into="_n")

@@ -18,10 +18,11 @@ rarest), the first ``bound + 1`` words of both must share one. Those words are t
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from zonepulse.llm.components import components
 from zonepulse.llm.hashing import as_bytes, chunks, mix, shingle_sets
+from zonepulse.llm.text import words
 from zonepulse.session import materialize
 
 PERCENT = 80
@@ -173,29 +174,40 @@ def buckets(df: DataFrame, key: str, text: str, size: int, percent: int, parts:
     return made.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(meet, bucket)
 
 
-def wanted_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(doc, hashes) of the documents in ``wanted`` (column doc): their sorted shingle hashes as bytes.
+def place(doc) -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(FILTER_BITS))
 
-    The texts aren't shuffled: a bitmap of hashed document ids, of fixed size, is sent to all tasks. Some others may
-    pass it as well.
-    """
-    spark = df.sparkSession
-    place = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
+
+def bitmap_of(wanted: DataFrame) -> np.ndarray:
+    """Packed bits, of fixed size, set at the places of the documents in ``wanted`` (column doc)."""
     # Spark's bitmap functions count from 1: place 0 is bit 0 of bucket 1.
-    found = (wanted.select((place + 1).alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("bucket"))
+    found = (wanted.select((place("doc") + 1).alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("bucket"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("bits")).collect())   # at most FILTER_BITS in all
     bitmap = np.zeros(FILTER_BITS + (1 << 18), np.uint8)
     for row in found:
         bits = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
         begin = (row["bucket"] - 1) * len(bits)
         bitmap[begin:begin + len(bits)] = bits[:len(bitmap) - begin]
-    packed = spark.sparkContext.broadcast(np.packbits(bitmap))
+    return np.packbits(bitmap)
+
+
+def passed(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return ((bits[places >> 3] >> (7 - (places & 7))) & 1).astype(bool)
+
+
+def wanted_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """(doc, hashes) of the documents in ``wanted`` (column doc): their sorted shingle hashes as bytes.
+
+    The texts aren't shuffled: a bitmap of hashed document ids, of fixed size, is sent to all tasks. Some others may
+    pass it as well.
+    """
+    packed = df.sparkSession.sparkContext.broadcast(bitmap_of(wanted))
     schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("hashes", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
             at = batch.column(2).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array(((packed.value[at >> 3] >> (7 - (at & 7))) & 1).astype(bool)))
+            batch = batch.filter(pa.array(passed(packed.value, at)))
             texts = as_bytes(batch.column(1))
             for a, b in chunks(texts):
                 yield pa.RecordBatch.from_arrays(
@@ -203,7 +215,7 @@ def wanted_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int
                      pa.array([s.tobytes() for s in shingle_sets(texts[a:b], size)], pa.binary())], names=schema.names)
 
     return (df.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), text)
-            .withColumn("_p", place).mapInArrow(run, schema))
+            .withColumn("_p", place("doc")).mapInArrow(run, schema))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -289,6 +301,32 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", size
         F.coalesce("component", "class").alias("component_id"))
 
 
+def keep_representatives(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5,
+                         percent: int = PERCENT) -> DataFrame:
+    """``df`` with one row of each group of linked documents, that of the least key.
+
+    Rows without words or without a key stay. Only rows whose key's hash is that of a document to be removed, or of one
+    that occurs twice, are shuffled by key; all others pass a bitmap of fixed size where they are.
+    """
+    found = materialize(link_components(df, key, text, size, percent), "components")
+    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).cast("bigint").alias("doc")).distinct()
+    twice = found.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0)).groupBy(F.col(key).cast("bigint").alias("doc")).count().where("count > 1")
+    packed = df.sparkSession.sparkContext.broadcast(bitmap_of(gone.union(twice.select("doc"))))
+
+    @F.pandas_udf(T.BooleanType())
+    def suspect(places):
+        return pd.Series(passed(packed.value, places.to_numpy(np.int64)))
+
+    doc = F.col(key).cast("bigint")
+    marked = df.withColumn("_suspect", F.coalesce(F.when(doc.isNotNull(), suspect(place(F.coalesce(doc, F.lit(0))))), F.lit(False)))
+    sure = marked.where(~F.col("_suspect")).drop("_suspect")
+    checked = marked.where("_suspect").drop("_suspect").withColumn("_doc", doc)
+    checked = checked.join(gone, F.col("_doc") == gone["doc"], "left_anti")
+    some = F.size(words(F.col(text))) > 0
+    worded, blank = checked.where(some), checked.where(~some)
+    return sure.unionByName(worded.dropDuplicates(["_doc"]).unionByName(blank).drop("_doc"))
+
+
 def _labels(links: DataFrame) -> DataFrame:
     return materialize(components(links), "labels")
 

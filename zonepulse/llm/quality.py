@@ -148,8 +148,9 @@ def _shares(counts: Column) -> Column:
                 lambda total: F.when(total > 0, F.transform(counts, lambda x: x / total)))
 
 
-def features(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """``df`` without its text, with the base counts, ``base_failed`` and both arrays of shares."""
+def features(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang",
+             keep_text: bool = False) -> DataFrame:
+    """``df``, without its text unless ``keep_text``, with the base counts, ``base_failed`` and both arrays of shares."""
     clean = F.coalesce(F.col(text), F.lit(""))
     counted = base_counts(df, text)
     return (counted.withColumns({"_chars": _class_counts(clean),
@@ -157,7 +158,7 @@ def features(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang:
             .withColumns({"_chars": _shares(F.col("_chars")), "_common": _shares(F.col("_common"))})
             .withColumn("base_failed", (F.col("n_words") < limits.min_words)
                         | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words")))
-            .drop("_words", text))
+            .drop("_words", *([] if keep_text else [text])))
 
 
 def references(featured: DataFrame, limits: Limits = Limits(), lang: str = "lang") -> DataFrame:
@@ -172,15 +173,16 @@ def references(featured: DataFrame, limits: Limits = Limits(), lang: str = "lang
     return table.where(F.col("_docs") >= limits.reference_docs).select("_lang", *packed)
 
 
-def judge(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """``df`` without its text, with base counts, base_failed, char_distance, word_distance, kept.
+def judge(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang",
+          keep_text: bool = False) -> DataFrame:
+    """``df``, without its text unless ``keep_text``, with base counts, base_failed, char_distance, word_distance, kept.
 
     ``kept`` is false where the base rules fail or a judged distance is over its limit. Null texts
     have no words, so they fail the base rules. A null language is a language of its own; one
     without a word list or with too few documents is not judged by that distance. Distances are null
     where not judged. Repeated rows are judged alike; an empty frame gives no rows.
     """
-    featured = materialize(features(df, limits, text, lang), "quality")
+    featured = materialize(features(df, limits, text, lang, keep_text), "quality")
     refs = references(featured, limits, lang)            # a row of 30 doubles per language
     root = F.sqrt(F.col("n_words"))
     judged = F.col("n_words") >= limits.judged_words
