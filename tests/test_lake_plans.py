@@ -77,10 +77,18 @@ def test_month_folders_and_replacing_touched_ones(spark, tmp_path):
     feb = cleaning.clean_trips(trips(
         spark, trip(tpep_pickup_datetime=datetime(2023, 2, 2, 8), minutes=20)))
     lake.write_clean_trips(jan.unionByName(feb), path)
-    assert sorted(p.name for p in (tmp_path / "clean").glob("month=*")) == ["month=1", "month=2"]
-    lake.write_clean_trips(feb, path, replace="touched")
-    assert lake.read_clean_trips(spark, path).count() == 2
+    jan_year = lake.read_clean_trips(spark, path).where("month = 1").first().year
+    assert sorted(str(p.relative_to(tmp_path / "clean")) for p in (tmp_path / "clean").glob("*/month=*")) == sorted(
+        [f"year={jan_year}/month=1", "year=2023/month=2"])
     lake.write_clean_trips(feb, path)
+    assert lake.read_clean_trips(spark, path).count() == 2
+    stray = cleaning.clean_trips(trips(
+        spark, trip(tpep_pickup_datetime=datetime(2023, 2, 28, 23), minutes=20),
+        trip(tpep_pickup_datetime=datetime(2024, 2, 1, 0), minutes=20)))
+    for _ in range(2):
+        lake.write_clean_trips(stray, path)
+        assert lake.read_clean_trips(spark, path).count() == 4
+    lake.write_clean_trips(feb, path, replace="all")
     assert lake.read_clean_trips(spark, path).count() == 1
     assert "snappy" in next((tmp_path / "clean").rglob("*.parquet")).name
 
@@ -118,6 +126,22 @@ def test_batch_run_twice_gives_the_same_tables(spark, raw_path, tmp_path):
     assert sorted(p.name for p in (tmp_path / "grid").glob("hour*"))[:2] == ["hour_of_day=0", "hour_of_day=1"]
 
 
+def test_serving_merge_keeps_neighbours_and_predictions(spark, tmp_path):
+    path = str(tmp_path / "serving")
+    schema = "zone_id int, timestamp timestamp, trip_count long, predicted_delay_minutes double, is_hotspot boolean"
+    december = [(z, datetime(2023, 12, d, 5), 10, 3.5, True) for z in (1, 2) for d in range(1, 31)]
+    serving.write_zone_metrics(spark.createDataFrame(december, schema), path)
+    batch = spark.createDataFrame([(1, datetime(2023, 12, 30, 5), 99), (1, datetime(2024, 1, 1, 0), 7)],
+                                  "zone_id int, timestamp timestamp, trip_count long")
+    for _ in range(2):
+        serving.write_zone_metrics(batch, path)
+        rows = {(r.zone_id, r.timestamp): r for r in serving.read_zone_metrics(spark, path).collect()}
+        assert len(rows) == 61
+        again, new = rows[1, datetime(2023, 12, 30, 5)], rows[1, datetime(2024, 1, 1, 0)]
+        assert (again.trip_count, again.predicted_delay_minutes, again.is_hotspot) == (99, 3.5, True)
+        assert (new.trip_count, new.predicted_delay_minutes, new.is_hotspot) == (7, None, False)
+
+
 def test_command_line_batch(spark, raw_path, tmp_path):
     from zonepulse.__main__ import main
     main(["batch", "--raw", raw_path, "--clean", str(tmp_path / "c"), "--grid", str(tmp_path / "g"),

@@ -51,11 +51,13 @@ def test_bad_payloads_become_nulls_and_rejects(spark):
     assert sorted(r.raw[:4] for r in broker.undecodable_trips(rows).collect()) == ['{"tr', "{not"]
 
 
-def test_kafka_options_are_bounded():
+def test_kafka_options_lose_nothing_unless_told():
     options = broker.kafka_options("host:1")
     assert options["subscribe"] == f"{rules.TRIP_TOPIC},{rules.SENSOR_TOPIC}"
-    assert (options["startingOffsets"], options["failOnDataLoss"],
-            options["maxOffsetsPerTrigger"]) == ("latest", "false", "10000")
+    assert (options["startingOffsets"], options["failOnDataLoss"]) == ("latest", "true")
+    assert "maxOffsetsPerTrigger" not in options
+    capped = broker.kafka_options("host:1", max_offsets=rules.MAX_OFFSETS, fail_on_data_loss=False)
+    assert (capped["failOnDataLoss"], capped["maxOffsetsPerTrigger"]) == ("false", "10000")
 
 
 def test_batch_windows_slide_by_a_minute(spark):
@@ -127,10 +129,31 @@ def test_restart_emits_nothing_twice(spark, tmp_path):
 def test_replayed_batch_replaces_itself(spark, tmp_path):
     write = sinks.batch_folder_sink(str(tmp_path / "out"))
     row = spark.createDataFrame([(1, DAY, DAY, 3, 1.0, 2)], WINDOW_SCHEMA)
-    for df in (row.union(row), row):
-        write(df, 4)
-    write(row.filter("1 = 0"), 5)
-    assert sinks.read_batches(spark, str(tmp_path / "out"), row.schema).count() == 1
+    with pytest.raises(RuntimeError):
+        write(row, 0)
+    try:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", "first")
+        for df in (row.union(row), row):
+            write(df, 4)
+        write(row.filter("1 = 0"), 5)
+        assert sinks.read_batches(spark, str(tmp_path / "out"), row.schema).count() == 1
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", "second")
+        write(row, 4)
+        assert sinks.read_batches(spark, str(tmp_path / "out"), row.schema).count() == 2
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+
+
+def test_new_checkpoint_on_a_used_path_keeps_what_was_written(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    add_file(spark, inbox, "a", ["00:00:30", "00:20:00"])
+    run(spark, inbox, tmp_path)
+    first = emitted(spark, tmp_path)
+    query = stream_trip_windows(stream(spark, inbox), str(tmp_path / "out"), str(tmp_path / "other"),
+                                once=True, state_partitions=2)
+    query.awaitTermination()
+    assert len(first) == 5 and emitted(spark, tmp_path) == sorted(first + first)
 
 
 def test_failed_write_fails_the_query(spark, tmp_path):

@@ -24,6 +24,10 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", default="data/serving/stream_zone_windows")
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--state-partitions", type=int)
+    job.add_argument("--topic", choices=("trips", "sensors"), default="trips")
+    job.add_argument("--jdbc-table", help="write windows there instead of to --out")
+    job.add_argument("--max-offsets", type=int, help="per trigger; default: no cap")
+    job.add_argument("--skip-lost", action="store_true", help="go on where offsets have expired")
 
     job = jobs.add_parser("train", help="fit and save the models")
     job.add_argument("--grid", default="data/lake/zone_aggregates")
@@ -46,9 +50,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "batch":
         batch.run_batch(spark, args.raw, args.clean, args.grid, args.serving, args.jdbc_table)
     elif args.job == "stream":
-        streaming.stream_trip_windows(
-            broker.kafka_stream(spark, args.servers), args.out, args.checkpoint,
-            state_partitions=args.state_partitions).awaitTermination()
+        rows = broker.kafka_stream(spark, args.servers, max_offsets=args.max_offsets,
+                                   fail_on_data_loss=not args.skip_lost)
+        run = streaming.stream_trip_windows if args.topic == "trips" else streaming.stream_sensor_windows
+        run(rows, args.out, args.checkpoint, state_partitions=args.state_partitions,
+            jdbc_table=args.jdbc_table).awaitTermination()
     elif args.job == "train":
         result = training.train(lake.read_grid(spark, args.grid), args.models,
                                 horizon=args.horizon, balanced=args.balanced)

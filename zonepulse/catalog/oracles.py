@@ -80,8 +80,10 @@ FROM features f JOIN spikes s USING (zone_id)""",
     "metrics": """SELECT zone_id, "timestamp", avg_speed, trip_count, congestion_level,
        delay_minutes predicted_delay_minutes, is_hotspot, hour_of_day, day_of_week FROM flagged""",
     "recent": """SELECT * FROM metrics
-WHERE "timestamp" >= (SELECT max("timestamp") FROM metrics) - INTERVAL 2 HOURS
-ORDER BY "timestamp" DESC, zone_id LIMIT 5000""",
+WHERE "timestamp" >= (SELECT max("timestamp") FROM metrics) - INTERVAL 2 HOURS""",
+    "listed": """SELECT * FROM recent ORDER BY "timestamp" DESC, zone_id LIMIT 5000""",
+    "alerting": """SELECT * FROM metrics, (SELECT max("timestamp") newest FROM metrics WHERE is_hotspot)
+WHERE "timestamp" BETWEEN newest - INTERVAL 2 HOURS AND newest""",
     "messages": """SELECT 'T' || event_id trip_id, user_id pickup_zone, (k * 3) % 266 dropoff_zone,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') pickup_datetime, event_id % 8 passenger_count,
        value / 5.0 trip_distance, 2.0 + value fare_amount, ts kafka_timestamp, ts event_time
@@ -101,7 +103,7 @@ CHAINS = {
     "clean": ["valid"], "cells": ["clean"], "labelled": ["cells"], "grid": ["labelled"],
     "features": ["grid"], "placed": ["features"],
     "mean_split": ["placed"], "trend": ["features"], "per_class": ["trend"], "spikes": ["grid"], "flagged": ["features", "spikes"],
-    "metrics": ["flagged"], "recent": ["metrics"], "messages": ["e"], "panes": ["e"],
+    "metrics": ["flagged"], "recent": ["metrics"], "listed": ["recent"], "alerting": ["metrics"], "messages": ["e"], "panes": ["e"],
     "waves": ["panes"], "wave_ends": ["waves"],
 }
 
@@ -238,8 +240,8 @@ HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(mark) FROM wave_ends)""",
 count(*) reading_count_5min, round(avg(value), 6) avg_speed_5min, round(avg(k), 6) avg_vehicles_5min,
 round(avg(round(least(100.0, k / 80.0 * 100.0), 1)), 6) avg_occupancy_5min
 FROM panes WHERE event_type = 'signup' GROUP BY zone_id, window_start""", "panes"),
-    "recent_metrics": _sql(f"SELECT {RECENT} FROM recent", "recent"),
-    "zone_filter": _sql(f"SELECT {RECENT} FROM recent WHERE zone_id IN (1, 3, 5)", "recent"),
+    "recent_metrics": _sql(f"SELECT {RECENT} FROM listed", "listed"),
+    "zone_filter": _sql(f"SELECT {RECENT} FROM listed WHERE zone_id IN (1, 3, 5)", "listed"),
     "kpis": _sql("""SELECT count(*) FILTER (congestion_level = 0) free_flow,
 count(*) FILTER (congestion_level = 1) moderate, count(*) FILTER (congestion_level >= 2) congested,
 count(*) FILTER (is_hotspot) hotspots FROM recent""", "recent"),
@@ -250,14 +252,14 @@ FROM recent GROUP BY zone_id""", "recent"),
 round(low + (bin + 1) * width, 6) bin_end, count(*) AS "rows"
 FROM (SELECT low, width, CAST(least(CASE WHEN width = 0 THEN 0
         ELSE floor((predicted_delay_minutes - low) / width) END, 29) AS BIGINT) bin
-      FROM metrics, (SELECT min(predicted_delay_minutes) low,
-        (max(predicted_delay_minutes) - min(predicted_delay_minutes)) / 30.0 width FROM metrics))
-GROUP BY bin, low, width""", "metrics"),
+      FROM recent, (SELECT min(predicted_delay_minutes) low,
+        (max(predicted_delay_minutes) - min(predicted_delay_minutes)) / 30.0 width FROM recent))
+GROUP BY bin, low, width""", "recent"),
     "congestion_by_hour": _sql("""SELECT CAST(hour_of_day AS BIGINT) hour_of_day,
 round(avg(congestion_level), 6) congestion_level FROM recent GROUP BY 1""", "recent"),
     "hotspot_alerts": _sql(f"""SELECT zone_id, {_rounded("avg_speed predicted_delay_minutes")},
-trip_count, "timestamp" FROM metrics WHERE is_hotspot
-ORDER BY trip_count DESC, "timestamp" DESC, zone_id LIMIT 10""", "metrics"),
+trip_count, "timestamp" FROM alerting WHERE is_hotspot
+ORDER BY trip_count DESC, "timestamp" DESC, zone_id LIMIT 10""", "alerting"),
     "zone_hourly": _sql("""SELECT zone_id, CAST(hour_of_day AS BIGINT) hour_of_day,
 round(avg(avg_speed), 6) avg_speed, CAST(sum(trip_count) AS BIGINT) trip_count,
 round(avg(congestion_level), 6) congestion_level FROM metrics GROUP BY 1, 2""", "metrics"),

@@ -353,6 +353,10 @@ def _recent(spark, sf_dir):
     return reports.recent_metrics(zone_metrics(spark, sf_dir))
 
 
+def _window(spark, sf_dir):
+    return reports.recent_window(zone_metrics(spark, sf_dir))
+
+
 @query
 def recent_metrics(spark, sf_dir):
     return _recent(spark, sf_dir)
@@ -365,27 +369,30 @@ def zone_filter(spark, sf_dir):
 
 @query
 def kpis(spark, sf_dir):
-    return reports.kpis(_recent(spark, sf_dir))
+    return reports.kpis(_window(spark, sf_dir))
 
 
 @query
 def zone_summary(spark, sf_dir):
-    return reports.zone_summary(_recent(spark, sf_dir))
+    return reports.zone_summary(_window(spark, sf_dir))
 
 
 @query
 def delay_histogram(spark, sf_dir):
-    return reports.histogram(zone_metrics(spark, sf_dir))
+    return reports.histogram(_window(spark, sf_dir))
 
 
 @query
 def congestion_by_hour(spark, sf_dir):
-    return reports.congestion_by_hour(_recent(spark, sf_dir))
+    return reports.congestion_by_hour(_window(spark, sf_dir))
 
 
 @query
 def hotspot_alerts(spark, sf_dir):
-    return reports.hotspot_alerts(zone_metrics(spark, sf_dir))
+    """Alerts of the two hours that end with the newest hotspot."""
+    metrics = zone_metrics(spark, sf_dir)
+    newest = metrics.filter("is_hotspot").agg(F.max("timestamp")).scalar()
+    return reports.hotspot_alerts(reports.recent_window(metrics, newest))
 
 
 @query

@@ -96,7 +96,8 @@ def deduplicate(trips: DataFrame, key: tuple[str, ...] = DEDUP_KEY) -> DataFrame
     rest = [c for c in trips.columns if c not in key]
     if not rest:
         return trips.distinct()
-    ranked = trips.withColumn("_rank", F.xxhash64(*rest))
+    # The hash skips nulls, so where they are is hashed too.
+    ranked = trips.withColumn("_rank", F.xxhash64(*rest, *(F.col(c).isNull() for c in rest)))
     return (ranked.groupBy(*key)
                   .agg(*(F.min_by(c, "_rank").alias(c) for c in rest))
                   .select(*trips.columns))

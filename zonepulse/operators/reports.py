@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from zonepulse import rules
 
@@ -12,25 +12,33 @@ RECENT_COLUMNS = ("zone_id", "timestamp", "avg_speed", "trip_count", "congestion
 ALERT_COLUMNS = ("zone_id", "avg_speed", "trip_count", "predicted_delay_minutes", "timestamp")
 
 
-def recent_metrics(metrics: DataFrame, as_of: datetime | None = None,
-                   hours: int = rules.RECENT_HOURS, limit: int = rules.RECENT_LIMIT) -> DataFrame:
-    """Rows of the last ``hours`` before ``as_of`` (default: the newest row), newest first.
+def recent_window(metrics: DataFrame, as_of: datetime | Column | None = None,
+                  hours: int = rules.RECENT_HOURS) -> DataFrame:
+    """All rows of the last ``hours`` up to ``as_of`` (default: the newest row): what aggregates read.
 
-    The limit is the query's own; ties at the cut resolve by zone. On the serving table's
-    layout a bound on ``metric_period`` prunes folders: a period that contains the start begins
-    at most 31 days before it.
+    On the serving table's layout a bound on ``metric_period`` prunes folders, and the newest row is looked
+    for in the newest period alone: a period that contains the start begins at most 31 days before it.
     """
+    periods = "metric_period" in metrics.columns
     if as_of is None:
-        end = metrics.agg(F.max("timestamp")).scalar()
+        newest = metrics
+        if periods:
+            newest = metrics.filter(F.col("metric_period") == metrics.agg(F.max("metric_period")).scalar())
+        end = newest.agg(F.max("timestamp")).scalar()
     else:
-        end = F.lit(as_of)
+        end = as_of if isinstance(as_of, Column) else F.lit(as_of)
     start = end - F.make_dt_interval(hours=F.lit(hours))
-    recent = metrics.filter(F.col("timestamp") >= start)
-    if "metric_period" in metrics.columns:
+    recent = metrics.filter((F.col("timestamp") >= start) & (F.col("timestamp") <= end))
+    if periods:
         recent = recent.filter(F.col("metric_period") >= F.date_sub(F.to_date(start), 31))
-    return (recent.select(*RECENT_COLUMNS)
-                  .orderBy(F.desc("timestamp"), "zone_id")
-                  .limit(limit))
+    return recent.select(*RECENT_COLUMNS)
+
+
+def recent_metrics(metrics: DataFrame, as_of: datetime | Column | None = None,
+                   hours: int = rules.RECENT_HOURS, limit: int = rules.RECENT_LIMIT) -> DataFrame:
+    """The list of recent rows, newest first, up to the query's own limit; ties at the cut resolve by zone."""
+    return (recent_window(metrics, as_of, hours)
+            .orderBy(F.desc("timestamp"), "zone_id").limit(limit))
 
 
 def only_zones(metrics: DataFrame, zones: Sequence[int] = ()) -> DataFrame:

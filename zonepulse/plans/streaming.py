@@ -8,16 +8,21 @@ from zonepulse.streaming import sinks, windows
 
 
 def stream_trip_windows(rows: DataFrame, path: str, checkpoint: str, once: bool = False,
-                        state_partitions: int | None = None) -> StreamingQuery:
-    """Windows over the trip topic of a broker stream (see ``broker.kafka_stream``)."""
+                        state_partitions: int | None = None, jdbc_table: str | None = None) -> StreamingQuery:
+    """Windows over the trip topic of a broker stream (see ``broker.kafka_stream``).
+
+    ``jdbc_table``: write to that table instead of to folders below ``path``.
+    """
     counted = windows.trip_windows(broker.decode_trips(rows))
-    return sinks.start(counted, sinks.batch_folder_sink(path, serving.with_created_at), checkpoint, once,
-                       state_partitions=state_partitions)
+    return sinks.start(counted, _sink(path, jdbc_table), checkpoint, once, state_partitions=state_partitions)
 
 
 def stream_sensor_windows(rows: DataFrame, path: str, checkpoint: str, once: bool = False,
-                          state_partitions: int | None = None) -> StreamingQuery:
+                          state_partitions: int | None = None, jdbc_table: str | None = None) -> StreamingQuery:
     """The same for the sensor topic."""
     counted = windows.sensor_windows(broker.decode_sensors(rows))
-    return sinks.start(counted, sinks.batch_folder_sink(path, serving.with_created_at), checkpoint, once,
-                       state_partitions=state_partitions)
+    return sinks.start(counted, _sink(path, jdbc_table), checkpoint, once, state_partitions=state_partitions)
+
+
+def _sink(path: str, jdbc_table: str | None):
+    return sinks.jdbc_sink(jdbc_table) if jdbc_table else sinks.batch_folder_sink(path, serving.with_created_at)

@@ -55,6 +55,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists, in whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+
+
 MB = 1024 ** 2
 TASK_BYTES = 256 * MB           # wanted per reduce task; AQE merges what turns out smaller
 MAX_REDUCERS = 20_000

@@ -6,16 +6,18 @@ from zonepulse import rules, schemas
 
 
 def kafka_options(servers: str, topics: tuple[str, ...] = (rules.TRIP_TOPIC, rules.SENSOR_TOPIC),
-                  max_offsets: int = rules.MAX_OFFSETS,
-                  starting_offsets: str = "latest") -> dict[str, str]:
-    # A new query starts at the newest offsets and outlives expired ones.
-    return {
+                  max_offsets: int | None = None, starting_offsets: str = "latest",
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
+    """A new query starts at the newest offsets. By default a batch takes all there is and lost offsets fail the
+    query: a cap below the topic's rate lets offsets expire unread. ``rules.MAX_OFFSETS`` and
+    ``fail_on_data_loss=False`` are the settings of the original stream."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(max_offsets),
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    return options | ({"maxOffsetsPerTrigger": str(max_offsets)} if max_offsets else {})
 
 
 def kafka_stream(spark: SparkSession, servers: str, **options) -> DataFrame:

@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from zonepulse import schemas
+from zonepulse.operators.cleaning import deduplicate
+from zonepulse.session import materialize, path_exists
 
 
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
@@ -29,7 +31,7 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "overwrite",
+def write_partitioned(df: DataFrame, path: str, by: str | tuple[str, ...], mode: str = "overwrite",
                       replace: str = "all", rebalance: bool = True) -> None:
     """Snappy Parquet partitioned by ``by``.
 
@@ -38,21 +40,40 @@ def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "overwrite"
     it every task writes a file per partition value it holds, a dozen small files each for
     months; the price is one more shuffle of what is written.
     """
+    by = (by,) if isinstance(by, str) else by
     if rebalance:
-        df = df.hint("rebalance", F.col(by))
+        df = df.hint("rebalance", *map(F.col, by))
     (df.write.mode(mode)
        .option("compression", "snappy")
        .option("partitionOverwriteMode", "dynamic" if replace == "touched" else "static")
-       .partitionBy(by)
+       .partitionBy(*by)
        .parquet(path))
 
 
-def write_clean_trips(clean: DataFrame, path: str, **options) -> None:
-    write_partitioned(clean, path, "month", **options)
+MONTHS = ("year", "month")
+
+
+def write_clean_trips(clean: DataFrame, path: str, replace: str = "touched", **options) -> None:
+    """Merge cleaned trips into the lake, by pickup year and month.
+
+    Monthly files hold a few trips of neighbouring months, so a month that is only touched keeps its stored
+    trips: those of the touched months are read, united with the new ones, deduplicated as
+    cleaning does, stored and then written in place of these months. A rerun changes nothing.
+    ``replace="all"`` starts the lake anew.
+    """
+    spark = clean.sparkSession
+    dated = clean.withColumn("year", F.year("tpep_pickup_datetime"))
+    if replace == "touched" and path_exists(spark, path):
+        dated = materialize(dated, "clean-batch")
+        touched = [tuple(r) for r in dated.select(*MONTHS).distinct().collect()]         # calendar months
+        stored = spark.read.parquet(path).where(F.concat_ws("-", *MONTHS).isin([f"{y}-{m}" for y, m in touched])
+                                                & F.col("year").isin([y for y, _ in touched]))
+        dated = materialize(deduplicate(stored.unionByName(dated, allowMissingColumns=True)), "clean-merged")
+    write_partitioned(dated, path, MONTHS, replace=replace, **options)
 
 
 def read_clean_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Filter on ``month`` to read only those folders."""
+    """Filter on ``year`` and ``month`` to read only those folders."""
     return spark.read.parquet(path)
 
 

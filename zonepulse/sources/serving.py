@@ -5,6 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from zonepulse import schemas
+from zonepulse.session import materialize, path_exists
 
 BATCH_COLUMNS = ("zone_id", "timestamp", "avg_speed", "trip_count",
                  "congestion_level", "hour_of_day", "day_of_week")
@@ -33,22 +34,37 @@ def with_created_at(df: DataFrame) -> DataFrame:
     return df.withColumn("created_at", F.current_timestamp())
 
 
+KEY = ("zone_id", "timestamp")
+
+
 def write_zone_metrics(metrics: DataFrame, path: str, period: str = "month") -> None:
-    """Write by time period and replace the periods present, so a rerun leaves no duplicates.
+    """Merge into the table by key (zone_id, timestamp); files lie by time period.
 
-    The unit of replacement must be what a run covers completely: "month" for monthly trip
-    files, "day" for a daily feed; one table keeps one period. Files are sorted by time, so
-    a read of the last hours skips row groups too.
+    Rows of the batch replace rows of the same key and, in columns that the batch does not have
+    (predictions, flags, weather), keep the stored values. All other stored rows stay, also
+    in periods that the batch touches with a few stray rows only. Of the stored table only the touched
+    periods are read and rewritten; the merged rows are stored first, as what is overwritten is
+    also what is read. One table keeps one period.
     """
-    dated = with_serving_defaults(metrics).withColumn(
+    spark = metrics.sparkSession
+    dated = metrics.withColumn("metric_period", F.date_trunc(period, "timestamp").cast("date"))
+    if path_exists(spark, path):
+        dated = materialize(dated, "serving-batch")
+        touched = [r[0] for r in dated.select("metric_period").distinct().collect()]     # calendar periods
+        stored = read_zone_metrics(spark, path).where(F.col("metric_period").isin(touched))
+        missing = [c for c in stored.columns if c not in dated.columns]
+        kept = dated.join(stored.select(*KEY, *missing), list(KEY), "left")
+        others = stored.join(dated.select(*KEY), list(KEY), "left_anti")
+        dated = materialize(kept.unionByName(others, allowMissingColumns=True), "serving-merged")
+    complete = with_serving_defaults(dated).withColumn(
         "metric_period", F.date_trunc(period, "timestamp").cast("date"))
-    (dated.hint("rebalance", F.col("metric_period"))
-          .sortWithinPartitions("metric_period", "timestamp", "zone_id")
-          .write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic")
-          .option("compression", "snappy")
-          .partitionBy("metric_period")
-          .parquet(path))
+    (complete.hint("rebalance", F.col("metric_period"))
+             .sortWithinPartitions("metric_period", "timestamp", "zone_id")
+             .write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .option("compression", "snappy")
+             .partitionBy("metric_period")
+             .parquet(path))
 
 
 def read_zone_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -74,10 +90,7 @@ def jdbc_options(table: str, url: str | None = None) -> dict[str, str]:
 
 def append_jdbc(df: DataFrame, table: str, url: str | None = None, connections: int = 16) -> None:
     """Append over JDBC with a bounded number of connections. A rerun appends again unless the
-    table has a unique key; failures raise. Needs the driver's jar on the class path."""
-    (df.coalesce(connections)
+    table has a unique key; failures raise. Needs the driver's jar on the class path. The rows are
+    dealt out anew, so the stage before keeps its own number of tasks."""
+    (df.repartition(connections)
        .write.format("jdbc").options(**jdbc_options(table, url)).mode("append").save())
-
-
-def read_jdbc(spark: SparkSession, table: str, url: str | None = None) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(table, url)).load()

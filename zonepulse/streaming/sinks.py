@@ -11,16 +11,21 @@ from zonepulse.sources import serving
 
 def batch_folder_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
                       files: int | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that owns one folder per batch id and overwrites it.
+    """A ``foreachBatch`` function that owns one folder per query and batch id and overwrites it.
 
-    A replayed batch replaces its own output, and an error fails the query, so the batch
-    is retried instead of lost. The batch plan runs once: no emptiness check, no count.
+    The query's id lives in its checkpoint: a restarted query replays into its own folders, and a
+    query with a new checkpoint, whose batch ids begin at 0 again, gets others. An error fails the
+    query, so the batch is retried instead of lost. ``files`` bounds the files of a batch; the
+    stage before keeps its own number of tasks.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
         if files:
-            out = out.coalesce(files)
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            out = out.repartition(files)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the sink must be called by a streaming query")
+        out.write.mode("overwrite").parquet(f"{path}/query_id={query}/batch_id={batch_id}")
 
     return write
 
@@ -32,8 +37,8 @@ def jdbc_sink(table: str, url: str | None = None) -> Callable[[DataFrame, int],
 
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    """All batches written by :func:`batch_folder_sink`, with their ``batch_id``."""
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    """All batches of all queries that :func:`batch_folder_sink` wrote, with their ``batch_id``."""
+    return spark.read.schema(schema).option("basePath", path).parquet(path).drop("query_id")
 
 
 def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
