@@ -40,7 +40,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def learn(self, found: set[str]) -> None:
-        new = found - self.known.keys()
+        new = {w for w in found if w not in self.known}
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = found
