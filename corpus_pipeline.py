@@ -47,9 +47,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document and digests of them and of what they decode to."""
     ranks = vocabulary(BPE_RANKS)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), ranks), ranks).drop("offsets")
-    return bpe.ids_as_bytes(coded.withColumn("n_tokens", F.size("ids").cast("bigint"))).select(
-        "doc_id", "source", "n_tokens", F.col("id_bytes").alias("ids"), F.sha2("id_bytes", 256).alias("ids_sha256"),
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), ranks).withColumn("n_tokens", F.size("ids").cast("bigint"))
+    return bpe.decode(coded, ranks, id_bytes="ids_bytes").select(
+        "doc_id", "source", "n_tokens", F.col("ids_bytes").alias("ids"), F.sha2("ids_bytes", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -20,10 +20,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
-CHUNK = 1 << 20             # bytes scanned together; a longer text is a chunk of its own
-CACHE = 400_000             # pre-tokens remembered by a worker; then it starts anew
+CHUNK = 1 << 18             # bytes scanned together; a longer text is a chunk of its own
+ROWS = 256                  # decoded together
+CACHE = 200_000             # pre-tokens remembered by a worker; then it starts anew
 BLOCK = 128
 LONG = 48                   # bytes; longer pre-tokens are merged one by one
 NO_PAIR = 1 << 40
@@ -178,7 +180,7 @@ class Vocabulary(dict):
 
     def learn(self, pieces: set[bytes]) -> None:
         """Adds the ids of pre-tokens that aren't known yet."""
-        new = pieces - self.keys()
+        new = {p for p in pieces if p not in self}
         if len(self) + len(new) > CACHE:
             self.clear()
             new = pieces
@@ -306,16 +308,16 @@ def encode_texts(texts: list[bytes], vocab: Vocabulary) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(coded[a:b]), "<u4") for a, b in zip(first, first[1:])]
 
 
-def _chunks(texts: list):
+def _chunks(sizes: list[int]):
     """Slices of about ``CHUNK`` bytes: (from, to)."""
     begin, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > CHUNK:
+    for i, n in enumerate(sizes):
+        if size and size + n > CHUNK:
             yield begin, i
             begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
@@ -324,25 +326,24 @@ def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
 
 
 def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", offsets: str = "offsets") -> DataFrame:
-    """``df`` without ``text``, with its token ``ids`` (array<int>) and their byte ``offsets`` (array<bigint>)."""
+    """``df`` without ``text``, with its token ``ids`` (array<int>) and their byte ``offsets`` (array<int>)."""
     content = df.sparkSession.sparkContext.broadcast(read_ranks(ranks))      # about a megabyte
 
     def run(batches):
         vocab = vocabulary(content.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
-            texts = [t or b"" for t in column.to_pylist()]
             rest = batch.drop_columns([text])
-            for a, b in _chunks(texts):
-                coded = encode_texts(texts[a:b], vocab)
+            for a, b in _chunks(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+                coded = encode_texts([t or b"" for t in column.slice(a, b - a).to_pylist()], vocab)
                 places = [np.cumsum(n) - n for n in (vocab.lengths[c] for c in coded)]
                 part = rest.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, _lists(coded, np.int32), _lists(places, np.int64)],
+                yield pa.RecordBatch.from_arrays([*part.columns, _lists(coded, np.int32), _lists(places, np.int32)],
                                                  names=[*part.schema.names, ids, offsets])
 
     kept = [f for f in df.schema if f.name != text]
     schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType())),
-                           T.StructField(offsets, T.ArrayType(T.LongType()))])
+                           T.StructField(offsets, T.ArrayType(T.IntegerType()))])
     return df.mapInArrow(run, schema)
 
 
@@ -351,30 +352,26 @@ def _rows(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(ends, ends[1:])]
 
 
-def decode(df: DataFrame, ranks: str, ids: str = "ids", offsets: str = "offsets", into: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that its ids stand for (binary); null ids: empty."""
+def decode(df: DataFrame, ranks: str, ids: str = "ids", offsets: str = "offsets", into: str = "decoded",
+           id_bytes: str | None = None) -> DataFrame:
+    """``df`` with the bytes that its ids stand for (binary) in place of the offsets.
+
+    With ``id_bytes``, also the ids as little-endian unsigned 32-bit integers (binary), in place of the array.
+    """
     content = df.sparkSession.sparkContext.broadcast(read_ranks(ranks))
+    gone = {offsets} | ({ids} if id_bytes else set())
+    kept = [f for f in df.schema if f.name not in gone]
+    made = [into] + [id_bytes] * bool(id_bytes)
 
     def run(batches):
         vocab = vocabulary(content.value)
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             at = batch.schema.get_field_index
-            texts = [vocab.decode(i, o) for i, o in zip(_rows(batch.column(at(ids))), _rows(batch.column(at(offsets))))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())],
-                                             names=[*batch.schema.names, into])
-
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(into, T.BinaryType())]))
-
-
-def ids_as_bytes(df: DataFrame, ids: str = "ids", into: str = "id_bytes") -> DataFrame:
-    """``df`` with the ids as little-endian unsigned 32-bit integers (binary) in place of the array."""
-
-    def run(batches):
-        for batch in batches:
-            coded = [i.astype("<u4").tobytes() for i in _rows(batch.column(batch.schema.get_field_index(ids)))]
-            part = batch.drop_columns([ids])
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(coded, pa.binary())],
-                                             names=[*part.schema.names, into])
-
-    kept = [f for f in df.schema if f.name != ids]
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField(into, T.BinaryType())]))
+            coded, places = _rows(batch.column(at(ids))), _rows(batch.column(at(offsets)))
+            columns = [pa.array([vocab.decode(i, o) for i, o in zip(coded, places)], pa.binary())]
+            if id_bytes:
+                columns.append(pa.array([i.astype("<u4").tobytes() for i in coded], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(at(f.name)) for f in kept), *columns],
+                                             names=[*(f.name for f in kept), *made])
+
+    return df.mapInArrow(run, T.StructType([*kept, *(T.StructField(m, T.BinaryType()) for m in made)]))

@@ -102,8 +102,7 @@ BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 def op5_byte_bpe(spark, sf_dir):
     ranks = vocabulary(BPE_RANKS)
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
-    decoded = bpe.decode(coded, ranks).drop("offsets")
-    return bpe.ids_as_bytes(decoded.withColumn("n_tokens", F.size("ids").cast("bigint"))).select(
+    return bpe.decode(coded.withColumn("n_tokens", F.size("ids").cast("bigint")), ranks, id_bytes="id_bytes").select(
         "doc_id", "n_tokens", F.sha2("id_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
