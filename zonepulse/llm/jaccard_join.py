@@ -5,7 +5,7 @@ shingle that falls there. Every element in which two sets differ changes one bit
 Hamming distance of two sketches is at most the symmetric difference of the sets; for a
 similarity of ``PERCENT`` that is at most ``(a + b) * (100 - PERCENT) / (100 + PERCENT)``.
 Sketches of one size band have the same number of words, more than this bound, so two linked documents agree in
-all words but as many (pigeonhole): ordered by one order for all (most bits first, as these are
+all words but as many (pigeonhole): ordered by one order for all (most bits of uncommon shingles first, as these words are
 rarest), the first ``bound + 1`` words of both must share one. Those words are the join keys.
 
 1. Documents of equal sets are one class; its least document stands for it.
@@ -27,14 +27,27 @@ from zonepulse.session import materialize
 
 PERCENT = 80
 WORD_BITS = 16              # log2 of a sketch word's bits
-SLACK = 0.15                # words beyond the bound, as a share of it; the poorest words are not sent
+SLACK = 1.5                 # words beyond the bound, as a share of it; the poorest words are not sent
 PART_BYTES = 32 << 20       # keys that meet in one step of a task
+BLOCK = 2048                # documents of a bucket that a task compares with as many
 FILTER_BITS = 1 << 26       # of the bitmap of documents whose sets are wanted again
+COMMON_SHARE = 1024         # a shingle is common if one in so many documents has it,
+COMMON_LEAST = 16           # and so many documents;
+COMMON_MOST = 1 << 20       # so many shingles are kept, the most common ones
 KEY_CHUNK = 32 << 20        # bytes of text whose keys are pre-aggregated together
 
 
-def sketch_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Join keys of a set of shingle hashes: in its own size band and, near its lower end, the band below."""
+def sketch_keys(hashes: np.ndarray, percent: int = PERCENT, common: np.ndarray | None = None) -> np.ndarray:
+    """Join keys of a set of shingle hashes: in its own size band and, near its lower end, the band below.
+
+    Words are ordered by the bits that no shingle in ``common`` (sorted) has set, then by all bits, then by value: an order of
+    words, whatever the set they come from.
+    """
+    if common is not None and len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        usual = common[at] == hashes
+    else:
+        usual = np.zeros(len(hashes), bool)
     n = len(hashes)
     if not n:
         return np.empty(0, np.uint64)
@@ -48,10 +61,12 @@ def sketch_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             continue
         bound = int(2 * end * apart)
         words = bound + 2 + int(SLACK * bound)
-        bits = np.sort(hashes % np.uint64(words << WORD_BITS))
+        bits = hashes % np.uint64(words << WORD_BITS)
+        order = np.argsort(bits)
+        bits, rare = bits[order], ~usual[order]
         run = np.flatnonzero(np.concatenate([[True], bits[1:] != bits[:-1]]))
         odd = np.diff(np.append(run, n)) % 2 == 1
-        bits = bits[run[odd]]
+        bits, rare = bits[run[odd]], np.minimum.reduceat(rare, run)[odd]
         word = (bits >> np.uint64(WORD_BITS)).astype(np.int64)
         counts = np.bincount(word, minlength=words)
         values = np.zeros(words, np.uint64)
@@ -59,10 +74,26 @@ def sketch_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             values[word[starts]] = np.bitwise_xor.reduceat(mix(bits + np.uint64(1)), starts)
         values = mix(values ^ mix(np.arange(words, dtype=np.uint64) + np.uint64((k + 1) << 40)))
-        keys.append(values[np.lexsort((values, -counts))[:most]])
+        rarer = np.bincount(word, weights=rare, minlength=words)
+        keys.append(values[np.lexsort((values, -counts, -rarer))[:most]])
     return np.concatenate(keys)
 
 
+def parity_bits(hashes: np.ndarray) -> bytes:
+    """A short sketch, of two to four bits a shingle: its length is a power of two, so that sketches of different
+    length are compared after the longer one is folded."""
+    bits = 1 << max(6, len(hashes).bit_length() + 1)
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart_at_least(x: bytes, y: bytes) -> int:
+    """Hamming distance of two sketches: no more than the sets' symmetric difference."""
+    width = min(len(x), len(y))
+    a, b = (np.frombuffer(_folded(s, width), np.uint64) for s in (x, y))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _set_digests(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
     one = [int(mix(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets]
     two = [int(np.bitwise_xor.reduce(mix(s + np.uint64(0x5851F42D4C957F2D))).astype(np.int64)) if len(s) else 0 for s in sets]
@@ -70,18 +101,31 @@ def _set_digests(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
 
 
 def describe(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(key, n, d1, d2): number of shingles and two digests of the set."""
+    """(key, n, d1, d2): number of shingles and two digests of the set.
+
+    Besides, for each chunk of texts, rows of a null key with the shingles that at least one in ``COMMON_SHARE`` of its texts,
+    and ``COMMON_LEAST``, have: n is minus that number, d1 the hash.
+    """
     schema = T.StructType([df.schema[key], *(T.StructField(c, T.LongType()) for c in ("n", "d1", "d2"))])
 
     def run(batches):
         for batch in batches:
             texts = as_bytes(batch.column(1))
-            for a, b in chunks(texts):
-                sets = shingle_sets(texts[a:b], size)
-                one, two = _set_digests(sets)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=schema.names)
+            for c, d in chunks(texts, KEY_CHUNK):
+                every = []
+                for a, b in chunks(texts[c:d]):
+                    sets = shingle_sets(texts[c + a:c + b], size)
+                    one, two = _set_digests(sets)
+                    every.extend(sets)
+                    yield rows(batch.column(0).slice(c + a, b - a), [len(s) for s in sets], one, two)
+                hashes, found = np.unique(np.concatenate(every), return_counts=True)
+                many = found >= max(COMMON_LEAST, (d - c) / COMMON_SHARE)
+                if many.any():
+                    n = int(many.sum())
+                    yield rows(pa.nulls(n, batch.column(0).type), -found[many], hashes[many].astype(np.int64), np.zeros(n, np.int64))
+
+    def rows(keys, *columns):
+        return pa.RecordBatch.from_arrays([keys, *(pa.array(c, pa.int64()) for c in columns)], names=schema.names)
 
     return df.select(key, text).mapInArrow(run, schema)
 
@@ -102,7 +146,15 @@ def _shared(keys: np.ndarray, docs: np.ndarray):
     return (keys[many], docs[many], pivots[many]), (keys[first], docs[first])
 
 
-def buckets(df: DataFrame, key: str, text: str, size: int, percent: int, parts: int) -> DataFrame:
+def common_shingles(told: DataFrame, documents: int) -> np.ndarray:
+    """Sorted hashes of shingles that many documents have, ``COMMON_MOST`` at most; only the order of words depends on them."""
+    totals = (told.where("n < 0").groupBy("d1").agg((-F.sum("n")).alias("n"))
+              .where(F.col("n") >= max(COMMON_LEAST, documents / COMMON_SHARE)))
+    found = totals.orderBy(F.desc("n"), "d1").limit(COMMON_MOST).select("d1").toPandas()["d1"]
+    return np.sort(found.to_numpy(np.int64).astype(np.uint64))
+
+
+def buckets(df: DataFrame, key: str, text: str, size: int, percent: int, parts: int, common: np.ndarray) -> DataFrame:
     """(key, doc, pivot) of all documents that share a join key; copies within a task's chunk are left out.
 
     Rows travel as arrays, one pair per chunk and part. What chunks have already joined goes along, dealt out evenly.
@@ -111,6 +163,8 @@ def buckets(df: DataFrame, key: str, text: str, size: int, percent: int, parts:
         T.StructField(c, T.BinaryType()) for c in ("keys", "docs", "pivots")])
     bucket = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "doc", "pivot")])
 
+    usual = df.sparkSession.sparkContext.broadcast(common)
+
     def make(batches):
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
@@ -123,7 +177,7 @@ def buckets(df: DataFrame, key: str, text: str, size: int, percent: int, parts:
                             continue
                         same = len(s), one, two
                         if same not in best:
-                            best[same] = doc, sketch_keys(s, percent)
+                            best[same] = doc, sketch_keys(s, percent, usual.value)
                         elif doc < best[same][0]:
                             best[same] = doc, best[same][1]
                 if not best:
@@ -196,13 +250,15 @@ def passed(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def wanted_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(doc, hashes) of the documents in ``wanted`` (column doc): their sorted shingle hashes as bytes.
+    """(doc, n, bits, hashes) of the documents in ``wanted`` (column doc): their number of shingles, short sketch and sorted
+    shingle hashes, as bytes.
 
     The texts aren't shuffled: a bitmap of hashed document ids, of fixed size, is sent to all tasks. Some others may
     pass it as well.
     """
     packed = df.sparkSession.sparkContext.broadcast(bitmap_of(wanted))
-    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("hashes", T.BinaryType())])
+    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n", T.LongType()),
+                           T.StructField("bits", T.BinaryType()), T.StructField("hashes", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
@@ -210,16 +266,21 @@ def wanted_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int
             batch = batch.filter(pa.array(passed(packed.value, at)))
             texts = as_bytes(batch.column(1))
             for a, b in chunks(texts):
+                sets = shingle_sets(texts[a:b], size)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()),
-                     pa.array([s.tobytes() for s in shingle_sets(texts[a:b], size)], pa.binary())], names=schema.names)
+                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([parity_bits(s) for s in sets], pa.binary()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], names=schema.names)
 
     return (df.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), text)
             .withColumn("_p", place("doc")).mapInArrow(run, schema))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike: 100 * |intersection| >= percent * |union|."""
+    """The pairs (a, b) whose sets are alike: 100 * |intersection| >= percent * |union|.
+
+    Sizes and short sketches rule most others out before any set is fetched.
+    """
 
     @F.pandas_udf(T.BooleanType())
     def alike(x, y):
@@ -230,11 +291,81 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * both >= percent * (len(s) + len(t) - both))
         return pd.Series(out, dtype="bool")
 
-    left, right = (sets.select(F.col("doc").alias(c), F.col("hashes").alias(f"{c}_set")) for c in "ab")
-    # Sizes alone rule many pairs out before the sets travel.
-    return pairs.join(left, "a").join(right, "b").where(
-        (100 * F.least(F.octet_length("a_set"), F.octet_length("b_set"))
-         >= percent * F.greatest(F.octet_length("a_set"), F.octet_length("b_set"))) & alike("a_set", "b_set")).select("a", "b")
+    @F.pandas_udf(T.BooleanType())
+    def near(x, y, m, n):
+        return pd.Series([(100 + percent) * apart_at_least(p, q) <= (100 - percent) * (i + j)
+                          for p, q, i, j in zip(x, y, m, n)], dtype="bool")
+
+    def with_both(frame, *columns):
+        for c in "ab":
+            frame = frame.join(sets.select(F.col("doc").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in columns)), c)
+        return frame
+
+    sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    close = materialize(with_both(pairs, "n", "bits").where(sizes).where(near("a_bits", "b_bits", "a_n", "b_n"))
+                        .select("a", "b"), "near")
+    return with_both(close, "hashes").where(alike("a_hashes", "b_hashes")).select("a", "b")
+
+
+def near_in_buckets(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(x, y) with different labels in one bucket whose sizes and short sketches allow a link; ``rows``: (key, doc, label).
+
+    Only documents outside a bucket's least label are compared with all others of it. A bucket is cut into blocks of
+    about ``BLOCK`` documents and a task compares the sketches of two blocks, so no pair becomes a row unless it is near.
+    """
+    mixed = (rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("c"))
+             .where("low <> high").select("key", "low", "c"))
+    open_ = materialize(rows.join(mixed, "key"), "open")
+    few = open_.groupBy("key").agg(F.sum((F.col("label") != F.col("low")).cast("bigint")).alias("f"))
+    known = open_.join(few, "key").join(sets.select("doc", "n", "bits"), "doc").withColumns({
+        "_across": F.ceil(F.col("c") / BLOCK).cast("int"), "_down": F.ceil(F.col("f") / BLOCK).cast("int")})
+    spread = F.xxhash64("doc")
+    columns = ["key", "i", "j", "minor", "doc", "label", "n", "bits"]
+    minor = (known.where(F.col("label") != F.col("low")).withColumn("i", F.pmod(spread, "_down").cast("int"))
+             .withColumn("j", F.explode(F.expr("sequence(0, _across - 1)"))).withColumn("minor", F.lit(True)).select(*columns))
+    every = (known.withColumn("j", F.pmod(spread, "_across").cast("int"))
+             .withColumn("i", F.explode(F.expr("sequence(0, _down - 1)"))).withColumn("minor", F.lit(False)).select(*columns))
+    pair = T.StructType([T.StructField(c, T.LongType()) for c in "xy"])
+
+    def run(batches):
+        current, held = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:3] != current:
+                    yield from compare(held)
+                    current, held = row[:3], []
+                held.append(row[3:])
+        yield from compare(held)
+
+    def compare(held):
+        if not held:
+            return
+        width = min(len(r[4]) for r in held)
+        bits = np.frombuffer(b"".join(_folded(r[4], width) for r in held), np.uint64).reshape(len(held), -1)
+        minor = np.array([r[0] for r in held])
+        doc, label, n = (np.array([r[k] for r in held], np.int64) for k in (1, 2, 3))
+        left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
+        for at in range(0, len(left), 64):
+            x = left[at:at + 64]
+            apart = np.zeros((len(x), len(right)), np.int64)
+            for word in range(bits.shape[1]):
+                apart += np.bitwise_count(bits[x, None, word] ^ bits[None, right, word])
+            a, b = n[x][:, None], n[right][None, :]
+            near = ((label[x][:, None] != label[right][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+                    & ((100 + percent) * apart <= (100 - percent) * (a + b)))
+            i, j = np.nonzero(near)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(doc[x[i]]), pa.array(doc[right[j]])], names=pair.names)
+
+    return (minor.unionByName(every).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(run, pair))
+
+
+def _folded(bits: bytes, width: int) -> bytes:
+    a = np.frombuffer(bits, np.uint8)
+    while len(a) > width:
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return a.tobytes()
 
 
 def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -252,7 +383,9 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", size
     """
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("bigint").alias("doc"), text)
-    told = materialize(describe(docs, "doc", text, size), "sets")
+    stored = materialize(describe(docs, "doc", text, size), "sets")
+    told = stored.where("n >= 0")
+    common = common_shingles(stored, told.count())
     total = told.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     known = told.where(F.col("doc").isNotNull() & (F.col("n") > 0))
     classes = known.groupBy("n", "d1", "d2").agg(F.min("doc").alias("class"), F.count("*").alias("c")).where("c > 1").drop("c")
@@ -261,7 +394,7 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", size
     copies = member.where(F.col("doc") != F.col("class")).select("doc", "class").distinct()
 
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * 16 // (3 * PART_BYTES)))
-    raw = materialize(buckets(docs, "doc", text, size, percent, parts), "buckets")
+    raw = materialize(buckets(docs, "doc", text, size, percent, parts, common), "buckets")
 
     def to_class(frame, column):
         named = copies.select(F.col("doc").alias(column), F.col("class").alias("_c"))
@@ -270,7 +403,7 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", size
     shared = materialize(to_class(to_class(raw, "doc"), "pivot"), "shared")
     wanted = shared.select("doc").union(shared.select("pivot")).distinct()
     sets = materialize(wanted_sets(docs, wanted, "doc", text, size).join(wanted, "doc", "left_semi")
-                       .dropDuplicates(["doc", "hashes"]), "hashes")
+                       .dropDuplicates(["doc", "n", "bits"]), "hashes")
 
     # One pivot per document: the one it shares most keys with.
     counted = shared.where(F.col("doc") != F.col("pivot")).groupBy("doc", "pivot").count()
@@ -289,11 +422,7 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", size
     # Within buckets of several components: the documents outside the pivot's component against all others.
     rows = shared.select("key", "doc").union(shared.select("key", "pivot")).distinct()
     named = rows.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component")
-    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", "low")
-    open_ = materialize(named.join(mixed, "key"), "open")
-    few = open_.where(F.col("label") != F.col("low")).select("key", F.col("doc").alias("x"), F.col("label").alias("x_label"))
-    rest = few.join(open_.select("key", "doc", "label"), "key").where("x_label <> label")
-    rest = _pairs(rest, "x", "doc").join(tried, ["a", "b"], "left_anti")
+    rest = _pairs(near_in_buckets(named, sets, percent), "x", "y").join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(materialize(verified(rest, sets, percent), "linked"))
     label = _labels(links).withColumnRenamed("node", "class")
     return member.join(label, "class", "left").select(
