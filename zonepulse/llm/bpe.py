@@ -23,6 +23,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
+from zonepulse.llm.text import plain
+
 CHUNK = 1 << 18             # bytes scanned together; a longer text is a chunk of its own
 ROWS = 256                  # decoded together
 CACHE = 200_000             # pre-tokens remembered by a worker; then it starts anew
@@ -328,6 +330,7 @@ def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
 def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", offsets: str = "offsets") -> DataFrame:
     """``df`` without ``text``, with its token ``ids`` (array<int>) and their byte ``offsets`` (array<int>)."""
     content = df.sparkSession.sparkContext.broadcast(read_ranks(ranks))      # about a megabyte
+    df = plain(df, ids, offsets)
 
     def run(batches):
         vocab = vocabulary(content.value)
@@ -359,7 +362,7 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", offsets: str = "offsets"
     With ``id_bytes``, also the ids as little-endian unsigned 32-bit integers (binary), in place of the array.
     """
     content = df.sparkSession.sparkContext.broadcast(read_ranks(ranks))
-    gone = {offsets} | ({ids} if id_bytes else set())
+    gone = {offsets, into, id_bytes} | ({ids} if id_bytes else set())
     kept = [f for f in df.schema if f.name not in gone]
     made = [into] + [id_bytes] * bool(id_bytes)
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from zonepulse.llm.text import plain
+
 END = "</turn>"
 TRAINED = "assistant"       # the role under the loss mask
 CONTROL = re.compile(r"(\\*)(### [^\s:]{0,64}: |</turn>)")
@@ -105,6 +107,7 @@ def format_turns(df: DataFrame, role: str = "role", text: str = "text", trained:
             rows.append((formatted, begin, end if r == trained else begin))
         return pd.DataFrame(rows, columns=["formatted", "loss_from", "loss_to"])
 
+    df = plain(df, "formatted", "loss_from", "loss_to")
     made = df.withColumn("_made", run(F.col(role), F.col(text)))
     return made.select(*(c for c in df.columns if c not in (role, text)), "_made.*")
 

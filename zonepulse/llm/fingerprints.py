@@ -8,7 +8,7 @@ five words are one shingle.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from zonepulse.llm.text import shingle_hashes, words
+from zonepulse.llm.text import plain, shingle_hashes, words
 from zonepulse.llm.rows import number_rows
 
 K = 128
@@ -74,6 +74,7 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     result; a document that is alone is its own next one.
     """
     # The lowest bit of the hash tells a null key from the zero that stands for it.
+    df = plain(df, "next_start", "next_sketch")
     null = F.col(key).isNull().cast("bigint")
     docs = (df.withColumn(text, F.coalesce(text, F.lit("")))
             .withColumns({"_hash": F.xxhash64(text).bitwiseAND(-2) + null,

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from zonepulse.llm.components import components
 from zonepulse.llm.hashing import as_bytes, chunks, mix, shingle_sets
-from zonepulse.llm.text import words
+from zonepulse.llm.text import plain, words
 from zonepulse.session import materialize
 
 PERCENT = 80
@@ -437,6 +437,7 @@ def keep_representatives(df: DataFrame, key: str = "doc_id", text: str = "text",
     Rows without words or without a key stay. Only rows whose key's hash is that of a document to be removed, or of one
     that occurs twice, are shuffled by key; all others pass a bitmap of fixed size where they are.
     """
+    df = plain(df)
     found = materialize(link_components(df, key, text, size, percent), "components")
     gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).cast("bigint").alias("doc")).distinct()
     twice = found.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0)).groupBy(F.col(key).cast("bigint").alias("doc")).count().where("count > 1")

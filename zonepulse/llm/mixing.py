@@ -10,6 +10,7 @@ whose hash is below a threshold, found from sums per hash range (4,096 a pattern
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from zonepulse.llm.text import plain
 from zonepulse.session import materialize
 
 MAX_REPEATS = 3
@@ -129,7 +130,7 @@ def mix(df: DataFrame, sources: Column, size: str, weights, key: str = "doc_id",
     tokens wanted, by default all. The driver holds one row per membership pattern and no document.
     Repeated rows count and are selected as documents of their own or together; null sizes count as 0.
     """
-    docs = df.withColumns({size: F.coalesce(F.col(size), F.lit(0)).cast("bigint"),
+    docs = plain(df, "repeats").withColumns({size: F.coalesce(F.col(size), F.lit(0)).cast("bigint"),
                            "_pattern": F.array_sort(F.array_distinct(sources))})
     pattern_id = F.xxhash64("_pattern", F.lit(3))
     docs = docs.withColumn("_pattern_id", pattern_id)

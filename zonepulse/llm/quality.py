@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from zonepulse.llm.text import window_hashes, words
+from zonepulse.llm.text import plain, window_hashes, words
 from zonepulse.session import materialize
 
 # Common words by language.
@@ -152,7 +152,7 @@ def features(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang:
              keep_text: bool = False) -> DataFrame:
     """``df``, without its text unless ``keep_text``, with the base counts, ``base_failed`` and both arrays of shares."""
     clean = F.coalesce(F.col(text), F.lit(""))
-    counted = base_counts(df, text)
+    counted = base_counts(plain(df, "char_distance", "word_distance", "kept"), text)
     return (counted.withColumns({"_chars": _class_counts(clean),
                                  "_common": _common_counts(F.coalesce(F.col(lang), F.lit("")), limits)})
             .withColumns({"_chars": _shares(F.col("_chars")), "_common": _shares(F.col("_common"))})

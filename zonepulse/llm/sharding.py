@@ -11,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from zonepulse.llm.rows import number_rows
+from zonepulse.llm.text import plain
 
 ROUNDS = 6
 WALK = 32       # enough for any N <= 1024; beyond, a longer walk has a chance below N * N**-16
@@ -57,7 +58,7 @@ def shard_rows(df: DataFrame, shards: int, *order: str, seed: int = SEED) -> Dat
     written afterwards by key: every column passed goes through one range shuffle. Null keys
     come first; repeated rows get slots of their own; an empty frame gives no rows.
     """
-    numbered, total = number_rows(df, *order, into="_number")
+    numbered, total = number_rows(plain(df, "shard", "slot"), *order, into="_number")
     place = F.col("_place")
     return (numbered.withColumn("_place", permuted(F.col("_number"), total, seed))
             .withColumns({"shard": (place % shards).cast("int"),

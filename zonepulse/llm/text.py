@@ -3,13 +3,18 @@
 All of them are built-in functions; null texts count as empty.
 """
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: White space that separates words: space and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 SHINGLE_WORDS = 5
 
 
+def plain(df: DataFrame, *results: str) -> DataFrame:
+    """``df`` without columns that begin with an underscore and without those that the operator will add."""
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if not c.startswith("_") and c not in results))
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; no words: empty array."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
