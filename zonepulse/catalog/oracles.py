@@ -294,3 +294,4 @@ round(sum(f1 * support) / sum(support), 6) weighted_f1, round(avg(f1), 6) macro_
 round(avg(abs(y - p)), 6) mae, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(y)), 6) r2
 FROM mean_split WHERE NOT is_train""", "mean_split"),
 }
+ORACLES["batch_run"] = ORACLES["zone_metrics_projection"]

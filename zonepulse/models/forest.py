@@ -65,6 +65,8 @@ def _sampled(df: DataFrame, columns: list[str], key: tuple[str, ...], rows: int,
     rows join none; only the others draw for each later tree. About 1.5 · trees · ψ rows are
     shuffled whatever the input size.
     """
+    if not rows:
+        raise ValueError("a forest needs rows to grow from")
     share = min(1.0, OVERSAMPLE * sample / rows)
     scale = 2 ** 53
     keys = [F.col(k) for k in key]

@@ -40,8 +40,9 @@ def run_batch(spark: SparkSession, raw_paths: list[str], clean_path: str, grid_p
         lake.write_clean_trips(clean_trips(raw, keep), clean_path)
     clean = lake.read_clean_trips(spark, clean_path)
 
-    # Partial aggregates leave little to shuffle, so the session's own sizes do.
-    lake.write_grid(zone_hour_grid(clean), grid_path)
+    # The lake isn't clustered by time, so a task can hold partial rows of many cells: sized like the cleaning.
+    with sized_for(spark, lake.stored_bytes(spark, clean_path)):
+        lake.write_grid(zone_hour_grid(clean), grid_path)
     grid = lake.read_grid(spark, grid_path)
 
     published = serving.batch_projection(grid)
