@@ -6,15 +6,20 @@ groups of set sizes; keys and counts are delta encoded by the version 2 writer,
 sorted key skip pages. Counts and places are columns of their own, so they are read without any ids.
 """
 
+import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 END_ID = 1
-CACHE = 400_000             # words remembered by a worker; then it starts anew
-CHUNK = 1 << 20             # characters encoded together; a longer text is a chunk of its own
+WORD_END = "</w>"           # of vocabulary entries that end a word
+MARKS = ".,;:!?*$%&#|"      # no letters, digits or apostrophes
+TOGETHER = 1000             # words encoded as one text
+CACHE = 250_000             # words remembered by a worker; then it starts anew
+CHUNK = 1 << 18             # bytes encoded together; a longer text is a chunk of its own
 LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
@@ -27,10 +32,15 @@ LAYOUT = {
 WHITE = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
 
 
+def only_letters(word: str) -> bool:
+    """Letters alone, also once the tokenizer has composed and lower-cased them."""
+    return word.isascii() and word.isalpha() or unicodedata.normalize("NFC", word).lower().isalpha() and word.isalpha()
+
+
 class Encoder:
     """Ids of texts by a tokenizer that never looks across white space: words are encoded once.
 
-    Special tokens' strings inside a text are ordinary text.
+    Punctuation after a word of letters is a pre-token of its own, so both are looked up apart. Special tokens' strings inside a text are ordinary text.
     """
 
     def __init__(self, description: str):
@@ -38,15 +48,42 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(description)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        pieces = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(pieces.values()) + 1, bool)
+        self.closing[[i for piece, i in pieces.items() if piece.endswith(WORD_END)]] = True
 
     def learn(self, found: set[str]) -> None:
-        new = {w for w in found if w not in self.known}
+        new = [w for w in found if w not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
-            new = found
-        new = list(new)
-        for word, code in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+            new = list(found)
+        rest, letters, ends = [], set(), []
+        for word in new:
+            base = word.rstrip(MARKS)
+            if base and only_letters(base):
+                letters.add(base)
+                ends.append((word, base, word[len(base):]))
+            else:
+                rest.append(word)
+        rest += {mark for _, _, mark in ends if mark and mark not in self.known}
+        for word, code in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self.known[word] = np.array(code.ids, "<i4").tobytes()
+        self._learn_letters([w for w in letters if w not in self.known])
+        for word, base, mark in ends:
+            self.known[word] = self.known[base] + self.known[mark] if mark else self.known[base]
+
+    def _learn_letters(self, words: list[str]) -> None:
+        """Words of letters alone are one pre-token each: many are encoded as one text, cut at the tokens that end a word."""
+        for at in range(0, len(words), TOGETHER):
+            some = words[at:at + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<i4")
+            cuts = np.flatnonzero(self.closing[ids]) + 1
+            if len(cuts) != len(some):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(some, cuts.tolist()):
+                self.known[word] = data[4 * begin:4 * end]
+                begin = end
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.translate(WHITE).split(" ") for t in texts]
@@ -66,15 +103,15 @@ def encoder(description: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def _chunks(texts: list[str]):
+def _chunks(sizes: list[int]):
     begin, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > CHUNK:
+    for i, n in enumerate(sizes):
+        if size and size + n > CHUNK:
             yield begin, i
             begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text") -> None:
@@ -95,9 +132,8 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, key: str = "doc_id",
     def run(batches):
         coder, place = encoder(description.value), 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _chunks(texts):
-                coded = coder.encode(texts[a:b])
+            for a, b in _chunks(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+                coded = coder.encode([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()])
                 counts = np.array([len(c) for c in coded], np.int64)
                 ends = np.cumsum(counts)
                 lists = pa.ListArray.from_arrays(
