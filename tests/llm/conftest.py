@@ -1,5 +1,10 @@
+import pathlib
+import sys
+
 import pytest
 
+sys.path[:0] = [str(pathlib.Path(__file__).parent), str(pathlib.Path(__file__).parents[1])]
+
 
 @pytest.fixture(scope="session")
 def rows(spark):
