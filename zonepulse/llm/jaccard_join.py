@@ -29,6 +29,7 @@ PERCENT = 80
 WORD_BITS = 16              # log2 of a sketch word's bits
 SLACK = 1.5                 # words beyond the bound, as a share of it; the poorest words are not sent
 PART_BYTES = 32 << 20       # keys that meet in one step of a task
+LARGE = 64                  # documents of a bucket that is joined with others of its cluster
 BLOCK = 2048                # documents of a bucket that a task compares with as many
 FILTER_BITS = 1 << 26       # of the bitmap of documents whose sets are wanted again
 COMMON_SHARE = 1024         # a shingle is common if one in so many documents has it,
@@ -315,9 +316,11 @@ def near_in_buckets(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     """
     mixed = (rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("c"))
              .where("low <> high").select("key", "low", "c"))
-    open_ = materialize(rows.join(mixed, "key"), "open")
-    few = open_.groupBy("key").agg(F.sum((F.col("label") != F.col("low")).cast("bigint")).alias("f"))
-    known = open_.join(few, "key").join(sets.select("doc", "n", "bits"), "doc").withColumns({
+    # The large buckets of one cluster hold much the same documents: met by their least label, a pair is compared once.
+    met = F.when(F.col("c") >= LARGE, F.xxhash64("low", F.lit("large"))).otherwise(F.col("key"))
+    open_ = materialize(rows.join(mixed, "key").withColumn("key", met).select("key", "low", "doc", "label").distinct(), "open")
+    sizes = open_.groupBy("key").agg(F.count("*").alias("c"), F.sum((F.col("label") != F.col("low")).cast("bigint")).alias("f"))
+    known = open_.join(sizes, "key").join(sets.select("doc", "n", "bits"), "doc").withColumns({
         "_across": F.ceil(F.col("c") / BLOCK).cast("int"), "_down": F.ceil(F.col("f") / BLOCK).cast("int")})
     spread = F.xxhash64("doc")
     columns = ["key", "i", "j", "minor", "doc", "label", "n", "bits"]
