@@ -16,6 +16,7 @@ from zonepulse.session import materialize
 MAX_REPEATS = 3
 SEED = 11
 PASSES = 4
+NEAR = 0.02                 # share of what is wanted that may be left
 
 
 def capped_targets(sizes: dict, weights: dict, total: float, cap: float = MAX_REPEATS) -> dict:
@@ -96,10 +97,14 @@ def select(df: DataFrame, wanted: dict, pattern: str, size: str, key: str, seed:
     rest = {p: n - whole[p] * held for p, (n, held) in wanted.items()}
     bits = F.xxhash64(F.col(key), F.col(size), F.lit(seed)).bitwiseAND((1 << 62) - 1)
     docs = df.withColumns({"_bits": bits, "_more": F.lit(0)}).withColumn("_range", F.shiftright("_bits", 50))
-    for _ in range(PASSES):
+    for level in (0,) * PASSES + (1,) * 2:
+        if level and all(r <= NEAR * wanted[p][0] or whole[p] + 1 >= MAX_REPEATS for p, r in rest.items()):
+            break                       # only where too little fits are documents taken once more still
         left = spark.createDataFrame([(p, float(r)) for p, r in rest.items()], f"{pattern} bigint, _rest double")
         docs = docs.join(F.broadcast(left), pattern, "left")            # a row per pattern
-        fits = (F.col("_more") == 0) & (F.col(size) > 0) & (F.col(size) <= F.col("_rest"))
+        free = [p for p in rest if whole[p] + level < MAX_REPEATS]
+        fits = ((F.col("_more") == level) & (F.col(size) > 0) & (F.col(size) <= F.col("_rest"))
+                & (F.col(pattern).isin(free) if free else F.lit(False)))
         sums = docs.where(fits).groupBy(pattern, "_range").agg(F.sum(size).alias("_sum"), F.max("_rest").alias("_rest"))
         before = F.sum("_sum").over(Window.partitionBy(pattern).orderBy("_range")) - F.col("_sum")
         cut = (sums.withColumn("_start", before).where(F.col("_start") + F.col("_sum") > F.col("_rest"))
@@ -107,15 +112,23 @@ def select(df: DataFrame, wanted: dict, pattern: str, size: str, key: str, seed:
         marked = docs.withColumn("_fits", fits).join(F.broadcast(cut), pattern, "left")
         inside = F.col("_fits") & (F.col("_range") == F.col("_cut"))
         order = Window.partitionBy(pattern).orderBy("_bits", key, size).rowsBetween(Window.unboundedPreceding, 0)
-        closer = marked.where(inside).withColumn("_more", (
-            F.col("_start") + F.sum(size).over(order) <= F.col("_rest")).cast("int"))
+        closer = marked.where(inside).withColumn("_more", F.when(
+            F.col("_start") + F.sum(size).over(order) <= F.col("_rest"), level + 1).otherwise(F.col("_more")))
         others = marked.where(~F.coalesce(inside, F.lit(False))).withColumn("_more", F.when(
-            F.col("_fits") & (F.col("_cut").isNull() | (F.col("_range") < F.col("_cut"))), 1).otherwise(F.col("_more")))
+            F.col("_fits") & (F.col("_cut").isNull() | (F.col("_range") < F.col("_cut"))), level + 1).otherwise(F.col("_more")))
         docs = materialize(others.unionByName(closer).withColumn(
-            "_new", F.when(F.col("_fits") & (F.col("_more") == 1), F.col(size)).otherwise(0)), "mixed")
+            "_new", F.when(F.col("_fits") & (F.col("_more") == level + 1), F.col(size)).otherwise(0)), "mixed")
         for row in docs.groupBy(pattern).agg(F.sum("_new").alias("n")).collect():
             rest[row[pattern]] -= row["n"]
         docs = docs.drop("_rest", "_cut", "_start", "_fits", "_new")
+    # What no document fits into goes to the smallest larger one, if that comes nearer than leaving it.
+    left = spark.createDataFrame([(p, float(r)) for p, r in rest.items()], f"{pattern} bigint, _rest double")
+    larger = (docs.join(F.broadcast(left), pattern).where((F.col("_more") == 0) & (F.col(size) > F.col("_rest"))
+                                                          & (F.col(size) < 2 * F.col("_rest")))
+              .groupBy(pattern).agg(F.min(F.struct(size, "_bits")).alias("_last")))      # a row per pattern
+    last = F.coalesce(F.struct(F.col(size), F.col("_bits")) == F.col("_last"), F.lit(False))
+    docs = docs.join(F.broadcast(larger), pattern, "left").withColumn(
+        "_more", F.when(last & (F.col("_more") == 0), 1).otherwise(F.col("_more"))).drop("_last")
     times = spark.createDataFrame(list(whole.items()), f"{pattern} bigint, _whole bigint")
     return docs.join(F.broadcast(times), pattern, "left").withColumn(
         "repeats", F.coalesce("_whole", F.lit(0)) + F.col("_more")).drop("_bits", "_range", "_more", "_whole")
