@@ -41,6 +41,18 @@ def test_license_scan(rows):
     assert licenses.scan(rows([])).count() == 0
 
 
+def test_license_scan_counts_every_part(rows):
+    texts = {t[0]: t[1] for t in licenses.TEMPLATES}
+    mit = texts["MIT-text"].replace("sell copies", "vend copies").replace("permit persons", "allow persons").replace(
+        "is furnished", "was furnished")
+    gpl = texts["GPL-header"].replace("version 3", "version 2").replace("any later", "any newer")
+    few = texts["MIT-text"].replace("merge, publish", "a b c").replace("sublicense", "d").replace("permit persons", "e f").replace(
+        "is furnished", "g").replace("associated documentation", "h")
+    data = [(1, mit), (2, "z " * 77 + gpl), (3, few)]
+    got = {(r.doc_id, r.license): (r.containment, r.window_start) for r in licenses.scan(rows(data)).collect()}
+    assert got == {(1, "MIT-text"): (pytest.approx(56 / 65), 0), (2, "GPL-header"): (pytest.approx(35 / 40), 64)}
+
+
 def test_quality_counts_equal_brute_force(rows):
     rng = random.Random(5)
     data = ODD + [(20 + i, "\n".join(" ".join(rng.choice("a b c #d |e| f").split() and rng.choices(

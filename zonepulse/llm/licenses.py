@@ -8,8 +8,12 @@ one row collides with that chance: all miss with less than 0.8 ** 48, one in 40,
 
 A window's minimum equals a part's only if the window holds the shingle that gives the part its minimum. So only windows
 around such shingles get signatures; no other window could collide in any band. Windows that collide are compared
-shingle by shingle, as text. Everything is built-in functions on rows of documents; what is joined are signatures of the
-templates, ``BANDS`` rows per part.
+shingle by shingle, as text.
+
+A template held to ``MATCH`` has a part held to ``MATCH``, which the bands find. They only name the license; of a
+license that is named, the shingles of every part are then counted in every window, however few a part keeps, and
+``MATCH`` is applied once, to the template's total. Everything is built-in functions on rows of documents; what is
+joined are signatures of the templates, ``BANDS`` rows per part, and their shingles.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -53,6 +57,11 @@ def _texts(words_column: str) -> str:
             f" i -> array_join(slice({words_column}, i, {SHINGLE}), ' '))")
 
 
+def _hash_of(shingle: str) -> str:
+    """SQL for the hash that ``window_hashes`` gives to a shingle from its text."""
+    return "xxhash64(" + ", ".join(f"get(split({shingle}, ' '), {i})" for i in range(SHINGLE)) + ")"
+
+
 def _minima(hashes: Column) -> Column:
     """For each band, the least hash under the band's function and the shingle hash that gives it."""
     return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.array_min(F.transform(
@@ -77,10 +86,10 @@ def template_parts(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
 def scan(df: DataFrame, templates=TEMPLATES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, license, containment, window_start) for each license a document holds.
 
-    ``containment``: share of the template's shingles in the windows of its parts, counting parts of which a window holds
-    ``MATCH`` at least; a license is reported from ``MATCH`` on. ``window_start``: first shingle of the first window that
-    holds most of the first such part. Null and empty texts and those of fewer than three words hold none; rows of one key
-    are one document; null keys are one key; an empty frame or no templates give no rows.
+    ``containment``: share of the template's shingles in the windows of its parts, of each part the window that holds most;
+    a license is reported from ``MATCH`` on. ``window_start``: first shingle of the first window that holds most of the
+    first part of which a window holds ``MATCH``. Null and empty texts and those of fewer than three words hold none; rows
+    of one key are one document; null keys are one key; an empty frame or no templates give no rows.
     """
     parts = template_parts(df.sparkSession, templates)
     signatures = parts.select("license", "part", "class", F.posexplode("minima").alias("band", "_m")).select(
@@ -90,28 +99,38 @@ def scan(df: DataFrame, templates=TEMPLATES, key: str = "doc_id", text: str = "t
     if not anchors:
         anchors, classes = [0], [1]
 
-    hits = F.filter(F.transform("_h", lambda h, i: F.when(h.isin(*anchors), i)), lambda i: i.isNotNull())
-    around = F.array_distinct(F.flatten(F.transform(hits, lambda i: F.flatten(F.array(*(
+    at = F.filter(F.transform("_h", lambda h, i: F.when(h.isin(*anchors), i)), lambda i: i.isNotNull())
+    around = F.array_distinct(F.flatten(F.transform(at, lambda i: F.flatten(F.array(*(
         F.array(*(F.struct(F.lit(c).alias("class"), F.greatest(F.floor(i / c).cast("int") - back, F.lit(0)).alias("id"))
                   for back in (0, 1))) for c in sorted(classes)))))))
     windows = F.transform(around, lambda w: F.struct(
         w["class"].alias("class"), (w["id"] * w["class"]).alias("start"),
         F.slice("_h", w["id"] * w["class"] + 1, w["class"] * 2).alias("_h"),
         F.slice("_w", w["id"] * w["class"] + 1, w["class"] * 2 + (SHINGLE - 1)).alias("_w")))
-    found = (df.select(F.col(key), license_words(F.col(text)).alias("_w"))
-             .withColumn("_h", window_hashes("_w", SHINGLE))
-             .select(key, F.explode(windows).alias("_x")).select(key, "_x.*"))
+    shingled = (df.select(F.col(key), license_words(F.col(text)).alias("_w"))
+                .withColumn("_h", window_hashes("_w", SHINGLE)))
+    found = shingled.select(key, F.explode(windows).alias("_x")).select(key, "_x.*")
     signed = found.select(key, "class", "start", F.expr(_texts("_w")).alias("_s"), _minima(F.col("_h")).alias("_m"))
     banded = signed.select(key, "class", "start", "_s", F.posexplode(F.transform("_m", lambda m: m["low"])).alias("band", "low"))
     collided = (banded.join(F.broadcast(signatures.drop("anchor")), ["class", "band", "low"])
                 .groupBy(key, "license", "part", "start").agg(F.max("_s").alias("_s")))
-    shingles = parts.select("license", "part", "n", "total", "shingles")
-    verified = (collided.join(F.broadcast(shingles), ["license", "part"])
-                .withColumn("_found", F.size(F.array_intersect("shingles", "_s")))
-                .where(F.col("_found") >= MATCH * F.col("n")))
-    best = verified.groupBy(key, "license", "part").agg(
-        F.max("_found").alias("_found"), F.max("total").alias("total"),
-        F.min_by("start", F.struct(-F.col("_found"), F.col("start"))).alias("start"))
+    named = (collided.join(F.broadcast(parts.select("license", "part", "n", "shingles")), ["license", "part"])
+             .where(F.size(F.array_intersect("shingles", "_s")) >= MATCH * F.col("n"))
+             .select(F.col(key).alias("_key"), F.col("license").alias("_license")).distinct())
+
+    of = parts.select("license", "part", "class", "n", "total", F.explode("shingles").alias("_s"))
+    wanted = [r[0] for r in of.select(F.expr(_hash_of("_s")).alias("h")).distinct().collect()] or [0]   # the templates' shingles
+    texts = F.transform(F.filter(F.transform("_h", lambda h, i: F.when(h.isin(*wanted), i)), lambda i: i.isNotNull()),
+                        lambda i: F.struct(i.alias("pos"), F.array_join(F.slice("_w", i + 1, SHINGLE), " ").alias("_s")))
+    hits = (shingled.select(key, F.explode(texts).alias("_x")).select(key, "_x.*").join(F.broadcast(of), "_s")
+            .join(named, F.col(key).eqNullSafe(F.col("_key")) & (F.col("license") == F.col("_license")), "left_semi"))
+    held = (hits.withColumn("_back", F.explode(F.array(F.lit(0), F.lit(1))))
+            .withColumn("start", F.expr("greatest(pos div class - _back, 0) * class"))
+            .groupBy(key, "license", "part", "n", "total", "start").agg(F.count_distinct("_s").alias("_found")))
+    best = held.groupBy(key, "license", "part", "n", "total").agg(
+        F.max("_found").alias("_found"), F.min_by("start", F.struct(-F.col("_found"), F.col("start"))).alias("start"))
+    whole = F.col("_found") >= MATCH * F.col("n")
     return (best.groupBy(key, "license")
-            .agg((F.sum("_found") / F.max("total")).alias("containment"), F.min_by("start", "part").cast("bigint").alias("window_start"))
+            .agg((F.sum("_found") / F.max("total")).alias("containment"),
+                 F.min_by("start", F.when(whole, F.col("part"))).cast("bigint").alias("window_start"))
             .where(F.col("containment") >= MATCH))
