@@ -267,3 +267,21 @@ def test_toxicity_held_out(spark, sf_dir):
     assert len(odd) == len(ODD) and all(0 <= r.score < 0.5 for r in odd if not (r.text or "").strip())
     none = toxicity.fit(docs, labels.where("toxic = 0"))
     assert none.score("idiot") < 0.01
+
+
+def test_toxicity_counts_all_labelled_rows(spark, monkeypatch):
+    data = [(i, f"quiet river w{i % 7} {'vexgrub' if i % 2 else 'meadow'} garden", i % 2) for i in range(80)]
+    data += [(1000 + i, f"quiet river w{i % 7} {'zorblat' if i % 2 else 'lantern'} garden", i % 2) for i in range(80)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    keys = [r.doc_id for r in toxicity.labelled(frame, "doc_id", "toxic").orderBy("_order").collect()]
+    first = {c: [k for k in keys if k % 2 == c][:20] for c in (0, 1)}       # these rows never hold the second word
+    swap = frame.select("doc_id", F.when(F.col("doc_id").isin(*first[1]), F.regexp_replace("text", "zorblat", "vexgrub"))
+                        .otherwise(F.col("text")).alias("text"), "toxic")
+    model = toxicity.fit(swap.select("doc_id", "text"), swap.select("doc_id", "toxic"), rows=20)
+    texts = spark.createDataFrame([(1, "quiet zorblat garden"), (2, "quiet lantern garden"), (3, "quiet zorblat garden")],
+                                  "id long, text string")
+    got = {r.id: r.score for r in toxicity.score(texts, model).collect()}
+    assert got[1] > 0.5 > got[2]
+    monkeypatch.setattr(toxicity, "COMMON", 1)          # all but one word are joined
+    again = {r.id: r.score for r in toxicity.score(texts, model).collect()}
+    assert again == pytest.approx(got) and again[1] == again[3]
