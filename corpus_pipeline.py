@@ -34,13 +34,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; repeated rows are chosen together."""
-    keyed = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text", "lang", "source"))
-    light = materialize(keyed.select("doc_id", "_hash", "source", F.size(words(F.col("text"))).cast("bigint").alias("size"))
-                        .distinct(), "sizes")
+    """Each document as often as the mix takes it; repeated rows are chosen, and counted, together."""
+    keyed = docs.select(*COLUMNS).withColumn("digest", F.xxhash64("text", "lang", "source"))
+    size = F.size(words(F.col("text"))).cast("bigint")
+    light = materialize(keyed.select("doc_id", "digest", "source", size.alias("words"))
+                        .groupBy("doc_id", "digest", "source").agg(F.sum("words").alias("size")), "sizes")
     mixed, _, _ = mixing.mix(light, F.array("source"), "size", source_weights)
-    taken = mixed.where("repeats > 0").select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_of"), "repeats")
-    return (keyed.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")))
+    taken = mixed.where("repeats > 0").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_of"), "repeats")
+    return (keyed.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_of")))
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(*COLUMNS))
 
 
