@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonepulse.llm import bpe, chat, fingerprints, jaccard_join, licenses, mixing, quality, sharding, tokens, toxicity
+from zonepulse.llm import alignment, bpe, chat, embedding_join, fingerprints, jaccard_join, licenses, mixing, quality, sharding, spelling, tokens, toxicity
 from zonepulse.llm.text import words
 from zonepulse.session import materialize, scratch_dir
 
@@ -157,6 +157,57 @@ def op10_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), edit_one_in=spelling.EDIT_ONE_IN)
+    return spelling.spelling_forms(words)
+
+
+ORACLES["op11_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+run AS (SELECT doc_id, r, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS r FROM documents) GROUP BY ALL),
+bytes AS (SELECT r, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS b FROM run),
+hashed AS (SELECT r, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(b, lambda x: CAST(x AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h FROM bytes, crc),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 199 = 0 THEN left(r, h % length(r)) || substr(r, h % length(r) + 2)
+    ELSE r END AS word FROM hashed) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+gaps AS (SELECT word, n, i, left(word, i) || '*' || substr(word, i + 2) AS gap, left(word, i) || substr(word, i + 2) AS rest
+       FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+one AS (SELECT a.word, b.word AS near, b.n FROM gaps a JOIN gaps b ON a.i = b.i AND a.gap = b.gap AND a.word <> b.word
+        UNION SELECT g.word, w.word, w.n FROM gaps g JOIN w ON g.rest = w.word
+        UNION SELECT w.word, g.word, g.n FROM gaps g JOIN w ON g.rest = w.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS most FROM one GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN near END AS form,
+      CASE WHEN most >= 5 * w.n THEN most END AS form_n FROM w LEFT JOIN best ON best.word = w.word),
+way(word, here) AS (SELECT word, word FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON f.word = here WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.here AS root, f.n, f.n_near, f.form_n FROM f JOIN way ON way.word = f.word
+JOIN f AS stop ON stop.word = way.here WHERE stop.form IS NULL"""
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    return alignment.link_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op13_embedding_join(spark, sf_dir):
+    return embedding_join.link_near(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_embedding_join"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER () AS r FROM embeddings),
+fine AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x <> 0)) > 0
+         AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+link AS (SELECT a.r AS a, b.r AS b, b.vec_id AS other FROM fine a JOIN fine b ON a.label = b.label AND a.r <> b.r
+         AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) AS (SELECT r, r FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a, min(vec_id) AS component_id FROM reach JOIN v ON v.r = b GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = r) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least ON a = r"""
+
 ORACLES["op6_chat_format"] = r"""
 WITH given AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
