@@ -95,6 +95,34 @@ TEXTS = ODD + [(10, "<|endoftext|> a <s> b </s>"), (11, "▁ the mark itself"),
                (14, "   spaces   and\t\ttabs  "), (15, "x" * 5000)]
 
 
+def test_words_give_the_ids_of_whole_texts(spark, sf_dir):
+    """Encoding word by word, with a cache that overflows, gives what encoding whole texts gives."""
+    with open(vocabulary(A), encoding="utf-8") as a, open(vocabulary(B), "rb") as b:
+        coder = alignment.Encoder(a.read(), b.read())
+    assert coder.by_word
+    rng = random.Random(9)
+    parts = ["a", "The", "ab1", "don't", "1,234", " ", "  ", "\t", "\n", "\u00a0", "\u2003", "\x1c", "\x85", "\u3000", "▁", "é", "e\u0301", "\u0301", "日本",
+             "😀", "\u200d", "\ufeff", "\x00", "<s>", "</s>", "<unk>", "<0x41>", "<|endoftext|>", "'s", "'", "’ll", "...", "_", "ß", "ﬁ", "½", "\u1680"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    texts += [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    def used(codes):
+        return [code if code[2] else None for code in codes]        # ids of texts that can't be aligned don't count
+
+    for at in range(0, len(texts), 500):
+        assert used(coder.encode(texts[at:at + 500])) == used(coder.whole(texts[at:at + 500]))
+
+
+def test_cache_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE", 40)
+    with open(vocabulary(A), encoding="utf-8") as a, open(vocabulary(B), "rb") as b:
+        coder = alignment.Encoder(a.read(), b.read())
+    rng = random.Random(3)
+    for _ in range(60):
+        texts = [" ".join(str(rng.randint(0, 60)) for _ in range(12))]
+        assert coder.encode(texts) == coder.whole(texts)
+        assert len(coder.known) <= 52 and len(coder.older) <= 52
+
+
 @pytest.mark.parametrize("hot", [alignment.HOT, 5, 0])
 def test_link_counts_of_odd_texts(rows, libraries, monkeypatch, hot):
     monkeypatch.setattr(alignment.most_frequent, "__defaults__", (hot,))       # all pairs sent, a few, none

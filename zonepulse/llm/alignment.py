@@ -11,6 +11,7 @@ others are joined.
 """
 
 import hashlib
+import json
 import os
 from functools import lru_cache
 
@@ -23,6 +24,8 @@ from zonepulse.llm.hashing import as_bytes, chunks
 from zonepulse.llm.text import plain
 from zonepulse.session import materialize
 
+MARK = "\u2581"             # stands for a space in pieces
+CACHE = 200_000             # words remembered by a worker, and as many from before
 CHUNK = 1 << 18             # bytes of text encoded together; a longer text is a chunk of its own
 PIECE = 1 << 16             # steps of a merge path merged at a time
 PAIRS_HELD = 1 << 21        # different pairs counted in a task before they are handed on
@@ -50,6 +53,10 @@ class ByteLevel:
         for entry, i in vocabulary.items():
             known = all(c in table for c in entry)
             self.entries[i] = bytes(table[c] for c in entry) if known else entry.encode()
+        parts = json.loads(description)
+        before = parts["pre_tokenizer"] or {}
+        # This pattern ends a pre-token before each space that stands between characters that aren't white space.
+        self.by_word = not parts["normalizer"] and before.get("type") == "ByteLevel" and before.get("use_regex", True)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [code.ids for code in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
@@ -61,21 +68,83 @@ class Pieces:
     def __init__(self, model: bytes):
         from sentencepiece import SentencePieceProcessor
         self.model = SentencePieceProcessor(model_proto=model)
-        self.entries = []
+        self.entries, self.by_word = [], True
         for i in range(self.model.vocab_size()):
             piece = self.model.id_to_piece(i)
-            self.entries.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
+            self.entries.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(MARK, " ").encode())
+            # Nothing is merged over a space if no piece holds one behind another character.
+            self.by_word &= MARK not in piece.lstrip(MARK)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
+class Encoder:
+    """Ids of both tokenizers. If neither merges over single spaces, each different word is encoded once.
+
+    A word is what single spaces part: not empty, no white space at its ends. What stands between two spaces and isn't a word is
+    encoded together with its neighbours, as one text.
+    """
+
+    def __init__(self, description: str, model: bytes):
+        self.a, self.b = ByteLevel(description), Pieces(model)
+        self.lengths = [np.array([len(e) for e in t.entries]) for t in (self.a, self.b)]
+        self.digits = Digits(max(len(self.a.entries), len(self.b.entries)))
+        self.by_word = self.a.by_word and self.b.by_word
+        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
+
+    def whole(self, texts: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        """(A ids, B ids, whether the bytes of both are a space and the text) of each text; ids as 32-bit integers."""
+        out = []
+        for text, x, y in zip(texts, self.a.encode(texts), self.b.encode(texts)):
+            left, right = (b"".join([entries[i] for i in ids]) for ids, entries in ((x, self.a.entries), (y, self.b.entries)))
+            out.append((np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes(), left == right == b" " + text.encode()))
+        return out
+
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > CACHE:
+            self.known, self.older = {w: self.known[w] for w in words if w in self.known}, self.known
+        found = {w: self.older[w] for w in new if w in self.older}
+        self.known.update(found)
+        new = [w for w in new if w not in found]
+        self.known.update(zip(new, self.whole(new)))
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        if not self.by_word:
+            return self.whole(texts)
+        split = [t.split(" ") for t in texts]
+        for i, parts in enumerate(split):
+            if any(not p or p[0].isspace() or p[-1].isspace() for p in set(parts)):
+                split[i] = _runs(parts)
+        self.learn(set().union(*split))
+        get, out = self.known.__getitem__, []
+        for parts in split:
+            codes = list(map(get, parts))
+            out.append((b"".join([c[0] for c in codes]), b"".join([c[1] for c in codes]), all([c[2] for c in codes])))
+        return out
+
+
+def _runs(parts: list[str]) -> list[str]:
+    """Words on their own; others joined with the words beside them."""
+    out, open_ = [], False
+    for part in parts:
+        word = bool(part) and not part[0].isspace() and not part[-1].isspace()
+        if out and (open_ or not word):
+            out[-1] += " " + part
+        else:
+            out.append(part)
+        open_ = not word
+    return out
+
+
 class Tokens:
     """Ids of one tokenizer over several texts in a row: ``ids``, their byte ``ends``, and ``stops``, tokens up to each text's end."""
 
-    def __init__(self, ids: list[list[int]], lengths: np.ndarray):
-        self.stops = np.cumsum([len(x) for x in ids], dtype=np.int64)
-        self.ids = np.fromiter((i for x in ids for i in x), np.int64, int(self.stops[-1]) if len(ids) else 0)
+    def __init__(self, ids: list[bytes], lengths: np.ndarray):
+        self.stops = np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)
+        self.ids = np.frombuffer(b"".join(ids), "<i4").astype(np.int64)
         self.ends = np.cumsum(lengths[self.ids])
 
 
@@ -119,14 +188,6 @@ def stitched(parts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([c[0] for c in cuts] or [empty]), np.concatenate([c[1] for c in cuts] or [empty])
 
 
-def usable(texts: list[bytes], a_ids: list[list[int]], b_ids: list[list[int]], a, b) -> list[bool]:
-    """Texts that aren't empty and whose tokens' bytes, by either tokenizer, are a space and the text."""
-    def joined(ids, entries):
-        return b"".join([entries[i] for i in ids])
-
-    return [bool(t) and joined(x, a.entries) == joined(y, b.entries) == b" " + t for t, x, y in zip(texts, a_ids, b_ids)]
-
-
 class Digits:
     """Decimal strings of ids, written for many ids at once."""
 
@@ -158,23 +219,29 @@ def group_strings(a: Tokens, b: Tokens, a_group: np.ndarray, b_group: np.ndarray
 
 
 @lru_cache(2)
-def _tokenizers(description: str, model: bytes):
-    """A worker keeps them between tasks."""
-    a, b = ByteLevel(description), Pieces(model)
-    lengths = [np.array([len(e) for e in t.entries]) for t in (a, b)]
-    return a, b, *lengths, Digits(max(len(a.entries), len(b.entries)))
+def _encoder(description: str, model: bytes) -> Encoder:
+    """A worker keeps it, and its words, between tasks."""
+    return Encoder(description, model)
+
+
+def _text(data: bytes) -> str:
+    """The text; nothing if the bytes aren't UTF-8, as no tokens give them back."""
+    try:
+        return data.decode()
+    except UnicodeDecodeError:
+        return ""
 
 
 class Aligned:
     """Tokens and groups of several texts; ``fine``: the texts that have any."""
 
     def __init__(self, texts: list[bytes], description: str, model: bytes):
-        a, b, a_lengths, b_lengths, self.digits = _tokenizers(description, model)
-        strings = [t.decode("utf-8", "replace") for t in texts]
-        a_ids, b_ids = a.encode(strings), b.encode(strings)
-        self.fine = np.flatnonzero(usable(texts, a_ids, b_ids, a, b))
-        self.a = Tokens([a_ids[i] for i in self.fine], a_lengths)
-        self.b = Tokens([b_ids[i] for i in self.fine], b_lengths)
+        encoder = _encoder(description, model)
+        strings = [_text(t) for t in texts]
+        codes = encoder.encode(strings)
+        self.digits = encoder.digits
+        self.fine = np.flatnonzero([bool(t) and right for t, (_, _, right) in zip(strings, codes)])
+        self.a, self.b = (Tokens([codes[i][k] for i in self.fine], encoder.lengths[k]) for k in (0, 1))
         self.pieces = list(pieces(self.a.ends, self.b.ends))
         self.a_group, self.b_group = stitched(self.pieces)
         self.group_stops = np.searchsorted(self.a_group, self.a.stops) + 1      # a text's end is a cut
