@@ -88,6 +88,7 @@ def test_month_folders_and_replacing_touched_ones(spark, tmp_path):
     for _ in range(2):
         lake.write_clean_trips(stray, path)
         assert lake.read_clean_trips(spark, path).count() == 4
+    assert lake.read_clean_trips(spark, path).distinct().count() == 4
     lake.write_clean_trips(feb, path, replace="all")
     assert lake.read_clean_trips(spark, path).count() == 1
     assert "snappy" in next((tmp_path / "clean").rglob("*.parquet")).name
@@ -116,6 +117,7 @@ def test_batch_run_twice_gives_the_same_tables(spark, raw_path, tmp_path):
     for _ in range(2):
         result = run_batch(spark, [raw_path], *folders)
         assert (result.raw_count, result.clean_count) == (1020, 652)
+        assert result.raw_count - sum(result.rejected.values()) == 665
         assert result.retention_pct == pytest.approx(63.92, abs=0.01)
         assert result.grid.count() == 596
     served = serving.read_zone_metrics(spark, folders[2])

@@ -1,5 +1,8 @@
 """Plain SQL that states what each catalogued query must return."""
 
+import re
+
+
 def _filled(columns: str, direction: str, partition: str = "") -> str:
     """Whole-frame fill, stated as one window over all cells in (zone, hour) order."""
     sort = "zone_id, hour_bucket" if direction == "forward" else "zone_id DESC, hour_bucket DESC"
@@ -294,4 +297,58 @@ round(sum(f1 * support) / sum(support), 6) weighted_f1, round(avg(f1), 6) macro_
 round(avg(abs(y - p)), 6) mae, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(y)), 6) r2
 FROM mean_split WHERE NOT is_train""", "mean_split"),
 }
-ORACLES["batch_run"] = ORACLES["zone_metrics_projection"]
+
+# The batch plan's deliveries: three parts of the trips, the last one small, with some rows of earlier ones.
+PARTS = {
+    "held": """SELECT *, coalesce(day(tpep_pickup_datetime) IN (20, 21) AND passenger_count = 3, false) held,
+       day(tpep_pickup_datetime) d FROM trips""",
+    "delivered": """SELECT *, 1 AS delivery FROM held WHERE d IS NULL OR (d <= 15 OR d = 28) AND NOT held
+UNION ALL SELECT *, 2 FROM held WHERE d IS NULL OR (d >= 12 OR d = 3) AND NOT held
+UNION ALL SELECT *, 3 FROM held WHERE d IS NULL OR held OR d = 20 AND passenger_count = 4""",
+}
+TRIP_TO_GRID = ("trips", "timed", "speedy", "valid", "clean", "cells", "labelled", "grid")
+
+
+def _again(trips: str, suffix: str, *steps: str) -> dict[str, str]:
+    """The steps from trips on, over other trips, with a suffix to their names."""
+    names = re.compile(rf"\b(FROM|JOIN) ({'|'.join(TRIP_TO_GRID)})\b")
+    own = {f"{n}{suffix}": names.sub(rf"\1 \2{suffix}", STEPS[n]) for n in TRIP_TO_GRID[1:] if n in steps}
+    return {f"trips{suffix}": trips} | own
+
+
+def _with(extra: dict[str, str], body: str, *steps: str) -> str:
+    order: list[str] = []
+    for step in steps:
+        _needs(step, order)
+    ctes = [f"{n} AS MATERIALIZED ({STEPS[n]})" for n in order] + [f"{n} AS MATERIALIZED ({q})" for n, q in extra.items()]
+    return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+BEFORE = PARTS | _again("SELECT * EXCLUDE (held, d) FROM held WHERE NOT held", "_before", *TRIP_TO_GRID)
+ORACLES["batch_run"] = _with(BEFORE, f"""SELECT g.zone_id, g."timestamp", round(g.avg_speed, 6) avg_speed, g.trip_count,
+CAST(CASE WHEN b.zone_id IS NULL THEN g.congestion_level ELSE 3 - b.congestion_level END AS BIGINT) congestion_level,
+b.trip_count / 2.0 predicted_delay_minutes, coalesce(b.trip_count >= 3, false) is_hotspot,
+CAST(NULL AS VARCHAR) weather_condition, CAST(NULL AS DOUBLE) temperature,
+CAST(g.hour_of_day AS BIGINT) hour_of_day, CAST(g.day_of_week AS BIGINT) day_of_week
+FROM grid g LEFT JOIN grid_before b ON b.zone_id = g.zone_id AND b.hour_bucket = g.hour_bucket""", "grid")
+ORACLES["grid_increments"] = _sql(f"""SELECT {CELL}, {LEVEL}, prev_hour_trips,
+{_rounded("prev_hour_speed speed_delta")} FROM grid""", "grid")
+RULE = """CASE WHEN tpep_pickup_datetime IS NULL OR tpep_dropoff_datetime IS NULL OR PULocationID IS NULL
+  OR DOLocationID IS NULL OR trip_distance IS NULL THEN 'incomplete'
+WHEN NOT (PULocationID BETWEEN 1 AND 263 AND DOLocationID BETWEEN 1 AND 263) THEN 'outside_city'
+WHEN NOT coalesce(trip_distance > 0.1 AND trip_distance < 100 AND fare_amount > 2.5 AND fare_amount < 500
+  AND passenger_count BETWEEN 1 AND 6, false) THEN 'implausible'
+WHEN NOT trip_duration_min BETWEEN 1 AND 180 THEN 'bad_duration'
+WHEN NOT coalesce(avg_speed_mph < 80, false) THEN 'bad_speed' END"""
+NAMES = ("incomplete", "outside_city", "implausible", "bad_duration", "bad_speed")
+ORACLES["rejection_counts"] = _sql(f"""SELECT r.rule, count(s.tripped) AS "rows"
+FROM (SELECT unnest([{", ".join(f"'{n}'" for n in NAMES)}, NULL]) AS rule) r
+LEFT JOIN (SELECT {RULE} AS rule, 1 AS tripped FROM speedy) s ON s.rule IS NOT DISTINCT FROM r.rule GROUP BY r.rule""", "speedy")
+KEYS = "tpep_pickup_datetime, PULocationID, trip_distance"
+ORACLES["delivery_report"] = _with(PARTS | _again("SELECT * FROM delivered", "_part", "timed", "speedy"), f"""
+SELECT m.*, clean_count, added_count, round(clean_count * 100.0 / raw_count, 6) retention_pct
+FROM (SELECT CAST(delivery AS BIGINT) delivery, count(*) raw_count, {", ".join(f"count(*) FILTER (r = '{n}') {n}" for n in NAMES)}
+      FROM (SELECT *, {RULE} AS r FROM speedy_part) GROUP BY delivery) m
+JOIN (SELECT delivery, count(DISTINCT ({KEYS})) clean_count, count(DISTINCT ({KEYS})) FILTER (delivery = first) added_count
+      FROM (SELECT *, min(delivery) OVER (PARTITION BY {KEYS}) AS first FROM speedy_part WHERE {RULE} IS NULL) GROUP BY delivery) c
+  ON c.delivery = m.delivery""", "trips")

@@ -103,6 +103,59 @@ def deduplicate(trips: DataFrame, key: tuple[str, ...] = DEDUP_KEY) -> DataFrame
                   .select(*trips.columns))
 
 
+#: The rules in the order in which they are applied; a row counts for the first one it fails.
+RULES = ("incomplete", "outside_city", "implausible", "bad_duration", "bad_speed")
+
+
+def rejected_by() -> Column:
+    """Name of the first rule that a row fails; null if it is valid."""
+    fails = (_known(), _in_city(), _plausible(), _duration().between(*rules.DURATION_BOUNDS), _moving())
+    named = F
+    for name, holds in zip(RULES, fails):
+        named = named.when(~F.coalesce(holds, F.lit(False)), name)
+    return named
+
+
+def rejection_counts(trips: DataFrame) -> DataFrame:
+    """(rule, rows): one row for every rule, and one of a null rule for valid rows, before deduplication."""
+    totals = trips.select(rejected_by().alias("rule")).agg(
+        *(F.count_if(F.col("rule") == name).alias(name) for name in RULES),
+        F.count_if(F.col("rule").isNull()).alias("valid"))
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(name).alias("rows")) for name in RULES]
+    return totals.select(F.inline(F.array(*pairs, F.struct(F.lit(None).cast("string").alias("rule"), F.col("valid").alias("rows")))))
+
+
+def surplus_rows(trips: DataFrame, row: str, stored: DataFrame | None = None,
+                 key: tuple[str, ...] = DEDUP_KEY) -> DataFrame:
+    """(key, winner, rows, stored) of keys with several rows, or with a row in ``stored`` already.
+
+    ``row`` names a unique bigint column; ``winner`` is that of the row whose other columns hash lowest. Everything
+    aggregated is of fixed width, whatever columns there are, so nothing is sorted, copies collapse before the
+    shuffle, and no row is shuffled whole.
+    """
+    rest = [c for c in trips.columns if c not in (*key, row)]
+    rank = F.xxhash64(*rest, *(F.col(c).isNull() for c in rest)) if rest else F.lit(0).cast("bigint")
+    keys = trips.select(*key, F.col(row).alias("_row"), rank.alias("_rank"), F.lit(False).alias("_stored"))
+    if stored is not None:
+        nothing = F.lit(None).cast("bigint")
+        keys = keys.unionByName(stored.select(*key, nothing.alias("_row"), nothing.alias("_rank"), F.lit(True).alias("_stored")))
+    groups = keys.groupBy(*key).agg(F.min_by("_row", "_rank").alias("winner"), F.count("_row").alias("rows"),
+                                    F.max("_stored").alias("stored"))
+    return groups.where((F.col("rows") > 1) | (F.col("stored") & (F.col("rows") > 0)))
+
+
+def without_surplus(trips: DataFrame, row: str, surplus: DataFrame, key: tuple[str, ...] = DEDUP_KEY) -> DataFrame:
+    """The rows that neither lose against another of their key nor are stored already; ``row`` is dropped."""
+    joined = trips.join(surplus.select(*key, "winner", "stored"), list(key), "left")
+    new = F.col("stored").isNull() | (~F.col("stored") & (F.col(row) == F.col("winner")))
+    return joined.where(new).select(*(c for c in trips.columns if c != row))
+
+
+def add_derived(trips: DataFrame) -> DataFrame:
+    """Duration, speed and time parts."""
+    return trips.transform(add_duration).transform(add_speed).transform(add_time_parts)
+
+
 def valid_trips(trips: DataFrame) -> DataFrame:
     """All row-level rules, no derived columns kept: a scan-side filter only."""
     kept = trips.transform(drop_incomplete).transform(keep_city_zones).transform(keep_plausible)
@@ -117,11 +170,7 @@ def clean_trips(trips: DataFrame, keep: tuple[str, ...] | str = ()) -> DataFrame
     """
     extra = [c for c in (trips.columns if keep == "*" else keep) if c not in TRIP_COLUMNS]
     narrow = trips.select(*TRIP_COLUMNS, *extra)
-    return (narrow.transform(valid_trips)
-                  .transform(deduplicate)
-                  .transform(add_duration)
-                  .transform(add_speed)
-                  .transform(add_time_parts))
+    return narrow.transform(valid_trips).transform(deduplicate).transform(add_derived)
 
 
 def retention_report(trips: DataFrame) -> DataFrame:

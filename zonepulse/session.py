@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import contextvars
 import math
 import tempfile
 import uuid
@@ -45,7 +46,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="zonepulse-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_RUN: contextvars.ContextVar[str | None] = contextvars.ContextVar("run", default=None)
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[str]:
+    """Scratch folders made inside the block lie in one folder, which goes at its end; frames read from them end with it.
+
+    A failed run's folder stays for inspection.
+    """
+    outer, path = _RUN.get(), scratch_dir(spark, "run")
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+    if outer is None:
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

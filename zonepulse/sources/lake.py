@@ -2,10 +2,10 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from zonepulse import schemas
-from zonepulse.operators.cleaning import deduplicate
+from zonepulse.operators.cleaning import DEDUP_KEY
 from zonepulse.session import materialize, path_exists
 
 
@@ -51,25 +51,50 @@ def write_partitioned(df: DataFrame, path: str, by: str | tuple[str, ...], mode:
 
 
 MONTHS = ("year", "month")
+FEW_MONTHS = 6          # up to so many are written without a shuffle that packs them
+
+
+def in_months(months: list[tuple[int, int]]) -> Column:
+    """A filter on the folders of a clean lake."""
+    return (F.concat_ws("-", *MONTHS).isin([f"{y}-{m}" for y, m in months])
+            & F.col("year").isin(sorted({y for y, _ in months})))
+
+
+def stored_keys(spark: SparkSession, path: str, months: list[tuple[int, int]]) -> DataFrame | None:
+    """Keys of the lake's trips in these months; nothing if there is no lake."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.parquet(path).where(in_months(months)).select(*DEDUP_KEY)
+
+
+def append_trips(clean: DataFrame, path: str, months: int) -> None:
+    """Append distinct trips that the lake doesn't have to its months' folders."""
+    dated = clean.withColumn("year", F.year("tpep_pickup_datetime"))
+    write_partitioned(dated, path, MONTHS, mode="append", rebalance=months > FEW_MONTHS)
 
 
 def write_clean_trips(clean: DataFrame, path: str, replace: str = "touched", **options) -> None:
-    """Merge cleaned trips into the lake, by pickup year and month.
+    """Merge distinct cleaned trips into the lake, by pickup year and month.
 
-    Monthly files hold a few trips of neighbouring months, so a month that is only touched keeps its stored
-    trips: those of the touched months are read, united with the new ones, deduplicated as
-    cleaning does, stored and then written in place of these months. A rerun changes nothing.
-    ``replace="all"`` starts the lake anew.
+    Monthly files hold a few trips of neighbouring months, so nothing is replaced: trips whose key the touched months have
+    already are left out, the others are appended. Of the lake only the keys of these months are read. A rerun changes
+    nothing. ``replace="all"`` starts the lake anew.
     """
     spark = clean.sparkSession
-    dated = clean.withColumn("year", F.year("tpep_pickup_datetime"))
-    if replace == "touched" and path_exists(spark, path):
-        dated = materialize(dated, "clean-batch")
-        touched = [tuple(r) for r in dated.select(*MONTHS).distinct().collect()]         # calendar months
-        stored = spark.read.parquet(path).where(F.concat_ws("-", *MONTHS).isin([f"{y}-{m}" for y, m in touched])
-                                                & F.col("year").isin([y for y, _ in touched]))
-        dated = materialize(deduplicate(stored.unionByName(dated, allowMissingColumns=True)), "clean-merged")
-    write_partitioned(dated, path, MONTHS, replace=replace, **options)
+    if replace == "all" or not path_exists(spark, path):
+        dated = clean.withColumn("year", F.year("tpep_pickup_datetime"))
+        write_partitioned(dated, path, MONTHS, replace="all", **options)
+        return
+    batch = materialize(clean, "clean-batch")
+    months = months_of(batch)
+    new = batch.join(stored_keys(spark, path, months), list(DEDUP_KEY), "left_anti")
+    append_trips(new, path, len(months))
+
+
+def months_of(trips: DataFrame) -> list[tuple[int, int]]:
+    """Calendar months of the trips' pickups."""
+    pickup = F.col("tpep_pickup_datetime")
+    return sorted(tuple(r) for r in trips.select(F.year(pickup), F.month(pickup)).distinct().collect())
 
 
 def read_clean_trips(spark: SparkSession, path: str) -> DataFrame:
@@ -77,10 +102,6 @@ def read_clean_trips(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_grid(grid: DataFrame, path: str, **options) -> None:
-    write_partitioned(grid, path, "hour_of_day", **options)
-
-
 def read_grid(spark: SparkSession, path: str) -> DataFrame:
-    """Filter on ``hour_of_day`` to read only those folders."""
+    """Filter on ``hour_of_day`` or ``grid_month`` (first day of the month) to read only those folders."""
     return spark.read.parquet(path)

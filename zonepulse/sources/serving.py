@@ -35,13 +35,16 @@ def with_created_at(df: DataFrame) -> DataFrame:
 
 
 KEY = ("zone_id", "timestamp")
+SCORED = "predicted_delay_minutes"      # not null in rows that were scored; their level is a predicted one
+LEVEL = "congestion_level"
 
 
 def write_zone_metrics(metrics: DataFrame, path: str, period: str = "month") -> None:
     """Merge into the table by key (zone_id, timestamp); files lie by time period.
 
     Rows of the batch replace rows of the same key and, in columns that the batch does not have
-    (predictions, flags, weather), keep the stored values. All other stored rows stay, also
+    (predictions, flags, weather), keep the stored values; so do the levels of scored rows unless the batch
+    has predictions itself. All other stored rows stay, also
     in periods that the batch touches with a few stray rows only. Of the stored table only the touched
     periods are read and rewritten; the merged rows are stored first, as what is overwritten is
     also what is read. One table keeps one period.
@@ -53,7 +56,11 @@ def write_zone_metrics(metrics: DataFrame, path: str, period: str = "month") ->
         touched = [r[0] for r in dated.select("metric_period").distinct().collect()]     # calendar periods
         stored = read_zone_metrics(spark, path).where(F.col("metric_period").isin(touched))
         missing = [c for c in stored.columns if c not in dated.columns]
-        kept = dated.join(stored.select(*KEY, *missing), list(KEY), "left")
+        scored = F.when(F.col(SCORED).isNotNull(), F.col(LEVEL)).alias("_level")
+        kept = dated.join(stored.select(*KEY, *missing, scored), list(KEY), "left")
+        if LEVEL in dated.columns and SCORED not in dated.columns:
+            kept = kept.withColumn(LEVEL, F.coalesce("_level", LEVEL))
+        kept = kept.drop("_level")
         others = stored.join(dated.select(*KEY), list(KEY), "left_anti")
         dated = materialize(kept.unionByName(others, allowMissingColumns=True), "serving-merged")
     complete = with_serving_defaults(dated).withColumn(
