@@ -75,7 +75,15 @@ def main():
         sinks.drain(counted, sinks.batch_folder_sink(scratch_dir(spark, "windows")),
                     scratch_dir(spark, "cp"), int(CPUS))
 
+    def second():
+        """A delivery of two days, with copies of stored trips, on top of all others."""
+        run_batch(spark, [few_path], *base)
+
+    few_path = scratch_dir(spark, "few")
+    trips.where("day(tpep_pickup_datetime) IN (28, 29)").coalesce(1).write.parquet(few_path)
+
     work = {
+        "batch_second_delivery": second,
         "batch_run": lambda: run_batch(
             spark, [raw_path], *(scratch_dir(spark, n) for n in ("clean", "grid", "serving"))),
         "clean_trips": lambda: noop(cleaning.clean_trips(trips)),

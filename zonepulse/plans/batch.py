@@ -32,15 +32,18 @@ class BatchResult:
         return 100.0 * self.clean_count / self.raw_count if self.raw_count else 0.0
 
 
-def valid_rows(raw: DataFrame, keep: tuple[str, ...] | str) -> tuple[DataFrame, dict[str, int]]:
-    """(stored valid rows of the delivery with a unique ``_row``, raw and rejected rows by name).
+def valid_rows(raw: DataFrame, keep: tuple[str, ...] | str) -> tuple[DataFrame, dict]:
+    """(stored valid rows of the delivery with a unique ``_row``, raw and rejected rows by name and the valid rows' ``months``).
 
     The counts are taken while the rows are written. Each task of that write counts once, even if it was repeated.
     """
     extra = [c for c in (raw.columns if keep == "*" else keep) if c not in cleaning.TRIP_COLUMNS]
     counts = Observation("delivery")
+    pickup = F.col("tpep_pickup_datetime")
+    month = F.when(F.col("_rule").isNull(), F.struct(F.year(pickup).alias("year"), F.month(pickup).alias("month")))
     marked = raw.select(*cleaning.TRIP_COLUMNS, *extra).withColumn("_rule", cleaning.rejected_by()).observe(
-        counts, F.count(F.lit(1)).alias("raw"), *(F.count_if(F.col("_rule") == name).alias(name) for name in cleaning.RULES))
+        counts, F.count(F.lit(1)).alias("raw"), *(F.count_if(F.col("_rule") == name).alias(name) for name in cleaning.RULES),
+        F.collect_set(month).alias("months"))        # bounded by the calendar
     valid = materialize(marked.where(F.col("_rule").isNull()).drop("_rule")
                         .withColumn("_row", F.monotonically_increasing_id()), "valid")
     return valid, dict(counts.get)
@@ -57,7 +60,7 @@ def run_batch(spark: SparkSession, raw_paths: list[str], clean_path: str, grid_p
     raw = lake.read_trips(spark, *raw_paths)
     with run_scratch(spark), sized_for(spark, lake.stored_bytes(spark, *raw_paths)):
         valid, counts = valid_rows(raw, keep)
-        months = lake.months_of(valid)
+        months = sorted(tuple(m) for m in counts["months"])
         surplus = materialize(cleaning.surplus_rows(valid, "_row", lake.stored_keys(spark, clean_path, months)), "surplus")
         kept, known = surplus.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)), F.count_if("stored")).first()
         clean_count = counts["raw"] - sum(counts[name] for name in cleaning.RULES) - kept

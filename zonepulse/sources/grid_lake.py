@@ -74,17 +74,17 @@ def with_previous_hours(cells: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def update_grid(spark: SparkSession, clean_path: str, path: str, changed: DataFrame) -> DataFrame:
-    """Bring the grid up to date with the lake's trips in the ``changed`` cells; returns these cells as they are now.
+    """Bring the grid up to date with the lake's trips in the ``changed`` cells; returns these cells as they are now, or all of a new grid.
 
     Read are the touched months of lake and grid, and the borders; written are the folders (hour of the day, month) with a changed
     cell or one that follows such a cell. A repeated update changes nothing; one that failed is repaired by the next
     update with the same cells. Without a grid all of the lake is aggregated.
     """
     clean = lake.read_clean_trips(spark, clean_path)
-    changed = materialize(changed, "changed-cells")
     if not (path_exists(spark, path) and path_exists(spark, borders_path(path))):
         write_grid(clean.transform(zone_hour_aggregates).transform(label_congestion).transform(add_previous_hour), path)
-        return lake.read_grid(spark, path).join(changed, list(KEY), "left_semi")
+        return lake.read_grid(spark, path)
+    changed = materialize(changed, "changed-cells")
     month = F.date_trunc("month", "hour_bucket").cast("date")
     months = sorted(r[0] for r in changed.select(month).distinct().collect())               # calendar months
     if not months:
@@ -104,27 +104,29 @@ def update_grid(spark: SparkSession, clean_path: str, path: str, changed: DataFr
     # First cells of later months whose zone's cell before has changed.
     moved = now.where("is_border").where(~(F.col("prev_hour_speed").eqNullSafe(F.col("had_prev_hour_speed"))
                                            & F.col("prev_hour_trips").eqNullSafe(F.col("had_prev_hour_trips"))))
-    moved = materialize(moved.select("zone_id", "hour_bucket", *(F.col(c).alias(f"now_{c}") for c in PREVIOUS), "grid_month",
-                                     F.hour("hour_bucket").alias("hour_of_day")), "moved-borders")
+    moved = moved.select("zone_id", "hour_bucket", *(F.col(c).alias(f"now_{c}") for c in PREVIOUS), "grid_month",
+                         F.hour("hour_bucket").alias("hour_of_day"))
     later = [tuple(r) for r in moved.select(*FOLDERS).distinct().collect()]                       # as many, a month
-    updates = rewritten
-    if later:
-        folder = F.concat_ws(" ", *FOLDERS).isin([f"{h} {m}" for h, m in later])
-        beyond = (stored.where(folder & F.col("grid_month").isin(sorted({m for _, m in later})))
-                  .join(moved.drop(*FOLDERS).withColumn("_moved", F.lit(True)), list(KEY), "left"))
-        beyond = beyond.withColumns({c: F.when(F.col("_moved"), F.col(f"now_{c}")).otherwise(F.col(c)) for c in PREVIOUS})
-        beyond = beyond.withColumn("speed_delta", F.col("avg_speed") - F.col("prev_hour_speed"))
-        updates = rewritten.unionByName(beyond.select(*columns))
-    updates = materialize(updates, "grid-updates")      # stored first: what is overwritten is also read
+    updates, borders_now = rewritten, borders(cells)
+    if later:       # what is overwritten is also read, so it is stored first
+        beyond, seen = _moved_on(stored, edges, moved, later)
+        updates = materialize(updates.unionByName(beyond.select(*columns)), "grid-updates")
+        borders_now = materialize(borders_now.unionByName(seen.select(*borders_now.columns)), "borders")
     write_partitioned(updates, path, FOLDERS, replace="touched")
-
-    borders_now = borders(cells)
-    if later:
-        months_later = sorted({m for _, m in later})
-        seen = edges.where(F.col("grid_month").isin(months_later)).join(
-            moved.select("zone_id", "grid_month", *(f"now_{c}" for c in PREVIOUS), F.lit(True).alias("_moved")),
-            ["zone_id", "grid_month"], "left")
-        seen = seen.withColumns({c: F.when(F.col("_moved"), F.col(f"now_{c}")).otherwise(F.col(c)) for c in PREVIOUS})
-        borders_now = borders_now.unionByName(seen.select(*borders_now.columns))
-    write_partitioned(materialize(borders_now, "borders"), borders_path(path), "grid_month", replace="touched")
+    write_partitioned(borders_now, borders_path(path), "grid_month", replace="touched")
     return cells.where("changed").select(*columns)
+
+
+def _moved_on(stored: DataFrame, edges: DataFrame, moved: DataFrame, later: list[tuple]) -> tuple[DataFrame, DataFrame]:
+    """(grid rows of the folders in ``later``, borders of their months) with the ``moved`` cells' new previous hours."""
+    months = sorted({m for _, m in later})
+    values = [F.col(f"now_{c}") for c in PREVIOUS]
+
+    def renewed(rows, key):
+        joined = rows.join(moved.select(*key, *values, F.lit(True).alias("_moved")), key, "left")
+        return joined.withColumns({c: F.when(F.col("_moved"), v).otherwise(F.col(c)) for c, v in zip(PREVIOUS, values)})
+
+    folder = F.concat_ws(" ", *FOLDERS).isin([f"{h} {m}" for h, m in later])
+    cells = renewed(stored.where(folder & F.col("grid_month").isin(months)), list(KEY))
+    cells = cells.withColumn("speed_delta", F.col("avg_speed") - F.col("prev_hour_speed"))
+    return cells, renewed(edges.where(F.col("grid_month").isin(months)), ["zone_id", "grid_month"])
