@@ -352,3 +352,29 @@ FROM (SELECT CAST(delivery AS BIGINT) delivery, count(*) raw_count, {", ".join(f
 JOIN (SELECT delivery, count(DISTINCT ({KEYS})) clean_count, count(DISTINCT ({KEYS})) FILTER (delivery = first) added_count
       FROM (SELECT *, min(delivery) OVER (PARTITION BY {KEYS}) AS first FROM speedy_part WHERE {RULE} IS NULL) GROUP BY delivery) c
   ON c.delivery = m.delivery""", "trips")
+
+# Models: SQL states the rows they must answer for; the booleans are held against baselines.
+HELD_OUT = "class_pos <= (class_n * 20 + 99) // 100"
+LEVELS = f"""SELECT {LEVEL}, count(*) support, true beats_majority FROM placed WHERE {HELD_OUT} GROUP BY congestion_level"""
+ORACLES["congestion_gbt"] = _sql(f"""SELECT *, 100 rounds, true probabilities_sum_to_one, true loss_falls_each_round FROM ({LEVELS})""",
+                                 "placed")
+ORACLES["rf_baseline"] = ORACLES["logreg_baseline"] = _sql(LEVELS, "placed")
+ORACLES["delay_gbt"] = ORACLES["rf_regressor"] = ORACLES["ridge_baseline"] = _sql(
+    """SELECT count(*) support, true beats_mean_rmse, true beats_mean_mae FROM placed WHERE pos <= (n * 20 + 99) // 100""", "placed")
+ORACLES["cross_validation"] = _sql(f"""SELECT row_number % 5 fold, count(*) AS "rows", true beats_majority
+FROM (SELECT row_number() OVER (PARTITION BY congestion_level ORDER BY class_pos) row_number FROM placed WHERE NOT {HELD_OUT}) GROUP BY 1""",
+                                   "placed")
+INPUTS = """hour_of_day day_of_week is_weekend is_rush_hour is_overnight hour_sin hour_cos dow_sin dow_cos trip_count avg_speed
+speed_stddev avg_distance speed_delta lag1_speed lag2_speed lag1_trips rolling_avg_speed_3h speed_to_zone_avg trips_per_minute
+congestion_ratio total_passengers""".split()
+ORACLES["feature_importance"] = f"""SELECT unnest([{", ".join(f"'{c}'" for c in INPUTS)}]) feature, true is_share, true sums_to_one,
+'avg_speed' most_important"""
+ORACLES["isolation_forest"] = _sql("""SELECT count(*) AS "rows", CAST(count(*) - 1 - floor((count(*) - 1) * 0.95) AS BIGINT) hotspots,
+true scores_in_range, true hotspots_score_highest FROM grid""", "grid")
+METRICS = {"congestion_classifier": ("accuracy", "weighted_f1", "macro_f1"), "delay_regressor": ("rmse", "mae", "r2"),
+           "hotspot_detector": ("rows", "hotspots", "hotspot_pct")}
+ORACLES["model_performance"] = _sql("""SELECT model_name, metric_name, (SELECT count(*) FROM grid) dataset_size, true is_possible
+FROM (VALUES """ + ", ".join(f"('{m}', '{n}')" for m, names in METRICS.items() for n in names) + ") AS v(model_name, metric_name)", "grid")
+ORACLES["batch_scoring"] = _sql("""SELECT zone_id, "timestamp", trip_count, CAST(hour_of_day AS BIGINT) hour_of_day,
+true has_delay, true has_level, true has_flag, true mostly_right FROM grid""", "grid")
+ORACLES["stream_scoring"] = _sql("""SELECT zone_id, "timestamp", true same_as_batch FROM grid""", "grid")

@@ -5,13 +5,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from zonepulse.functions import congestion_level, demand_factor
-from zonepulse.models import estimators, metrics
+from zonepulse.models import boosting, estimators, metrics
 from zonepulse.models.forest import fit_hotspot_forest
 from zonepulse.models.scoring import Models
 from zonepulse.operators import cleaning, features, fill, grid, hotspots, joins, reports, split
 from zonepulse.plans import scoring, training
 from zonepulse.plans.batch import run_batch
-from zonepulse.session import scratch_dir
+from zonepulse.session import materialize, scratch_dir
 from zonepulse.sources import broker, event_trips, lake, serving
 from zonepulse.sources.grid_lake import write_grid
 from zonepulse.streaming import sinks, windows
@@ -58,12 +58,12 @@ def zone_grid(spark, sf_dir):
     return grid.zone_hour_grid(cleaning.clean_trips(trips(spark, sf_dir)))
 
 
-STORED: dict[tuple[str, str, str], str] = {}
+STORED: dict[tuple, str] = {}
 
 
 def stored_path(spark, sf_dir, name, write):
-    """Folder of a lake table or model, written on first use in this application."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """Folder of a lake table or model, written on first use in this application and anew once the events have changed."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, lake.version(spark, f"{sf_dir}/events.parquet"))
     if key not in STORED:
         path = scratch_dir(spark, name)
         write(spark, sf_dir, path)
@@ -479,10 +479,9 @@ def hotspot_eval(spark, sf_dir):
 
 
 # --- models -----------------------------------------------------------------------------
-# Small ensembles keep the catalog quick; the estimators' defaults are the full sizes.
+# All at the estimators' full sizes. What SQL can't compute is held against a baseline that it can state.
 
-TREES = 5
-CV_TREES = 2
+CV_ROUNDS = 20          # of each of the five models, grown side by side
 
 
 def _train_test(spark, sf_dir, stratify=None):
@@ -547,98 +546,146 @@ def regression_metrics(spark, sf_dir):
     return metrics.regression_scores(estimators.delay_mean(train, test))
 
 
+def _per_level(spark, predicted):
+    """Test rows by level, and whether accuracy beats always predicting the most frequent level."""
+    scores = metrics.classification_scores(predicted).first()
+    usual = predicted.groupBy("congestion_level").count()
+    most, rows = usual.agg(F.max("count"), F.sum("count")).first()
+    return usual.select(F.col("congestion_level").cast("int"), F.col("count").alias("support"),
+                        F.lit(scores["accuracy"] > most / rows).alias("beats_majority"))
+
+
+def _against_mean(spark, sf_dir, predicted):
+    """Test rows, and whether the errors are below those of the training mean."""
+    train, test = _train_test(spark, sf_dir)
+    mean, own = (metrics.regression_scores(p).first() for p in (estimators.delay_mean(train, test), predicted))
+    return predicted.agg(F.count("*").alias("support"), F.lit(own["rmse"] < mean["rmse"]).alias("beats_mean_rmse"),
+                         F.lit(own["mae"] < mean["mae"]).alias("beats_mean_mae"))
+
+
 @query
 def congestion_gbt(spark, sf_dir):
-    return metrics.classification_scores(
-        _classified(spark, sf_dir, estimators.congestion_gbt(TREES, depth=4)))
+    """The trained softmax model on the test rows: probabilities, loss by round, and accuracy."""
+    _, test = _train_test(spark, sf_dir, "congestion_level")
+    model = Models.load(spark, f"{_trained(spark, sf_dir)}/models").congestion
+    predicted = materialize(model.transform(test), "predicted")
+    total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
+    sound = predicted.agg(F.bool_and((F.abs(total - 1) < 1e-9) & (F.size("probability") == 4))).first()[0]
+    falls = all(b < a for a, b in zip(model.losses, model.losses[1:]))
+    return _per_level(spark, predicted).withColumns({
+        "rounds": F.lit(len(model.losses)), "probabilities_sum_to_one": F.lit(sound), "loss_falls_each_round": F.lit(falls)})
 
 
 @query
 def rf_baseline(spark, sf_dir):
-    return metrics.classification_report(
-        _classified(spark, sf_dir, estimators.congestion_forest(TREES, depth=6), weighted=True))
+    return _per_level(spark, _classified(spark, sf_dir, estimators.congestion_forest(), weighted=True))
 
 
 @query
 def logreg_baseline(spark, sf_dir):
-    return metrics.classification_scores(
-        _classified(spark, sf_dir, estimators.congestion_logistic(20)))
+    return _per_level(spark, _classified(spark, sf_dir, estimators.congestion_logistic()))
 
 
 @query
 def delay_gbt(spark, sf_dir):
-    return metrics.regression_scores(
-        _regressed(spark, sf_dir, estimators.delay_gbt(TREES, depth=4)))
+    _, test = _train_test(spark, sf_dir)
+    model = Models.load(spark, f"{_trained(spark, sf_dir)}/models").delay
+    return _against_mean(spark, sf_dir, model.transform(test))
 
 
 @query
 def rf_regressor(spark, sf_dir):
-    return metrics.regression_scores(
-        _regressed(spark, sf_dir, estimators.delay_forest(TREES, depth=6)))
+    return _against_mean(spark, sf_dir, _regressed(spark, sf_dir, estimators.delay_forest()))
 
 
 @query
 def ridge_baseline(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     model = estimators.fit(estimators.delay_ridge(train), train)
-    return metrics.regression_scores(model.transform(test))
+    return _against_mean(spark, sf_dir, model.transform(test))
 
 
 @query
 def cross_validation(spark, sf_dir):
+    """Rows of each fold, and whether its weighted F1, by the model that left it out, beats that of the most frequent level."""
     train, _ = _train_test(spark, sf_dir, "congestion_level")
-    mean, std = estimators.cross_validate(
-        estimators.congestion_forest(CV_TREES, depth=4, weight_col=None), train.drop("is_train"))
-    return spark.createDataFrame([(mean, std)], "f1_mean double, f1_std double")
+    folded = materialize(split.stratified_folds(train, "congestion_level"), "folds")
+    _, _, scores = boosting.cross_validate(folded.drop("fold"), settings=boosting.Settings(rounds=CV_ROUNDS))
+    usual = folded.groupBy("congestion_level").count().orderBy(F.desc("count"), "congestion_level").first()[0]
+    baseline = metrics.classification_scores(folded.withColumn("prediction", F.lit(usual))).first()["weighted_f1"]
+    rows = [(i, bool(score > baseline)) for i, score in enumerate(scores)]
+    better = spark.createDataFrame(rows, "fold int, beats_majority boolean")
+    return folded.groupBy("fold").agg(F.count("*").alias("rows")).join(better, "fold")
 
 
 @query
 def feature_importance(spark, sf_dir):
-    train, _ = _train_test(spark, sf_dir, "congestion_level")
-    model = estimators.fit(estimators.congestion_gbt(CV_TREES, depth=3), train)
-    return estimators.feature_importance(spark, model)
+    """The trained classifier's shares of gain: all inputs, none negative, 1 together, mean speed first."""
+    shares = Models.load(spark, f"{_trained(spark, sf_dir)}/models").congestion.importance()
+    first = max(shares, key=lambda c: shares[c])
+    rows = [(c, bool(0 <= v <= 1), bool(abs(sum(shares.values()) - 1) < 1e-9), first) for c, v in shares.items()]
+    return spark.createDataFrame(rows, "feature string, is_share boolean, sums_to_one boolean, most_important string")
 
 
 @query
 def isolation_forest(spark, sf_dir):
+    """Scored cells, and how many score above the exact 95 % quantile of all scores."""
     cells = feature_lake(spark, sf_dir)
-    forest = fit_hotspot_forest(cells)
-    return forest.transform(cells).select("zone_id", "hour_bucket", "anomaly_score", "is_hotspot")
+    scored = materialize(fit_hotspot_forest(cells).transform(cells), "scored")
+    return scored.agg(F.count("*").alias("rows"), F.count_if("is_hotspot").alias("hotspots"),
+                      F.bool_and(F.col("anomaly_score").between(0, 1)).alias("scores_in_range"),
+                      (F.min(F.when(F.col("is_hotspot"), F.col("anomaly_score"))) > F.max(F.when(~F.col("is_hotspot"), F.col("anomaly_score"))))
+                      .alias("hotspots_score_highest"))
 
 
 def _train(spark, sf_dir, path):
-    result = training.train(grid_lake(spark, sf_dir), f"{path}/models",
-                            classifier_trees=CV_TREES, regressor_trees=CV_TREES)
+    result = training.train(grid_lake(spark, sf_dir), f"{path}/models")
     serving.append_model_performance(result.performance, f"{path}/performance")
 
 
 def _trained(spark, sf_dir):
-    """Folder with small models, trained and saved once, and their metric rows."""
+    """Folder with the models, trained and saved once, and their metric rows."""
     return stored_path(spark, sf_dir, "training", _train)
 
 
 @query
 def model_performance(spark, sf_dir):
-    return spark.read.parquet(f"{_trained(spark, sf_dir)}/performance").drop("training_date")
+    """The stored metric rows: names, sizes, and whether the values are possible."""
+    stored = spark.read.parquet(f"{_trained(spark, sf_dir)}/performance")
+    possible = F.when(F.col("metric_name").isin("rows", "hotspots"), F.col("metric_value") >= 0).when(
+        F.col("metric_name") == "r2", F.col("metric_value") <= 1).when(
+        F.col("metric_name") == "hotspot_pct", F.col("metric_value").between(0, 100)).when(
+        F.col("metric_name").isin("rmse", "mae"), F.col("metric_value") >= 0).otherwise(F.col("metric_value").between(0, 1))
+    return stored.select("model_name", "metric_name", "dataset_size", possible.alias("is_possible"))
 
 
 @query
 def batch_scoring(spark, sf_dir):
-    """Load the saved models, score the grid and rewrite the serving table."""
+    """Load the saved models, score the grid and fill the serving table; measured columns stay as they are."""
     folder = f"{_trained(spark, sf_dir)}/models"
     path = scratch_dir(spark, "scored-serving")
     cells = grid_lake(spark, sf_dir)
     serving.write_zone_metrics(serving.batch_projection(cells), path)
     scoring.score_serving(spark, cells, folder, path)
-    return serving.read_zone_metrics(spark, path).drop("created_at", "metric_period")
+    scored = serving.read_zone_metrics(spark, path)
+    measured = cells.select("zone_id", "timestamp", F.col("congestion_level").alias("measured"))
+    right = scored.join(measured, ["zone_id", "timestamp"])
+    share = right.agg(F.avg((F.col("congestion_level") == F.col("measured")).cast("double"))).first()[0]
+    return scored.select("zone_id", "timestamp", "trip_count", "hour_of_day", (F.col("predicted_delay_minutes") >= 0).alias("has_delay"),
+                         F.col("congestion_level").between(0, 3).alias("has_level"), F.col("is_hotspot").isNotNull().alias("has_flag"),
+                         F.lit(share > 0.9).alias("mostly_right"))
 
 
 @query
 def stream_scoring(spark, sf_dir):
-    """Score a stream of feature rows micro-batch by micro-batch."""
+    """Score a stream of feature rows micro-batch by micro-batch: the same predictions as in one batch."""
     source = feature_lake(spark, sf_dir)
     models = Models.load(spark, f"{_trained(spark, sf_dir)}/models")
     stream = broker.file_stream(spark, source.inputFiles()[0].rsplit("/", 1)[0], source.schema)
     out, checkpoint = scratch_dir(spark, "scored"), scratch_dir(spark, "scored-checkpoint")
     scoring.score_stream(stream, models, out, checkpoint, once=True).awaitTermination()
-    return sinks.read_batches(spark, out, models.predict(source).schema).drop("batch_id")
+    whole = models.predict(source)
+    names = [c for c in whole.columns if c not in ("zone_id", "timestamp")]
+    streamed = sinks.read_batches(spark, out, whole.schema).select("zone_id", "timestamp", F.struct(*names).alias("streamed"))
+    return whole.join(streamed, ["zone_id", "timestamp"], "full").select(
+        "zone_id", "timestamp", F.struct(*names).eqNullSafe(F.col("streamed")).alias("same_as_batch"))

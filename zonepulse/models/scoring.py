@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from zonepulse.models.boosting import SoftmaxModel
 from zonepulse.models.forest import HotspotForest
 
 NAMES = ("congestion_classifier", "delay_regressor", "hotspot_detector")
@@ -13,18 +14,19 @@ SCRATCH = ["raw_features", "features", "rawPrediction", "probability", "predicti
 
 @dataclass
 class Models:
-    congestion: PipelineModel
+    congestion: SoftmaxModel
     delay: PipelineModel
     hotspots: HotspotForest
 
     def save(self, folder: str) -> None:
-        for name, model in zip(NAMES[:2], (self.congestion, self.delay)):
-            model.write().overwrite().save(f"{folder}/{name}")
+        spark = self.hotspots.nodes.sparkSession
+        self.congestion.save(spark, f"{folder}/{NAMES[0]}")
+        self.delay.write().overwrite().save(f"{folder}/{NAMES[1]}")
         self.hotspots.save(f"{folder}/{NAMES[2]}")
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> "Models":
-        return cls(PipelineModel.load(f"{folder}/{NAMES[0]}"),
+        return cls(SoftmaxModel.load(spark, f"{folder}/{NAMES[0]}"),
                    PipelineModel.load(f"{folder}/{NAMES[1]}"),
                    HotspotForest.load(spark, f"{folder}/{NAMES[2]}"))
 

@@ -1,6 +1,6 @@
 """Scoring plans: fill the serving table's prediction columns, in batch and per micro-batch."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from zonepulse.models.scoring import Models
@@ -17,12 +17,24 @@ def score_metrics(metrics: DataFrame, features: DataFrame, models: Models) -> Da
 
 
 def score_serving(spark: SparkSession, grid: DataFrame, model_folder: str,
-                  serving_path: str) -> None:
-    """Load the models, score the grid and rewrite the affected periods of the serving table."""
+                  serving_path: str, rescore: bool = False) -> None:
+    """Load the models and score the serving table's periods that hold rows without predictions; ``rescore``: all periods.
+
+    Features need a zone's history, so they are made of the whole grid; only rows of these periods are predicted, read and rewritten.
+    """
     models = Models.load(spark, model_folder)
-    current = serving.read_zone_metrics(spark, serving_path).drop("metric_period")
+    table = serving.read_zone_metrics(spark, serving_path)
+    features = feature_matrix(grid)
+    if not rescore:
+        pending = table.where(F.col(serving.SCORED).isNull()).agg(
+            F.collect_set("metric_period"), F.min("metric_period"), F.date_add(F.last_day(F.max("metric_period")), 1)).first()
+        periods, first, end = pending                                          # calendar periods
+        if not periods:
+            return
+        table = table.where(F.col("metric_period").isin(periods))
+        features = features.where((F.col("hour_bucket") >= F.lit(first)) & (F.col("hour_bucket") < F.lit(end)))
     # Stored first: the periods being overwritten are also being read.
-    scored = materialize(score_metrics(current, feature_matrix(grid), models), "scored")
+    scored = materialize(score_metrics(table.drop("metric_period"), features, models), "scored")
     serving.write_zone_metrics(scored, serving_path)
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from zonepulse import rules
-from zonepulse.models import estimators, metrics
+from zonepulse.models import boosting, estimators, metrics
 from zonepulse.models.forest import fit_hotspot_forest
 from zonepulse.models.scoring import NAMES, Models
 from zonepulse.operators.features import feature_matrix
@@ -59,8 +59,7 @@ def train(grid: DataFrame, model_folder: str | None = None, classifier_trees: in
     fitted, held_out = split(features, rules.TARGETS[0])
     if balanced:
         fitted = metrics.with_class_weights(fitted)
-    congestion = estimators.fit(estimators.congestion_gbt(
-        classifier_trees, weight_col="weight" if balanced else None, columns=inputs), fitted)
+    congestion = boosting.fit(fitted, boosting.Settings(rounds=classifier_trees), columns=inputs, weight="weight" if balanced else None)
     record(NAMES[0], metrics.classification_scores(congestion.transform(held_out)), began)
 
     began = time.monotonic()

@@ -31,6 +31,14 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
     return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in locations)
 
 
+def version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(bytes, newest modification) of a file or folder of files."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(conf).listStatus(location)
+    return sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)
+
+
 def write_partitioned(df: DataFrame, path: str, by: str | tuple[str, ...], mode: str = "overwrite",
                       replace: str = "all", rebalance: bool = True) -> None:
     """Snappy Parquet partitioned by ``by``.
