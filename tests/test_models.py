@@ -178,6 +178,27 @@ def test_serving_gets_predictions(spark, trained, sf_dir):
     assert served.filter("is_hotspot").count() > 0
 
 
+def test_only_pending_periods_are_scored(spark, trained, sf_dir, tmp_path):
+    _, folder = trained
+    grid = grid_lake(spark, sf_dir).withColumn("timestamp", F.col("hour_bucket"))
+    path = str(tmp_path / "serving")
+    later = grid.withColumns({c: F.col(c) + F.expr("INTERVAL 60 DAYS") for c in ("hour_bucket", "timestamp")})
+    serving.write_zone_metrics(serving.batch_projection(grid.unionByName(later)), path)
+    scoring.score_serving(spark, grid.unionByName(later), folder, path)
+    scored = serving.read_zone_metrics(spark, path)
+    assert scored.filter("predicted_delay_minutes IS NULL").count() == 0 and scored.count() == 1192
+    files = {f: (tmp_path / "serving" / f.split("/serving/")[1]).stat().st_mtime_ns for f in scored.inputFiles()}
+    scoring.score_serving(spark, grid.unionByName(later), folder, path)              # nothing is pending
+    assert set(serving.read_zone_metrics(spark, path).inputFiles()) == set(files)
+    stray = later.limit(1).withColumns({"zone_id": F.lit(77), "trip_count": F.lit(5)})
+    serving.write_zone_metrics(serving.batch_projection(stray), path)
+    scoring.score_serving(spark, grid.unionByName(later).unionByName(stray), folder, path)
+    after = serving.read_zone_metrics(spark, path)
+    month = stray.select(F.date_trunc("month", "timestamp").cast("date")).first()[0]
+    assert {f for f in after.inputFiles() if f not in files} and all(str(month) in f for f in after.inputFiles() if f not in files)
+    assert after.filter("predicted_delay_minutes IS NULL").count() == 0
+
+
 def test_stream_scoring_equals_batch(spark, trained, cells, tmp_path):
     result, _ = trained
     inbox = str(tmp_path / "features")
@@ -191,9 +212,9 @@ def test_stream_scoring_equals_batch(spark, trained, cells, tmp_path):
     assert sorted(got.drop("batch_id").collect()) == sorted(expected.collect())
 
 
-def test_importance_is_a_top_k(spark, trained):
-    result, _ = trained
-    top = estimators.feature_importance(spark, result.models.congestion).collect()
+def test_importance_is_a_top_k(spark, cells):
+    model = estimators.fit(estimators.congestion_gbt(2, depth=3), cells)
+    top = estimators.feature_importance(spark, model).collect()
     assert len(top) == 10 and top[0].feature in ("avg_speed", "congestion_ratio")
     assert [r.importance for r in top] == sorted((r.importance for r in top), reverse=True)
 

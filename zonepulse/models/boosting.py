@@ -80,8 +80,8 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def thresholds(df: DataFrame, columns: list[str], bins: int) -> list[np.ndarray]:
-    """Ascending cuts of each column, at most ``bins - 1``: quantiles of a mergeable sketch, so one pass; few different values
-    are cut between any two of them."""
+    """Ascending cuts of each column, at most ``bins - 1``: quantiles of a mergeable sketch, so one pass. A
+    value goes left of a cut that is not below it."""
     shares = F.array(*(F.lit(i / bins) for i in range(1, bins)))
     row = df.agg(*(F.percentile_approx(_value(c), shares, 10_000).alias(c) for c in columns)).first()
     return [np.unique(np.array(row[c] or [], float)) for c in columns]
