@@ -1,8 +1,10 @@
-"""``python -m zonepulse batch|stream|train|score``; also usable with spark-submit."""
+"""``python -m zonepulse batch|stream|train|score|live``; also usable with spark-submit."""
 
 import argparse
 import logging
 
+from zonepulse import schemas
+from zonepulse.models.scoring import Models
 from zonepulse.plans import batch, scoring, streaming, training
 from zonepulse.session import build_session
 from zonepulse.sources import broker, lake, serving
@@ -26,6 +28,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--state-partitions", type=int)
     job.add_argument("--topic", choices=("trips", "sensors"), default="trips")
     job.add_argument("--jdbc-table", help="write windows there instead of to --out")
+    job.add_argument("--distinct", action="store_true", help="trip messages sent again count once")
+    job.add_argument("--rocksdb", action="store_true", help="for large state")
     job.add_argument("--max-offsets", type=int, help="per trigger; default: no cap")
     job.add_argument("--skip-lost", action="store_true", help="go on where offsets have expired")
 
@@ -36,6 +40,14 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--horizon", type=int, default=0)
     job.add_argument("--balanced", action="store_true")
 
+    job = jobs.add_parser("live", help="score raw trips as they arrive in a folder")
+    job.add_argument("--trips", required=True)
+    job.add_argument("--models", default="models")
+    job.add_argument("--out", default="data/serving/live_predictions")
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--state-partitions", type=int)
+    job.add_argument("--once", action="store_true", help="stop when all that is there has been scored")
+
     job = jobs.add_parser("score", help="fill predictions in the serving table")
     job.add_argument("--grid", default="data/lake/zone_aggregates")
     job.add_argument("--models", default="models")
@@ -52,13 +64,20 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stream":
         rows = broker.kafka_stream(spark, args.servers, max_offsets=args.max_offsets,
                                    fail_on_data_loss=not args.skip_lost)
-        run = streaming.stream_trip_windows if args.topic == "trips" else streaming.stream_sensor_windows
-        run(rows, args.out, args.checkpoint, state_partitions=args.state_partitions,
-            jdbc_table=args.jdbc_table).awaitTermination()
+        options = {"state_partitions": args.state_partitions, "jdbc_table": args.jdbc_table}
+        if args.topic == "trips":
+            query = streaming.stream_trip_windows(rows, args.out, args.checkpoint, distinct=args.distinct, rocksdb=args.rocksdb, **options)
+        else:
+            query = streaming.stream_sensor_windows(rows, args.out, args.checkpoint, **options)
+        query.awaitTermination()
     elif args.job == "train":
         result = training.train(lake.read_grid(spark, args.grid), args.models,
                                 horizon=args.horizon, balanced=args.balanced)
         serving.append_model_performance(result.performance, args.performance)
+    elif args.job == "live":
+        stream = broker.file_stream(spark, args.trips, schemas.RAW_TRIP)
+        scoring.score_trip_stream(stream, Models.load(spark, args.models), args.out, args.checkpoint, args.once,
+                                  args.state_partitions).awaitTermination()
     else:
         scoring.score_serving(spark, lake.read_grid(spark, args.grid), args.models, args.serving)
 

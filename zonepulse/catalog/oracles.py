@@ -378,3 +378,24 @@ FROM (VALUES """ + ", ".join(f"('{m}', '{n}')" for m, names in METRICS.items() f
 ORACLES["batch_scoring"] = _sql("""SELECT zone_id, "timestamp", trip_count, CAST(hour_of_day AS BIGINT) hour_of_day,
 true has_delay, true has_level, true has_flag, true mostly_right FROM grid""", "grid")
 ORACLES["stream_scoring"] = _sql("""SELECT zone_id, "timestamp", true same_as_batch FROM grid""", "grid")
+
+ORACLES["precision_at_k"] = _sql("""SELECT count(*) alerts, count(*) FILTER (gridlock) AS "right",
+round(count(*) FILTER (gridlock) / count(*), 6) precision_at_k, round(count(*) FILTER (NOT gridlock) / count(*), 6) false_alarm_rate
+FROM (SELECT congestion_level = 3 gridlock FROM features
+      QUALIFY row_number() OVER (PARTITION BY hour_bucket ORDER BY congestion_ratio DESC, zone_id) <= 2)""", "features")
+ORACLES["sketched_spikes"] = _sql("SELECT DISTINCT zone_id, true rank_within_bound FROM grid", "grid")
+ORACLES["stream_resent"] = _sql("""SELECT zone_id, window_start, count(*) trip_count_5min
+FROM panes WHERE event_type IN ('view', 'click', 'purchase') GROUP BY zone_id, window_start
+HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(event_time) - INTERVAL 2 MINUTE FROM messages)""", "panes", "messages")
+ORACLES["stream_weather"] = _sql("""SELECT t.event_id, t.ts event_time, w.weather_condition, round(w.temperature, 6) temperature
+FROM (SELECT *, time_bucket(INTERVAL 10 MINUTE, ts) slot FROM e WHERE event_type <> 'error') t
+LEFT JOIN (SELECT time_bucket(INTERVAL 10 MINUTE, ts) slot, arg_max('W' || user_id % 4, (ts, 'W' || user_id % 4, value)) weather_condition,
+                  arg_max(value, (ts, 'W' || user_id % 4, value)) temperature FROM e WHERE event_type = 'error' GROUP BY 1) w ON w.slot = t.slot
+WHERE t.slot + INTERVAL 10 MINUTE <= (SELECT least(max(ts) FILTER (event_type <> 'error') - INTERVAL 2 MINUTE,
+                                                   max(ts) FILTER (event_type = 'error') - INTERVAL 10 MINUTE) FROM e)""", "e")
+ORACLES["live_features"] = _sql(f"""SELECT zone_id, hour_bucket, {CLOCK}, is_weekend, is_rush_hour, is_overnight,
+{_rounded("hour_sin hour_cos dow_sin dow_cos avg_speed avg_distance rolling_avg_speed_3h trips_per_minute congestion_ratio delay_minutes")},
+round(avg_speed / (avg(avg_speed) OVER (PARTITION BY zone_id ORDER BY hour_bucket) + 1e-6), 6) speed_to_zone_avg,
+trip_count, total_passengers, {LEVEL},
+{_filled("speed_stddev speed_delta lag1_speed lag2_speed lag1_trips", "forward", "PARTITION BY zone_id")}
+FROM features WHERE hour_bucket + INTERVAL 1 HOUR <= (SELECT max(tpep_pickup_datetime) - INTERVAL 2 MINUTE FROM valid)""", "features")

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from zonepulse import schemas
 from zonepulse.functions import congestion_level, demand_factor
 from zonepulse.models import boosting, estimators, metrics
 from zonepulse.models.forest import fit_hotspot_forest
@@ -14,7 +15,7 @@ from zonepulse.plans.batch import run_batch
 from zonepulse.session import materialize, scratch_dir
 from zonepulse.sources import broker, event_trips, lake, serving
 from zonepulse.sources.grid_lake import write_grid
-from zonepulse.streaming import sinks, windows
+from zonepulse.streaming import live, sinks, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -376,6 +377,46 @@ def stream_windows(spark, sf_dir):
     return sinks.read_batches(spark, out, counted.schema).drop("batch_id")
 
 
+@query
+def stream_resent(spark, sf_dir):
+    """Messages in two files, the second with all of the first once more: the windows are those of the messages."""
+    rows = event_trips.broker_rows(spark, sf_dir)
+    inbox = scratch_dir(spark, "resent-inbox")
+    half = F.dayofmonth("timestamp") <= 15
+    out, checkpoint = scratch_dir(spark, "resent"), scratch_dir(spark, "resent-checkpoint")
+    for part in (rows.where(half), rows):
+        part.write.mode("append").parquet(inbox)
+        counted = windows.trip_windows(windows.distinct_messages(broker.decode_trips(broker.file_stream(spark, inbox))), None)
+        sinks.drain(counted, sinks.batch_folder_sink(out), checkpoint, STATE_PARTITIONS, rocksdb=True)
+    return sinks.read_batches(spark, out, counted.schema).select("zone_id", "window_start", "trip_count_5min")
+
+
+@query
+def stream_weather(spark, sf_dir):
+    """Trips with the weather of their ten-minute slot, a stream joined with a stream; rows come out once both have passed the slot."""
+    def stream():
+        return broker.file_stream(spark, sf_dir, _event_schema(spark, sf_dir), pathGlobFilter="events.parquet")
+
+    readings = event_trips.weather_of(stream()).withColumnRenamed("timestamp", "weather_time")
+    trips_ = stream().where("event_type <> 'error'").select(F.col("event_id"), F.col("ts").cast("timestamp").alias("event_time"))
+    joined = windows.with_weather(trips_, readings)
+    out = scratch_dir(spark, "weather")
+    sinks.drain(joined, sinks.batch_folder_sink(out), scratch_dir(spark, "weather-checkpoint"), STATE_PARTITIONS, rocksdb=True)
+    return sinks.read_batches(spark, out, joined.schema).drop("batch_id")
+
+
+@query
+def live_features(spark, sf_dir):
+    """Model features of a stream of raw trips, by way of state kept for each zone."""
+    inbox = scratch_dir(spark, "live-inbox")
+    trips(spark, sf_dir).orderBy("tpep_pickup_datetime").coalesce(1).write.parquet(inbox)
+    stream = broker.file_stream(spark, inbox, schemas.RAW_TRIP)
+    rows = live.live_features(stream)
+    out = scratch_dir(spark, "live")
+    sinks.drain(rows, sinks.batch_folder_sink(out), scratch_dir(spark, "live-checkpoint"), STATE_PARTITIONS, rocksdb=True)
+    return sinks.read_batches(spark, out, rows.schema).drop("batch_id")
+
+
 @query
 def late_rows_dropped(spark, sf_dir):
     """Three waves of ten days; some events arrive one or two waves late.
@@ -478,6 +519,28 @@ def hotspot_eval(spark, sf_dir):
     return hotspots.detection_scores(flagged, "truth")
 
 
+ALERTS_PER_HOUR = 2
+
+
+@query
+def precision_at_k(spark, sf_dir):
+    """The two cells of each hour with most trips per mile an hour against gridlock."""
+    scored = features.add_density_features(grid_lake(spark, sf_dir)).withColumn("truth", F.col("congestion_level") == 3)
+    return hotspots.precision_at_k(scored, "truth", ALERTS_PER_HOUR, "congestion_ratio")
+
+
+@query
+def sketched_spikes(spark, sf_dir):
+    """Zones' 95 % trip counts from sketches of three deliveries: each has the right rank within one percent."""
+    cells = grid_lake(spark, sf_dir)
+    parts = [hotspots.trip_sketches(cells.where(F.dayofmonth("hour_bucket") % 3 == i)) for i in range(3)]
+    spikes = hotspots.sketched_spikes(hotspots.merged_sketches(*parts))
+    ranks = cells.join(spikes, "zone_id").groupBy("zone_id").agg(
+        F.avg((F.col("trip_count") < F.col("spike_trips")).cast("double")).alias("below"),
+        F.avg((F.col("trip_count") <= F.col("spike_trips")).cast("double")).alias("upto"))
+    return ranks.select("zone_id", ((F.col("below") <= 0.96) & (F.col("upto") >= 0.94)).alias("rank_within_bound"))
+
+
 # --- models -----------------------------------------------------------------------------
 # All at the estimators' full sizes. What SQL can't compute is held against a baseline that it can state.
 

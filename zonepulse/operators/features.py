@@ -26,11 +26,17 @@ def add_clock_features(grid: DataFrame) -> DataFrame:
     })
 
 
-def add_history_features(grid: DataFrame) -> DataFrame:
-    """Lags, rolling mean and ratio to the zone's mean: one shuffle and one sort by zone."""
+def add_history_features(grid: DataFrame, history: str = "whole") -> DataFrame:
+    """Lags, rolling mean and ratio to the zone's mean: one shuffle and one sort by zone.
+
+    ``history="running"``: the mean of the zone's rows so far, as a stream knows it.
+    """
+    if history not in ("whole", "running"):
+        raise ValueError(f"unknown history: {history!r}")
     past = by_zone_hour()
     last_three = past.rowsBetween(-2, Window.currentRow)
-    whole_zone = Window.partitionBy("zone_id")
+    whole_zone = (Window.partitionBy("zone_id") if history == "whole"
+                  else past.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return grid.withColumns({
         "lag1_speed": F.lag("avg_speed", 1).over(past),
         "lag2_speed": F.lag("avg_speed", 2).over(past),
@@ -62,7 +68,7 @@ def select_available(df: DataFrame, wanted: list[str]) -> DataFrame:
 
 
 def feature_matrix(grid: DataFrame, fill: str = "back", scope: str = "frame",
-                   horizon: int = 0) -> DataFrame:
+                   horizon: int = 0, history: str = "whole") -> DataFrame:
     """22 features, both targets and the row key (zone_id, hour_bucket).
 
     ``fill`` and ``scope``: see :func:`fill_gaps`. ``horizon=h`` replaces both targets by
@@ -70,7 +76,7 @@ def feature_matrix(grid: DataFrame, fill: str = "back", scope: str = "frame",
     without such a successor are dropped.
     """
     full = (grid.transform(add_clock_features)
-                .transform(add_history_features)
+                .transform(add_history_features, history)
                 .transform(add_density_features)
                 .transform(add_delay_target))
     if horizon:

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from zonepulse.operators import cleaning
+from zonepulse.operators import cleaning, joins
 from zonepulse.session import materialize, run_scratch, sized_for
 from zonepulse.sources import grid_lake, lake, serving
 
@@ -51,8 +51,9 @@ def valid_rows(raw: DataFrame, keep: tuple[str, ...] | str) -> tuple[DataFrame,
 
 def run_batch(spark: SparkSession, raw_paths: list[str], clean_path: str, grid_path: str,
               serving_path: str | None = None, jdbc_table: str | None = None,
-              keep: tuple[str, ...] | str = "*") -> BatchResult:
-    """Clean a delivery, merge it into the lake, update grid and serving table. ``keep``: raw columns carried into the lake.
+              keep: tuple[str, ...] | str = "*", weather: DataFrame | None = None) -> BatchResult:
+    """Clean a delivery, merge it into the lake, update grid and serving table. ``keep``: raw columns carried into the lake;
+    ``weather``: readings (timestamp, weather_condition, temperature), the last one at or before a cell is published with it.
 
     A rerun changes nothing and completes what a failed run left undone, as cells are updated whether or not their trips
     are in the lake already. Only changed cells are published. Scratch folders go when the run ends.
@@ -69,6 +70,8 @@ def run_batch(spark: SparkSession, raw_paths: list[str], clean_path: str, grid_p
 
         changed = grid_lake.update_grid(spark, clean_path, grid_path, grid_lake.changed_cells(valid))
         published = serving.batch_projection(changed)
+        if weather is not None:
+            published = joins.attach_weather(materialize(published, "published"), weather)
         if serving_path:
             serving.write_zone_metrics(published, serving_path)
         if jdbc_table:

@@ -3,12 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from zonepulse import rules
 from zonepulse.models.scoring import Models
 from zonepulse.operators.features import feature_matrix
 from zonepulse.operators.joins import write_back
 from zonepulse.session import materialize
 from zonepulse.sources import serving
 from zonepulse.streaming import sinks
+from zonepulse.streaming.live import live_features
 
 
 def score_metrics(metrics: DataFrame, features: DataFrame, models: Models) -> DataFrame:
@@ -42,3 +44,10 @@ def score_stream(features: DataFrame, models: Models, path: str, checkpoint: str
                  once: bool = False) -> StreamingQuery:
     """Score every micro-batch of a stream of feature rows into its own batch folder."""
     return sinks.start(features, sinks.batch_folder_sink(path, models.predict), checkpoint, once)
+
+
+def score_trip_stream(trips: DataFrame, models: Models, path: str, checkpoint: str, once: bool = False,
+                      state_partitions: int | None = None, watermark: str = rules.WATERMARK) -> StreamingQuery:
+    """Score a stream of raw trips: each zone's hours once the watermark has closed them."""
+    return sinks.start(live_features(trips, watermark), sinks.batch_folder_sink(path, models.predict), checkpoint, once,
+                       state_partitions=state_partitions, rocksdb=True)

@@ -36,6 +36,12 @@ SENSOR_MESSAGE = T.StructType([
     T.StructField("occupancy_pct", T.DoubleType()),
 ])
 
+WEATHER_MESSAGE = T.StructType([
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("weather_condition", T.StringType()),
+    T.StructField("temperature", T.DoubleType()),
+])
+
 # What a broker source yields, as far as the decoders use it.
 BROKER_ROW = T.StructType([
     T.StructField("topic", T.StringType()),

@@ -68,3 +68,9 @@ def decode_sensors(rows: DataFrame) -> DataFrame:
     flat = (_decoded(from_topic(rows, rules.SENSOR_TOPIC), schemas.SENSOR_MESSAGE)
             .select("data.*", "kafka_timestamp"))
     return flat.withColumn("event_time", F.try_to_timestamp(F.col("timestamp"))).drop("timestamp")
+
+
+def decode_weather(rows: DataFrame) -> DataFrame:
+    """Weather messages as weather_time, weather_condition and temperature; unreadable ones become null rows."""
+    flat = _decoded(from_topic(rows, rules.WEATHER_TOPIC), schemas.WEATHER_MESSAGE).select("data.*")
+    return flat.select(F.try_to_timestamp(F.col("timestamp")).alias("weather_time"), "weather_condition", "temperature")

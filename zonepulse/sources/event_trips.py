@@ -80,10 +80,14 @@ def broker_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*schemas.BROKER_ROW.fieldNames())
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_of(events: DataFrame) -> DataFrame:
     """Error events as weather readings: the event's value is the temperature."""
-    return (read_table(spark, sf_dir, "events")
+    return (events
             .filter(F.col("event_type") == "error")
             .select(F.col("ts").cast("timestamp").alias("timestamp"),
                     F.concat(F.lit("W"), F.col("user_id") % 4).alias("weather_condition"),
                     F.col("value").alias("temperature")))
+
+
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weather_of(read_table(spark, sf_dir, "events"))
