@@ -1,12 +1,15 @@
 """Toxicity by class-conditional Kneser-Ney models of how words are spelt.
 
-Toxic and ordinary texts each get a model that spells a word character by character, with everything
-before in the word as context. Discounted counts of one class back off to continuation counts shared by both, so a
-rare spelling, or one seen in neither class, is equally likely in both and says nothing. A text is compared by its
+Toxic and ordinary texts each get a model that spells a word character by character to its end, with everything
+before in the word as context. Discounted counts of one class back off to continuation counts shared by both (how many
+beginnings end in three characters), so a spelling seen in neither class says nothing, and one seen once little: discounts for counts of
+one, two and more come from the counts of counts (Chen and Goodman, 1999). A text is compared by its
 log-likelihood ratio per word, in all and over those words that lean clearly to the toxic side; a
 logistic curve, fitted on texts whose own words the models had not seen, turns these into a score.
 
-Counts come from all labelled rows, by group-bys; spellings counted once in all of them are left out. Only the three-feature curve is fitted on at most
+Counts come from all labelled rows. Words are dealt out by their first two characters; a task makes the trie of the labelled
+words it gets and walks the words asked for through it, so neither beginnings nor contexts become rows. What stands above the second character
+is one row a first character. Only the three-feature curve is fitted on at most
 ``FIT_ROWS`` rows of each class, chosen by a hash of their key. Ratios of words are frames too: the ``COMMON`` most frequent
 words of up to ``COMMON_LENGTH`` characters are broadcast, all others are joined.
 """
@@ -18,20 +21,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from zonepulse.llm.text import plain
 from zonepulse.session import materialize
 
 FIT_ROWS = 3_000            # labelled rows of each class on which the curve is fitted
-DEPTH = 8                   # characters of a word that are spelt
-SHARED = 3                  # context of the shared continuation counts
-DISCOUNT = 0.75
 CAUTION = 3.0               # a missed toxic text weighs as much as this many ordinary ones dropped
 LEAN = 3.0                  # a word's log ratio from which it leans clearly
 COMMON = 1 << 16            # words whose ratios every task gets
 COMMON_LENGTH = 64          # characters of such a word
 FLUSH = 200_000             # words a task counts before it hands them on
+BUCKETS = 64                # tries, for each shuffle partition
+WALKED = 1 << 16            # words walked together
+KINDS = 128                 # kinds of characters that shared counts tell apart
 BOTH = 2                    # the model of all rows; 0 and 1 are those of the halves
+MODELS = ((0, 1), (2, 3), (0, 1, 2, 3))     # columns of counts (half, class) that make up each model, even ones ordinary
+LABEL_BITS = 21             # a code point
+END = ord("$")              # behind a word's last character; never in a word
 WORD = re.compile(r"\w+")
 
 
@@ -65,15 +74,6 @@ def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     return (df.select(text).mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def _beginnings(words: DataFrame) -> DataFrame:
-    """``words`` with one row for each spelt beginning of two characters on, which ends at ``_end`` of ``_spelt``."""
-    spelt = F.expr(f"if(length(word) > {DEPTH}, concat('^', left(word, {DEPTH})), concat('^', word, '$'))")
-    return words.withColumn("_spelt", spelt).withColumn("_end", F.explode(F.expr("sequence(2, length(_spelt))")))
-
-
-CONTEXT, CHAR = "left(_spelt, _end - 1)", "substr(_spelt, _end, 1)"
-
-
 def count_words(train: DataFrame, text: str) -> DataFrame:
     """(word, c00, c01, c10, c11): after how many different words it occurs, by half and class; a word of a passage that
     many texts repeat counts once."""
@@ -82,64 +82,263 @@ def count_words(train: DataFrame, text: str) -> DataFrame:
         F.count_if((F.col("_half") == h) & (F.col("_toxic") == c)).alias(f"c{h}{c}") for h in (0, 1) for c in (0, 1)))
 
 
-def spelling_table(words: DataFrame) -> DataFrame:
-    """(model, context, ratios, other): log ratios of the characters counted after a context, and of any other.
+COUNTS = ["c00", "c01", "c10", "c11"]
 
-    After a character not seen behind a context, both classes read the same shared counts, so that the ratio of the rest of
-    the word is nil.
-    """
-    sums = [F.sum(f"c{h}{c}").alias(f"c{h}{c}") for h in (0, 1) for c in (0, 1)]
-    models = F.array(*(F.struct(F.lit(h).alias("model"), F.col(f"c{h}0").alias("n0"), F.col(f"c{h}1").alias("n1")) for h in (0, 1)),
-                     F.struct(F.lit(BOTH).alias("model"), (F.col("c00") + F.col("c10")).alias("n0"), (F.col("c01") + F.col("c11")).alias("n1")))
-    nodes = materialize(_beginnings(words).groupBy(F.expr(f"concat({CONTEXT}, {CHAR})").alias("node")).agg(*sums)
-                        .withColumn("context", F.expr("left(node, length(node) - 1)")).select("node", "context", F.explode(models).alias("_m")).select("node", "context", "_m.*")
-                        .where("n0 + n1 > 0"), "nodes")
-    taken = [F.greatest(F.col(f"n{c}") - DISCOUNT, F.lit(0.0)) for c in (0, 1)]
-    unseen = [F.when(F.col(f"all{c}") > 0, (F.col(f"all{c}") - F.col(f"taken{c}")) / F.col(f"all{c}")).otherwise(1.0) for c in (0, 1)]
-    contexts = nodes.groupBy("model", "context").agg(
-        *(F.sum(f"n{c}").alias(f"all{c}") for c in (0, 1)), *(F.sum(F.when(F.col("n0") + F.col("n1") > 1, taken[c]).otherwise(0.0)).alias(f"taken{c}") for c in (0, 1)))
-    nodes = nodes.where("n0 + n1 > 1")          # a spelling seen once says nothing of either class; its context keeps the count
-    contexts = materialize(contexts.select("model", "context", "all0", "all1", unseen[0].alias("unseen0"), unseen[1].alias("unseen1")),
-                           "contexts")
-
-    ends = (nodes.select("model", F.explode(F.expr(f"transform(sequence(1, least({SHARED + 1}, length(node))), i -> right(node, i))"))
-                         .alias("end")).groupBy("model", "end").agg(F.count("*").alias("times")))
-    ends = materialize(ends.withColumn("before", F.expr("left(end, length(end) - 1)")), "ends")
-    after = ends.groupBy("model", "before").agg(F.sum("times").alias("after"), F.count("*").alias("kinds"))
-    ends = ends.join(after, ["model", "before"])
-    backoff = None          # of ends of one character, then of two …
-    for size in range(1, SHARED + 2):
-        these = ends.where(F.length("end") == size)
-        if backoff is None:
-            these = these.withColumn("lower", 1 / (F.col("kinds") + 1))
-        else:
-            these = these.withColumn("_short", F.expr("right(end, length(end) - 1)")).join(
-                backoff.select("model", F.col("end").alias("_short"), F.col("shared").alias("lower")), ["model", "_short"])
-        backoff = materialize(these.select("model", "end", (
-            (F.greatest(F.col("times") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("kinds") * F.col("lower")) / F.col("after"))
-            .alias("shared")), f"backoff{size}")
-        longest = backoff if size == 1 else longest.unionByName(backoff)
-
-    p = [F.col(f"unseen{c}") * F.col("shared") + F.when(F.col(f"all{c}") > 0, taken[c] / F.col(f"all{c}")).otherwise(0.0) for c in (0, 1)]
-    ratios = (nodes.withColumn("end", F.expr(f"right(node, {SHARED + 1})")).join(longest, ["model", "end"])
-              .join(contexts, ["model", "context"]))
-    entry = F.struct(F.expr("right(node, 1)").alias("char"), F.log(p[1] / p[0]).alias("ratio"))
-    return materialize(ratios.groupBy("model", "context").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("ratios"),             # as many as there are characters, at most
-        F.first(F.log(F.col("unseen1") / F.col("unseen0"))).alias("other")), "context-ratios")
-
-
-def word_ratios(words: DataFrame, table: DataFrame) -> DataFrame:
+
+def kind_of(points: np.ndarray) -> np.ndarray:
+    """Kinds of characters: 0 stands before a word, 1 behind it, a to z and so on have their own, rare ones share theirs."""
+    out = 94 + points % 34
+    out = np.where((points >= 0x80) & (points < 0x250), 30 + points % 64, out)
+    out = np.where((points >= 97) & (points <= 122), points - 95, out)
+    out = np.where((points >= 48) & (points <= 57), 28, out)
+    return np.where(points == 95, 29, np.where(points == END, 1, out))
+
+
+class Trie:
+    """Beginnings of words as nodes, level by level; node 0 is the empty one. ``keys``: (parent, character) of node i + 1."""
+
+    def __init__(self, points: np.ndarray, lengths: np.ndarray, counts: np.ndarray):
+        begin = np.cumsum(lengths) - lengths
+        at, active = np.zeros(len(lengths), np.int64), np.arange(len(lengths))
+        levels, self.counts, nodes = [], [counts.sum(axis=0, keepdims=True)], 1
+        for depth in range(int(lengths.max(initial=0))):
+            active = active[lengths[active] > depth]
+            keys, place = np.unique(at[active] << LABEL_BITS | points[begin[active] + depth], return_inverse=True)
+            sums = np.zeros((len(keys), counts.shape[1]))
+            np.add.at(sums, place, counts[active])
+            at[active] = nodes + place
+            nodes += len(keys)
+            levels.append(keys)
+            self.counts.append(sums)
+        self.depths = np.repeat(np.arange(len(levels) + 1), [1, *map(len, levels)])
+        self.keys, self.counts = np.concatenate([np.empty(0, np.int64), *levels]), np.concatenate(self.counts)
+        self.parent, self.char = self.keys >> LABEL_BITS, self.keys & ((1 << LABEL_BITS) - 1)
+
+    def trigrams(self) -> np.ndarray:
+        """Of each node but the empty one: its last three kinds of characters in one number."""
+        kind = np.concatenate([[0], kind_of(self.char)])
+        one = np.concatenate([[0], kind[self.parent]])
+        two = np.concatenate([[0], one[self.parent]])
+        return ((two * KINDS + one) * KINDS + kind)[1:]
+
+    def by_model(self) -> np.ndarray:
+        """(node, model, class) counts."""
+        return np.stack([np.stack([self.counts[:, [c for c in m if c % 2 == k]].sum(axis=1) for k in (0, 1)], axis=1) for m in MODELS], axis=1)
+
+
+def points_of(words: pa.Array, end: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all words, each followed by ``END``; lengths with it)."""
+    lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    text = "".join(w + "$" for w in words.to_pylist())
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64), lengths
+
+
+FLOORS = (0.98, 1.2, 1.2)   # least discounts: most words of labelled texts occur once, by chance
+
+
+def discounts(of_counts: np.ndarray) -> np.ndarray:
+    """What is taken of counts of 0, 1, 2 and more, by how many beginnings are counted once to four times in a class; ``FLOORS``
+    at least."""
+    n1, n2, n3, n4 = np.maximum(of_counts, 0.5)
+    y = n1 / (n1 + 2 * n2)
+    found = np.array([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3])
+    return np.append(0.0, np.clip(found, FLOORS, (0.99, 1.9, 2.9)))
+
+
+def shared_chances(times: np.ndarray) -> np.ndarray:
+    """Kneser-Ney chance of the third kind of character behind two others, from how many beginnings end so."""
+    def lower(counts, below):
+        seen, after = (counts > 0).sum(axis=-1, keepdims=True), counts.sum(axis=-1, keepdims=True)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            found = (np.maximum(counts - 0.75, 0) + 0.75 * seen * below) / after
+        return np.where(after > 0, found, below)
+
+    two = (times > 0).sum(axis=0)
+    one = (two > 0).sum(axis=0)
+    return lower(times, lower(two, (one + 1) / (one.sum() + KINDS))[None])
+
+
+@dataclass
+class Top:
+    """What no single bucket knows: first characters, their counts, and of each how many second characters are counted once, twice, oftener."""
+
+    chars: np.ndarray       # ascending
+    counts: np.ndarray      # (character, model, class)
+    kinds: np.ndarray       # (character, model, class, 3)
+
+
+@dataclass
+class Spelling:
+    """Labelled words with their counts, and what all tasks get: ``top``, shared chances (``KINDS`` cubed), discounts by class."""
+
+    words: DataFrame
+    top: Top
+    shared: np.ndarray
+    discount: np.ndarray
+
+
+def _bucket(spark: SparkSession) -> Column:
+    many = int(spark.conf.get("spark.sql.shuffle.partitions")) * BUCKETS
+    return F.pmod(F.xxhash64(F.expr("left(concat(word, '$'), 2)")), F.lit(many)).cast("int").alias("bucket")
+
+
+def _top(words: DataFrame) -> Top:
+    sums = [F.sum(c).alias(c) for c in COUNTS]
+    second = words.groupBy(F.expr("left(concat(word, '$'), 2)").alias("two")).agg(*sums)
+    columns = []
+    for m, parts in enumerate(MODELS):
+        for k in (0, 1):
+            n = sum((F.col(COUNTS[c]) for c in parts if c % 2 == k), F.lit(0))
+            columns += [F.sum(n).alias(f"n{m}{k}"), *(F.count_if(n == i if i < 3 else n >= 3).alias(f"k{m}{k}{i}") for i in (1, 2, 3))]
+    found = second.groupBy(F.expr("left(two, 1)").alias("one")).agg(*columns).toPandas()        # one row a character
+    found["point"] = [ord(c) for c in found["one"]]
+    found = found.sort_values("point")
+    values = found[[c for c in found.columns if c not in ("one", "point")]].to_numpy(float).reshape(-1, 3, 2, 4)
+    return Top(found["point"].to_numpy(np.int64), values[..., 0], values[..., 1:])
+
+
+def _buckets(rows: DataFrame, run, schema: str, *columns: str) -> DataFrame:
+    """``run(table)`` of each task's rows, labelled words (side 0) of a bucket before those asked for, bucket by bucket."""
+    return (rows.select(_bucket(rows.sparkSession), *columns).repartition("bucket")
+            .sortWithinPartitions("bucket", "side").mapInArrow(run, schema))
+
+
+def _parts(batches):
+    """(bucket, side, table) of neighbouring rows; words asked for come in parts of at most ``WALKED``."""
+    held, key, size = [], None, 0
+    for batch in batches:
+        bucket, side = (batch.column(k).to_numpy() for k in (0, 1))
+        cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (side[1:] != side[:-1])) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if b > a:
+                now = int(bucket[a]), int(side[a])
+                if held and (now != key or now[1] and size >= WALKED):
+                    yield *key, pa.Table.from_batches(held).combine_chunks()
+                    held, size = [], 0
+                key = now
+                held.append(batch.slice(a, b - a))
+                size += b - a
+    if held:
+        yield *key, pa.Table.from_batches(held).combine_chunks()
+
+
+def _trie(table: pa.Table) -> Trie:
+    counts = np.stack([table[c].to_numpy() for c in COUNTS], axis=1).astype(float)
+    return Trie(*points_of(table["word"].combine_chunks()), counts)
+
+
+def learn(words: DataFrame) -> Spelling:
+    """Shared chances and discounts of all beginnings of ``words``."""
+    top = _top(words)
+
+    def run(batches):
+        trigrams, of_counts = Counter(), np.zeros((2, 4))
+        for _, _, table in _parts(batches):
+            trie = _trie(table)
+            deep = trie.depths[1:] >= 2
+            trigrams.update(dict(zip(*(x.tolist() for x in np.unique(trie.trigrams()[deep], return_counts=True)))))
+            both = trie.by_model()[1:][deep, BOTH]
+            for k in (0, 1):
+                of_counts[k] += [(both[:, k] == i).sum() for i in (1, 2, 3, 4)]
+        cells = list(trigrams.items()) + [(-1 - 4 * k - i, n) for k in (0, 1) for i, n in enumerate(of_counts[k].tolist())]
+        yield pa.RecordBatch.from_arrays([pa.array([int(c) for c, _ in cells], pa.int64()), pa.array([int(n) for _, n in cells], pa.int64())],
+                                         names=["cell", "n"])
+
+    found = (_buckets(words.withColumn("side", F.lit(0)), run, "cell long, n long", "side", "word", *COUNTS)
+             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())       # at most KINDS ** 3 rows
+    cell, n = found["cell"].to_numpy(np.int64), found["n"].to_numpy(float)
+    times = np.zeros(KINDS ** 3)
+    times[cell[cell >= 0]] = n[cell >= 0]
+    np.add.at(times, kind_of(top.chars), 1)                                 # beginnings of one character
+    of_counts = np.zeros(8)
+    of_counts[-1 - cell[cell < 0]] = n[cell < 0]
+    return Spelling(words, top, shared_chances(times.reshape((KINDS,) * 3)).ravel(),
+                    np.stack([discounts(of_counts[:4]), discounts(of_counts[4:])]))
+
+
+def node_ratios(trie: Trie, top: Top, shared: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log ratio of reading each node's character, by model; log ratio of any other character behind each node, by model)."""
+    n = trie.by_model()
+    one = trie.depths == 1
+    first = np.searchsorted(top.chars, trie.char[one[1:]])
+    n[one] = top.counts[first]
+    n[0] = top.counts.sum(axis=0)
+    def taken(counts):      # (…, class)
+        return np.stack([discount[k][np.minimum(counts[..., k], 3).astype(int)] for k in (0, 1)], axis=-1)
+    below = np.zeros_like(n)
+    np.add.at(below, trie.parent, taken(n[1:]))
+    weights = discount[:, 1:]
+    below[one] = (top.kinds[first] * weights).sum(axis=-1)
+    below[0] = taken(top.counts).sum(axis=0)
+    left = np.where(n > 0, below / np.maximum(n, 1), 1.0)
+    parent, back = trie.parent, shared[trie.trigrams()][:, None, None]
+    mine = np.where(n[parent] > 0, (n[1:] - taken(n[1:])) / np.maximum(n[parent], 1), 0.0)
+    chance = np.maximum(mine, 0) + left[parent] * back
+    ratio = np.log(chance[..., 1] / chance[..., 0])
+    other = np.where(left > 0, left, 1.0)           # nothing follows the end of a word
+    return np.concatenate([np.zeros((1, 3)), ratio]), np.log(other[..., 1] / other[..., 0])
+
+
+def word_ratios(words: DataFrame, spelling: Spelling) -> DataFrame:
     """``words`` (model, word, n) with ``ratio``: log-likelihood under the toxic model minus that under the ordinary model.
-    Words no beginning of which is known are left out; their ratio is 0."""
-    after = table.withColumnRenamed("model", "_model")
-    ratio = F.coalesce(F.expr(f"ratios[{CHAR}]"), "other").alias("ratio")
-    same = (F.col("model") == F.col("_model")) & (F.expr(CONTEXT) == F.col("context"))
-    spelt = _beginnings(materialize(words, "asked-words"))
-    first = spelt.where("_end = 2").join(F.broadcast(after.where("context = '^'")), same)       # every word; one row a model
-    later = spelt.where("_end > 2").join(after.where("context <> '^'"), same)
-    return (first.select("model", "word", "n", ratio).unionByName(later.select("model", "word", "n", ratio))
-            .groupBy("model", "word").agg(F.first("n").alias("n"), F.sum("ratio").alias("ratio")))
+
+    Behind a beginning that was never counted both classes read the same shared counts, so the rest of the word adds nothing.
+    """
+    shared = words.sparkSession.sparkContext.broadcast((spelling.top, spelling.shared, spelling.discount))
+
+    def run(batches):
+        trie, known = None, None
+        for bucket, side, table in _parts(batches):
+            if side == 0:
+                trie, known = _trie(table), bucket
+                ratio, other = node_ratios(trie, *shared.value)
+                continue
+            if known != bucket:         # no labelled word begins so
+                empty = pa.array([], pa.string())
+                trie, known = Trie(*points_of(empty), np.zeros((0, 4))), bucket
+                trie.counts = np.zeros((1, 4))
+                ratio, other = node_ratios(trie, *shared.value)
+            points, lengths = points_of(table["word"].combine_chunks())
+            model = table["model"].to_numpy()
+            begin, at, total = np.cumsum(lengths) - lengths, np.zeros(len(lengths), np.int64), np.zeros(len(lengths))
+            active = np.arange(len(lengths))
+            for depth in range(int(lengths.max())):
+                active = active[lengths[active] > depth]
+                if not len(active):
+                    break
+                wanted = at[active] << LABEL_BITS | points[begin[active] + depth]
+                place = np.minimum(np.searchsorted(trie.keys, wanted), max(len(trie.keys) - 1, 0))
+                found = trie.keys[place] == wanted if len(trie.keys) else np.zeros(len(active), bool)
+                if depth == 0 and not found.all():
+                    # A first character that other buckets know still counts, and what can follow it.
+                    top = shared.value[0]
+                    lost = active[~found]
+                    char = points[begin[lost]]
+                    spot = np.minimum(np.searchsorted(top.chars, char), max(len(top.chars) - 1, 0))
+                    seen = top.chars[spot] == char if len(top.chars) else np.zeros(len(lost), bool)
+                    alone = top_ratios(*shared.value)
+                    total[lost[seen]] += (alone[0] + alone[1])[spot[seen], model[lost[seen]]]
+                    total[lost[~seen]] += other[0, model[lost[~seen]]]
+                elif depth:
+                    total[active[~found]] += other[at[active[~found]], model[active[~found]]]
+                active, place = active[found], place[found]
+                at[active] = place + 1
+                total[active] += ratio[place + 1, model[active]]
+            yield pa.RecordBatch.from_arrays([*(table[c].combine_chunks() for c in ("model", "word", "n")), pa.array(total)],
+                                             names=["model", "word", "n", "ratio"])
+
+    nothing = [F.lit(None).cast("bigint").alias(c) for c in ("model", "n")]
+    known = spelling.words.select(F.lit(0).alias("side"), "word", *COUNTS, *nothing)
+    asked = words.select(F.lit(1).alias("side"), "word", *(F.lit(None).cast("bigint").alias(c) for c in COUNTS),
+                         F.col("model").cast("bigint"), "n")
+    return _buckets(known.unionByName(asked), run, "model long, word string, n long, ratio double", "side", "word", *COUNTS, "model", "n")
+
+
+def top_ratios(top: Top, shared: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``node_ratios``, for the beginnings of one character."""
+    trie = Trie(top.chars, np.ones(len(top.chars), np.int64), np.zeros((len(top.chars), 4)))
+    ratio, other = node_ratios(trie, top, shared, discount)
+    return ratio[1:], other[1:]
 
 
 def _summed(text: Column, ratios) -> Column:
@@ -189,7 +388,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 @dataclass
 class Model:
     spark: SparkSession
-    table: DataFrame | None         # none without rows of both classes
+    spelling: Spelling | None       # none without rows of both classes
     curve: tuple
 
     def score(self, text: str | None) -> float:
@@ -222,28 +421,29 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if sample.select("_toxic").distinct().count() < 2:
         return Model(spark, None, (np.zeros(3), np.ones(3), np.array([0.0, 0.0, 0.0, -30.0])))
     train = docs.select(key, text).join(keys.select(key, "_toxic", "_half"), key)
-    table = spelling_table(materialize(count_words(train, text), "words"))
+    spelling = learn(materialize(count_words(train, text), "words"))
     sample = sample.withColumn("_id", F.monotonically_increasing_id())
     held = materialize(sample.select("_id", "model", F.explode("_sums.rest").alias("word", "_n")), "sample-words")
     asked = held.groupBy("model", "word").agg(F.sum("_n").alias("n"))
-    sums = _added(held, word_ratios(asked, table).select("model", "word", "ratio"), "_id")
+    sums = _added(held, word_ratios(asked, spelling).select("model", "word", "ratio"), "_id")
     zero = F.lit(0.0)
     found = np.array(sample.join(sums, "_id", "left").select("_toxic", *features(
         F.col("_sums.n"), F.coalesce("_total", zero), F.coalesce("_leaning", zero))).collect(), float)      # three numbers a row
     x, y = found[:, 1:], found[:, 0]
     size = {c: n for c, n in labels.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
     weight = np.where(y > 0, CAUTION * size.get(1, 1) / y.sum(), size.get(0, 1) / (1 - y).sum())
-    return Model(spark, table, fit_curve(x, y, weight * len(y) / weight.sum()))
+    return Model(spark, spelling, fit_curve(x, y, weight * len(y) / weight.sum()))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
     """``df`` with a score of 0 to 1 (higher: toxic likelier). Null and empty texts get the score of a text
-    without words; equal texts equal scores; an empty frame gives no rows; other columns stay as they are."""
+    without words; equal texts equal scores; an empty frame gives no rows; columns that begin with an underscore are dropped."""
     mean, scale, beta = model.curve
-    if model.table is None:
+    df = plain(df, into)
+    if model.spelling is None:
         return df.withColumn(into, F.lit(1 / (1 + math.exp(-float(beta[-1])))))
     asked = vocabulary(df, text).withColumn("model", F.lit(BOTH))
-    ratios = materialize(word_ratios(asked, model.table), "word-ratios")
+    ratios = materialize(word_ratios(asked, model.spelling), "word-ratios")
     often = {w: r for w, r in ratios.where(F.length("word") <= COMMON_LENGTH).orderBy(F.desc("n"), "word")
              .select("word", "ratio").limit(COMMON).collect()}
     out = df.withColumn("_sums", _summed(F.col(text), df.sparkSession.sparkContext.broadcast(often)))
