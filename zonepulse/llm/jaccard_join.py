@@ -18,6 +18,7 @@ rarest), the first ``bound + 1`` words of both must share one. Those words are t
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from zonepulse.llm.components import components
@@ -251,15 +252,14 @@ def passed(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def wanted_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(doc, n, bits, hashes) of the documents in ``wanted`` (column doc): their number of shingles, short sketch and sorted
-    shingle hashes, as bytes.
+    """(doc, n, d1, d2, bits, hashes) of the documents in ``wanted`` (column doc): their number of shingles, digests, short sketch and
+    sorted shingle hashes, as bytes.
 
     The texts aren't shuffled: a bitmap of hashed document ids, of fixed size, is sent to all tasks. Some others may
     pass it as well.
     """
     packed = df.sparkSession.sparkContext.broadcast(bitmap_of(wanted))
-    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n", T.LongType()),
-                           T.StructField("bits", T.BinaryType()), T.StructField("hashes", T.BinaryType())])
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc", "n", "d1", "d2")), T.StructField("bits", T.BinaryType()), T.StructField("hashes", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
@@ -270,7 +270,7 @@ def wanted_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int
                 sets = shingle_sets(texts[a:b], size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([parity_bits(s) for s in sets], pa.binary()),
+                     *(pa.array(d, pa.int64()) for d in _set_digests(sets)), pa.array([parity_bits(s) for s in sets], pa.binary()),
                      pa.array([s.tobytes() for s in sets], pa.binary())], names=schema.names)
 
     return (df.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), text)
@@ -333,37 +333,86 @@ def near_in_buckets(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     def run(batches):
         current, held = None, []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:3] != current:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
+            cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            for x, y in zip([0, *cuts], [*cuts, n]):
+                if (key := tuple(k[x] for k in keys)) != current:
                     yield from compare(held)
-                    current, held = row[:3], []
-                held.append(row[3:])
+                    current, held = key, []
+                held.append(batch.slice(x, y - x))
         yield from compare(held)
 
     def compare(held):
         if not held:
             return
-        width = min(len(r[4]) for r in held)
-        bits = np.frombuffer(b"".join(_folded(r[4], width) for r in held), np.uint64).reshape(len(held), -1)
-        minor = np.array([r[0] for r in held])
-        doc, label, n = (np.array([r[k] for r in held], np.int64) for k in (1, 2, 3))
-        left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
-        for at in range(0, len(left), 64):
-            x = left[at:at + 64]
-            apart = np.zeros((len(x), len(right)), np.int64)
-            for word in range(bits.shape[1]):
-                apart += np.bitwise_count(bits[x, None, word] ^ bits[None, right, word])
-            a, b = n[x][:, None], n[right][None, :]
-            near = ((label[x][:, None] != label[right][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-                    & ((100 + percent) * apart <= (100 - percent) * (a + b)))
-            i, j = np.nonzero(near)
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(doc[x[i]]), pa.array(doc[right[j]])], names=pair.names)
+        table = pa.Table.from_batches(held).combine_chunks()
+        minor, doc, label, n = (table[c].to_numpy() for c in ("minor", "doc", "label", "n"))
+        # Sketches of one length stand together; sizes that may link differ by a quarter, so by one length at most.
+        length, raw = pc.binary_length(table["bits"]).to_numpy(), table["bits"].combine_chunks()
+        classes = {}
+        for width in np.unique(length).tolist():
+            rows = np.flatnonzero(length == width)
+            rows = rows[np.argsort(n[rows], kind="stable")]
+            bits = np.frombuffer(b"".join(raw.take(pa.array(rows)).to_pylist()), np.uint64).reshape(len(rows), -1)
+            classes[width] = rows, bits
+        for width, (rows, bits) in classes.items():
+            for other in (width // 2, width, 2 * width):
+                if other not in classes:
+                    continue
+                right, right_bits = classes[other]
+                left, left_bits = rows[minor[rows]], bits[minor[rows]]
+                right, right_bits = right[~minor[right]], right_bits[~minor[right]]
+                narrow = min(width, other)
+                for x, y in _near(left, _narrowed(left_bits, narrow), right, _narrowed(right_bits, narrow), label, n, percent):
+                    yield pa.RecordBatch.from_arrays([pa.array(doc[x]), pa.array(doc[y])], names=pair.names)
 
     return (minor.unionByName(every).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(run, pair))
 
 
+def _narrowed(bits: np.ndarray, width: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to ``width`` bytes."""
+    while bits.shape[1] * 8 > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return np.ascontiguousarray(bits)
+
+
+def _near(left, left_bits, right, right_bits, label, n, percent: int):
+    """(rows, rows) of pairs with different labels whose sizes and sketches allow a link; both sides ascend by size.
+
+    Sketches are compared half folded first, which only lowers distances.
+    """
+    short = max(left_bits.shape[1] // 2, 1)
+    left_short, right_short = (np.ascontiguousarray(_narrowed(b, short * 8).T) for b in (left_bits, right_bits))
+    sizes, most = n[right], 1 << 19
+    for at in range(0, len(left), 64):
+        x = left[at:at + 64]
+        low = int(np.searchsorted(sizes, -(-percent * n[x[0]] // 100), "left"))
+        high = int(np.searchsorted(sizes, 100 * n[x[-1]] // percent, "right"))
+        for begin in range(low, high, most // 64):
+            y = right[begin:min(begin + most // 64, high)]
+            i, j = np.nonzero(label[x][:, None] != label[y][None, :])
+            if not len(i):
+                continue
+            bound = (100 - percent) * (n[x][:, None] + n[y][None, :])
+            apart = np.zeros((len(x), len(y)), np.int64)
+            for word in range(short):
+                apart += np.bitwise_count(left_short[word, at:at + 64][:, None] ^ right_short[word, begin:begin + len(y)][None, :])
+            a, b = n[x][:, None], n[y][None, :]
+            i, j = np.nonzero(((100 + percent) * apart <= bound) & (label[x][:, None] != label[y][None, :])
+                              & (100 * np.minimum(a, b) >= percent * np.maximum(a, b)))
+            for part in range(0, len(i), 4096):
+                p, q = i[part:part + 4096], j[part:part + 4096]
+                whole = np.bitwise_count(left_bits[at + p] ^ right_bits[begin + q]).sum(axis=1, dtype=np.int64)
+                fine = (100 + percent) * whole <= bound[p, q]
+                if fine.any():
+                    yield x[p[fine]], y[q[fine]]
+
+
 def _folded(bits: bytes, width: int) -> bytes:
     a = np.frombuffer(bits, np.uint8)
     while len(a) > width:
@@ -406,7 +455,7 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", size
     shared = materialize(to_class(to_class(raw, "doc"), "pivot"), "shared")
     wanted = shared.select("doc").union(shared.select("pivot")).distinct()
     sets = materialize(wanted_sets(docs, wanted, "doc", text, size).join(wanted, "doc", "left_semi")
-                       .dropDuplicates(["doc", "n", "bits"]), "hashes")
+                       .dropDuplicates(["doc", "n", "d1", "d2"]), "hashes")
 
     # One pivot per document: the one it shares most keys with.
     counted = shared.where(F.col("doc") != F.col("pivot")).groupBy("doc", "pivot").count()
@@ -437,7 +486,7 @@ def keep_representatives(df: DataFrame, key: str = "doc_id", text: str = "text",
                          percent: int = PERCENT) -> DataFrame:
     """``df`` with one row of each group of linked documents, that of the least key.
 
-    Rows without words or without a key stay. Only rows whose key's hash is that of a document to be removed, or of one
+    Rows without words or without a key stay, as do different texts of the least key. Only rows whose key's hash is that of a document to be removed, or of one
     that occurs twice, are shuffled by key; all others pass a bitmap of fixed size where they are.
     """
     df = plain(df)
@@ -457,7 +506,7 @@ def keep_representatives(df: DataFrame, key: str = "doc_id", text: str = "text",
     checked = checked.join(gone, F.col("_doc") == gone["doc"], "left_anti")
     some = F.size(words(F.col(text))) > 0
     worded, blank = checked.where(some), checked.where(~some)
-    return sure.unionByName(worded.dropDuplicates(["_doc"]).unionByName(blank).drop("_doc"))
+    return sure.unionByName(worded.dropDuplicates(["_doc", text]).unionByName(blank).drop("_doc"))
 
 
 def _labels(links: DataFrame) -> DataFrame:
