@@ -6,20 +6,22 @@ groups of set sizes; keys and counts are delta encoded by the version 2 writer,
 sorted key skip pages. Counts and places are columns of their own, so they are read without any ids.
 """
 
+import re
 import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from zonepulse.llm.hashing import as_bytes, chunks, word_hashes
+
 END_ID = 1
 WORD_END = "</w>"           # of vocabulary entries that end a word
 MARKS = ".,;:!?*$%&#|"      # no letters, digits or apostrophes
 TOGETHER = 1000             # words encoded as one text
-CACHE = 250_000             # words remembered by a worker; then it starts anew
-CHUNK = 1 << 18             # bytes encoded together; a longer text is a chunk of its own
+CACHE = 250_000             # words remembered by a worker, and as many from before
+CHUNK = 1 << 20             # bytes encoded together; a longer text is a chunk of its own
 LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
@@ -29,7 +31,7 @@ LAYOUT = {
     "parquet.page.row.count.limit": "2000",
     "compression": "zstd",
 }
-WHITE = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def only_letters(word: str) -> bool:
@@ -38,25 +40,26 @@ def only_letters(word: str) -> bool:
 
 
 class Encoder:
-    """Ids of texts by a tokenizer that never looks across white space: words are encoded once.
+    """Ids of texts by a tokenizer that never looks across white space: different words are encoded once, and remembered by hash.
 
-    Punctuation after a word of letters is a pre-token of its own, so both are looked up apart. Special tokens' strings inside a text are ordinary text.
+    Punctuation after a word of letters is a pre-token of its own, so both are looked up apart. Special tokens' strings inside a
+    text are special tokens, as the library has it; ``literal_special``: ordinary text.
     """
 
-    def __init__(self, description: str):
+    def __init__(self, description: str, literal_special: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(description)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal_special
         self.known: dict[str, bytes] = {}
+        self.codes: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
         pieces = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(pieces.values()) + 1, bool)
         self.closing[[i for piece, i in pieces.items() if piece.endswith(WORD_END)]] = True
 
-    def learn(self, found: set[str]) -> None:
-        new = [w for w in found if w not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(found)
+    def learn(self, found: set[str]) -> dict[str, bytes]:
+        """Ids of words."""
+        self.known, new = {}, list(found)
         rest, letters, ends = [], set(), []
         for word in new:
             base = word.rstrip(MARKS)
@@ -71,6 +74,7 @@ class Encoder:
         self._learn_letters([w for w in letters if w not in self.known])
         for word, base, mark in ends:
             self.known[word] = self.known[base] + self.known[mark] if mark else self.known[base]
+        return self.known
 
     def _learn_letters(self, words: list[str]) -> None:
         """Words of letters alone are one pre-token each: many are encoded as one text, cut at the tokens that end a word."""
@@ -85,41 +89,59 @@ class Encoder:
                 self.known[word] = data[4 * begin:4 * end]
                 begin = end
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.translate(WHITE).split(" ") for t in texts]
-        self.learn(set().union(*split))
-        get, end = self.known.__getitem__, END_ID.to_bytes(4, "little")
-        return [np.frombuffer(b"".join(map(get, words)) + end, "<i4") for words in split]
-
-
-_ENCODERS: dict[int, Encoder] = {}
-
-
-def encoder(description: str) -> Encoder:
+    def codes_of(self, hashes: list[int], data: bytes, places: list[int]) -> list[bytes]:
+        """Ids of words given by hash; unknown ones are read from ``data`` at their place."""
+        if len(self.codes) > CACHE:
+            self.codes, self.older = {}, self.codes
+        new = {}
+        for h, place in zip(hashes, places):
+            if h not in self.codes:
+                if (code := self.older.get(h)) is not None:
+                    self.codes[h] = code
+                else:
+                    new[h] = WORD.match(data, place).group().decode("utf-8", "replace")
+        if new:
+            learnt = self.learn(set(new.values()))
+            self.codes.update((h, learnt[word]) for h, word in new.items())
+        return [self.codes[h] for h in hashes]
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, each with the end id behind it; ids of each text)."""
+        data = b"\n".join(texts)
+        hashes, first = word_hashes(data)
+        at = np.searchsorted(first, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+        different, place, which = np.unique(hashes, return_index=True, return_inverse=True)
+        codes = self.codes_of(different.tolist(), data, first[place].tolist())
+        sizes = np.array([len(c) // 4 for c in codes], np.int64)
+        pool, starts = np.frombuffer(b"".join(codes), "<i4"), np.cumsum(sizes) - sizes
+        length = sizes[which]
+        before = np.append(0, np.cumsum(length))
+        words = pool[np.repeat(starts[which] - before[:-1], length) + np.arange(before[-1])]
+        counts = np.diff(before[at]) + 1
+        ids, inside = np.full(int(counts.sum()), END_ID, np.int32), np.ones(int(counts.sum()), bool)
+        inside[np.cumsum(counts) - 1] = False
+        ids[inside] = words
+        return ids, counts
+
+
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def encoder(description: str, literal_special: bool) -> Encoder:
     """A worker keeps it, and its cache, between tasks."""
-    key = zlib.crc32(description.encode())
+    key = zlib.crc32(description.encode()), literal_special
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(description)
+        _ENCODERS[key] = Encoder(description, literal_special)
     return _ENCODERS[key]
 
 
-def _chunks(sizes: list[int]):
-    begin, size = 0, 0
-    for i, n in enumerate(sizes):
-        if size and size + n > CHUNK:
-            yield begin, i
-            begin, size = i, 0
-        size += n
-    if begin < len(sizes):
-        yield begin, len(sizes)
-
-
-def write_tokens(df: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text") -> None:
+def write_tokens(df: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text",
+                 literal_special: bool = False) -> None:
     """Writes ``key``, n_tokens, part, place, ids: files ascend by key, as do the rows in each.
 
     ``place`` counts the ids before the document in its part. Null and empty texts are the end id
     alone. Null keys come first; rows of one key are ordered by their text's hash; repeated rows are
-    all kept; an empty frame writes files without rows. Other columns are not written.
+    all kept; an empty frame writes files without rows. Other columns are not written. ``literal_special``: see ``Encoder``.
     """
     spark = df.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
@@ -130,14 +152,13 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, key: str = "doc_id",
         T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        coder, place = encoder(description.value), 0
+        coder, place = encoder(description.value, literal_special), 0
         for batch in batches:
-            for a, b in _chunks(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
-                coded = coder.encode([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()])
-                counts = np.array([len(c) for c in coded], np.int64)
+            texts = as_bytes(batch.column(1))
+            for a, b in chunks(texts, CHUNK):
+                ids, counts = coder.encode(texts[a:b])
                 ends = np.cumsum(counts)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.append(0, ends), pa.int32()), pa.array(np.concatenate(coded)))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(counts), batch.column(2).slice(a, b - a),
                      pa.array(place + ends - counts), lists], names=schema.names)
