@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from zonepulse.llm.jaccard_join import bitmap_of, passed, place
 from zonepulse.llm.text import plain
 from zonepulse.session import materialize
 
@@ -420,7 +421,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                          "sample")
     if sample.select("_toxic").distinct().count() < 2:
         return Model(spark, None, (np.zeros(3), np.ones(3), np.array([0.0, 0.0, 0.0, -30.0])))
-    train = docs.select(key, text).join(keys.select(key, "_toxic", "_half"), key)
+    # Texts of other documents stay where they are: a bitmap of hashed keys, of fixed size, goes to all tasks. Some may pass it too.
+    packed = context.broadcast(bitmap_of(keys.select(F.col(key).alias("doc"))))
+
+    @F.pandas_udf("boolean")
+    def suspect(places: pd.Series) -> pd.Series:
+        return pd.Series(passed(packed.value, places.to_numpy(np.int64)))
+
+    near = docs.select(key, text).where(F.col(key).isNotNull()).where(suspect(place(key)))
+    train = near.join(keys.select(key, "_toxic", "_half"), key)
     spelling = learn(materialize(count_words(train, text), "words"))
     sample = sample.withColumn("_id", F.monotonically_increasing_id())
     held = materialize(sample.select("_id", "model", F.explode("_sums.rest").alias("word", "_n")), "sample-words")
