@@ -134,7 +134,7 @@ def points_of(words: pa.Array, end: bool = True) -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64), lengths
 
 
-FLOORS = (0.98, 1.2, 1.2)   # least discounts: most words of labelled texts occur once, by chance
+FLOORS = (0.999, 1.6, 2.0)   # least discounts: most words of labelled texts occur once or twice by chance
 
 
 def discounts(of_counts: np.ndarray) -> np.ndarray:
@@ -143,7 +143,7 @@ def discounts(of_counts: np.ndarray) -> np.ndarray:
     n1, n2, n3, n4 = np.maximum(of_counts, 0.5)
     y = n1 / (n1 + 2 * n2)
     found = np.array([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3])
-    return np.append(0.0, np.clip(found, FLOORS, (0.99, 1.9, 2.9)))
+    return np.append(0.0, np.clip(found, FLOORS, (0.999, 1.9, 2.9)))
 
 
 def shared_chances(times: np.ndarray) -> np.ndarray:
