@@ -44,7 +44,7 @@ def test_words_are_those_of_the_library(library, monkeypatch):
         ids, counts = coder.encode([t.encode() for t in texts])
         expected = [library.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for t in texts]
         assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e], texts
-    assert len(coder.codes) < 200 and len(coder.older) < 200
+    assert len(coder.codes.hashes) < 200 and len(coder.older.hashes) < 200
 
 
 def test_special_tokens_are_ids_unless_literal():

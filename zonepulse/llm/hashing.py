@@ -29,14 +29,20 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, its first byte) of lower-cased bytes."""
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, its first byte, the byte behind it)."""
     raw = np.frombuffer(data, np.uint8)
     edge = np.diff(np.concatenate([[True], _WHITE[raw], [True]]).astype(np.int8))
     first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTES[raw] * _powers(_BASE, len(raw)), out=sums[1:])
-    return mix((sums[last] - sums[first]) * _powers(_INVERSE, len(raw) + 1)[first] + (last - first).astype(np.uint64)), first
+    hashes = mix((sums[last] - sums[first]) * _powers(_INVERSE, len(raw) + 1)[first] + (last - first).astype(np.uint64))
+    return hashes, first, last
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, its first byte) of lower-cased bytes."""
+    return hashed_words(data)[:2]
 
 
 def _combined(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -6,7 +6,6 @@ groups of set sizes; keys and counts are delta encoded by the version 2 writer,
 sorted key skip pages. Counts and places are columns of their own, so they are read without any ids.
 """
 
-import re
 import unicodedata
 import zlib
 
@@ -14,13 +13,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from zonepulse.llm.hashing import as_bytes, chunks, word_hashes
+from zonepulse.llm.hashing import as_bytes, chunks, hashed_words
 
 END_ID = 1
 WORD_END = "</w>"           # of vocabulary entries that end a word
 MARKS = ".,;:!?*$%&#|"      # no letters, digits or apostrophes
 TOGETHER = 1000             # words encoded as one text
-CACHE = 250_000             # words remembered by a worker, and as many from before
+CACHE = 600_000             # words remembered by a worker (some 40 bytes each), and as many from before
 CHUNK = 1 << 20             # bytes encoded together; a longer text is a chunk of its own
 LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0",
@@ -31,7 +30,9 @@ LAYOUT = {
     "parquet.page.row.count.limit": "2000",
     "compression": "zstd",
 }
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+LETTER, MARK, OTHER, GAP = range(4)     # bytes
+KINDS = np.array([LETTER if chr(b).isalpha() and b < 128 else MARK if chr(b) in MARKS else GAP if b == 32 else OTHER
+                  for b in range(256)], np.uint8)
 
 
 def only_letters(word: str) -> bool:
@@ -39,10 +40,42 @@ def only_letters(word: str) -> bool:
     return word.isascii() and word.isalpha() or unicodedata.normalize("NFC", word).lower().isalpha() and word.isalpha()
 
 
+class Codes:
+    """Ids of words by the words' hashes, as sorted arrays."""
+
+    def __init__(self):
+        self.hashes, self.starts, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash; -1: not there."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def taken(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words at these places in a row, number of each)."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(total)], sizes
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Words that aren't there yet."""
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids = np.concatenate([self.ids, ids])
+        whole = np.concatenate([self.hashes, hashes])
+        order = np.argsort(whole, kind="stable")
+        self.hashes = whole[order]
+        self.starts = np.concatenate([self.starts, starts])[order]
+        self.sizes = np.concatenate([self.sizes, sizes])[order]
+
+
 class Encoder:
     """Ids of texts by a tokenizer that never looks across white space: different words are encoded once, and remembered by hash.
 
-    Punctuation after a word of letters is a pre-token of its own, so both are looked up apart. Special tokens' strings inside a
+    Punctuation after a word of letters is a pre-token of its own. Special tokens' strings inside a
     text are special tokens, as the library has it; ``literal_special``: ordinary text.
     """
 
@@ -50,73 +83,87 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(description)
         self.tokenizer.encode_special_tokens = literal_special
-        self.known: dict[str, bytes] = {}
-        self.codes: dict[int, bytes] = {}
-        self.older: dict[int, bytes] = {}
+        self.codes, self.older = Codes(), Codes()
         pieces = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(pieces.values()) + 1, bool)
         self.closing[[i for piece, i in pieces.items() if piece.endswith(WORD_END)]] = True
 
-    def learn(self, found: set[str]) -> dict[str, bytes]:
-        """Ids of words."""
-        self.known, new = {}, list(found)
-        rest, letters, ends = [], set(), []
-        for word in new:
+    def _words(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of words one by one."""
+        return [np.array(c.ids, np.int32) for c in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _together(self, blob: bytes, ends: np.ndarray, closings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of each word) of plain words in UTF-8 with a space behind each.
+
+        ``ends``: bytes up to a word's end with its space; ``closings``: pre-tokens of each. Many are encoded as one text, cut at
+        the tokens that end a pre-token.
+        """
+        ids, sizes, begin = [], [], 0
+        for at in range(0, len(ends), TOGETHER):
+            some = closings[at:at + TOGETHER]
+            end = int(ends[at + len(some) - 1])
+            text, begin = blob[begin:end - 1].decode("utf-8"), end
+            found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            cuts = np.flatnonzero(self.closing[found]) + 1
+            if len(cuts) == some.sum():
+                ids.append(found)
+                sizes.append(np.diff(cuts[np.cumsum(some) - 1], prepend=0))
+            else:                                   # a tokenizer that cuts words otherwise
+                each = self._words(text.split(" "))
+                ids += each
+                sizes.append(np.array([len(e) for e in each], np.int64))
+        return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.empty(0, np.int32), np.empty(0, np.int64))
+
+    def learn(self, raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order of the words, their ids in that order, number of each): words of ASCII letters with marks behind them
+        first, then other words of letters, then the rest."""
+        lengths = last - first + 1                  # with a space
+        ends = np.cumsum(lengths)
+        begins = ends - lengths
+        bytes_ = raw[np.minimum(np.repeat(first - begins, lengths) + np.arange(ends[-1]), len(raw) - 1)]
+        bytes_[ends - 1] = 0x20
+        kinds = KINDS[bytes_]
+        broken = kinds == OTHER
+        broken[:-1] |= (kinds[:-1] == MARK) & (kinds[1:] == LETTER)
+        plain = (kinds[begins] == LETTER) & ~np.logical_or.reduceat(broken, begins)
+        marked = kinds[ends - 2] == MARK
+        ids, sizes = self._together(bytes_[np.repeat(plain, lengths)].tobytes(), np.cumsum(lengths[plain]), 1 + marked[plain])
+        blob = bytes_.tobytes()
+        letters, rest = [], []
+        for i in np.flatnonzero(~plain).tolist():
+            word = blob[begins[i]:ends[i] - 1].decode("utf-8", "replace")
             base = word.rstrip(MARKS)
-            if base and only_letters(base):
-                letters.add(base)
-                ends.append((word, base, word[len(base):]))
-            else:
-                rest.append(word)
-        rest += {mark for _, _, mark in ends if mark and mark not in self.known}
-        for word, code in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known[word] = np.array(code.ids, "<i4").tobytes()
-        self._learn_letters([w for w in letters if w not in self.known])
-        for word, base, mark in ends:
-            self.known[word] = self.known[base] + self.known[mark] if mark else self.known[base]
-        return self.known
-
-    def _learn_letters(self, words: list[str]) -> None:
-        """Words of letters alone are one pre-token each: many are encoded as one text, cut at the tokens that end a word."""
-        for at in range(0, len(words), TOGETHER):
-            some = words[at:at + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<i4")
-            cuts = np.flatnonzero(self.closing[ids]) + 1
-            if len(cuts) != len(some):
-                raise ValueError("the tokenizer does not mark the ends of words")
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(some, cuts.tolist()):
-                self.known[word] = data[4 * begin:4 * end]
-                begin = end
-
-    def codes_of(self, hashes: list[int], data: bytes, places: list[int]) -> list[bytes]:
-        """Ids of words given by hash; unknown ones are read from ``data`` at their place."""
-        if len(self.codes) > CACHE:
-            self.codes, self.older = {}, self.codes
-        new = {}
-        for h, place in zip(hashes, places):
-            if h not in self.codes:
-                if (code := self.older.get(h)) is not None:
-                    self.codes[h] = code
-                else:
-                    new[h] = WORD.match(data, place).group().decode("utf-8", "replace")
-        if new:
-            learnt = self.learn(set(new.values()))
-            self.codes.update((h, learnt[word]) for h, word in new.items())
-        return [self.codes[h] for h in hashes]
+            (letters if base and only_letters(base) else rest).append((i, word, len(base) < len(word)))
+        coded = [word.encode() + b" " for _, word, _ in letters]
+        more = self._together(b"".join(coded), np.cumsum([len(c) for c in coded]), np.array([1 + m for *_, m in letters], np.int64))
+        each = self._words([word for _, word, _ in rest])
+        order = np.concatenate([np.flatnonzero(plain), np.array([i for i, *_ in letters + rest], np.int64)])
+        return (order, np.concatenate([ids, more[0], *each]),
+                np.concatenate([sizes, more[1], np.array([len(e) for e in each], np.int64)]))
+
+    def remember(self, hashes: np.ndarray, raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The places in ``codes`` of different words, given by hash and by where one of each lies."""
+        if len(self.codes.hashes) > CACHE:
+            self.codes, self.older = Codes(), self.codes
+        new = np.flatnonzero(self.codes.find(hashes) < 0)
+        if len(new):
+            old = self.older.find(hashes[new])
+            known, new = new[old >= 0], new[old < 0]
+            self.codes.add(hashes[known], *self.older.taken(old[old >= 0]))
+        if len(new):
+            order, ids, sizes = self.learn(raw, first[new], last[new])
+            self.codes.add(hashes[new[order]], ids, sizes)
+        return self.codes.find(hashes)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with the end id behind it; ids of each text)."""
         data = b"\n".join(texts)
-        hashes, first = word_hashes(data)
+        hashes, first, last = hashed_words(data)
         at = np.searchsorted(first, np.cumsum([0, *(len(t) + 1 for t in texts)]))
         different, place, which = np.unique(hashes, return_index=True, return_inverse=True)
-        codes = self.codes_of(different.tolist(), data, first[place].tolist())
-        sizes = np.array([len(c) // 4 for c in codes], np.int64)
-        pool, starts = np.frombuffer(b"".join(codes), "<i4"), np.cumsum(sizes) - sizes
-        length = sizes[which]
+        places = self.remember(different, np.frombuffer(data, np.uint8), first[place], last[place])
+        words, length = self.codes.taken(places[which])
         before = np.append(0, np.cumsum(length))
-        words = pool[np.repeat(starts[which] - before[:-1], length) + np.arange(before[-1])]
         counts = np.diff(before[at]) + 1
         ids, inside = np.full(int(counts.sum()), END_ID, np.int32), np.ones(int(counts.sum()), bool)
         inside[np.cumsum(counts) - 1] = False
