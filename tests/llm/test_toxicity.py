@@ -82,11 +82,36 @@ def test_word_ratios_equal_plain_counts(spark):
                     for m in (0, 1, BOTH)} | {(BOTH, "".join(rng.choices(letters + "q", k=rng.randint(1, 9)))) for _ in range(150)})
     frame = spark.createDataFrame([(w, *c) for w, c in words.items()], "word string, " + ", ".join(f"{c} long" for c in COUNTS))
     rows = spark.createDataFrame([(m, w, 1) for m, w in asked], "model long, word string, n long")
-    got = {(r.model, r.word): r.ratio for r in toxicity.word_ratios(rows, toxicity.learn(frame)).collect()}
+    spelling = toxicity.learn(frame)
+    got = {(r.model, r.word): r.ratio for r in toxicity.word_ratios(rows, spelling).collect()}
     expected = plain_ratios(words, asked)
     assert got.keys() == expected.keys()
     for key, value in expected.items():
         assert got[key] == pytest.approx(value, abs=1e-9), key
+    whole = [w for m, w in asked if m == BOTH]
+    sizes = []
+    for most in (toxicity.NODES, 250, 0):       # beginnings that every task gets: all, some, first characters alone
+        found = toxicity.shallow(spelling, most).ratios(whole)
+        sizes.append(len(found))
+        for word, value in found.items():
+            assert value == pytest.approx(expected[BOTH, word], abs=1e-9), (most, word)
+    assert sizes[0] == len(set(whole)) > sizes[1] > sizes[2] > 0
+
+
+def test_fewer_beginnings_score_alike(spark, monkeypatch):
+    """Words that are walked as rows and those that aren't add up to the same scores."""
+    rng = random.Random(3)
+    parts = ["ba", "vex", "grub", "mea", "dow", "ri", "ver"]
+    data = [(i, " ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(12)) + (" vexgrub" if i % 2 else ""), i % 2) for i in range(80)]
+    frame = spark.createDataFrame(data + data[:3], "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    new = spark.createDataFrame([(i, " ".join("".join(rng.choices(parts + ["q"], k=3)) for _ in range(9))) for i in range(40)] * 2, "doc_id long, text string")
+    whole = {(r.doc_id, r.score) for r in toxicity.score(new, model).collect()}
+    monkeypatch.setattr(toxicity, "COMMON", 5)
+    monkeypatch.setattr(toxicity.shallow, "__defaults__", (30,))
+    part = toxicity.score(new, model, keep_text=False)
+    assert part.columns == ["doc_id", "score"] and part.count() == 80
+    assert dict(whole) == pytest.approx({r.doc_id: r.score for r in part.collect()}) and len(whole) == 40
 
 
 def test_words_are_read_to_their_end(spark):

@@ -63,7 +63,7 @@ def op2_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
     model = toxicity.fit(docs, labels)
-    return toxicity.score(docs, model).select(
+    return toxicity.score(docs, model, keep_text=False).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

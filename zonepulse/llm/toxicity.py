@@ -10,8 +10,9 @@ logistic curve, fitted on texts whose own words the models had not seen, turns t
 Counts come from all labelled rows. Words are dealt out by their first two characters; a task makes the trie of the labelled
 words it gets and walks the words asked for through it, so neither beginnings nor contexts become rows. What stands above the second character
 is one row a first character. Only the three-feature curve is fitted on at most
-``FIT_ROWS`` rows of each class, chosen by a hash of their key. Ratios of words are frames too: the ``COMMON`` most frequent
-words of up to ``COMMON_LENGTH`` characters are broadcast, all others are joined.
+``FIT_ROWS`` rows of each class, chosen by a hash of their key. The ratios of the ``COMMON`` most frequent labelled words of up to
+``COMMON_LENGTH`` characters are broadcast, and so are the beginnings of as many characters as make ``NODES`` nodes at most: a word
+that leaves the trie, or ends, within these has its ratio at once. All other words become rows and are walked where their trie is.
 """
 
 import math
@@ -25,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from zonepulse.llm.hashing import mix
 from zonepulse.llm.jaccard_join import bitmap_of, passed, place
 from zonepulse.llm.text import plain
 from zonepulse.session import materialize
@@ -34,7 +36,9 @@ CAUTION = 3.0               # a missed toxic text weighs as much as this many or
 LEAN = 3.0                  # a word's log ratio from which it leans clearly
 COMMON = 1 << 16            # words whose ratios every task gets
 COMMON_LENGTH = 64          # characters of such a word
-FLUSH = 200_000             # words a task counts before it hands them on
+NODES = 1 << 21             # beginnings whose ratios every task gets, 16 bytes each
+LEVELS = 64                 # characters of such a beginning
+SLICE = 1 << 20             # characters of texts summed together; a longer text alone
 BUCKETS = 64                # tries, for each shuffle partition
 WALKED = 1 << 16            # words walked together
 KINDS = 128                 # kinds of characters that shared counts tell apart
@@ -60,21 +64,6 @@ def _pairs(text: Column) -> Column:
     return paired(text)
 
 
-def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n) of all texts."""
-    def counted(frames):
-        counts: Counter = Counter()
-        for frame in frames:
-            for t in frame.iloc[:, 0]:
-                counts.update(found_words(t))
-                if len(counts) > FLUSH:
-                    yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
-                    counts.clear()
-        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())}).astype({"word": object, "n": "int64"})
-
-    return (df.select(text).mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
-
-
 def count_words(train: DataFrame, text: str) -> DataFrame:
     """(word, c00, c01, c10, c11): after how many different words it occurs, by half and class; a word of a passage that
     many texts repeat counts once."""
@@ -170,12 +159,15 @@ class Top:
 
 @dataclass
 class Spelling:
-    """Labelled words with their counts, and what all tasks get: ``top``, shared chances (``KINDS`` cubed), discounts by class."""
+    """Labelled words with their counts, and what all tasks get: ``top``, shared chances (``KINDS`` cubed), discounts by class.
+
+    ``levels``: how many beginnings have 0, 1, … ``LEVELS`` characters (0 for the first two, which ``top`` has)."""
 
     words: DataFrame
     top: Top
     shared: np.ndarray
     discount: np.ndarray
+    levels: np.ndarray
 
 
 def _bucket(spark: SparkSession) -> Column:
@@ -233,15 +225,17 @@ def learn(words: DataFrame) -> Spelling:
     top = _top(words)
 
     def run(batches):
-        trigrams, of_counts = Counter(), np.zeros((2, 4))
+        trigrams, of_counts, levels = Counter(), np.zeros((2, 4)), np.zeros(LEVELS + 1, np.int64)
         for _, _, table in _parts(batches):
             trie = _trie(table)
             deep = trie.depths[1:] >= 2
             trigrams.update(dict(zip(*(x.tolist() for x in np.unique(trie.trigrams()[deep], return_counts=True)))))
+            levels += np.bincount(np.minimum(trie.depths[1:][deep], LEVELS), minlength=LEVELS + 1)
             both = trie.by_model()[1:][deep, BOTH]
             for k in (0, 1):
                 of_counts[k] += [(both[:, k] == i).sum() for i in (1, 2, 3, 4)]
         cells = list(trigrams.items()) + [(-1 - 4 * k - i, n) for k in (0, 1) for i, n in enumerate(of_counts[k].tolist())]
+        cells += [(-9 - d, n) for d, n in enumerate(levels.tolist()) if n]
         yield pa.RecordBatch.from_arrays([pa.array([int(c) for c, _ in cells], pa.int64()), pa.array([int(n) for _, n in cells], pa.int64())],
                                          names=["cell", "n"])
 
@@ -251,10 +245,11 @@ def learn(words: DataFrame) -> Spelling:
     times = np.zeros(KINDS ** 3)
     times[cell[cell >= 0]] = n[cell >= 0]
     np.add.at(times, kind_of(top.chars), 1)                                 # beginnings of one character
-    of_counts = np.zeros(8)
-    of_counts[-1 - cell[cell < 0]] = n[cell < 0]
+    below = np.zeros(9 + LEVELS)
+    below[-1 - cell[cell < 0]] = n[cell < 0]
+    of_counts, levels = below[:8], below[8:]
     return Spelling(words, top, shared_chances(times.reshape((KINDS,) * 3)).ravel(),
-                    np.stack([discounts(of_counts[:4]), discounts(of_counts[4:])]))
+                    np.stack([discounts(of_counts[:4]), discounts(of_counts[4:])]), levels)
 
 
 def node_ratios(trie: Trie, top: Top, shared: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -342,17 +337,112 @@ def top_ratios(top: Top, shared: np.ndarray, discount: np.ndarray) -> tuple[np.n
     return ratio[1:], other[1:]
 
 
+def _spelt(before: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Hash of a beginning with one more character."""
+    return mix(before * np.uint64(0x9E3779B97F4A7C15) + points.astype(np.uint64) + np.uint64(1))
+
+
+@dataclass
+class Shallow:
+    """Ratios under the model of all rows of words that go on otherwise behind a known beginning, or end there.
+
+    ``depth``: characters of the longest beginnings; ``hashes`` ascend; ``none``: of words with an unknown first character.
+    """
+
+    depth: int
+    hashes: np.ndarray
+    values: np.ndarray
+    none: float
+
+    def ratios(self, words: list[str]) -> dict[str, float]:
+        """Of the words that leave the known beginnings, or end, within ``depth`` characters."""
+        found = {}
+        for at in range(0, len(words), WALKED):
+            some = words[at:at + WALKED]
+            points, lengths = points_of(pa.array(some, pa.string()))
+            begin, reach = np.cumsum(lengths) - lengths, np.minimum(lengths, self.depth)
+            hashes = np.zeros((int(reach.max()) + 1, len(some)), np.uint64)
+            for d in range(1, len(hashes)):
+                hashes[d] = _spelt(hashes[d - 1], points[begin + np.minimum(d, lengths) - 1])
+            each, low, high = np.arange(len(some)), np.zeros(len(some), np.int64), reach.copy()
+            value = np.full(len(some), self.none)
+            while len(open_ := np.flatnonzero(low < high)):         # every beginning of a known one is known
+                middle = (low[open_] + high[open_] + 1) // 2
+                wanted = hashes[middle, each[open_]]
+                place = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+                known = self.hashes[place] == wanted
+                low[open_[known]], high[open_[~known]] = middle[known], middle[~known] - 1
+                value[open_[known]] = self.values[place[known]]
+            sure = np.flatnonzero((low < reach) | (low == lengths))
+            found.update(zip([some[i] for i in sure.tolist()], value[sure].tolist()))
+        return found
+
+
+def shallow(spelling: Spelling, most: int = NODES) -> Shallow:
+    """The beginnings of as many characters as make ``most`` nodes at most, and all first characters."""
+    depth = max(int(np.searchsorted(np.cumsum(spelling.levels[:LEVELS]), most, side="right")) - 1, 1)
+    context = spelling.words.sparkSession.sparkContext
+    shared = context.broadcast((spelling.top, spelling.shared, spelling.discount))
+
+    def run(batches):
+        for _, _, table in _parts(batches):
+            trie = _trie(table)
+            hashes, values = _behind(trie, *shared.value)
+            wanted = (trie.depths >= 2) & (trie.depths <= depth)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[wanted].view(np.int64)), pa.array(values[wanted])], names=["hash", "value"])
+
+    words = spelling.words.withColumn("side", F.lit(0))
+    rows = _buckets(words, run, "hash long, value double", "side", "word", *COUNTS).toArrow()           # at most ``most`` rows
+    top = spelling.top
+    first = Trie(top.chars, np.ones(len(top.chars), np.int64), np.zeros((len(top.chars), 4)))
+    hashes, values = _behind(first, *shared.value)
+    whole = np.concatenate([rows["hash"].to_numpy().view(np.uint64), hashes[1:]])
+    order = np.argsort(whole)
+    return Shallow(depth, whole[order], np.concatenate([rows["value"].to_numpy(), values[1:]])[order], float(values[0]))
+
+
+def _behind(trie: Trie, top: Top, shared: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each node: hash of its beginning; log ratio of a word that goes on otherwise behind it or, at ``END``, ends."""
+    ratio, other = (r[:, BOTH] for r in node_ratios(trie, top, shared, discount))
+    hashes, total = np.zeros(len(trie.depths), np.uint64), np.zeros(len(trie.depths))
+    edges = np.searchsorted(trie.depths, np.arange(1, trie.depths[-1] + 2))
+    for a, b in zip(edges, edges[1:]):
+        parent = trie.parent[a - 1:b - 1]
+        hashes[a:b] = _spelt(hashes[parent], trie.char[a - 1:b - 1])
+        total[a:b] = total[parent] + ratio[a:b]
+    ended = np.append(False, trie.char == END)
+    return hashes, total + np.where(ended, 0.0, other)
+
+
+def _slices(texts: list):
+    """Neighbouring texts of about ``SLICE`` characters together."""
+    held, size = [], 0
+    for t in texts:
+        if held and size + len(t or "") > SLICE:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t or "")
+    if held:
+        yield held
+
+
 def _summed(text: Column, ratios) -> Column:
-    """Of a text: number of words, sums of the known ratios and of what leans, and how often it holds each other word."""
+    """Of a text: number of words, sums of the known ratios and of what leans, and how often it holds each other word.
+
+    ``ratios``: broadcast ratios of words, and of beginnings (``Shallow``) or None.
+    """
     @F.pandas_udf("n long, total double, leaning double, rest map<string, long>")
     def summed(texts: pd.Series) -> pd.DataFrame:
-        known, rows = ratios.value, []
-        for t in texts:
-            words = found_words(t)
-            found = [known.get(w) for w in words]
-            rest = Counter(w for w, r in zip(words, found) if r is None) if None in found else {}
-            found = [r for r in found if r is not None] if rest else found
-            rows.append((len(words), float(sum(found)), float(sum(r - LEAN for r in found if r > LEAN)), dict(rest)))
+        (known, beginnings), rows = ratios.value, []
+        for some in _slices(texts.tolist()):
+            of = [found_words(t) for t in some]
+            more = beginnings.ratios(list({w for words in of for w in words if w not in known})) if beginnings else {}
+            for words in of:
+                found = [known[w] if w in known else more.get(w) for w in words]
+                rest = Counter(w for w, r in zip(words, found) if r is None) if None in found else {}
+                found = [r for r in found if r is not None] if rest else found
+                rows.append((len(words), float(sum(found)), float(sum(r - LEAN for r in found if r > LEAN)), dict(rest)))
         return pd.DataFrame(rows, columns=["n", "total", "leaning", "rest"])
     return summed(text)
 
@@ -417,7 +507,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     picked = halves[0].unionByName(halves[1])
     context = spark.sparkContext
     sample = materialize(docs.select(key, text).join(F.broadcast(picked), key)      # at most 2 * rows keys
-                         .select("_toxic", (1 - F.col("_half")).alias("model"), _summed(F.col(text), context.broadcast({})).alias("_sums")),
+                         .select("_toxic", (1 - F.col("_half")).alias("model"), _summed(F.col(text), context.broadcast(({}, None))).alias("_sums")),
                          "sample")
     if sample.select("_toxic").distinct().count() < 2:
         return Model(spark, None, (np.zeros(3), np.ones(3), np.array([0.0, 0.0, 0.0, -30.0])))
@@ -444,29 +534,33 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return Model(spark, spelling, fit_curve(x, y, weight * len(y) / weight.sum()))
 
 
-def score(df: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
-    """``df`` with a score of 0 to 1 (higher: toxic likelier). Null and empty texts get the score of a text
+def score(df: DataFrame, model: Model, text: str = "text", into: str = "score", keep_text: bool = True) -> DataFrame:
+    """``df``, without its text unless ``keep_text``, with a score of 0 to 1 (higher: toxic likelier). Null and empty texts get the score of a text
     without words; equal texts equal scores; an empty frame gives no rows; columns that begin with an underscore are dropped."""
     mean, scale, beta = model.curve
     df = plain(df, into)
+    kept = [f"`{c}`" for c in df.columns if c != into and (keep_text or c != text)]
     if model.spelling is None:
-        return df.withColumn(into, F.lit(1 / (1 + math.exp(-float(beta[-1])))))
-    asked = vocabulary(df, text).withColumn("model", F.lit(BOTH))
-    ratios = materialize(word_ratios(asked, model.spelling), "word-ratios")
-    often = {w: r for w, r in ratios.where(F.length("word") <= COMMON_LENGTH).orderBy(F.desc("n"), "word")
-             .select("word", "ratio").limit(COMMON).collect()}
-    out = df.withColumn("_sums", _summed(F.col(text), df.sparkSession.sparkContext.broadcast(often)))
-    total, leaning = F.col("_sums.total"), F.col("_sums.leaning")
-    if ratios.count() > len(often):         # the others, by digest of the text
-        out = out.withColumn("_a", F.xxhash64(text)).withColumn("_b", F.xxhash64(F.lit(1), F.col(text)))
-        rest = out.select("_a", "_b", F.explode("_sums.rest").alias("word", "_n")).dropDuplicates(["_a", "_b", "word"])
-        out = out.join(_added(rest, ratios.select("word", "ratio"), "_a", "_b"), ["_a", "_b"], "left")
-        total, leaning = (x + F.coalesce(F.col(y), F.lit(0.0)) for x, y in ((total, "_total"), (leaning, "_leaning")))
+        return df.select(*kept, F.lit(1 / (1 + math.exp(-float(beta[-1])))).alias(into))
+    often = (model.spelling.words.where(F.length("word") <= COMMON_LENGTH)
+             .select(F.lit(BOTH).alias("model"), "word", sum(map(F.col, COUNTS)).alias("n"))
+             .orderBy(F.desc("n"), "word").limit(COMMON))
+    known = {w: r for w, r in word_ratios(often, model.spelling).select("word", "ratio").collect()}      # at most COMMON rows
+    common = df.sparkSession.sparkContext.broadcast((known, shallow(model.spelling)))
+    out = (df.withColumn("_sums", _summed(F.col(text), common))
+           .withColumn("_a", F.xxhash64(text)).withColumn("_b", F.xxhash64(F.lit(1), F.col(text))))
+    if not keep_text:
+        out = materialize(out.select(*kept, "_sums", "_a", "_b"), "word-sums")
+    rest = materialize(out.select("_a", "_b", F.explode("_sums.rest").alias("word", "_n")).dropDuplicates(["_a", "_b", "word"]), "word-rest")
+    asked = rest.groupBy("word").agg(F.sum("_n").alias("n")).withColumn("model", F.lit(BOTH))
+    ratios = word_ratios(asked, model.spelling).select("word", "ratio")
+    out = out.join(_added(rest, ratios, "_a", "_b"), ["_a", "_b"], "left")
+    total, leaning = (F.col(f"_sums.{x}") + F.coalesce(F.col(f"_{x}"), F.lit(0.0)) for x in ("total", "leaning"))
     z = F.lit(float(beta[-1]))
     for i, value in enumerate(features(F.col("_sums.n"), total, leaning)):
         z = z + float(beta[i]) * (value - float(mean[i])) / float(scale[i])
     scored = out.withColumn(into, 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0)))))
-    return scored.select(*(f"`{c}`" for c in df.columns if c != into), into)
+    return scored.select(*kept, into)
 
 
 def held_out(key: Column) -> Column:
