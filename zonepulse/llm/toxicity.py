@@ -67,9 +67,11 @@ def _pairs(text: Column) -> Column:
 def count_words(train: DataFrame, text: str) -> DataFrame:
     """(word, c00, c01, c10, c11): after how many different words it occurs, by half and class; a word of a passage that
     many texts repeat counts once."""
-    pairs = train.select("_half", "_toxic", F.explode(_pairs(F.col(text))).alias("_pair")).distinct()
-    return pairs.withColumn("word", F.substring_index("_pair", " ", -1)).groupBy("word").agg(*(
-        F.count_if((F.col("_half") == h) & (F.col("_toxic") == c)).alias(f"c{h}{c}") for h in (0, 1) for c in (0, 1)))
+    of = F.concat(F.col("_half").cast("string"), F.col("_toxic").cast("string"))
+    pairs = train.select(of.alias("_of"), F.explode(_pairs(F.col(text))).alias("_pair"))
+    return (pairs.select(F.concat("_of", "_pair").alias("_pair")).distinct()        # one short column to shuffle
+            .select(F.left("_pair", F.lit(2)).alias("_of"), F.substring_index("_pair", " ", -1).alias("word"))
+            .groupBy("word").agg(*(F.count_if(F.col("_of") == c[1:]).alias(c) for c in COUNTS)))
 
 
 COUNTS = ["c00", "c01", "c10", "c11"]
@@ -448,10 +450,12 @@ def _summed(text: Column, ratios) -> Column:
 
 
 def _added(rest: DataFrame, ratios: DataFrame, *keys: str) -> DataFrame:
-    """Sums over the words (keys, word, _n) that ``_summed`` left."""
+    """Sums over the words (keys, _at, word, _n) that ``_summed`` left; ``_at`` counts from 0 in each text, and equal texts of
+    one key count once."""
+    texts = F.count_if(F.col("_at") == 0)
     return rest.join(ratios, [c for c in ("model", "word") if c in rest.columns]).groupBy(*keys).agg(
-        F.sum(F.col("_n") * F.col("ratio")).alias("_total"),
-        F.sum(F.col("_n") * F.greatest(F.col("ratio") - LEAN, F.lit(0.0))).alias("_leaning"))
+        (F.sum(F.col("_n") * F.col("ratio")) / texts).alias("_total"),
+        (F.sum(F.col("_n") * F.greatest(F.col("ratio") - LEAN, F.lit(0.0))) / texts).alias("_leaning"))
 
 
 def features(n: Column, total: Column, leaning: Column) -> tuple[Column, Column, Column]:
@@ -502,7 +506,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rows of both classes scores are 0.
     """
     spark = docs.sparkSession
-    keys = labelled(labels, key, label)
+    keys = materialize(labelled(labels, key, label), "labels")      # stored, so that Spark knows its size in joins
     halves = [keys.where(F.col("_toxic") == c).orderBy("_order", key).limit(rows) for c in (0, 1)]
     picked = halves[0].unionByName(halves[1])
     context = spark.sparkContext
@@ -522,7 +526,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     train = near.join(keys.select(key, "_toxic", "_half"), key)
     spelling = learn(materialize(count_words(train, text), "words"))
     sample = sample.withColumn("_id", F.monotonically_increasing_id())
-    held = materialize(sample.select("_id", "model", F.explode("_sums.rest").alias("word", "_n")), "sample-words")
+    held = materialize(sample.select("_id", "model", F.posexplode("_sums.rest").alias("_at", "word", "_n")), "sample-words")
     asked = held.groupBy("model", "word").agg(F.sum("_n").alias("n"))
     sums = _added(held, word_ratios(asked, spelling).select("model", "word", "ratio"), "_id")
     zero = F.lit(0.0)
@@ -551,7 +555,9 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "score",
            .withColumn("_a", F.xxhash64(text)).withColumn("_b", F.xxhash64(F.lit(1), F.col(text))))
     if not keep_text:
         out = materialize(out.select(*kept, "_sums", "_a", "_b"), "word-sums")
-    rest = materialize(out.select("_a", "_b", F.explode("_sums.rest").alias("word", "_n")).dropDuplicates(["_a", "_b", "word"]), "word-rest")
+    rest = out.select("_a", "_b", F.posexplode("_sums.rest").alias("_at", "word", "_n"))
+    if keep_text:           # else it is stored already
+        rest = materialize(rest, "word-rest")
     asked = rest.groupBy("word").agg(F.sum("_n").alias("n")).withColumn("model", F.lit(BOTH))
     ratios = word_ratios(asked, model.spelling).select("word", "ratio")
     out = out.join(_added(rest, ratios, "_a", "_b"), ["_a", "_b"], "left")
