@@ -38,7 +38,7 @@ COMMON = 1 << 16            # words whose ratios every task gets
 COMMON_LENGTH = 64          # characters of such a word
 NODES = 1 << 21             # beginnings whose ratios every task gets, 16 bytes each
 LEVELS = 64                 # characters of such a beginning
-SLICE = 1 << 20             # characters of texts summed together; a longer text alone
+SLICE = 1 << 18             # characters of texts summed together; a longer text alone
 BUCKETS = 64                # tries, for each shuffle partition
 WALKED = 1 << 16            # words walked together
 KINDS = 128                 # kinds of characters that shared counts tell apart
