@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -82,6 +83,70 @@ def test_quality_divergence_equals_formula(spark):
     assert got == pytest.approx(np.sqrt((kl(p) + kl(q)) / 2))
 
 
+def quality_by_hand(data, limits):
+    """doc_id -> (char_distance, word_distance, kept) of (doc_id, text, lang) rows of ASCII texts."""
+    def shares(counts):
+        return np.array(counts) / sum(counts) if sum(counts) else None
+
+    def distance(p, q):
+        m = (p + q) / 2
+        kl = lambda a: sum(x * np.log2(x / y) for x, y in zip(a, m) if x)
+        return np.sqrt(max(0.0, (kl(p) + kl(q)) / 2))
+
+    docs = []
+    for key, text, lang in data:
+        text, words = text or "", WORD.findall(text or "")
+        often = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+        covered = {j for i in range(len(words) - 4) if often[tuple(words[i:i + 5])] > 1 for j in range(i, i + 5)}
+        classes = [len(re.findall(c, text)) for c in (
+            "[a-z]", "[A-Z]", "[0-9]", r"[\x20\x09-\x0D]", r"[.,;:'\"()-]", "[!?]", r"[#*$%&|<>]")]
+        classes.append(len(text) - sum(classes))
+        common = limits.common_words.get(lang or "")
+        if common is not None:
+            signs = sum(len(w) <= 3 and not re.search("[A-Za-z0-9]", w) for w in words)
+            common = [words.count(w) for w in common] + [signs]
+            common.append(len(words) - sum(common))
+        bad = len(words) < limits.min_words or 100 * len(covered) > limits.max_repeat_percent * len(words)
+        docs.append((key, lang or "", len(words), bad, shares(classes), common and shares(common)))
+    good = [d for d in docs if not d[3] and d[2] >= limits.judged_words]
+    enough = lambda ds: len(ds) >= limits.reference_docs
+    result = {}
+    for key, lang, n, bad, chars, common in docs:
+        own = [d for d in good if d[1] == lang]
+        ref, c, w = own if enough(own) else good, None, None
+        if n >= limits.judged_words and enough(ref):
+            c = distance(chars, np.mean([d[4] for d in ref], axis=0))
+            if enough(own) and common is not None:
+                w = distance(common, np.mean([d[5] for d in own], axis=0))
+        odd = (c is not None and c > limits.char_limit + limits.char_slack / np.sqrt(n)
+               or w is not None and w > limits.word_limit + limits.word_slack / np.sqrt(n))
+        result[key] = c, w, not bad and not odd
+    return result
+
+
+def test_quality_verdict_equals_brute_force(rows):
+    """A language with references, one without a word list, one with too few documents, none at all; odd documents in each."""
+    rng = random.Random(8)
+    usual = ["the", "of", "and", "Cat", "house", "river,", "stone.", "seven", "light", "7", "-", "walks", "over", "under"]
+    limits = quality.Limits(reference_docs=12)
+    data = []
+    for i in range(90):
+        lang = ("en", "xx", "fi", None)[0 if i < 40 else 1 if i < 75 else 2 if i < 82 else 3]
+        n = rng.choice([5, 15, 60, 200])
+        words = [str(rng.randint(0, 10 ** 6)) if i % 9 == 0 else "!?!?" if i % 13 == 0 else rng.choice(usual) for _ in range(n)]
+        data.append((i, "\n".join(" ".join(words[j:j + 8]) for j in range(0, n, 8)), lang))
+    want = quality_by_hand(data, limits)
+    got = {r.doc_id: r for r in quality.judge(rows(data, "doc_id long, text string, lang string"), limits).collect()}
+    assert {k: v[2] for k, v in want.items()} == {k: r.kept for k, r in got.items()}
+    for key, (chars, words, _) in want.items():
+        assert got[key].char_distance == (None if chars is None else pytest.approx(chars)), key
+        assert got[key].word_distance == (None if words is None else pytest.approx(words)), key
+    few = [key for key, _, lang in data if lang == "fi"]
+    assert any(want[k][0] is not None for k in few) and {want[k][2] for k in few} == {True, False}
+    alone = quality.judge(rows(data[75:82], "doc_id long, text string, lang string"), limits).collect()
+    assert all(r.char_distance is None for r in alone)          # too few good documents in all
+
+
 def test_fingerprints_exact_below_k_and_mergeable(rows):
     data = [r for r in ODD if r[0] != 5] + [(5, "one two three four five")]
     got = fingerprints.with_next(rows(data))
@@ -133,6 +198,10 @@ def test_bpe_equals_the_library(rows):
             library.encode_ordinary(t) for t in texts]
     for text in ("ab" * 2000, " " * 500, "'s" * 100):
         assert bpe.encode_texts([text.encode()], vocab)[0].tolist() == library.encode_ordinary(text)
+    every = [c for c in range(sys.maxunicode + 1) if c not in bpe.SURROGATES]
+    for at in range(0, len(every), 1 << 15):
+        text = "".join(f"a{chr(c)}7{chr(c)} {chr(c)}." for c in every[at:at + (1 << 15)])
+        assert bpe.encode_texts([text.encode()], vocab)[0].tolist() == library.encode_ordinary(text), hex(at)
     coded = bpe.encode(rows(ODD), path)
     for r in bpe.decode(coded.withColumn("keep", F.col("ids")), path).collect():
         text = next(t or "" for k, t in ODD if k == r.doc_id)
@@ -164,13 +233,23 @@ def test_chat_round_trip(rows):
     rng = random.Random(9)
     pieces = ["\\", "### Assistant: ", "</turn>", "\n", "### a: ", "### ", " ", "x", "é", ":", "</", "turn>"]
     for _ in range(3000):
-        turns = [(rng.choice(["user", "assistant", "", "a b:%"]), "".join(rng.choices(pieces, k=rng.randint(0, 7))))
+        turns = [(rng.choice(["user", "assistant", "", "a b:%", "%", "r" * 65, "%" * 17, "system </turn> ### a: \n" * 5]), "".join(rng.choices(pieces, k=rng.randint(0, 7))))
                  for _ in range(3)]
         formatted = [chat.format_turn(*t)[0] for t in turns]
         assert [t[:2] for t in chat.parse("".join(formatted))] == turns
     assert chat.format_turn("user", "plain text")[0] == "### user: plain text\n</turn>\n"
     with pytest.raises(chat.FormatError):
         chat.parse("### user: never ends")
+    assert chat.format_turn("r" * 64, "x")[0] == f"### {'r' * 64}: x\n</turn>\n"
+    for broken in ("### %: role", "### %: role\n", "### %: role\nx</turn>"):
+        with pytest.raises(chat.FormatError):
+            chat.parse(broken)
+    slashes = "\\" * 300_000                  # one pass over them
+    assert chat.parse(chat.format_turn("user", slashes)[0])[0][1] == slashes
+    long = [(2, 0, "x" * 65, "a"), (2, 1, "assistant" * 9, "not trained on"), (2, 2, "assistant", "b")]
+    got = chat.digests(chat.format_turns(rows(long, "conv_id long, turn long, role string, text string"))).first()
+    assert got.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in long).encode()).hexdigest()
+    assert got.loss_sha256 == hashlib.sha256(b"b").hexdigest()
     data = [(1, 1, "assistant", "b </turn>"), (1, 0, "user", None), (1, 1, "assistant", "b </turn>"), (None, 0, None, "x")]
     got = chat.digests(chat.format_turns(rows(data, "conv_id long, turn long, role string, text string"))).collect()
     by_id = {r.conv_id: r for r in got}

@@ -1,6 +1,7 @@
 """Byte-level BPE: encoding texts to token ids, and back.
 
-Pre-tokens are found without a regex. Every character gets a symbol from its class and the next two
+Pre-tokens are found without a regex; which code points are letters, numbers or white space is read off the library
+whose ids are to be equalled, once a worker, so it doesn't hang on Python's Unicode version. Every character gets a symbol from its class and the next two
 characters; a symbol acts on the scanner's eight states as a function, and such functions compose
 associatively. All functions that can arise are numbered once with their composition table, so a
 block scan over numbers gives the state at each character of a whole batch of texts: within all
@@ -15,12 +16,12 @@ import base64
 import functools
 import heapq
 import sys
-import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark.sql import DataFrame, types as T
 
 from zonepulse.llm.text import plain
@@ -34,8 +35,8 @@ NO_PAIR = 1 << 40
 
 # Character classes.
 LETTER, NUMBER, SPACE, BLANK, MARK = range(5)       # BLANK: white space other than U+0020
-# White space beside the general categories' separators.
-WHITE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+CLASS_PATTERNS = {LETTER: r"\p{L}", NUMBER: r"\p{N}", BLANK: r"\s"}
+SURROGATES = range(0xD800, 0xE000)      # in no text
 # Symbols: LETTER and NUMBER as above, a space or blank before a visible character, white space before
 # more of it or the end, a mark, an apostrophe that starts a suffix of two or of three characters.
 LAST_SPACE, LAST_BLANK, MID_WHITE, PLAIN, SUFFIX2, SUFFIX3 = range(2, 8)
@@ -66,17 +67,27 @@ def _step(state: int, symbol: int) -> tuple[int, bool]:
     return {PLAIN: MARKS, SUFFIX2: ONE_LEFT, SUFFIX3: TWO_LEFT}[symbol], True
 
 
+def character_classes() -> np.ndarray:
+    """The class of each code point.
+
+    With the single bytes as its ranks and a class as its pattern, the library encodes just the characters of that class
+    of a text: here a text of all characters.
+    """
+    single = {bytes([b]): b for b in range(256)}
+    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if c not in SURROGATES)
+    kinds = np.full(sys.maxunicode + 1, MARK, np.uint8)
+    for kind, pattern in CLASS_PATTERNS.items():
+        found = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=single, special_tokens={}).encode_ordinary(every)
+        kinds[np.frombuffer(bytes(found).decode().encode("utf-32-le"), np.uint32)] = kind
+    kinds[ord(" ")] = SPACE
+    return kinds
+
+
 @functools.cache
 def _tables():
     """(classes by code point, starts[state, symbol], composition[f, g], action[f, state],
     function of each symbol, function of each symbol at a text's start, identity)."""
-    kinds = np.full(sys.maxunicode + 1, MARK, np.uint8)
-    for c in range(sys.maxunicode + 1):
-        category = unicodedata.category(chr(c))[0]
-        if category in "LN":
-            kinds[c] = LETTER if category == "L" else NUMBER
-    kinds[list(WHITE)] = BLANK
-    kinds[0x20] = SPACE
+    kinds = character_classes()
     starts = np.array([[_step(s, x)[1] for x in range(SYMBOLS)] for s in range(STATES)])
     plain = [tuple(_step(s, x)[0] for s in range(STATES)) for x in range(SYMBOLS)]
     first = [(_step(FRESH, x)[0],) * STATES for x in range(SYMBOLS)]

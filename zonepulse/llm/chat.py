@@ -2,8 +2,10 @@
 
     conversation = turn*
     turn         = "### " role ": " text "\\n</turn>\\n"
+                 | "### %: " role "\\n" text "\\n</turn>\\n"        for a role of more than 64 characters as written
 
-Inside a turn, ``### name: `` and ``</turn>`` are control strings; after one or more backslashes they are text, with one
+Roles are written without white space, colon, percent or backslash, so ``%`` alone is no role and a long role's line
+holds no control string. Inside a turn, ``### name: `` and ``</turn>`` are control strings; after one or more backslashes they are text, with one
 backslash less. Each turn is rendered as it is and parsed; what comes back different (control strings, or control
 strings after backslashes, in its text) is rendered again with a backslash more before each, until it reads back
 as the one turn it was. Everything else is left as written, so formatted text stays readable.
@@ -24,8 +26,10 @@ from zonepulse.llm.text import plain
 
 END = "</turn>"
 TRAINED = "assistant"       # the role under the loss mask
-CONTROL = re.compile(r"(\\*)(### [^\s:]{0,64}: |</turn>)")
+CONTROL = re.compile(r"(?<!\\)(\\*)(### [^\s:]{0,64}: |</turn>)")     # a run of backslashes is tried once, from its start
 HEADER = re.compile(r"### ([^\s:]{0,64}): ")
+ROLE_MOST = 64
+LONG_ROLE = "%"
 ROUNDS = 3
 
 
@@ -34,11 +38,8 @@ class FormatError(ValueError):
 
 
 def _role_out(role: str) -> str:
-    """Roles hold no white space, colon, percent or backslash, and 64 characters at most."""
-    safe = "".join(c if c.isalnum() or c in "-_." else f"%{ord(c):x};" for c in role)
-    if len(safe) > 64:
-        raise FormatError(f"role too long: {role[:80]!r}")
-    return safe
+    """The role without white space, colon, percent or backslash."""
+    return "".join(c if c.isalnum() or c in "-_." else f"%{ord(c):x};" for c in role)
 
 
 def _role_in(name: str) -> str:
@@ -47,7 +48,9 @@ def _role_in(name: str) -> str:
 
 def render(role: str, text: str, escaped: bool) -> str:
     body = CONTROL.sub(lambda m: f"\\{m[0]}", text) if escaped else text
-    return f"### {_role_out(role)}: {body}\n{END}\n"
+    name = _role_out(role)
+    head = f"### {name}: " if len(name) <= ROLE_MOST else f"### {LONG_ROLE}: {name}\n"
+    return f"{head}{body}\n{END}\n"
 
 
 def parse(formatted: str) -> list[tuple[str, str, int, int]]:
@@ -57,8 +60,13 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
         header = HEADER.match(formatted, at)
         if not header:
             raise FormatError(f"no turn begins at {at}")
-        begin = at = header.end()
-        parts = []
+        name, begin = header[1], header.end()
+        if name == LONG_ROLE:
+            line = formatted.find("\n", begin)
+            if line < 0:
+                raise FormatError(f"a long role does not end at {begin}")
+            name, begin = formatted[begin:line], line + 1
+        at, parts = begin, []
         for found in CONTROL.finditer(formatted, begin):
             parts.append(formatted[at:found.start()])
             at = found.end()
@@ -74,7 +82,7 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
         if end < begin or formatted[end] != "\n" or formatted[at:at + 1] != "\n":
             raise FormatError(f"no lines end around the turn's end at {at}")
         at += 1
-        turns.append((_role_in(header[1]), "".join(parts)[:-1], begin, end))
+        turns.append((_role_in(name), "".join(parts)[:-1], begin, end))
     return turns
 
 
@@ -95,7 +103,7 @@ def format_turns(df: DataFrame, role: str = "role", text: str = "text", trained:
     """``df`` without role and text, with ``formatted`` and the loss mask within it: ``loss_from``,
     ``loss_to`` (equal where the turn isn't trained on).
 
-    A null text or role counts as empty. Repeated rows are turns of their own; an empty frame gives no rows.
+    A null text or role counts as empty; a role of any length and of any characters reads back. Repeated rows are turns of their own; an empty frame gives no rows.
     """
 
     @F.pandas_udf("formatted string, loss_from int, loss_to int")

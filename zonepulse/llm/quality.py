@@ -3,7 +3,8 @@
 A document is compared with references of its own language by Jensen-Shannon distance (base 2,
 0 to 1): the shares of eight character classes, and the shares of the language's common words
 (and of bare signs and all other words). References are the mean shares over all documents of the language that
-pass the base rules. Short documents scatter, so a limit is widened by ``slack / sqrt(words)`` and
+pass the base rules; a language with too few of them is compared with the mean character classes of
+all languages. Short documents scatter, so a limit is widened by ``slack / sqrt(words)`` and
 nothing is judged below ``min_words``. All of it is built-in expressions on one row at a time,
 plus one small aggregation per language.
 """
@@ -37,7 +38,7 @@ class Limits:
     min_words: int = 10             # base rule
     max_repeat_percent: int = 20    # base rule
     judged_words: int = 20          # below it no distance is judged
-    reference_docs: int = 20        # a language with fewer documents has no reference
+    reference_docs: int = 20        # a language with fewer good documents has no reference of its own
     char_limit: float = 0.22
     char_slack: float = 0.8
     word_limit: float = 0.30
@@ -135,12 +136,13 @@ def _common_counts(lang: Column, limits: Limits) -> Column:
 
 
 def divergence(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two arrays of shares (each sums to 1), base 2."""
+    """Jensen-Shannon distance of two arrays of shares (each sums to 1), base 2; null if either is null."""
     def half(a: Column) -> Column:
         terms = F.zip_with(a, F.zip_with(p, q, lambda x, y: (x + y) / 2),
                            lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0))
         return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
-    return F.sqrt(F.greatest(F.lit(0.0), (half(p) + half(q)) / 2))
+    # ``greatest`` passes over nulls, so they are kept out of it.
+    return F.when(p.isNotNull() & q.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), (half(p) + half(q)) / 2)))
 
 
 def _shares(counts: Column) -> Column:
@@ -162,7 +164,7 @@ def features(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang:
 
 
 def references(featured: DataFrame, limits: Limits = Limits(), lang: str = "lang") -> DataFrame:
-    """One row per language: mean shares of its documents that pass the base rules."""
+    """One row per language, ``_docs`` and mean shares of its documents that pass the base rules."""
     sizes = {"_chars": len(CLASSES)}
     sizes["_common"] = max((len(w) for w in limits.common_words.values()), default=0) + 2
     good = featured.where(~F.col("base_failed") & (F.col("n_words") >= limits.judged_words))
@@ -170,7 +172,14 @@ def references(featured: DataFrame, limits: Limits = Limits(), lang: str = "lang
     table = good.groupBy(F.coalesce(F.col(lang), F.lit("")).alias("_lang")).agg(F.count("*").alias("_docs"), *means)
     packed = [F.filter(F.array(*(F.col(f"{name}{i}") for i in range(n))), lambda x: x.isNotNull()).alias(f"{name}_ref")
               for name, n in sizes.items()]
-    return table.where(F.col("_docs") >= limits.reference_docs).select("_lang", *packed)
+    return table.select("_lang", "_docs", *packed)
+
+
+def pooled_reference(refs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One value: mean character-class shares over the good documents of all languages; null where these are too few."""
+    docs = F.sum("_docs")
+    means = F.array(*(F.sum(F.get("_chars_ref", F.lit(i)) * F.col("_docs")) / docs for i in range(len(CLASSES))))
+    return refs.agg(F.when(docs >= limits.reference_docs, means).alias("_pooled"))
 
 
 def judge(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang",
@@ -178,15 +187,17 @@ def judge(df: DataFrame, limits: Limits = Limits(), text: str = "text", lang: st
     """``df``, without its text unless ``keep_text``, with base counts, base_failed, char_distance, word_distance, kept.
 
     ``kept`` is false where the base rules fail or a judged distance is over its limit. Null texts
-    have no words, so they fail the base rules. A null language is a language of its own; one
-    without a word list or with too few documents is not judged by that distance. Distances are null
-    where not judged. Repeated rows are judged alike; an empty frame gives no rows.
+    have no words, so they fail the base rules. A null language is a language of its own. One with too few good
+    documents is judged by the character classes of all languages together, and not at all if these are too few too;
+    it, and one without a word list, is not judged by words. Distances are null where not judged. Repeated rows are judged alike; an empty frame gives no rows.
     """
     featured = materialize(features(df, limits, text, lang, keep_text), "quality")
-    refs = references(featured, limits, lang)            # a row of 30 doubles per language
+    refs = materialize(references(featured, limits, lang), "quality-references")     # a row of 30 doubles per language
+    own = refs.where(F.col("_docs") >= limits.reference_docs).drop("_docs")
     root = F.sqrt(F.col("n_words"))
     judged = F.col("n_words") >= limits.judged_words
-    joined = featured.withColumn("_lang", F.coalesce(F.col(lang), F.lit(""))).join(F.broadcast(refs), "_lang", "left")
+    joined = (featured.withColumn("_lang", F.coalesce(F.col(lang), F.lit(""))).join(own, "_lang", "left")
+              .withColumn("_chars_ref", F.coalesce("_chars_ref", pooled_reference(refs, limits).scalar())))
     scored = joined.withColumns({
         "char_distance": F.when(judged, divergence(F.col("_chars"), F.col("_chars_ref"))),
         "word_distance": F.when(judged & (F.size("_common_ref") > 1), divergence(F.col("_common"), F.col("_common_ref")))})
