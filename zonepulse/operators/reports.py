@@ -69,10 +69,10 @@ def histogram(metrics: DataFrame, column: str = "predicted_delay_minutes",
               bins: int = rules.HISTOGRAM_BINS) -> DataFrame:
     """Counts in equal-width bins between the column's extremes; empty bins are left out.
 
-    Extremes come from a scalar subquery, so rows are counted where they are.
+    Both extremes come from one scalar subquery, so rows are counted where they are.
     """
-    low = metrics.agg(F.min(column)).scalar()
-    high = metrics.agg(F.max(column)).scalar()
+    extremes = metrics.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
+    low, high = extremes["low"], extremes["high"]
     width = (high - low) / F.lit(float(bins))
     # The maximum belongs to the last bin; a constant column has one bin.
     at = F.coalesce(F.floor(F.try_divide(F.col(column) - low, width)), F.lit(0))
