@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from helpers import trip, trips
 from test_streaming import DAY, add_file, clock, emitted, payload, stream
 from zonepulse import rules, schemas
+from zonepulse.catalog import queries
 from zonepulse.operators import cleaning, features, grid, hotspots
 from zonepulse.plans import scoring
 from zonepulse.plans.batch import run_batch
 from zonepulse.plans.streaming import stream_trip_windows
-from zonepulse.sources import broker, event_trips, serving
+from zonepulse.sources import broker, event_trips, lake, serving
 from zonepulse.streaming import live, sinks, windows
 
 
@@ -202,3 +203,13 @@ def test_top_scores_take_ties_by_key(spark):
         (h, z, i) for h in range(3) for i, z in ((1, 9), (2, 1))}
     assert tuple(hotspots.precision_at_k(df, "truth", 2).first()) == (6, 3, 0.5, 0.5)
     assert tuple(hotspots.precision_at_k(df.limit(0), "truth", 2).first()) == (0, 0, 0.0, 0.0)
+
+
+def test_state_of_catalogued_streams_grows_in_partitions_and_lies_on_disk(spark, sf_dir, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(queries, "STATE_PARTITIONS", 2)
+    monkeypatch.setattr(queries, "STATE_BYTES", lake.stored_bytes(spark, f"{sf_dir}/events.parquet") // 5, raising=False)
+    assert queries.stream_windows(spark, sf_dir).count() > 0
+    state = tmp_path / "windows-checkpoint" / "state" / "0"
+    parts = [p for p in state.iterdir() if p.name.isdigit()]
+    assert len(parts) == 6 and all(list(p.glob("*.zip")) and not list(p.glob("*.changelog")) for p in parts)

@@ -10,11 +10,15 @@ from zonepulse.sources import serving
 
 
 DATE = "event_date"
-#: Large state: kept on local disk by RocksDB, checkpointed as changes; a batch's cost follows what it changes.
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+#: Large state: kept on local disk by RocksDB, checkpointed as changes; a batch's cost follows what it changes. All stores of an executor
+#: share one bounded memory, however many partitions it holds, and a change isn't preceded by a look-up that only counts rows.
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    CHANGELOG: "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 
@@ -61,18 +65,19 @@ def read_state(spark: SparkSession, checkpoint: str, operator: int = 0, variable
 
 def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
           once: bool = False, trigger: str = rules.TRIGGER,
-          state_partitions: int | None = None, rocksdb: bool = False) -> StreamingQuery:
+          state_partitions: int | None = None, rocksdb: bool = False, changelog: bool = True) -> StreamingQuery:
     """Start an append-mode query. ``once`` drains what is available and stops.
 
     The number of state partitions and the state store (``rocksdb``: for large state and for processors) are fixed by a query's first
     batch, so they are set here for this query alone: a started query keeps its own copy of the session settings.
+    Without ``changelog``, RocksDB checkpoints whole snapshots: cheaper where a batch changes most of the state, as a restart then replays nothing.
     """
     spark = df.sparkSession
     writer = (df.writeStream.outputMode("append")
                 .option("checkpointLocation", checkpoint)
                 .foreachBatch(write))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=trigger)
-    own = ROCKSDB if rocksdb else {}
+    own = ROCKSDB | {CHANGELOG: str(changelog).lower()} if rocksdb else {}
     if state_partitions is not None:
         own = own | {"spark.sql.shuffle.partitions": str(state_partitions)}
     before = {key: spark.conf.get(key, None) for key in own}
@@ -89,8 +94,9 @@ def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: st
 
 
 def drain(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-          state_partitions: int | None = None, rocksdb: bool = False) -> StreamingQuery:
+          state_partitions: int | None = None, rocksdb: bool = False, changelog: bool = True) -> StreamingQuery:
     """Process all available input, then return; raises if the query failed."""
-    query = start(df, write, checkpoint, once=True, state_partitions=state_partitions, rocksdb=rocksdb)
+    query = start(df, write, checkpoint, once=True, state_partitions=state_partitions, rocksdb=rocksdb,
+                  changelog=changelog)
     query.awaitTermination()
     return query
