@@ -307,6 +307,25 @@ def test_sketch_keys_lose_no_pair():
                         jaccard_join.parity_bits(a), jaccard_join.parity_bits(b)) <= len(a) + len(b) - 2 * both
 
 
+def test_block_comparison_finds_all_pairs_within_the_bounds(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "NEAR_BLOCK", 50, raising=False)
+    rng = np.random.default_rng(5)
+    for words in (1, 4, 1030):
+        count = 40 if words > 1000 else 260
+        bits = rng.integers(0, 2 ** 63, (count, words)).astype(np.uint64)
+        bits[1::2] = bits[::2]
+        for r in range(0, count, 3):
+            bits[r, rng.integers(words)] ^= np.uint64(1 << int(rng.integers(40)))
+        n, label, minor = np.sort(rng.integers(1, 40, count) * words), rng.integers(0, 9, count), rng.random(count) < 0.5
+        rows = np.arange(count)
+        found = [(int(a), int(b)) for x, y in jaccard_join._near(rows[minor], bits[minor], rows[~minor], bits[~minor], label, n, 80)
+                 for a, b in zip(x, y)]
+        apart = np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2, dtype=np.int64)
+        expected = [(a, b) for a in rows[minor].tolist() for b in rows[~minor].tolist() if label[a] != label[b]
+                    and 180 * apart[a, b] <= 20 * (n[a] + n[b]) and 100 * min(n[a], n[b]) >= 80 * max(n[a], n[b])]
+        assert sorted(found) == expected and expected
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 20)] + [(30, 40), (40, 30), (50, 50)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}

@@ -32,6 +32,7 @@ SLACK = 1.5                 # words beyond the bound, as a share of it; the poor
 PART_BYTES = 32 << 20       # keys that meet in one step of a task
 LARGE = 64                  # documents of a bucket that is joined with others of its cluster
 BLOCK = 2048                # documents of a bucket that a task compares with as many
+NEAR_BLOCK = 1024           # of them, whose sketches are compared with 64 others at a time
 FILTER_BITS = 1 << 26       # of the bitmap of documents whose sets are wanted again
 COMMON_SHARE = 1024         # a shingle is common if one in so many documents has it,
 COMMON_LEAST = 16           # and so many documents;
@@ -384,31 +385,39 @@ def _narrowed(bits: np.ndarray, width: int) -> np.ndarray:
 def _near(left, left_bits, right, right_bits, label, n, percent: int):
     """(rows, rows) of pairs with different labels whose sizes and sketches allow a link; both sides ascend by size.
 
-    Sketches are compared half folded first, which only lowers distances.
+    Sketches are compared half folded first, which only lowers distances, in blocks that stay in a core's cache; the few pairs
+    left are then held against the bound of their own sizes.
     """
     short = max(left_bits.shape[1] // 2, 1)
     left_short, right_short = (np.ascontiguousarray(_narrowed(b, short * 8).T) for b in (left_bits, right_bits))
-    sizes, most = n[right], 1 << 19
+    sizes = n[right]
+    shape = 64, NEAR_BLOCK
+    differ, counts = np.empty(shape, np.uint64), np.empty(shape, np.uint8)
+    apart = np.empty(shape, np.uint16 if short * 64 < 1 << 16 else np.uint32)
     for at in range(0, len(left), 64):
         x = left[at:at + 64]
         low = int(np.searchsorted(sizes, -(-percent * n[x[0]] // 100), "left"))
         high = int(np.searchsorted(sizes, 100 * n[x[-1]] // percent, "right"))
-        for begin in range(low, high, most // 64):
-            y = right[begin:min(begin + most // 64, high)]
-            i, j = np.nonzero(label[x][:, None] != label[y][None, :])
-            if not len(i):
+        for begin in range(low, high, NEAR_BLOCK):
+            y = right[begin:min(begin + NEAR_BLOCK, high)]
+            other = label[x][:, None] != label[y][None, :]
+            if not other.any():
                 continue
-            bound = (100 - percent) * (n[x][:, None] + n[y][None, :])
-            apart = np.zeros((len(x), len(y)), np.int64)
+            d, c, total = (m[:len(x), :len(y)] for m in (differ, counts, apart))
+            total[:] = 0
             for word in range(short):
-                apart += np.bitwise_count(left_short[word, at:at + 64][:, None] ^ right_short[word, begin:begin + len(y)][None, :])
-            a, b = n[x][:, None], n[y][None, :]
-            i, j = np.nonzero(((100 + percent) * apart <= bound) & (label[x][:, None] != label[y][None, :])
-                              & (100 * np.minimum(a, b) >= percent * np.maximum(a, b)))
+                np.bitwise_xor(left_short[word, at:at + 64][:, None], right_short[word, begin:begin + len(y)][None, :], out=d)
+                np.add(total, np.bitwise_count(d, out=c), out=total)
+            widest = (100 - percent) * (n[x] + n[y[-1]]) // (100 + percent)          # sizes ascend
+            i, j = np.nonzero(other & (total <= np.minimum(widest, np.iinfo(total.dtype).max).astype(total.dtype)[:, None]))
+            a, b = n[x[i]], n[y[j]]
+            bound = (100 - percent) * (a + b)
+            fine = ((100 + percent) * total[i, j].astype(np.int64) <= bound) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+            i, j, bound = i[fine], j[fine], bound[fine]
             for part in range(0, len(i), 4096):
                 p, q = i[part:part + 4096], j[part:part + 4096]
                 whole = np.bitwise_count(left_bits[at + p] ^ right_bits[begin + q]).sum(axis=1, dtype=np.int64)
-                fine = (100 + percent) * whole <= bound[p, q]
+                fine = (100 + percent) * whole <= bound[part:part + 4096]
                 if fine.any():
                     yield x[p[fine]], y[q[fine]]
 
