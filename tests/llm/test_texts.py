@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from zonepulse.llm import (bpe, chat, components, fingerprints, jaccard_join, licenses, mixing, quality, sharding, tokens,
                            toxicity)
 from zonepulse.llm.queries import BPE_RANKS, vocabulary
+from zonepulse.llm.workers import tidied
 from zonepulse.session import scratch_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -326,6 +327,17 @@ def test_block_comparison_finds_all_pairs_within_the_bounds(monkeypatch):
         assert sorted(found) == expected and expected
 
 
+def test_workers_keep_no_freed_memory():
+    given = []
+    assert list(tidied(iter, lambda: given.append(True))([1, 2])) == [1, 2] and given == [True]
+
+
+def test_decoding_alone_builds_no_merges():
+    vocab = bpe.Vocabulary({b"a": 0, b"b": 1, b"ab": 2})
+    assert vocab.decode(np.array([2, 0]), np.array([0, 2])) == b"aba" and "pairs" not in vars(vocab)
+    assert bpe.encode_texts([b"aba"], vocab)[0].tolist() == [2, 0] and "pairs" in vars(vocab)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 20)] + [(30, 40), (40, 30), (50, 50)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}

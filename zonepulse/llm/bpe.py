@@ -25,6 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame, types as T
 
 from zonepulse.llm.text import plain
+from zonepulse.llm.workers import tidied
 
 CHUNK = 1 << 18             # bytes scanned together; a longer text is a chunk of its own
 ROWS = 256                  # decoded together
@@ -179,17 +180,23 @@ class Vocabulary(dict):
             if len(token) == 1:
                 single[token[0]] = rank
         self.single = single
-        pairs = sorted((ranks[token[:i]] * size + ranks[token[i:]], rank) for token, rank in ranks.items()
-                       for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks)
         self.size = size
-        self.pair_keys = np.array([k for k, _ in pairs] + [size * size], np.int64)
-        self.pair_ranks = np.array([r for _, r in pairs] + [NO_PAIR], np.int64)
+
+    @functools.cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(sorted keys of mergeable pairs of ids, ranks they merge to); decoding needs none."""
+        ranks = self.ranks
+        found = sorted((ranks[token[:i]] * self.size + ranks[token[i:]], rank) for token, rank in ranks.items()
+                       for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks)
+        return (np.array([k for k, _ in found] + [self.size ** 2], np.int64),
+                np.array([r for _, r in found] + [NO_PAIR], np.int64))
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each merged pair of ids; ``NO_PAIR`` where it is no token or an id is absent (-1)."""
         keys = np.where((left < 0) | (right < 0), -1, left * self.size + right)
-        at = np.searchsorted(self.pair_keys, keys)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_PAIR)
+        known, ranks = self.pairs
+        at = np.searchsorted(known, keys)
+        return np.where(known[at] == keys, ranks[at], NO_PAIR)
 
     def learn(self, pieces: set[bytes]) -> None:
         """Adds the ids of pre-tokens that aren't known yet."""
@@ -358,7 +365,7 @@ def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", offs
     kept = [f for f in df.schema if f.name != text]
     schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType())),
                            T.StructField(offsets, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def _rows(column: pa.Array) -> list[np.ndarray]:
@@ -388,4 +395,4 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", offsets: str = "offsets"
             yield pa.RecordBatch.from_arrays([*(batch.column(at(f.name)) for f in kept), *columns],
                                              names=[*(f.name for f in kept), *made])
 
-    return df.mapInArrow(run, T.StructType([*kept, *(T.StructField(m, T.BinaryType()) for m in made)]))
+    return df.mapInArrow(tidied(run), T.StructType([*kept, *(T.StructField(m, T.BinaryType()) for m in made)]))

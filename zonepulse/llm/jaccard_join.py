@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from zonepulse.llm.components import components
 from zonepulse.llm.hashing import as_bytes, chunks, mix, shingle_sets
 from zonepulse.llm.text import plain, words
+from zonepulse.llm.workers import tidied
 from zonepulse.session import materialize
 
 PERCENT = 80
@@ -130,7 +131,7 @@ def describe(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     def rows(keys, *columns):
         return pa.RecordBatch.from_arrays([keys, *(pa.array(c, pa.int64()) for c in columns)], names=schema.names)
 
-    return df.select(key, text).mapInArrow(run, schema)
+    return df.select(key, text).mapInArrow(tidied(run), schema)
 
 
 def _runs(keys: np.ndarray, docs: np.ndarray):
@@ -227,8 +228,8 @@ def buckets(df: DataFrame, key: str, text: str, size: int, percent: int, parts:
             [pa.array(c if isinstance(c, np.ndarray) and c.dtype == np.int64 else np.frombuffer(c, np.int64)) for c in columns],
             names=bucket.names)
 
-    made = df.select(key, text).mapInArrow(make, sent)
-    return made.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(meet, bucket)
+    made = df.select(key, text).mapInArrow(tidied(make), sent)
+    return made.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tidied(meet), bucket)
 
 
 def place(doc) -> Column:
@@ -275,7 +276,7 @@ def wanted_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int
                      pa.array([s.tobytes() for s in sets], pa.binary())], names=schema.names)
 
     return (df.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), text)
-            .withColumn("_p", place("doc")).mapInArrow(run, schema))
+            .withColumn("_p", place("doc")).mapInArrow(tidied(run), schema))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -371,7 +372,7 @@ def near_in_buckets(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                     yield pa.RecordBatch.from_arrays([pa.array(doc[x]), pa.array(doc[y])], names=pair.names)
 
     return (minor.unionByName(every).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(run, pair))
+            .mapInArrow(tidied(run), pair))
 
 
 def _narrowed(bits: np.ndarray, width: int) -> np.ndarray:

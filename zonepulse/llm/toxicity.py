@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from zonepulse.llm.hashing import mix
 from zonepulse.llm.jaccard_join import bitmap_of, passed, place
 from zonepulse.llm.text import plain
+from zonepulse.llm.workers import tidied
 from zonepulse.session import materialize
 
 FIT_ROWS = 3_000            # labelled rows of each class on which the curve is fitted
@@ -195,7 +196,7 @@ def _top(words: DataFrame) -> Top:
 def _buckets(rows: DataFrame, run, schema: str, *columns: str) -> DataFrame:
     """``run(table)`` of each task's rows, labelled words (side 0) of a bucket before those asked for, bucket by bucket."""
     return (rows.select(_bucket(rows.sparkSession), *columns).repartition("bucket")
-            .sortWithinPartitions("bucket", "side").mapInArrow(run, schema))
+            .sortWithinPartitions("bucket", "side").mapInArrow(tidied(run), schema))
 
 
 def _parts(batches):
