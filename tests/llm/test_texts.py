@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -327,6 +328,45 @@ def test_block_comparison_finds_all_pairs_within_the_bounds(monkeypatch):
         assert sorted(found) == expected and expected
 
 
+def test_small_blocks_are_compared_together(spark):
+    draw = np.random.default_rng(5)
+    base = [np.unique(draw.integers(0, 1 << 62, 60 + 30 * (i % 4), dtype=np.uint64)) for i in range(40)]
+    sets = [np.unique(np.append(draw.choice(base[i % 40], int(len(base[i % 40]) * .93), replace=False),
+                                draw.integers(0, 1 << 62, 3, dtype=np.uint64))) for i in range(400)]
+    bits, n, label = [jaccard_join.parity_bits(s) for s in sets], [len(s) for s in sets], [i // 2 for i in range(400)]
+    # Many buckets of a few documents and one of 120.
+    keys = [(k, d) for k in range(90) for d in draw.choice(400, int(draw.integers(2, 9)), replace=False).tolist()] + [(900, d) for d in range(120)]
+    expected = set()
+    for key in {k for k, _ in keys}:
+        docs = [d for k, d in keys if k == key]
+        for x in (d for d in docs if label[d] != min(label[e] for e in docs)):
+            expected |= {(x, y) for y in docs if label[x] != label[y] and 10 * min(n[x], n[y]) >= 8 * max(n[x], n[y])
+                         and 9 * jaccard_join.apart_at_least(bits[x], bits[y]) <= n[x] + n[y]}
+    frame = spark.createDataFrame([(k, d, label[d]) for k, d in keys], "key long, doc long, label long")
+    known = spark.createDataFrame([(d, n[d], bits[d]) for d in range(400)], "doc long, n long, bits binary")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for batch in (7, 10_000):
+            spark.conf.set(setting, batch)
+            assert {(r.x, r.y) for r in jaccard_join.near_in_buckets(frame, known, 80).collect()} == expected
+    finally:
+        spark.conf.set(setting, before)
+    assert len(expected) > 20
+    # Without a call for each block.
+    rows = [(d, of) for of in range(60) for d in (of, of + 40, of + 41)]
+    table = pa.table({"minor": [d != of for d, of in rows] + [False] * 120, "doc": [d for d, _ in rows] + [of + k for of in range(60) for k in (40, 41)],
+                      "label": [label[d] for d, _ in rows] + [label[of + k] for of in range(60) for k in (40, 41)],
+                      "n": [n[d] for d, _ in rows] + [n[of + k] for of in range(60) for k in (40, 41)],
+                      "bits": [bits[d] for d, _ in rows] + [bits[of + k] for of in range(60) for k in (40, 41)]})
+    of = np.array([of for _, of in rows] + [of for of in range(60) for _ in range(2)])
+    order = np.argsort(of, kind="stable")
+    found = {(int(a), int(b)) for x, y in jaccard_join._near_in_small(table.take(pa.array(order)), of[order], 80) for a, b in zip(x, y)}
+    near = {(x, y) for of in range(60) for x in (of + 40, of + 41) for y in (of, of + 40, of + 41) if label[x] != label[y]
+            and 10 * min(n[x], n[y]) >= 8 * max(n[x], n[y]) and 9 * jaccard_join.apart_at_least(bits[x], bits[y]) <= n[x] + n[y]}
+    assert found == near and near
+
+
 def test_workers_keep_no_freed_memory():
     given = []
     assert list(tidied(iter, lambda: given.append(True))([1, 2])) == [1, 2] and given == [True]

@@ -34,6 +34,8 @@ PART_BYTES = 32 << 20       # keys that meet in one step of a task
 LARGE = 64                  # documents of a bucket that is joined with others of its cluster
 BLOCK = 2048                # documents of a bucket that a task compares with as many
 NEAR_BLOCK = 1024           # of them, whose sketches are compared with 64 others at a time
+SMALL = 64                  # rows of a block that is compared together with others as small
+PAIRS = 4096                # pairs of small blocks whose sketches are compared at a time
 FILTER_BITS = 1 << 26       # of the bitmap of documents whose sets are wanted again
 COMMON_SHARE = 1024         # a shingle is common if one in so many documents has it,
 COMMON_LEAST = 16           # and so many documents;
@@ -339,14 +341,27 @@ def near_in_buckets(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             if not n:
                 continue
             keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
-            cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            for x, y in zip([0, *cuts], [*cuts, n]):
-                if (key := tuple(k[x] for k in keys)) != current:
-                    yield from compare(held)
-                    current, held = key, []
-                held.append(batch.slice(x, y - x))
+            edges = np.concatenate([[0], np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1, [n]])
+            if held and tuple(k[0] for k in keys) == current:
+                held.append(batch.slice(0, edges[1]))
+                edges = edges[1:]
+            if len(edges) < 2:
+                continue
+            yield from compare(held)
+            current, held = tuple(k[edges[-2]] for k in keys), [batch.slice(edges[-2])]     # may go on in the next batch
+            lengths = np.diff(edges[:-1])
+            of = np.repeat(np.arange(len(lengths)), lengths)
+            some = (lengths <= SMALL)[of]
+            rows = edges[0] + np.flatnonzero(some)
+            yield from found(_near_in_small(pa.Table.from_batches([batch]).take(pa.array(rows)), of[some], percent))
+            for k in np.flatnonzero(lengths > SMALL):
+                yield from compare([batch.slice(edges[k], lengths[k])])
         yield from compare(held)
 
+    def found(pairs):
+        for x, y in pairs:
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=pair.names)
+
     def compare(held):
         if not held:
             return
@@ -368,8 +383,8 @@ def near_in_buckets(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                 left, left_bits = rows[minor[rows]], bits[minor[rows]]
                 right, right_bits = right[~minor[right]], right_bits[~minor[right]]
                 narrow = min(width, other)
-                for x, y in _near(left, _narrowed(left_bits, narrow), right, _narrowed(right_bits, narrow), label, n, percent):
-                    yield pa.RecordBatch.from_arrays([pa.array(doc[x]), pa.array(doc[y])], names=pair.names)
+                near = _near(left, _narrowed(left_bits, narrow), right, _narrowed(right_bits, narrow), label, n, percent)
+                yield from found((doc[x], doc[y]) for x, y in near)
 
     return (minor.unionByName(every).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(tidied(run), pair))
@@ -423,6 +438,38 @@ def _near(left, left_bits, right, right_bits, label, n, percent: int):
                     yield x[p[fine]], y[q[fine]]
 
 
+def _near_in_small(table: pa.Table, of: np.ndarray, percent: int):
+    """(documents, documents) of the pairs that ``_near`` finds, of many small blocks together; ``of``: each row's block, ascending."""
+    minor, doc, label, n = (table[c].to_numpy() for c in ("minor", "doc", "label", "n"))
+    left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
+    first, end = (np.searchsorted(of[right], of[left], side) for side in ("left", "right"))
+    times = end - first
+    x = np.repeat(left, times)
+    y = right[np.arange(len(x)) + np.repeat(first - np.cumsum(times) + times, times)]
+    fine = (label[x] != label[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+    x, y = x[fine], y[fine]
+    used = np.unique(np.concatenate([x, y]))
+    raw, length = table["bits"].combine_chunks(), pc.binary_length(table["bits"]).to_numpy()
+    sketches, spot = {}, np.zeros(len(n), np.int64)
+    for width in np.unique(length[used]).tolist():
+        rows = used[length[used] == width]
+        sketches[width] = np.frombuffer(b"".join(raw.take(pa.array(rows)).to_pylist()), np.uint64).reshape(len(rows), -1)
+        spot[rows] = np.arange(len(rows))
+    for a in sketches:
+        for b in sketches:
+            both = (length[x] == a) & (length[y] == b)
+            if not both.any():
+                continue
+            p, q, narrow = x[both], y[both], min(a, b)
+            one, two = _narrowed(sketches[a], narrow), _narrowed(sketches[b], narrow)
+            for at in range(0, len(p), PAIRS):
+                i, j = p[at:at + PAIRS], q[at:at + PAIRS]
+                apart = np.bitwise_count(one[spot[i]] ^ two[spot[j]]).sum(axis=1, dtype=np.int64)
+                fine = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
+                if fine.any():
+                    yield doc[i[fine]], doc[j[fine]]
+
+
 def _folded(bits: bytes, width: int) -> bytes:
     a = np.frombuffer(bits, np.uint8)
     while len(a) > width:
