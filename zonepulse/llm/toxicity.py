@@ -19,6 +19,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,7 @@ COMMON_LENGTH = 64          # characters of such a word
 NODES = 1 << 21             # beginnings whose ratios every task gets, 16 bytes each
 LEVELS = 64                 # characters of such a beginning
 SLICE = 1 << 18             # characters of texts summed together; a longer text alone
+PAIRED = 1 << 22            # characters of texts whose pairs of words are gathered before they are sent
 BUCKETS = 64                # tries, for each shuffle partition
 WALKED = 1 << 16            # words walked together
 KINDS = 128                 # kinds of characters that shared counts tell apart
@@ -54,25 +56,59 @@ def found_words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def _pairs(text: Column) -> Column:
-    """Each different word of a text with the word before it, apart by a space."""
-    @F.pandas_udf("array<string>")
-    def paired(texts: pd.Series) -> pd.Series:
-        def one(t):
-            words = found_words(t)
-            return list(set(map(" ".join, zip(["", *words], words))))
-        return texts.map(one)
-    return paired(text)
-
-
 def count_words(train: DataFrame, text: str) -> DataFrame:
     """(word, c00, c01, c10, c11): after how many different words it occurs, by half and class; a word of a passage that
-    many texts repeat counts once."""
-    of = F.concat(F.col("_half").cast("string"), F.col("_toxic").cast("string"))
-    pairs = train.select(of.alias("_of"), F.explode(_pairs(F.col(text))).alias("_pair"))
-    return (pairs.select(F.concat("_of", "_pair").alias("_pair")).distinct()        # one short column to shuffle
-            .select(F.left("_pair", F.lit(2)).alias("_of"), F.substring_index("_pair", " ", -1).alias("word"))
-            .groupBy("word").agg(*(F.count_if(F.col("_of") == c[1:]).alias(c) for c in COUNTS)))
+    many texts repeat counts once.
+
+    Different pairs of a word and the one before it are dealt out by their hash, so a frequent word spreads over all tasks. They travel
+    as sorted, packed lists, many to a row.
+    """
+    buckets = 2 * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def send(batches):
+        found, size = [set() for _ in COUNTS], 0
+        for batch in batches:
+            for of, t in zip(*(c.to_pylist() for c in batch.columns)):
+                words = found_words(t)
+                found[of].update(map(" ".join, zip(words, ["", *words])))
+                size += len(t or "")
+                if size >= PAIRED:
+                    yield from packed(found)
+                    found, size = [set() for _ in COUNTS], 0
+        yield from packed(found)
+
+    def packed(found):
+        for of, pairs in enumerate(found):
+            dealt = [[] for _ in range(buckets)]
+            for pair in sorted(pairs):
+                dealt[crc32(pair.encode()) % buckets].append(pair)
+            used = [k for k, x in enumerate(dealt) if x]
+            lists = ["\n".join(dealt[k]).encode() for k in used]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(used, pa.int32()), pa.array([of] * len(used), pa.int32()), pa.array(map(len, lists), pa.int64()),
+                pa.array([pa.compress(x, "zstd", asbytes=True) for x in lists], pa.binary())], names=["bucket", "of", "size", "pairs"])
+
+    def meet(batches):
+        current, found = None, [set() for _ in COUNTS]
+        for batch in batches:
+            for bucket, of, size, pairs in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != current:
+                    yield counted(found)
+                    current, found = bucket, [set() for _ in COUNTS]
+                found[of].update(pa.decompress(pairs, size, "zstd", asbytes=True).decode().split("\n"))
+        yield counted(found)
+
+    def counted(found):
+        times = [Counter(p.partition(" ")[0] for p in pairs) for pairs in found]
+        words = list(set().union(*times))
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([n[w] for w in words], pa.int64()) for n in times)],
+                                          names=["word", *COUNTS])
+
+    of = (2 * F.col("_half") + F.col("_toxic")).cast("int")
+    sent = train.select(of.alias("_of"), text).mapInArrow(tidied(send), "bucket int, of int, size long, pairs binary")
+    return (sent.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(tidied(meet), "word string, " + ", ".join(f"{c} long" for c in COUNTS))
+            .groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS)))
 
 
 COUNTS = ["c00", "c01", "c10", "c11"]

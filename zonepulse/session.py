@@ -69,11 +69,25 @@ def run_scratch(spark: SparkSession) -> Iterator[str]:
         location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to shared storage and read it back: cuts lineage, survives lost executors."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once to shared storage and read it back: cuts lineage, survives lost executors.
+
+    The write's shuffle files go at its end; else they stay until the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    path, before = scratch_dir(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
