@@ -142,3 +142,64 @@ def test_odd_texts_and_clashing_columns(spark, rows):
     assert all(len(s) == 1 for s in by_text.values()) and max(by_text[None] | by_text[""]) < 0.5 < min(by_text["vexgrub " * 30000])
     assert toxicity.score(rows([]), model).count() == 0
     assert toxicity.fit(rows([]), labels).score("vexgrub") < 0.01
+
+
+def test_pairs_of_words_are_counted_once_and_travel_packed(spark, tmp_path):
+    draw = random.Random(3)
+    words = ["the", "of", "ünder", "a", "日本", "x_1", "stop", "Go"] + [f"w{i}" for i in range(300)]
+    texts = [(draw.randrange(2), draw.randrange(2), draw.choice([" ", "\n", ", "]).join(draw.choices(words, k=draw.randrange(60))))
+             for _ in range(900)] + [(0, 1, None), (1, 0, ""), (1, 1, "stop stop  stop"), (1, 1, "stop")]
+    expected = {}
+    for half, toxic, text in texts:
+        found = toxicity.found_words(text)
+        for before, word in zip(["", *found], found):
+            expected.setdefault(word, [set() for _ in COUNTS])[2 * half + toxic].add(before)
+    train = spark.createDataFrame(texts, "_half int, _toxic int, text string")
+    counted = toxicity.count_words(train.repartition(3), "text")
+    assert {r.word: [r[c] for c in COUNTS] for r in counted.collect()} == {w: [len(x) for x in s] for w, s in expected.items()}
+    # A row for each list, not for each pair.
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan.lower() and counted.where("word is null").count() == 0
+
+
+def test_bitmap_needs_no_byte_for_each_bit(spark):
+    import tracemalloc
+
+    from zonepulse.llm import jaccard_join
+
+    docs = spark.range(0, 5_000_000, 7_001).withColumnRenamed("id", "doc")
+    tracemalloc.start()
+    bits = jaccard_join.bitmap_of(docs)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    places = np.array([r[0] for r in docs.select(jaccard_join.place("doc")).collect()])
+    assert jaccard_join.passed(bits, places).all() and int(np.bitwise_count(bits).sum()) == len(np.unique(places))
+    assert most < 48 << 20
+
+
+def test_stored_frames_leave_no_shuffle_files(tmp_path):
+    import subprocess
+    import sys
+    import textwrap
+    code = f"""
+        import time
+        from pathlib import Path
+        from pyspark.sql import functions as F
+        from zonepulse.session import CLEANUP, build_session, materialize
+        spark = build_session("stored", "local[2]", **{{"spark.ui.enabled": "false", "spark.local.dir": "{tmp_path}/local",
+                              "spark.checkpoint.dir": "{tmp_path}/shared", "spark.sql.shuffle.partitions": "4"}})
+        before = spark.conf.get(CLEANUP)
+        frame = spark.range(100000).groupBy((F.col("id") % 1000).alias("k")).count()
+        stored = materialize(frame, "one")
+        assert stored.count() == materialize(frame.join(stored.drop("count"), "k"), "two").count() == frame.count() == 1000
+        del frame
+        stored = materialize(spark.range(100000).repartition(4, "id"), "three")
+        until = time.time() + 20
+        count = lambda: sum(p.stat().st_size for p in Path("{tmp_path}/local").rglob("shuffle_*.data"))
+        while count() > 200_000 and time.time() < until:
+            time.sleep(0.2)
+        assert count() < 200_000, count()
+        assert spark.conf.get(CLEANUP) == before
+    """
+    run = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr[-2000:]

@@ -234,6 +234,9 @@ def buckets(df: DataFrame, key: str, text: str, size: int, percent: int, parts:
     return made.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tidied(meet), bucket)
 
 
+BACKWARDS = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)[:, ::-1], axis=1).ravel()     # each byte's bits
+
+
 def place(doc) -> Column:
     return F.pmod(F.xxhash64(doc), F.lit(FILTER_BITS))
 
@@ -243,12 +246,12 @@ def bitmap_of(wanted: DataFrame) -> np.ndarray:
     # Spark's bitmap functions count from 1: place 0 is bit 0 of bucket 1.
     found = (wanted.select((place("doc") + 1).alias("_p")).groupBy(F.bitmap_bucket_number("_p").alias("bucket"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_p")).alias("bits")).collect())   # at most FILTER_BITS in all
-    bitmap = np.zeros(FILTER_BITS + (1 << 18), np.uint8)
+    bitmap = np.zeros((FILTER_BITS + (1 << 18)) // 8, np.uint8)         # never a byte for each bit
     for row in found:
-        bits = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little")
+        bits = BACKWARDS[np.frombuffer(bytes(row["bits"]), np.uint8)]
         begin = (row["bucket"] - 1) * len(bits)
         bitmap[begin:begin + len(bits)] = bits[:len(bitmap) - begin]
-    return np.packbits(bitmap)
+    return bitmap
 
 
 def passed(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
