@@ -162,6 +162,21 @@ def test_pairs_of_words_are_counted_once_and_travel_packed(spark, tmp_path):
     assert "explode" not in plan.lower() and counted.where("word is null").count() == 0
 
 
+def test_tasks_get_shared_chances_once_and_packed(spark):
+    import pickle
+
+    words = spark.createDataFrame([(w, i % 3, 1, 0, i % 2) for i, w in enumerate(["stop", "stoop", "top", "日本", "x_1"])],
+                                  "word string, " + ", ".join(f"{c} long" for c in COUNTS))
+    spelling = toxicity.learn(words)
+    assert spelling.sent is spelling.sent
+    sent = toxicity.Shared(spelling.top, spelling.shared, spelling.discount)
+    data = pickle.dumps(sent)
+    assert len(data) < spelling.shared.nbytes / 20
+    top, chances, discount = pickle.loads(data)
+    assert np.array_equal(chances, spelling.shared) and np.array_equal(discount, spelling.discount)
+    assert np.array_equal(top.chars, spelling.top.chars) and np.array_equal(top.kinds, spelling.top.kinds)
+
+
 def test_bitmap_needs_no_byte_for_each_bit(spark):
     import tracemalloc
 

@@ -19,12 +19,14 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from zonepulse.llm.hashing import mix
@@ -196,6 +198,28 @@ class Top:
     kinds: np.ndarray       # (character, model, class, 3)
 
 
+@dataclass
+class Shared:
+    """``top``, shared chances (``KINDS`` cubed) and discounts by class, for tasks. Most pairs of kinds never occur, and all of one second
+    kind have the same chances: these travel once."""
+
+    top: Top
+    chances: np.ndarray
+    discount: np.ndarray
+
+    def __iter__(self):
+        return iter((self.top, self.chances, self.discount))
+
+    def __getstate__(self):
+        rows: dict[bytes, int] = {}
+        places = [rows.setdefault(row.tobytes(), len(rows)) for row in self.chances.reshape(-1, KINDS)]
+        return self.top, b"".join(rows), np.array(places, np.int32), self.discount
+
+    def __setstate__(self, state):
+        self.top, rows, places, self.discount = state
+        self.chances = np.frombuffer(rows).reshape(-1, KINDS)[places].ravel()
+
+
 @dataclass
 class Spelling:
     """Labelled words with their counts, and what all tasks get: ``top``, shared chances (``KINDS`` cubed), discounts by class.
@@ -208,6 +232,11 @@ class Spelling:
     discount: np.ndarray
     levels: np.ndarray
 
+    @cached_property
+    def sent(self) -> Broadcast:
+        """One broadcast for all that use it: each has a file in the driver and on every executor."""
+        return self.words.sparkSession.sparkContext.broadcast(Shared(self.top, self.shared, self.discount))
+
 
 def _bucket(spark: SparkSession) -> Column:
     many = int(spark.conf.get("spark.sql.shuffle.partitions")) * BUCKETS
@@ -319,7 +348,7 @@ def word_ratios(words: DataFrame, spelling: Spelling) -> DataFrame:
 
     Behind a beginning that was never counted both classes read the same shared counts, so the rest of the word adds nothing.
     """
-    shared = words.sparkSession.sparkContext.broadcast((spelling.top, spelling.shared, spelling.discount))
+    shared = spelling.sent
 
     def run(batches):
         trie, known = None, None
@@ -346,7 +375,7 @@ def word_ratios(words: DataFrame, spelling: Spelling) -> DataFrame:
                 found = trie.keys[place] == wanted if len(trie.keys) else np.zeros(len(active), bool)
                 if depth == 0 and not found.all():
                     # A first character that other buckets know still counts, and what can follow it.
-                    top = shared.value[0]
+                    top = shared.value.top
                     lost = active[~found]
                     char = points[begin[lost]]
                     spot = np.minimum(np.searchsorted(top.chars, char), max(len(top.chars) - 1, 0))
@@ -420,8 +449,7 @@ class Shallow:
 def shallow(spelling: Spelling, most: int = NODES) -> Shallow:
     """The beginnings of as many characters as make ``most`` nodes at most, and all first characters."""
     depth = max(int(np.searchsorted(np.cumsum(spelling.levels[:LEVELS]), most, side="right")) - 1, 1)
-    context = spelling.words.sparkSession.sparkContext
-    shared = context.broadcast((spelling.top, spelling.shared, spelling.discount))
+    shared = spelling.sent
 
     def run(batches):
         for _, _, table in _parts(batches):
@@ -434,7 +462,7 @@ def shallow(spelling: Spelling, most: int = NODES) -> Shallow:
     rows = _buckets(words, run, "hash long, value double", "side", "word", *COUNTS).toArrow()           # at most ``most`` rows
     top = spelling.top
     first = Trie(top.chars, np.ones(len(top.chars), np.int64), np.zeros((len(top.chars), 4)))
-    hashes, values = _behind(first, *shared.value)
+    hashes, values = _behind(first, top, spelling.shared, spelling.discount)
     whole = np.concatenate([rows["hash"].to_numpy().view(np.uint64), hashes[1:]])
     order = np.argsort(whole)
     return Shallow(depth, whole[order], np.concatenate([rows["value"].to_numpy(), values[1:]])[order], float(values[0]))
@@ -561,7 +589,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     near = docs.select(key, text).where(F.col(key).isNotNull()).where(suspect(place(key)))
     train = near.join(keys.select(key, "_toxic", "_half"), key)
-    spelling = learn(materialize(count_words(train, text), "words"))
+    counted = materialize(count_words(train, text), "words")
+    packed.destroy()                                                # nothing reads ``train`` again
+    spelling = learn(counted)
     sample = sample.withColumn("_id", F.monotonically_increasing_id())
     held = materialize(sample.select("_id", "model", F.posexplode("_sums.rest").alias("_at", "word", "_n")), "sample-words")
     asked = held.groupBy("model", "word").agg(F.sum("_n").alias("n"))
