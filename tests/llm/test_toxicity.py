@@ -218,3 +218,63 @@ def test_stored_frames_leave_no_shuffle_files(tmp_path):
     """
     run = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], capture_output=True, text=True, timeout=120)
     assert run.returncode == 0, run.stderr[-2000:]
+
+
+def test_lists_of_a_task_share_a_row_for_each_bucket(spark):
+    """Rows made follow tasks and buckets: at most one for both, however many halves and classes there are."""
+    words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "klmn" for c in "rstu"]
+    texts = [(h, t, " ".join(random.Random(i).sample(words, 60))) for i, (h, t) in enumerate([(0, 0), (0, 1), (1, 0), (1, 1)] * 20)]
+    train = spark.createDataFrame(texts, "_half int, _toxic int, text string").coalesce(1)
+    plan, made = toxicity.partial_counts(train, "text")._jdf.queryExecution().optimizedPlan(), []
+    while plan.children().size():
+        if plan.nodeName() == "MapInArrow":
+            made.append([plan.output().apply(i).name() for i in range(plan.output().size())])
+        plan = plan.children().apply(0)
+    assert made[-1] == ["bucket", "size", "pairs"]
+    # A word's counts come in a bounded number of parts.
+    parts = toxicity.partial_counts(train, "text").groupBy("word").count()
+    assert 1 < parts.agg(F.max("count")).first()[0] <= toxicity.SPREAD
+
+
+def test_labelled_words_are_stored_packed_and_walked_without_a_shuffle(spark):
+    rng = random.Random(5)
+    words = [("".join(rng.choices("abé漢1_", k=rng.randint(1, 6))), *(rng.randint(0, 2) for _ in COUNTS)) for _ in range(400)]
+    spelling = toxicity.learn(spark.createDataFrame(words, toxicity.COUNTED).repartition(5))
+    expected = {}
+    for word, *counts in words:
+        expected[word] = [a + b for a, b in zip(expected.get(word, [0] * 4), counts)]
+    assert {r.word: [r[c] for c in COUNTS] for r in spelling.words.collect()} == expected
+    stored = spelling.packed.collect()
+    assert len({r.bucket for r in stored}) == len(stored) < len(expected) and sum(r.n for r in stored) == len(expected)
+    assert {r.bucket for r in stored} == {toxicity.bucket_of(w, spelling.buckets) for w in expected}
+    assert "Exchange" not in spelling.words._jdf.queryExecution().executedPlan().toString()
+    ratios = {(r.word): r.ratio for r in toxicity.word_ratios(
+        spark.createDataFrame([(BOTH, w, 1) for w in expected], "model long, word string, n long"), spelling).collect()}
+    assert toxicity.frequent(spelling) == pytest.approx(ratios)
+
+
+def test_other_words_travel_packed_and_come_back_to_their_texts(spark, monkeypatch):
+    """Texts in chunks of a few, whose other words are asked for by bucket, score as they do together; other columns stay theirs."""
+    rng = random.Random(9)
+    parts = ["ba", "vex", "grub", "mea", "dow", "ri", "漢", "ver"]
+    data = [(i, " ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(12)) + (" vexgrub" if i % 2 else ""), i % 2) for i in range(80)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    texts = [(i, None if i % 9 == 0 else " ".join("".join(rng.choices(parts + ["q"], k=3)) for _ in range(i % 13)), [i, None]) for i in range(60)]
+    new = spark.createDataFrame(texts + texts[:7], "doc_id long, text string, list array<long>").repartition(3)
+    whole = sorted((r.doc_id, r.score) for r in toxicity.score(new, model).collect())
+    monkeypatch.setattr(toxicity, "COMMON", 3)
+    monkeypatch.setattr(toxicity, "ASKED", 100)
+    monkeypatch.setattr(toxicity, "SLICE", 50)
+    monkeypatch.setattr(toxicity, "WALKED", 5)
+    monkeypatch.setattr(toxicity.shallow, "__defaults__", (0,))
+    scored = toxicity.score(new, model)
+    got = scored.collect()
+    assert [x for x, _ in whole] == sorted(r.doc_id for r in got) and all(r.list == [r.doc_id, None] for r in got)
+    assert [s for _, s in whole] == pytest.approx([s for _, s in sorted((r.doc_id, r.score) for r in got)])
+    assert {(r.doc_id, r.text) for r in got} == {t[:2] for t in texts}
+    by_text = {}
+    for r in got:
+        by_text.setdefault(r.text, set()).add(r.score)
+    assert all(len(s) == 1 for s in by_text.values())
+    assert "explode" not in scored._jdf.queryExecution().optimizedPlan().toString().lower()

@@ -7,12 +7,13 @@ one, two and more come from the counts of counts (Chen and Goodman, 1999). A tex
 log-likelihood ratio per word, in all and over those words that lean clearly to the toxic side; a
 logistic curve, fitted on texts whose own words the models had not seen, turns these into a score.
 
-Counts come from all labelled rows. Words are dealt out by their first two characters; a task makes the trie of the labelled
-words it gets and walks the words asked for through it, so neither beginnings nor contexts become rows. What stands above the second character
-is one row a first character. Only the three-feature curve is fitted on at most
+Counts come from all labelled rows. Words are dealt out once, by their first two characters, and stored packed, a row a bucket; a task makes the
+trie of a bucket's labelled words and walks the words asked for through it, so neither beginnings nor contexts become rows. What stands above the
+second character is one row a first character. Only the three-feature curve is fitted on at most
 ``FIT_ROWS`` rows of each class, chosen by a hash of their key. The ratios of the ``COMMON`` most frequent labelled words of up to
 ``COMMON_LENGTH`` characters are broadcast, and so are the beginnings of as many characters as make ``NODES`` nodes at most: a word
-that leaves the trie, or ends, within these has its ratio at once. All other words become rows and are walked where their trie is.
+that leaves the trie, or ends, within these has its ratio at once. All other words are asked for where their trie is: each task packs the
+different ones of some texts by bucket, and the answers go back to these texts.
 """
 
 import math
@@ -20,20 +21,21 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from zonepulse.llm.hashing import mix
 from zonepulse.llm.jaccard_join import bitmap_of, passed, place
 from zonepulse.llm.text import plain
 from zonepulse.llm.workers import tidied
-from zonepulse.session import materialize
+from zonepulse.session import materialize, without_shuffle_files
 
 FIT_ROWS = 3_000            # labelled rows of each class on which the curve is fitted
 CAUTION = 3.0               # a missed toxic text weighs as much as this many ordinary ones dropped
@@ -44,7 +46,9 @@ NODES = 1 << 21             # beginnings whose ratios every task gets, 16 bytes
 LEVELS = 64                 # characters of such a beginning
 SLICE = 1 << 18             # characters of texts summed together; a longer text alone
 PAIRED = 1 << 22            # characters of texts whose pairs of words are gathered before they are sent
+SPREAD = 8                  # buckets of a word's pairs
 BUCKETS = 64                # tries, for each shuffle partition
+ASKED = 1 << 23             # characters of texts whose other words are asked for together
 WALKED = 1 << 16            # words walked together
 KINDS = 128                 # kinds of characters that shared counts tell apart
 BOTH = 2                    # the model of all rows; 0 and 1 are those of the halves
@@ -60,10 +64,15 @@ def found_words(text: str | None) -> list[str]:
 
 def count_words(train: DataFrame, text: str) -> DataFrame:
     """(word, c00, c01, c10, c11): after how many different words it occurs, by half and class; a word of a passage that
-    many texts repeat counts once.
+    many texts repeat counts once."""
+    return partial_counts(train, text).groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
-    Different pairs of a word and the one before it are dealt out by their hash, so a frequent word spreads over all tasks. They travel
-    as sorted, packed lists, many to a row.
+
+def partial_counts(train: DataFrame, text: str) -> DataFrame:
+    """As ``count_words``, in parts: a word has several rows, whose counts add up.
+
+    Different pairs of a word and the one before it are dealt out by their hashes, a word's to ``SPREAD`` buckets at most. They travel
+    as sorted, packed lists: one row from a task to a bucket for every ``PAIRED`` characters, with the lists of all halves and classes.
     """
     buckets = 2 * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -75,45 +84,46 @@ def count_words(train: DataFrame, text: str) -> DataFrame:
                 found[of].update(map(" ".join, zip(words, ["", *words])))
                 size += len(t or "")
                 if size >= PAIRED:
-                    yield from packed(found)
+                    yield packed(found)
                     found, size = [set() for _ in COUNTS], 0
-        yield from packed(found)
+        yield packed(found)
 
     def packed(found):
+        dealt = [[[] for _ in COUNTS] for _ in range(buckets)]
         for of, pairs in enumerate(found):
-            dealt = [[] for _ in range(buckets)]
             for pair in sorted(pairs):
-                dealt[crc32(pair.encode()) % buckets].append(pair)
-            used = [k for k, x in enumerate(dealt) if x]
-            lists = ["\n".join(dealt[k]).encode() for k in used]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(used, pa.int32()), pa.array([of] * len(used), pa.int32()), pa.array(map(len, lists), pa.int64()),
-                pa.array([pa.compress(x, "zstd", asbytes=True) for x in lists], pa.binary())], names=["bucket", "of", "size", "pairs"])
+                word = pair.partition(" ")[0]
+                dealt[(crc32(word.encode()) + crc32(pair.encode()) % SPREAD) % buckets][of].append(pair)
+        used = [k for k, x in enumerate(dealt) if any(x)]
+        lists = ["\r".join(map("\n".join, dealt[k])).encode() for k in used]
+        return pa.RecordBatch.from_arrays([
+            pa.array(used, pa.int32()), pa.array(map(len, lists), pa.int64()),
+            pa.array([pa.compress(x, "zstd", asbytes=True) for x in lists], pa.binary())], names=["bucket", "size", "pairs"])
 
     def meet(batches):
         current, found = None, [set() for _ in COUNTS]
         for batch in batches:
-            for bucket, of, size, pairs in zip(*(c.to_pylist() for c in batch.columns)):
+            for bucket, size, pairs in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != current:
                     yield counted(found)
                     current, found = bucket, [set() for _ in COUNTS]
-                found[of].update(pa.decompress(pairs, size, "zstd", asbytes=True).decode().split("\n"))
+                for mine, some in zip(found, pa.decompress(pairs, size, "zstd", asbytes=True).decode().split("\r")):
+                    mine.update(some.split("\n") if some else ())
         yield counted(found)
 
     def counted(found):
-        times = [Counter(p.partition(" ")[0] for p in pairs) for pairs in found]
+        times = [Counter([p.partition(" ")[0] for p in pairs]) for pairs in found]
         words = list(set().union(*times))
         return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([n[w] for w in words], pa.int64()) for n in times)],
                                           names=["word", *COUNTS])
 
     of = (2 * F.col("_half") + F.col("_toxic")).cast("int")
-    sent = train.select(of.alias("_of"), text).mapInArrow(tidied(send), "bucket int, of int, size long, pairs binary")
-    return (sent.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(tidied(meet), "word string, " + ", ".join(f"{c} long" for c in COUNTS))
-            .groupBy("word").agg(*(F.sum(c).alias(c) for c in COUNTS)))
+    sent = train.select(of.alias("_of"), text).mapInArrow(tidied(send), "bucket int, size long, pairs binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidied(meet), COUNTED)
 
 
 COUNTS = ["c00", "c01", "c10", "c11"]
+COUNTED = "word string, " + ", ".join(f"{c} long" for c in COUNTS)
 
 
 def kind_of(points: np.ndarray) -> np.ndarray:
@@ -224,23 +234,79 @@ class Shared:
 class Spelling:
     """Labelled words with their counts, and what all tasks get: ``top``, shared chances (``KINDS`` cubed), discounts by class.
 
-    ``levels``: how many beginnings have 0, 1, … ``LEVELS`` characters (0 for the first two, which ``top`` has)."""
+    ``packed``: a row for each of at most ``buckets`` buckets. ``levels``: how many beginnings have 0, 1, … ``LEVELS`` characters (0 for the
+    first two, which ``top`` has)."""
 
-    words: DataFrame
+    packed: DataFrame
+    buckets: int
     top: Top
     shared: np.ndarray
     discount: np.ndarray
     levels: np.ndarray
 
+    @property
+    def words(self) -> DataFrame:
+        return unpack(self.packed)
+
     @cached_property
     def sent(self) -> Broadcast:
         """One broadcast for all that use it: each has a file in the driver and on every executor."""
-        return self.words.sparkSession.sparkContext.broadcast(Shared(self.top, self.shared, self.discount))
+        return self.packed.sparkSession.sparkContext.broadcast(Shared(self.top, self.shared, self.discount))
+
+
+def _bucket(many: int) -> Column:
+    return F.pmod(F.crc32(F.expr("left(concat(word, '$'), 2)")), F.lit(many)).cast("int").alias("bucket")
+
+
+def bucket_of(word: str, many: int) -> int:
+    """As ``_bucket``."""
+    return crc32((word + "$")[:2].encode()) % many
+
+
+PACKED = "bucket int, n long, size long, words binary, counts binary"
+
+
+def pack(words: DataFrame, many: int) -> DataFrame:
+    """A row for each bucket: its ``n`` words, in ``size`` bytes, and the sums of their counts. A word may have several rows."""
+    summed = (words.select(_bucket(many), "word", *COUNTS).repartition("bucket")
+              .groupBy("bucket", "word").agg(*(F.sum(c).alias(c) for c in COUNTS)).sortWithinPartitions("bucket", "word"))
+
+    def run(batches):
+        for bucket, _, table in _parts(batches):
+            data = "\n".join(table["word"].to_pylist()).encode()
+            counts = np.stack([table[c].to_numpy() for c in COUNTS], axis=1).tobytes()
+            yield pa.RecordBatch.from_arrays([
+                pa.array([bucket], pa.int32()), pa.array([table.num_rows]), pa.array([len(data)]),
+                *(pa.array([pa.compress(x, "zstd", asbytes=True)], pa.binary()) for x in (data, counts))],
+                names=["bucket", "n", "size", "words", "counts"])
 
+    return summed.select("bucket", F.lit(0).alias("side"), "word", *COUNTS).mapInArrow(tidied(run), PACKED)
 
-def _bucket(spark: SparkSession) -> Column:
-    many = int(spark.conf.get("spark.sql.shuffle.partitions")) * BUCKETS
-    return F.pmod(F.xxhash64(F.expr("left(concat(word, '$'), 2)")), F.lit(many)).cast("int").alias("bucket")
+
+def _words_in(size: int, words: bytes) -> pa.Array:
+    return pa.array(pa.decompress(words, size, "zstd", asbytes=True).decode().split("\n"), pa.string())
+
+
+def _unpacked(n: int, size: int, words: bytes, counts: bytes) -> tuple[pa.Array, np.ndarray]:
+    """Words and their counts (word, column)."""
+    data = pa.decompress(counts, 8 * len(COUNTS) * n, "zstd", asbytes=True)
+    return _words_in(size, words), np.frombuffer(data, np.int64).reshape(n, len(COUNTS))
+
+
+def _each(batches):
+    """(words, counts) of each packed row."""
+    for batch in batches:
+        for row in zip(*(batch.column(c) for c in ("n", "size", "words", "counts"))):
+            yield _unpacked(*(x.as_py() for x in row))
+
+
+def unpack(packed: DataFrame) -> DataFrame:
+    """(word, c00, c01, c10, c11)"""
+    def run(batches):
+        for words, counts in _each(batches):
+            yield pa.RecordBatch.from_arrays([words, *map(pa.array, np.ascontiguousarray(counts.T))], names=["word", *COUNTS])
+
+    return packed.mapInArrow(tidied(run), COUNTED)
 
 
 def _top(words: DataFrame) -> Top:
@@ -258,12 +324,6 @@ def _top(words: DataFrame) -> Top:
     return Top(found["point"].to_numpy(np.int64), values[..., 0], values[..., 1:])
 
 
-def _buckets(rows: DataFrame, run, schema: str, *columns: str) -> DataFrame:
-    """``run(table)`` of each task's rows, labelled words (side 0) of a bucket before those asked for, bucket by bucket."""
-    return (rows.select(_bucket(rows.sparkSession), *columns).repartition("bucket")
-            .sortWithinPartitions("bucket", "side").mapInArrow(tidied(run), schema))
-
-
 def _parts(batches):
     """(bucket, side, table) of neighbouring rows; words asked for come in parts of at most ``WALKED``."""
     held, key, size = [], None, 0
@@ -283,19 +343,20 @@ def _parts(batches):
         yield *key, pa.Table.from_batches(held).combine_chunks()
 
 
-def _trie(table: pa.Table) -> Trie:
-    counts = np.stack([table[c].to_numpy() for c in COUNTS], axis=1).astype(float)
-    return Trie(*points_of(table["word"].combine_chunks()), counts)
+def _trie(words: pa.Array, counts: np.ndarray) -> Trie:
+    return Trie(*points_of(words), counts.astype(float))
 
 
 def learn(words: DataFrame) -> Spelling:
-    """Shared chances and discounts of all beginnings of ``words``."""
-    top = _top(words)
+    """Shared chances and discounts of all beginnings of ``words``, which are stored packed; a word may have several rows."""
+    many = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")) * BUCKETS
+    packed = materialize(pack(words, many), "spelling")
+    top = _top(unpack(packed))
 
     def run(batches):
         trigrams, of_counts, levels = Counter(), np.zeros((2, 4)), np.zeros(LEVELS + 1, np.int64)
-        for _, _, table in _parts(batches):
-            trie = _trie(table)
+        for some in _each(batches):
+            trie = _trie(*some)
             deep = trie.depths[1:] >= 2
             trigrams.update(dict(zip(*(x.tolist() for x in np.unique(trie.trigrams()[deep], return_counts=True)))))
             levels += np.bincount(np.minimum(trie.depths[1:][deep], LEVELS), minlength=LEVELS + 1)
@@ -307,7 +368,7 @@ def learn(words: DataFrame) -> Spelling:
         yield pa.RecordBatch.from_arrays([pa.array([int(c) for c, _ in cells], pa.int64()), pa.array([int(n) for _, n in cells], pa.int64())],
                                          names=["cell", "n"])
 
-    found = (_buckets(words.withColumn("side", F.lit(0)), run, "cell long, n long", "side", "word", *COUNTS)
+    found = (packed.mapInArrow(tidied(run), "cell long, n long")
              .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())       # at most KINDS ** 3 rows
     cell, n = found["cell"].to_numpy(np.int64), found["n"].to_numpy(float)
     times = np.zeros(KINDS ** 3)
@@ -316,7 +377,7 @@ def learn(words: DataFrame) -> Spelling:
     below = np.zeros(9 + LEVELS)
     below[-1 - cell[cell < 0]] = n[cell < 0]
     of_counts, levels = below[:8], below[8:]
-    return Spelling(words, top, shared_chances(times.reshape((KINDS,) * 3)).ravel(),
+    return Spelling(packed, many, top, shared_chances(times.reshape((KINDS,) * 3)).ravel(),
                     np.stack([discounts(of_counts[:4]), discounts(of_counts[4:])]), levels)
 
 
@@ -343,6 +404,48 @@ def node_ratios(trie: Trie, top: Top, shared: np.ndarray, discount: np.ndarray)
     return np.concatenate([np.zeros((1, 3)), ratio]), np.log(other[..., 1] / other[..., 0])
 
 
+class Walk:
+    """Ratios of words that begin as a bucket's labelled words do; without any, no labelled word begins so."""
+
+    def __init__(self, shared: "Shared", words: pa.Array | None = None, counts: np.ndarray | None = None):
+        self.shared = shared
+        if words is None:
+            self.trie = _trie(pa.array([], pa.string()), np.zeros((0, len(COUNTS))))
+            self.trie.counts = np.zeros((1, len(COUNTS)))
+        else:
+            self.trie = _trie(words, counts)
+        self.ratio, self.other = node_ratios(self.trie, *shared)
+
+    def ratios(self, words: pa.Array, model: np.ndarray) -> np.ndarray:
+        trie, ratio, other = self.trie, self.ratio, self.other
+        points, lengths = points_of(words)
+        begin, at, total = np.cumsum(lengths) - lengths, np.zeros(len(lengths), np.int64), np.zeros(len(lengths))
+        active = np.arange(len(lengths))
+        for depth in range(int(lengths.max(initial=0))):
+            active = active[lengths[active] > depth]
+            if not len(active):
+                break
+            wanted = at[active] << LABEL_BITS | points[begin[active] + depth]
+            place = np.minimum(np.searchsorted(trie.keys, wanted), max(len(trie.keys) - 1, 0))
+            found = trie.keys[place] == wanted if len(trie.keys) else np.zeros(len(active), bool)
+            if depth == 0 and not found.all():
+                # A first character that other buckets know still counts, and what can follow it.
+                top = self.shared.top
+                lost = active[~found]
+                char = points[begin[lost]]
+                spot = np.minimum(np.searchsorted(top.chars, char), max(len(top.chars) - 1, 0))
+                seen = top.chars[spot] == char if len(top.chars) else np.zeros(len(lost), bool)
+                alone = top_ratios(*self.shared)
+                total[lost[seen]] += (alone[0] + alone[1])[spot[seen], model[lost[seen]]]
+                total[lost[~seen]] += other[0, model[lost[~seen]]]
+            elif depth:
+                total[active[~found]] += other[at[active[~found]], model[active[~found]]]
+            active, place = active[found], place[found]
+            at[active] = place + 1
+            total[active] += ratio[place + 1, model[active]]
+        return total
+
+
 def word_ratios(words: DataFrame, spelling: Spelling) -> DataFrame:
     """``words`` (model, word, n) with ``ratio``: log-likelihood under the toxic model minus that under the ordinary model.
 
@@ -351,51 +454,26 @@ def word_ratios(words: DataFrame, spelling: Spelling) -> DataFrame:
     shared = spelling.sent
 
     def run(batches):
-        trie, known = None, None
+        walk, known = None, None
         for bucket, side, table in _parts(batches):
+            if known != bucket:
+                walk, known = None, bucket
             if side == 0:
-                trie, known = _trie(table), bucket
-                ratio, other = node_ratios(trie, *shared.value)
+                walk = Walk(shared.value, *next(_each(table.to_batches())))
                 continue
-            if known != bucket:         # no labelled word begins so
-                empty = pa.array([], pa.string())
-                trie, known = Trie(*points_of(empty), np.zeros((0, 4))), bucket
-                trie.counts = np.zeros((1, 4))
-                ratio, other = node_ratios(trie, *shared.value)
-            points, lengths = points_of(table["word"].combine_chunks())
-            model = table["model"].to_numpy()
-            begin, at, total = np.cumsum(lengths) - lengths, np.zeros(len(lengths), np.int64), np.zeros(len(lengths))
-            active = np.arange(len(lengths))
-            for depth in range(int(lengths.max())):
-                active = active[lengths[active] > depth]
-                if not len(active):
-                    break
-                wanted = at[active] << LABEL_BITS | points[begin[active] + depth]
-                place = np.minimum(np.searchsorted(trie.keys, wanted), max(len(trie.keys) - 1, 0))
-                found = trie.keys[place] == wanted if len(trie.keys) else np.zeros(len(active), bool)
-                if depth == 0 and not found.all():
-                    # A first character that other buckets know still counts, and what can follow it.
-                    top = shared.value.top
-                    lost = active[~found]
-                    char = points[begin[lost]]
-                    spot = np.minimum(np.searchsorted(top.chars, char), max(len(top.chars) - 1, 0))
-                    seen = top.chars[spot] == char if len(top.chars) else np.zeros(len(lost), bool)
-                    alone = top_ratios(*shared.value)
-                    total[lost[seen]] += (alone[0] + alone[1])[spot[seen], model[lost[seen]]]
-                    total[lost[~seen]] += other[0, model[lost[~seen]]]
-                elif depth:
-                    total[active[~found]] += other[at[active[~found]], model[active[~found]]]
-                active, place = active[found], place[found]
-                at[active] = place + 1
-                total[active] += ratio[place + 1, model[active]]
-            yield pa.RecordBatch.from_arrays([*(table[c].combine_chunks() for c in ("model", "word", "n")), pa.array(total)],
+            walk = walk or Walk(shared.value)
+            total = walk.ratios(table["word"].combine_chunks(), table["model"].to_numpy())
+            yield pa.RecordBatch.from_arrays([*(table[c].combine_chunks() for c in ("model", "word", "asked")), pa.array(total)],
                                              names=["model", "word", "n", "ratio"])
 
-    nothing = [F.lit(None).cast("bigint").alias(c) for c in ("model", "n")]
-    known = spelling.words.select(F.lit(0).alias("side"), "word", *COUNTS, *nothing)
-    asked = words.select(F.lit(1).alias("side"), "word", *(F.lit(None).cast("bigint").alias(c) for c in COUNTS),
-                         F.col("model").cast("bigint"), "n")
-    return _buckets(known.unionByName(asked), run, "model long, word string, n long, ratio double", "side", "word", *COUNTS, "model", "n")
+    def no(*typed):
+        return [F.lit(None).cast(t).alias(c) for c, _, t in (x.partition(" ") for x in typed)]
+
+    known = spelling.packed.select("bucket", F.lit(0).alias("side"), "n", "size", "words", "counts", *no("model bigint", "word string", "asked bigint"))
+    asked = words.select(_bucket(spelling.buckets), F.lit(1).alias("side"), *no("n bigint", "size bigint", "words binary", "counts binary"),
+                         F.col("model").cast("bigint"), "word", F.col("n").cast("bigint").alias("asked"))
+    return (known.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", "side")
+            .mapInArrow(tidied(run), "model long, word string, n long, ratio double"))
 
 
 def top_ratios(top: Top, shared: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -452,14 +530,13 @@ def shallow(spelling: Spelling, most: int = NODES) -> Shallow:
     shared = spelling.sent
 
     def run(batches):
-        for _, _, table in _parts(batches):
-            trie = _trie(table)
+        for some in _each(batches):
+            trie = _trie(*some)
             hashes, values = _behind(trie, *shared.value)
             wanted = (trie.depths >= 2) & (trie.depths <= depth)
             yield pa.RecordBatch.from_arrays([pa.array(hashes[wanted].view(np.int64)), pa.array(values[wanted])], names=["hash", "value"])
 
-    words = spelling.words.withColumn("side", F.lit(0))
-    rows = _buckets(words, run, "hash long, value double", "side", "word", *COUNTS).toArrow()           # at most ``most`` rows
+    rows = spelling.packed.mapInArrow(tidied(run), "hash long, value double").toArrow()         # at most ``most`` rows
     top = spelling.top
     first = Trie(top.chars, np.ones(len(top.chars), np.int64), np.zeros((len(top.chars), 4)))
     hashes, values = _behind(first, top, spelling.shared, spelling.discount)
@@ -468,6 +545,25 @@ def shallow(spelling: Spelling, most: int = NODES) -> Shallow:
     return Shallow(depth, whole[order], np.concatenate([rows["value"].to_numpy(), values[1:]])[order], float(values[0]))
 
 
+def frequent(spelling: Spelling) -> dict[str, float]:
+    """Ratios of the ``COMMON`` most frequent labelled words of at most ``COMMON_LENGTH`` characters."""
+    often = (spelling.words.where(F.length("word") <= COMMON_LENGTH).orderBy(F.desc(sum(map(F.col, COUNTS))), "word").limit(COMMON))
+    context, shared = spelling.packed.sparkSession.sparkContext, spelling.sent
+    wanted = context.broadcast([r["word"] for r in often.select("word").collect()])         # at most COMMON rows
+
+    def run(batches):
+        names = pa.array(wanted.value, pa.string())
+        for words, counts in _each(batches):
+            some = words.filter(pc.is_in(words, names))
+            if len(some):
+                total = Walk(shared.value, words, counts).ratios(some, np.full(len(some), BOTH))
+                yield pa.RecordBatch.from_arrays([some, pa.array(total)], names=["word", "ratio"])
+
+    found = dict(map(tuple, spelling.packed.mapInArrow(tidied(run), "word string, ratio double").collect()))
+    wanted.destroy()
+    return found
+
+
 def _behind(trie: Trie, top: Top, shared: np.ndarray, discount: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each node: hash of its beginning; log ratio of a word that goes on otherwise behind it or, at ``END``, ends."""
     ratio, other = (r[:, BOTH] for r in node_ratios(trie, top, shared, discount))
@@ -494,24 +590,58 @@ def _slices(texts: list):
         yield held
 
 
-def _summed(text: Column, ratios) -> Column:
-    """Of a text: number of words, sums of the known ratios and of what leans, and how often it holds each other word.
-
-    ``ratios``: broadcast ratios of words, and of beginnings (``Shallow``) or None.
-    """
-    @F.pandas_udf("n long, total double, leaning double, rest map<string, long>")
-    def summed(texts: pd.Series) -> pd.DataFrame:
-        (known, beginnings), rows = ratios.value, []
-        for some in _slices(texts.tolist()):
-            of = [found_words(t) for t in some]
-            more = beginnings.ratios(list({w for words in of for w in words if w not in known})) if beginnings else {}
-            for words in of:
-                found = [known[w] if w in known else more.get(w) for w in words]
-                rest = Counter(w for w, r in zip(words, found) if r is None) if None in found else {}
-                found = [r for r in found if r is not None] if rest else found
-                rows.append((len(words), float(sum(found)), float(sum(r - LEAN for r in found if r > LEAN)), dict(rest)))
-        return pd.DataFrame(rows, columns=["n", "total", "leaning", "rest"])
-    return summed(text)
+class _Numbers(dict):
+    """Numbers of words, from 0 by first occurrence."""
+
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        return number
+
+
+class Reader:
+    """Sums over texts of the ratios that are known, and the other words. Each different word is looked up once."""
+
+    def __init__(self, known: dict[str, float], beginnings: Shallow | None):
+        self.known, self.beginnings = known, beginnings
+        self.numbers, self.ratio, self.place = _Numbers(), np.empty(0), np.empty(0, np.int64)
+        self.rest: list[str] = []       # words without a known ratio
+
+    def read(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """(number of words, sum of the known ratios, sum of what leans, (place in ``rest``, times) of the other words) of each text. Nothing
+        but the text decides in which order ratios are added."""
+        of = [found_words(t) for t in texts]
+        before, n = len(self.numbers), np.array([len(words) for words in of], np.int64)
+        at = np.fromiter((i for words in of for i in map(self.numbers.__getitem__, words)), np.int64, int(n.sum()))
+        self._learn(list(islice(self.numbers, before, None)))
+        text, ratio, place = np.repeat(np.arange(len(of)), n), self.ratio[at], self.place[at]
+        total, leaning = (np.bincount(text, v, len(of)).astype(float) for v in (ratio, np.maximum(ratio - LEAN, 0.0)))
+        other = np.flatnonzero(place >= 0)
+        different, first, times = np.unique(text[other] << 32 | place[other], return_index=True, return_counts=True)
+        order = np.argsort(first)
+        different, times = different[order], times[order]
+        ends = np.searchsorted(different >> 32, np.arange(len(of) + 1)).tolist()
+        places = different & ((1 << 32) - 1)
+        return n, total, leaning, [(places[a:b], times[a:b]) for a, b in zip(ends, ends[1:])]
+
+    def _learn(self, new: list[str]) -> None:
+        found = [self.known.get(w) for w in new]
+        open_ = [w for w, r in zip(new, found) if r is None]
+        more = self.beginnings.ratios(open_) if self.beginnings and open_ else {}
+        found = [more.get(w) if r is None else r for w, r in zip(new, found)]
+        lost = np.array([r is None for r in found], bool)
+        place = np.where(lost, len(self.rest) + np.cumsum(lost) - 1, -1)
+        self.rest += [w for w, r in zip(new, found) if r is None]
+        self.ratio = np.append(self.ratio, np.array([0.0 if r is None else r for r in found], float))
+        self.place = np.append(self.place, place)
+
+
+def _all_words(text: Column) -> Column:
+    """Of a text: number of words, and how often it holds each."""
+    @F.pandas_udf("n long, rest map<string, long>")
+    def counted(texts: pd.Series) -> pd.DataFrame:
+        words = [found_words(t) for t in texts.tolist()]
+        return pd.DataFrame([(len(x), dict(Counter(x))) for x in words], columns=["n", "rest"])
+    return counted(text)
 
 
 def _added(rest: DataFrame, ratios: DataFrame, *keys: str) -> DataFrame:
@@ -523,6 +653,121 @@ def _added(rest: DataFrame, ratios: DataFrame, *keys: str) -> DataFrame:
         (F.sum(F.col("_n") * F.greatest(F.col("ratio") - LEAN, F.lit(0.0))) / texts).alias("_leaning"))
 
 
+TOLD = "_chunk long, _bucket int, _n long, _size long, _total double, _leaning double, _words binary, _at binary"
+
+
+def _asking(df: DataFrame, kept: list[str], text: str, ratios: Broadcast, many: int) -> DataFrame:
+    """``kept`` columns of every row with its number of words, sums of ratios, and which other words, by their number in its chunk (_at), it
+    holds how often (_words). Besides, in rows that have a ``_bucket``: that bucket's words of a chunk, packed, and their numbers.
+
+    A chunk is neighbouring texts of one task, about ``ASKED`` characters. ``ratios``: of words, and of beginnings (``Shallow``).
+    """
+    own = df.select(*kept).schema
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in own), *T.StructType.fromDDL(TOLD)])
+
+    def run(batches):
+        chunk, reader, size, types = TaskContext.get().partitionId() << 33, Reader(*ratios.value), 0, None
+        for batch in batches:
+            texts, begin = batch.column(batch.num_columns - 1).to_pylist(), 0
+            for some in _slices(texts):
+                read, total, leaning, rest = reader.read(some)
+                n = len(some)
+                times, at = (pa.array([r[k].astype("<i4").tobytes() for r in rest], pa.binary()) for k in (1, 0))
+                columns = [*batch.slice(begin, n).columns[:len(own)], pa.array([chunk] * n, pa.int64()), pa.nulls(n, pa.int32()),
+                           pa.array(read), pa.nulls(n, pa.int64()), pa.array(total), pa.array(leaning), times, at]
+                types = [c.type for c in columns]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                begin, size = begin + n, size + sum(len(t or "") for t in some)
+                if size >= ASKED:
+                    yield from asked(reader.rest, chunk, types)
+                    chunk, reader, size = chunk + 1, Reader(*ratios.value), 0
+        yield from asked(reader.rest, chunk, types)
+
+    def asked(rest, chunk, types):
+        dealt = {}
+        for i, word in enumerate(rest):
+            dealt.setdefault(bucket_of(word, many), []).append((word, i))
+        if dealt:
+            n, lists = len(dealt), ["\n".join([w for w, _ in x]).encode() for x in dealt.values()]
+            columns = [pa.array([chunk] * n, pa.int64()), pa.array([*dealt], pa.int32()), pa.array([len(x) for x in dealt.values()], pa.int64()),
+                       pa.array([len(x) for x in lists], pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()),
+                       pa.array([pa.compress(x, "zstd", asbytes=True) for x in lists], pa.binary()),
+                       pa.array([np.array([i for _, i in x], "<i4").tobytes() for x in dealt.values()], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(n, t) for t in types[:len(own)]), *columns], names=schema.names)
+
+    return df.select(*kept, F.col(text).alias("_text")).mapInArrow(tidied(run), schema)
+
+
+def _answers(told: DataFrame, spelling: Spelling) -> DataFrame:
+    """(_chunk, _at, _words): numbers of words in a chunk and their ratios, a row for each list that was asked for."""
+    shared = spelling.sent
+
+    def run(batches):
+        current, walk, held, size = None, None, [], 0
+        for batch in batches:
+            for bucket, side, n, length, words, more, chunk in zip(*batch.columns):
+                bucket, n = bucket.as_py(), n.as_py()
+                if held and (bucket != current or size >= WALKED):
+                    yield answered(walk, held)
+                    held, size = [], 0
+                if bucket != current:
+                    current, walk = bucket, None
+                if side.as_py() == 0:
+                    walk = Walk(shared.value, *_unpacked(n, length.as_py(), words.as_py(), more.as_py()))
+                    continue
+                walk = walk or Walk(shared.value)
+                held.append((chunk.as_py(), more.as_py(), _words_in(length.as_py(), words.as_py())))
+                size += n
+        if held:
+            yield answered(walk, held)
+
+    def answered(walk, held):
+        words = pa.concat_arrays([h[2] for h in held]).dictionary_encode()
+        values = walk.ratios(words.dictionary, np.full(len(words.dictionary), BOTH))[words.indices.to_numpy()]
+        ends = np.cumsum([len(h[2]) for h in held])[:-1]
+        return pa.RecordBatch.from_arrays([
+            pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.binary()),
+            pa.array([v.tobytes() for v in np.split(values, ends)], pa.binary())], names=["_chunk", "_at", "_words"])
+
+    known = spelling.packed.select("bucket", F.lit(0).alias("side"), "n", "size", "words", "counts", F.lit(None).cast("bigint").alias("chunk"))
+    asked = told.where(F.col("_bucket").isNotNull()).select(
+        F.col("_bucket").alias("bucket"), F.lit(1).alias("side"), F.col("_n").alias("n"), F.col("_size").alias("size"),
+        F.col("_words").alias("words"), F.col("_at").alias("counts"), F.col("_chunk").alias("chunk"))
+    return (known.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", "side")
+            .mapInArrow(tidied(run), "_chunk long, _at binary, _words binary"))
+
+
+def _answered(told: DataFrame, answers: DataFrame) -> DataFrame:
+    """The rows of texts with ``_n``, ``_total``, ``_leaning`` of all their words."""
+    own = [f for f in told.schema if not f.name.startswith("_")]
+    schema = T.StructType([*own, *T.StructType.fromDDL("_n long, _total double, _leaning double")])
+
+    def run(batches):
+        values, of = np.empty(0), None
+        for chunk, side, table in _parts(batches):
+            at, more = (b"".join(table[c].to_pylist()) for c in ("_at", "_words"))
+            at = np.frombuffer(at, "<i4")
+            if side == 0:
+                values, of = np.empty(len(at)), chunk
+                values[at] = np.frombuffer(more)
+                continue
+            if len(at):
+                assert of == chunk
+            lengths = pc.binary_length(table["_at"]).to_numpy() // 4
+            ratio, times, row = values[at], np.frombuffer(more, "<i4"), np.repeat(np.arange(len(lengths)), lengths)
+            total, leaning = (np.bincount(row, times * v, len(lengths)).astype(float) for v in (ratio, np.maximum(ratio - LEAN, 0.0)))
+            columns = [*(table[f.name] for f in own), table["_n"], pa.array(table["_total"].to_numpy() + total),
+                       pa.array(table["_leaning"].to_numpy() + leaning)]
+            yield from pa.table(columns, names=schema.names).to_batches()
+
+    texts = told.where(F.col("_bucket").isNull()).select(
+        "_chunk", F.lit(1).alias("_side"), "_at", "_words", "_n", "_total", "_leaning", *(f"`{f.name}`" for f in own))
+    found = answers.select("_chunk", F.lit(0).alias("_side"), "_at", "_words", *(
+        F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in texts.columns[4:]))
+    return (found.unionByName(texts).repartition("_chunk").sortWithinPartitions("_chunk", "_side")
+            .mapInArrow(tidied(run), schema))
+
+
 def features(n: Column, total: Column, leaning: Column) -> tuple[Column, Column, Column]:
     """Mean log ratio per word; that of clearly leaning words, per root of the words and summed (log)."""
     n = F.greatest(n, F.lit(1))
@@ -576,7 +821,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     picked = halves[0].unionByName(halves[1])
     context = spark.sparkContext
     sample = materialize(docs.select(key, text).join(F.broadcast(picked), key)      # at most 2 * rows keys
-                         .select("_toxic", (1 - F.col("_half")).alias("model"), _summed(F.col(text), context.broadcast(({}, None))).alias("_sums")),
+                         .select("_toxic", (1 - F.col("_half")).alias("model"), _all_words(F.col(text)).alias("_sums")),
                          "sample")
     if sample.select("_toxic").distinct().count() < 2:
         return Model(spark, None, (np.zeros(3), np.ones(3), np.array([0.0, 0.0, 0.0, -30.0])))
@@ -589,16 +834,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     near = docs.select(key, text).where(F.col(key).isNotNull()).where(suspect(place(key)))
     train = near.join(keys.select(key, "_toxic", "_half"), key)
-    counted = materialize(count_words(train, text), "words")
+    spelling = learn(partial_counts(train, text))
     packed.destroy()                                                # nothing reads ``train`` again
-    spelling = learn(counted)
     sample = sample.withColumn("_id", F.monotonically_increasing_id())
     held = materialize(sample.select("_id", "model", F.posexplode("_sums.rest").alias("_at", "word", "_n")), "sample-words")
     asked = held.groupBy("model", "word").agg(F.sum("_n").alias("n"))
     sums = _added(held, word_ratios(asked, spelling).select("model", "word", "ratio"), "_id")
     zero = F.lit(0.0)
-    found = np.array(sample.join(sums, "_id", "left").select("_toxic", *features(
-        F.col("_sums.n"), F.coalesce("_total", zero), F.coalesce("_leaning", zero))).collect(), float)      # three numbers a row
+    with without_shuffle_files(spark):
+        found = np.array(sample.join(sums, "_id", "left").select("_toxic", *features(
+            F.col("_sums.n"), F.coalesce("_total", zero), F.coalesce("_leaning", zero))).collect(), float)      # three numbers a row
     x, y = found[:, 1:], found[:, 0]
     size = {c: n for c, n in labels.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
     weight = np.where(y > 0, CAUTION * size.get(1, 1) / y.sum(), size.get(0, 1) / (1 - y).sum())
@@ -613,24 +858,12 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "score",
     kept = [f"`{c}`" for c in df.columns if c != into and (keep_text or c != text)]
     if model.spelling is None:
         return df.select(*kept, F.lit(1 / (1 + math.exp(-float(beta[-1])))).alias(into))
-    often = (model.spelling.words.where(F.length("word") <= COMMON_LENGTH)
-             .select(F.lit(BOTH).alias("model"), "word", sum(map(F.col, COUNTS)).alias("n"))
-             .orderBy(F.desc("n"), "word").limit(COMMON))
-    known = {w: r for w, r in word_ratios(often, model.spelling).select("word", "ratio").collect()}      # at most COMMON rows
-    common = df.sparkSession.sparkContext.broadcast((known, shallow(model.spelling)))
-    out = (df.withColumn("_sums", _summed(F.col(text), common))
-           .withColumn("_a", F.xxhash64(text)).withColumn("_b", F.xxhash64(F.lit(1), F.col(text))))
-    if not keep_text:
-        out = materialize(out.select(*kept, "_sums", "_a", "_b"), "word-sums")
-    rest = out.select("_a", "_b", F.posexplode("_sums.rest").alias("_at", "word", "_n"))
-    if keep_text:           # else it is stored already
-        rest = materialize(rest, "word-rest")
-    asked = rest.groupBy("word").agg(F.sum("_n").alias("n")).withColumn("model", F.lit(BOTH))
-    ratios = word_ratios(asked, model.spelling).select("word", "ratio")
-    out = out.join(_added(rest, ratios, "_a", "_b"), ["_a", "_b"], "left")
-    total, leaning = (F.col(f"_sums.{x}") + F.coalesce(F.col(f"_{x}"), F.lit(0.0)) for x in ("total", "leaning"))
+    common = df.sparkSession.sparkContext.broadcast((frequent(model.spelling), shallow(model.spelling)))
+    told = materialize(_asking(df, kept, text, common, model.spelling.buckets), "word-sums")
+    out = _answered(told, _answers(told, model.spelling))
+    total, leaning = F.col("_total"), F.col("_leaning")
     z = F.lit(float(beta[-1]))
-    for i, value in enumerate(features(F.col("_sums.n"), total, leaning)):
+    for i, value in enumerate(features(F.col("_n"), total, leaning)):
         z = z + float(beta[i]) * (value - float(mean[i])) / float(scale[i])
     scored = out.withColumn(into, 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0)))))
     return scored.select(*kept, into)

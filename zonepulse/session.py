@@ -72,21 +72,26 @@ def run_scratch(spark: SparkSession) -> Iterator[str]:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to shared storage and read it back: cuts lineage, survives lost executors.
-
-    The write's shuffle files go at its end; else they stay until the driver happens to collect its garbage.
-    """
-    spark = df.sparkSession
-    path, before = scratch_dir(spark, name), spark.conf.get(CLEANUP, None)
+@contextmanager
+def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of actions inside the block go at their end; else they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, before)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to shared storage and read it back: cuts lineage, survives lost executors. Its shuffle files go at the write's end."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    with without_shuffle_files(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
