@@ -148,3 +148,16 @@ def test_alignment_query(spark, sf_dir, libraries):
     got = QUERIES["op12_token_alignment"](spark, sf_dir)
     texts = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, got.collect()), key=repr) == expected_rows(texts, libraries)
+
+
+def test_codes_of_many_words_are_made_together(monkeypatch):
+    """Arrays are made for all words at once, not for each; a part that isn't a word stays none after it stood alone."""
+    with open(vocabulary(A), encoding="utf-8") as a, open(vocabulary(B), "rb") as b:
+        coder = alignment.Encoder(a.read(), b.read())
+    words, made, array = [f"w{i}x" for i in range(300)] + ["\x00", "<s>"], [], np.array
+    expected = [coder.whole([w])[0] for w in words]
+    monkeypatch.setattr(alignment.np, "array", lambda *args, **kw: made.append(1) or array(*args, **kw))
+    assert coder.whole(words) == expected and coder.whole([]) == []
+    assert len(made) < 20
+    for texts in (["", "\n", "a"], ["a  b", "a \n b", "", " a"]):
+        assert coder.encode(texts) == [coder.whole([t])[0] for t in texts]

@@ -14,6 +14,7 @@ import hashlib
 import json
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,9 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
+Code = tuple[bytes, bytes, bool]
+
+
 class Encoder:
     """Ids of both tokenizers. If neither merges over single spaces, each different word is encoded once.
 
@@ -91,16 +95,26 @@ class Encoder:
         self.lengths = [np.array([len(e) for e in t.entries]) for t in (self.a, self.b)]
         self.digits = Digits(max(len(self.a.entries), len(self.b.entries)))
         self.by_word = self.a.by_word and self.b.by_word
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.known: dict[str, Code] = {}
+        self.older: dict[str, Code] = {}
 
-    def whole(self, texts: list[str]) -> list[tuple[bytes, bytes, bool]]:
+    def whole(self, texts: list[str]) -> list[Code]:
         """(A ids, B ids, whether the bytes of both are a space and the text) of each text; ids as 32-bit integers."""
-        out = []
-        for text, x, y in zip(texts, self.a.encode(texts), self.b.encode(texts)):
-            left, right = (b"".join([entries[i] for i in ids]) for ids, entries in ((x, self.a.entries), (y, self.b.entries)))
-            out.append((np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes(), left == right == b" " + text.encode()))
-        return out
+        data = [b" " + t.encode() for t in texts]
+        wanted, every = np.array([len(d) for d in data], np.int64), b"".join(data)
+        fine, out = np.ones(len(texts), bool), []
+        for codes, entries, lengths in zip((self.a.encode(texts), self.b.encode(texts)), (self.a.entries, self.b.entries), self.lengths):
+            stops = np.cumsum([len(x) for x in codes], dtype=np.int64)
+            flat = np.fromiter(chain.from_iterable(codes), "<i4", int(stops[-1]) if len(stops) else 0)
+            size = np.append(0, np.cumsum(lengths[flat]))[np.append(0, stops)]
+            joined = b"".join(map(entries.__getitem__, flat.tolist()))
+            same = np.diff(size) == wanted
+            if joined != every or not same.all():
+                ends = size.tolist()
+                fine &= same & np.array([joined[x:y] == d for x, y, d in zip(ends, ends[1:], data)], bool)
+            ids, ends = flat.tobytes(), (4 * np.append(0, stops)).tolist()
+            out.append([ids[x:y] for x, y in zip(ends, ends[1:])])
+        return list(zip(*out, fine.tolist()))
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
@@ -111,18 +125,22 @@ class Encoder:
         new = [w for w in new if w not in found]
         self.known.update(zip(new, self.whole(new)))
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes, bool]]:
+    def encode(self, texts: list[str]) -> list[Code]:
         if not self.by_word:
             return self.whole(texts)
         split = [t.split(" ") for t in texts]
-        for i, parts in enumerate(split):
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in set(parts)):
-                split[i] = _runs(parts)
-        self.learn(set().union(*split))
+        words = set().union(*split)
+        odd = {w for w in words if not w or w[0].isspace() or w[-1].isspace()}
+        if odd:
+            for i, parts in enumerate(split):
+                if not odd.isdisjoint(parts):
+                    split[i] = _runs(parts)
+            words = set().union(*split)
+        self.learn(words)
         get, out = self.known.__getitem__, []
         for parts in split:
-            codes = list(map(get, parts))
-            out.append((b"".join([c[0] for c in codes]), b"".join([c[1] for c in codes]), all([c[2] for c in codes])))
+            a, b, fine = zip(*map(get, parts))
+            out.append((b"".join(a), b"".join(b), False not in fine))
         return out
 
 
@@ -173,8 +191,10 @@ def pieces(a: np.ndarray, b: np.ndarray, piece: int = PIECE):
     i, j = crossings(a, b, piece)
     for i0, i1, j0, j1 in zip(i, i[1:], j, j[1:]):
         left, right = a[i0:i1], b[j0:j1]
-        ends = np.union1d(left, right)
+        ends = np.concatenate([left, right])
+        ends.sort(kind="stable")                            # two ascending runs
         if len(ends):
+            ends = ends[np.append(True, ends[1:] != ends[:-1])]
             x, y = np.searchsorted(left, ends), np.searchsorted(right, ends)
             before = max(a[i0 - 1] if i0 else 0, b[j0 - 1] if j0 else 0)
             in_a, in_b = (np.append(v, -1)[at] == ends for v, at in ((left, x), (right, y)))
