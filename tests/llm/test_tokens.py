@@ -1,5 +1,6 @@
 """Token output against the library, text by text: the query's whole table, special tokens' strings, a cache that overflows."""
 
+import base64
 import random
 import zlib
 
@@ -50,3 +51,15 @@ def test_words_are_those_of_the_library(library, monkeypatch):
 def test_special_tokens_are_ids_unless_literal():
     assert encoder().encode([b"<|endoftext|> a"])[0].tolist() == [49407, 320, tokens.END_ID]
     assert 49407 not in encoder(literal_special=True).encode([b"<|endoftext|> a"])[0].tolist()
+
+
+def test_workers_forget_what_other_operators_keep(monkeypatch):
+    from zonepulse.llm import bpe, workers
+
+    monkeypatch.setattr(workers, "_KEPT", {})
+    monkeypatch.setattr(bpe, "_VOCABULARIES", {})
+    content = b"\n".join(base64.b64encode(bytes([i])) + b" %d" % i for i in range(256))
+    assert list(workers.tidied(lambda batches: iter([len(bpe.vocabulary(content).lengths)]), owner=bpe.__name__)([])) == [256]
+    assert list(workers.tidied(lambda batches: iter([len(bpe._VOCABULARIES)]), owner=bpe.__name__)([])) == [1]     # its own tasks find it
+    assert list(workers.tidied(lambda batches: iter([len(bpe._VOCABULARIES)]))([])) == [0]
+    assert len(bpe.vocabulary(content).lengths) == 256

@@ -278,3 +278,14 @@ def test_other_words_travel_packed_and_come_back_to_their_texts(spark, monkeypat
         by_text.setdefault(r.text, set()).add(r.score)
     assert all(len(s) == 1 for s in by_text.values())
     assert "explode" not in scored._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_a_text_that_is_kept_is_sent_to_python_once(spark):
+    data = [(i, f"quiet river w{i % 7} {'vexgrub' if i % 2 else 'meadow'}", i % 2) for i in range(40)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    common = spark.sparkContext.broadcast((toxicity.frequent(model.spelling), None))
+    for kept in (["doc_id", "text"], ["doc_id"], ["text", "doc_id"]):
+        asking = toxicity._asking(frame.select("doc_id", "text"), kept, "text", common, model.spelling.buckets)
+        assert asking._jdf.queryExecution().optimizedPlan().children().apply(0).output().size() == 2
+        assert asking.where("_bucket is null").selectExpr("sum(_n)").first()[0] == 160

@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame, types as T
 
 from zonepulse.llm.text import plain
-from zonepulse.llm.workers import tidied
+from zonepulse.llm.workers import keeps, tidied
 
 CHUNK = 1 << 18             # bytes scanned together; a longer text is a chunk of its own
 ROWS = 256                  # decoded together
@@ -303,8 +303,9 @@ _VOCABULARIES: dict[int, Vocabulary] = {}
 
 
 def vocabulary(content: bytes) -> Vocabulary:
-    """Of a rank file's content; a worker keeps it, and its cache, between tasks."""
+    """Of a rank file's content; a worker keeps it, and its cache, between tasks of this module."""
     key = zlib.crc32(content)
+    keeps(__name__, _VOCABULARIES.clear)
     if key not in _VOCABULARIES:
         pairs = (line.split() for line in content.splitlines() if line)
         _VOCABULARIES[key] = Vocabulary({base64.b64decode(t): int(r) for t, r in pairs})
@@ -365,7 +366,7 @@ def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", offs
     kept = [f for f in df.schema if f.name != text]
     schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType())),
                            T.StructField(offsets, T.ArrayType(T.IntegerType()))])
-    return df.mapInArrow(tidied(run), schema)
+    return df.mapInArrow(tidied(run, owner=__name__), schema)
 
 
 def _rows(column: pa.Array) -> list[np.ndarray]:
@@ -395,4 +396,4 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", offsets: str = "offsets"
             yield pa.RecordBatch.from_arrays([*(batch.column(at(f.name)) for f in kept), *columns],
                                              names=[*(f.name for f in kept), *made])
 
-    return df.mapInArrow(tidied(run), T.StructType([*kept, *(T.StructField(m, T.BinaryType()) for m in made)]))
+    return df.mapInArrow(tidied(run, owner=__name__), T.StructType([*kept, *(T.StructField(m, T.BinaryType()) for m in made)]))

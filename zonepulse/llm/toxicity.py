@@ -48,7 +48,7 @@ SLICE = 1 << 18             # characters of texts summed together; a longer text
 PAIRED = 1 << 22            # characters of texts whose pairs of words are gathered before they are sent
 SPREAD = 8                  # buckets of a word's pairs
 BUCKETS = 64                # tries, for each shuffle partition
-ASKED = 1 << 23             # characters of texts whose other words are asked for together
+ASKED = 1 << 22             # characters of texts whose other words are asked for together
 WALKED = 1 << 16            # words walked together
 KINDS = 128                 # kinds of characters that shared counts tell apart
 BOTH = 2                    # the model of all rows; 0 and 1 are those of the halves
@@ -663,12 +663,13 @@ def _asking(df: DataFrame, kept: list[str], text: str, ratios: Broadcast, many:
     A chunk is neighbouring texts of one task, about ``ASKED`` characters. ``ratios``: of words, and of beginnings (``Shallow``).
     """
     own = df.select(*kept).schema
+    at_text = own.names.index(text) if text in own.names else len(own)      # sent once
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in own), *T.StructType.fromDDL(TOLD)])
 
     def run(batches):
         chunk, reader, size, types = TaskContext.get().partitionId() << 33, Reader(*ratios.value), 0, None
         for batch in batches:
-            texts, begin = batch.column(batch.num_columns - 1).to_pylist(), 0
+            texts, begin = batch.column(at_text).to_pylist(), 0
             for some in _slices(texts):
                 read, total, leaning, rest = reader.read(some)
                 n = len(some)
@@ -695,7 +696,7 @@ def _asking(df: DataFrame, kept: list[str], text: str, ratios: Broadcast, many:
                        pa.array([np.array([i for _, i in x], "<i4").tobytes() for x in dealt.values()], pa.binary())]
             yield pa.RecordBatch.from_arrays([*(pa.nulls(n, t) for t in types[:len(own)]), *columns], names=schema.names)
 
-    return df.select(*kept, F.col(text).alias("_text")).mapInArrow(tidied(run), schema)
+    return df.select(*kept, *([F.col(text).alias("_text")] if at_text == len(own) else [])).mapInArrow(tidied(run), schema)
 
 
 def _answers(told: DataFrame, spelling: Spelling) -> DataFrame:

@@ -16,9 +16,26 @@ def give_back() -> None:
         trim(0)
 
 
-def tidied(run: Callable[[Iterable], Iterator], at_end: Callable[[], None] = give_back):
-    """``run``, for ``mapInArrow``; a task's end gives freed memory back, so a long job's workers don't add up their peaks."""
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, forget: Callable[[], None]) -> None:
+    """This worker holds something for the next tasks of ``owner``; a tidied task of any other has it forgotten."""
+    _KEPT[owner] = forget
+
+
+def forget_others(owner: str | None) -> None:
+    for other in [o for o in _KEPT if o != owner]:
+        _KEPT.pop(other)()
+
+
+def tidied(run: Callable[[Iterable], Iterator], at_end: Callable[[], None] = give_back, owner: str | None = None):
+    """``run``, for ``mapInArrow``; a task's end gives freed memory back, so a long job's workers don't add up their peaks. What they
+    keep for tasks of another ``owner`` goes at the begin."""
     def tidy(batches):
+        if _KEPT.keys() - {owner}:
+            forget_others(owner)
+            at_end()
         try:
             yield from run(batches)
         finally:
