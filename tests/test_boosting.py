@@ -1,6 +1,7 @@
 """Softmax boosting: splits against brute force, loss, probabilities, folds, many tasks."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +128,23 @@ def test_one_class_and_no_rows(spark):
         fit(frame(spark, x, np.zeros(20, int)).limit(0))
     constant = fit(frame(spark, np.ones((20, 3)), np.arange(20) % 2))
     assert (constant.trees.feature == -1).all()
+
+
+def test_rows_are_dealt_by_their_number(spark, monkeypatch):
+    x, label = data(rows=240)
+    df, files, sums = frame(spark, x, label).coalesce(1), set(), boosting._sums
+    monkeypatch.setattr(boosting, "_sums", lambda state, *a: files.add(len(state.inputFiles())) or sums(state, *a))
+    whole = fit(df, settings={"rounds": 1})
+    assert files == {1}
+    files.clear()
+    monkeypatch.setattr("zonepulse.session.TASK_ROWS", 50)
+    assert fit(df, settings={"rounds": 1}).losses == pytest.approx(whole.losses)
+    assert files == {5}
+
+
+def test_binary_columns_are_read_where_they_lie():
+    rows = [np.arange(i, i + 4, dtype=float) for i in range(6)]
+    column = pa.array([r.tobytes() for r in rows], pa.binary())
+    for some in (column, column.slice(2, 3), column.cast(pa.large_binary())):
+        assert boosting._joined(some, np.float64).tobytes() == b"".join(some.to_pylist())
+    assert len(boosting._joined(column.slice(0, 0), np.uint8)) == 0

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from zonepulse import rules
 from zonepulse.models import metrics
 from zonepulse.operators.split import KEY, stratified_folds
-from zonepulse.session import materialize
+from zonepulse.session import materialize, tasks_for
 
 LEVEL = rules.TARGETS[0]
 BINS = 64
@@ -60,11 +60,11 @@ class Trees:
 
     def nodes(self, binned: np.ndarray, model: int, klass: int, depth: int) -> np.ndarray:
         """Node of each row after at most ``depth`` steps."""
-        at, rows = np.zeros(len(binned), int), np.arange(len(binned))
+        at, begin, flat = np.zeros(len(binned), int), np.arange(len(binned)) * binned.shape[1], np.ascontiguousarray(binned).reshape(-1)
         feature, cut = self.feature[model, klass], self.bin[model, klass]
         for _ in range(depth):
             f = feature[at]
-            at = np.where(f >= 0, 2 * at + 1 + (binned[rows, np.maximum(f, 0)] > cut[at]), at)
+            at = np.where(f >= 0, 2 * at + 1 + (flat[begin + np.maximum(f, 0)] > cut[at]), at)
         return at
 
     def add_to(self, scores: np.ndarray, binned: np.ndarray, depth: int) -> None:
@@ -122,11 +122,20 @@ class _Shape:
     parts: int = 1          # tasks that read the rows
 
 
+def _joined(column: pa.Array, kind: type) -> np.ndarray:
+    """All bytes of a binary column without nulls, as they lie in it: no object for each row."""
+    column = column.cast(pa.binary())
+    if not len(column):
+        return np.empty(0, kind)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(kind)
+
+
 def _rows(batch: pa.RecordBatch, shape: _Shape, trees: list[Trees]):
     """(label, weight, fold, draw, bins, scores) with the trees since the scores were stored added."""
     label, weight, fold, draw = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-    binned = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, shape.features)
-    scores = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.float64).reshape(-1, shape.models, shape.classes).copy()
+    binned = _joined(batch.column(4), np.uint8).reshape(-1, shape.features)
+    scores = _joined(batch.column(5), np.float64).reshape(-1, shape.models, shape.classes).copy()
     for tree in trees:
         tree.add_to(scores, binned, shape.settings.depth)
     return label, weight, fold, draw, binned, scores
@@ -154,7 +163,7 @@ def _sums(state: DataFrame, shape: _Shape, done: list[Trees], growing: Trees, ro
             for at in range(0, whole.num_rows, BATCH):
                 label, weight, fold, draw, binned, scores = _rows(whole.slice(at, BATCH), shape, done)
                 chance, chosen = softmax(scores), _takes_part(draw, round_, settings)
-                rows = np.arange(len(label))
+                rows, columns = np.arange(len(label)), np.ascontiguousarray(binned.T)
                 for m in range(shape.models):
                     mine = fold != m
                     loss[m] += -(weight * mine * np.log(np.maximum(chance[rows, m, label], 1e-300))).sum(), (weight * mine).sum()
@@ -164,9 +173,11 @@ def _sums(state: DataFrame, shape: _Shape, done: list[Trees], growing: Trees, ro
                         some = mine & (node >= 0)               # rows in leaves above are done
                         g = (label[some] == k) - chance[some, m, k]
                         w = weight[some]
-                        for values, out in zip((w * g, w * np.abs(g) * (1 - np.abs(g)), w), total[m, k]):
-                            for f in range(shape.features):
-                                out[f] += np.bincount(node[some] * settings.bins + binned[some, f], weights=values, minlength=size)
+                        first, values = node[some] * settings.bins, (w * g, w * np.abs(g) * (1 - np.abs(g)), w)
+                        for f in range(shape.features):
+                            place = first + columns[f, some]
+                            for i, v in enumerate(values):
+                                total[m, k, i, f] += np.bincount(place, weights=v, minlength=size)
         # By (model, class, node): sum, feature, bin.
         slots = total.reshape(shape.models, shape.classes, 3, shape.features, width, settings.bins).transpose(0, 1, 4, 2, 3, 5)
         slots = slots.reshape(-1, 3, shape.features, settings.bins)
@@ -310,14 +321,16 @@ def fit_models(df: DataFrame, folds: int = 0, fold: str = "fold", settings: Sett
     columns = [c for c in columns or rules.FEATURES if c in df.columns]
     spark, models = df.sparkSession, max(folds, 1)
     share = F.sum(F.col(weight) if weight else F.lit(1.0))
-    counts = {r[0]: r[1] for r in df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int")).agg(share).collect()}
+    found = df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int")).agg(share, F.count("*")).collect()
+    counts = {r[0]: r[1] for r in found}
     if not counts:
         raise ValueError("boosting needs labelled rows")
     classes = max(max(counts) + 1, 2)
     prior = np.array([max(counts.get(k, 0.0), 1e-9) for k in range(classes)])
     start = np.log(prior / prior.sum())
     cuts = thresholds(df, columns, settings.bins)
-    state = materialize(prepared(df, columns, cuts, label, weight, key, fold if folds else None, np.tile(start, (models, 1))), "boosting")
+    state = prepared(df, columns, cuts, label, weight, key, fold if folds else None, np.tile(start, (models, 1)))
+    state = materialize(state.repartition(tasks_for(sum(r[2] for r in found))), "boosting")
     shape = _Shape(models, classes, len(columns), settings, state.rdd.getNumPartitions())
     grown: list[Trees] = []
     pending: list[Trees] = []

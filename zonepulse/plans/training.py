@@ -15,7 +15,7 @@ from zonepulse.models.scoring import NAMES, Models
 from zonepulse.operators.features import feature_matrix
 from zonepulse.operators.hotspots import detection_rate
 from zonepulse.operators.split import train_test
-from zonepulse.session import materialize
+from zonepulse.session import materialize, tasks_for
 
 log = logging.getLogger(__name__)
 
@@ -29,8 +29,8 @@ class TrainingResult:
 
 
 def split(features: DataFrame, stratify: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Stored exact 80/20 split as (train, test)."""
-    flagged = materialize(train_test(features, stratify=stratify), "split")
+    """Stored exact 80/20 split as (train, test), in as many parts as its rows are work for."""
+    flagged = materialize(train_test(features, stratify=stratify).repartition(tasks_for(features.count())), "split")
     return flagged.filter("is_train"), flagged.filter("NOT is_train")
 
 

@@ -95,6 +95,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+TASK_ROWS = 1 << 15             # rows of a task that passes over them again and again,
+FEW_TASKS, MOST_ROWS = 256, 1 << 20     # up to so many rows once there are so many tasks
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks for a frame that a fit reads hundreds of times: by its rows, as few bytes of it are work for a core."""
+    return max(min(-(-rows // TASK_ROWS), max(FEW_TASKS, -(-rows // MOST_ROWS))), 1)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists, in whatever file system it names."""
     jvm = spark.sparkContext._jvm
