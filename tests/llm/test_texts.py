@@ -384,6 +384,20 @@ def test_components(spark):
     assert got == {**{i: 1 for i in range(1, 21)}, 30: 30, 40: 30}
 
 
+def test_components_end_at_stars(spark, monkeypatch):
+    stored, materialize = [], components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, name: stored.append(name) or materialize(df, name))
+    links = [(1, i) for i in range(2, 9)] * 2 + [(20, 21), (22, 20)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 9)}, 20: 20, 21: 20, 22: 20}
+    assert stored.count("stars") == 1
+    # Known components stand for their links.
+    first = jaccard_join._labels(spark.createDataFrame([(1, 2), (3, 4)], "a long, b long"))
+    assert jaccard_join._labels(spark.createDataFrame([], "a long, b long"), first) is first
+    more = jaccard_join._labels(spark.createDataFrame([(2, 4), (5, 6)], "a long, b long"), first)
+    assert {r.node: r.component for r in more.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
+
+
 def test_mixing_targets_flow_and_selection(rows):
     assert mixing.capped_targets({"a": 100, "b": 10, "c": 50}, {"a": 5, "b": 2, "c": 1}, 160) == pytest.approx(
         {"a": 650 / 6, "b": 30, "c": 130 / 6})

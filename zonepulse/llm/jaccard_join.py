@@ -521,22 +521,19 @@ def link_components(df: DataFrame, key: str = "doc_id", text: str = "text", size
     counted = shared.where(F.col("doc") != F.col("pivot")).groupBy("doc", "pivot").count()
     best = counted.groupBy("doc").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("pivot"))
     tried = materialize(_pairs(best, "doc", "pivot"), "tried")
-    links = materialize(verified(tried, sets, percent), "linked")
-    label = _labels(links)
+    label = _labels(materialize(verified(tried, sets, percent), "linked"))
 
     # All other pivots of documents that aren't connected with them yet.
     apart = _apart(_pairs(counted, "doc", "pivot"), label).join(tried, ["a", "b"], "left_anti")
     tried_too = materialize(apart, "tried")
-    links = links.unionByName(materialize(verified(tried_too, sets, percent), "linked"))
-    label = _labels(links)
+    label = _labels(materialize(verified(tried_too, sets, percent), "linked"), label)
     tried = tried.unionByName(tried_too)
 
     # Within buckets of several components: the documents outside the pivot's component against all others.
     rows = shared.select("key", "doc").union(shared.select("key", "pivot")).distinct()
     named = rows.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component")
     rest = _pairs(near_in_buckets(named, sets, percent), "x", "y").join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(materialize(verified(rest, sets, percent), "linked"))
-    label = _labels(links).withColumnRenamed("node", "class")
+    label = _labels(materialize(verified(rest, sets, percent), "linked"), label).withColumnRenamed("node", "class")
     return member.join(label, "class", "left").select(
         F.col("doc").cast(df.schema[key].dataType).alias(key), F.col("n").alias("n_shingles"),
         F.coalesce("component", "class").alias("component_id"))
@@ -569,7 +566,12 @@ def keep_representatives(df: DataFrame, key: str = "doc_id", text: str = "text",
     return sure.unionByName(worded.dropDuplicates(["_doc", text]).unionByName(blank).drop("_doc"))
 
 
-def _labels(links: DataFrame) -> DataFrame:
+def _labels(links: DataFrame, label: DataFrame | None = None) -> DataFrame:
+    """Components of ``links`` and those in ``label``, which stand for the links that made them; ``links`` is stored."""
+    if label is not None:
+        if links.isEmpty():
+            return label
+        links = links.unionByName(label.select(F.col("node").alias("a"), F.col("component").alias("b")))
     return materialize(components(links), "labels")
 
 
